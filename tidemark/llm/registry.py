@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id, merge_replay, packing, quality_crf, tool_calls, toxicity, url_filter
+from tidemark.llm import jaccard_join, language_id, merge_replay, packing, quality_crf, tool_calls, toxicity, url_filter
 from tidemark.llm.common import fold, table
 
 RULES = [
@@ -46,6 +46,10 @@ def op5_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_crf.judge(documents, quality_crf.fitted(documents, table(spark, sf_dir, "labels")))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     prototypes = language_id.learn(documents.where(fold("doc_id", 5) != 0))
@@ -74,7 +78,7 @@ def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_url_filter, op2_best_fit_packing, op3_merge_replay, op4_toxicity, op5_quality_crf, op7_language_id, op8_tool_calls)
+    for f in (op1_url_filter, op2_best_fit_packing, op3_merge_replay, op4_toxicity, op5_quality_crf, op6_jaccard_join, op7_language_id, op8_tool_calls)
 }
 
 ORACLE_SQL = {
