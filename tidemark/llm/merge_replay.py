@@ -24,7 +24,7 @@ from tidemark.llm import common
 
 NONE = np.int32(2**31 - 1)
 #: Bytes of text and distinct words that a block may gather before it is encoded.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 24 << 20
 
 
 @lru_cache(maxsize=4)
@@ -144,6 +144,14 @@ class MergeReplay:
         return out
 
 
+class _Numbers(dict):
+    """Numbers words as they come."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class Codec:
     """Texts to ids and back, with a pattern that parts a text into words."""
 
@@ -154,10 +162,10 @@ class Codec:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text; the texts are one corpus."""
-        parted = [self.pattern.findall(t) if t else [] for t in texts]
-        distinct = list(dict.fromkeys(w for words in parted for w in words))
-        ids = dict(zip(distinct, (x.tobytes() for x in self.replay.encode([w.encode("utf-8", "replace") for w in distinct])), strict=True))
-        return [b"".join(map(ids.__getitem__, words)) for words in parted]
+        numbers = _Numbers()
+        parted = [np.array(list(map(numbers.__getitem__, self.pattern.findall(t))), np.int32) if t else () for t in texts]
+        ids = [x.tobytes() for x in self.replay.encode([w.encode("utf-8", "replace") for w in numbers])]
+        return [b"".join([ids[k] for k in words.tolist()]) if len(words) else b"" for words in parted]
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes that ids stand for."""
