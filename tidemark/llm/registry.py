@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard_join, language_id, merge_replay, packing, quality_crf, tool_calls, toxicity, url_filter, vector_dedup
+from tidemark.llm import interpolated_lm, jaccard_join, language_id, merge_replay, packing, quality_crf, tool_calls, toxicity, url_filter, vector_dedup
 from tidemark.llm.common import fold, table
 
 RULES = [
@@ -76,13 +76,17 @@ def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("errors", F.array_join("errors", ","))
 
 
+def op9_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolated_lm.score_texts(table(spark, sf_dir, "documents"), fold("doc_id", 5) != 1)
+
+
 def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_url_filter, op2_best_fit_packing, op3_merge_replay, op4_toxicity, op5_quality_crf, op6_jaccard_join, op7_language_id, op8_tool_calls, op10_vector_dedup)
+    for f in (op1_url_filter, op2_best_fit_packing, op3_merge_replay, op4_toxicity, op5_quality_crf, op6_jaccard_join, op7_language_id, op8_tool_calls, op9_interpolated_lm, op10_vector_dedup)
 }
 
 ORACLE_SQL = {
