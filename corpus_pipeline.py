@@ -1,4 +1,9 @@
-"""The corpus pipeline: quality rules, toxicity, near-duplicates, packing."""
+"""The corpus pipeline: quality rules, toxicity, near-duplicates, best-fit packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the stage before it kept. All but
+the last return the columns of ``documents``; the last gives the pieces with their places.
+Documents without rows give empty results; extra columns travel along whatever their names.
+"""
 
 from __future__ import annotations
 
@@ -6,16 +11,49 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, packing, quality_crf, toxicity
+from tidemark.llm import common, jaccard_join, packing, quality_crf, toxicity
+
+
+def _with_row(docs: DataFrame) -> DataFrame:
+    """Key, text and the whole row as one column, so that no operator's column can clash with it."""
+    return docs.select("doc_id", "text", F.struct("*").alias("_row"))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the line labels of the CRF accept."""
     crf = quality_crf.fitted(docs, common.table(spark, sf_dir, "labels"))
-    return quality_crf.judge(docs, crf, keep=tuple(docs.columns), text="text").where("kept").select(docs.columns)
+    return quality_crf.judge(_with_row(docs), crf, keep=("_row",)).where("kept").select("_row.*")
+
+
+def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model doesn't predict as toxic."""
+    model = toxicity.learn(docs, common.table(spark, sf_dir, "labels"))
+    return toxicity.score(_with_row(docs), model, also={"_row": F.col("_row")}).where("predicted = 0").select("_row.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group: five-word shingles, Jaccard 0.8 or more."""
+    groups = jaccard_join.similar(docs, n=5, percent=80)
+    copies = common.stored(groups.where("component_id <> doc_id").select("doc_id").distinct(), "copies")
+    if copies.count() <= 1 << 19:  # 4 MB at most; more are joined by a shuffle
+        copies = F.broadcast(copies)
+    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their sequences and offsets."""
+    pieces = packing.pieces_of(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return packing.pack(common.stored(pieces, "pieces"))
+
 
+STAGES = [
+    ("quality rules", quality_rules),
+    ("toxicity", toxic_documents),
+    ("n-gram Jaccard join", near_duplicates),
+    ("best-fit packing", packed),
+]
 
-STAGES = [("quality rules", quality_rules)]
+#: Learned models and tokenizers are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
