@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zlib
@@ -52,6 +53,12 @@ def forget(*frames: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps, which it does once the driver has collected its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Bound an Arrow batch: long texts of many rows would else meet in one Python buffer."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

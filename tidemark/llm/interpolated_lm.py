@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import common
-from tidemark.llm.jaccard_join import _group_runs, _mix
+from tidemark.llm.packed import cut_points, deltas, group_runs, mix, packed, unpacked
 
 U = np.uint64
 END = b" "  # no word can hold it
@@ -37,35 +37,6 @@ STEP = 0.05
 TEXT, WORDS, BIGRAMS, ANSWERS = 0, 1, 2, 3
 
 
-def _packed(*arrays: np.ndarray) -> bytes:
-    """Arrays of whole numbers as one compressed blob, byte planes apart so that equal bytes meet."""
-    import zstandard
-
-    parts = [len(arrays).to_bytes(4, "little")]
-    for x in arrays:
-        planes = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.dtype.itemsize).T.tobytes()
-        parts += [x.dtype.str.encode().ljust(4), len(x).to_bytes(8, "little"), planes]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
-
-
-def _unpacked(blob: bytes) -> list[np.ndarray]:
-    import zstandard
-
-    raw = zstandard.ZstdDecompressor().decompress(blob)
-    at, out = 4, []
-    for _ in range(int.from_bytes(raw[:4], "little")):
-        kind, n = np.dtype(raw[at : at + 4].strip().decode()), int.from_bytes(raw[at + 4 : at + 12], "little")
-        at += 12
-        planes = np.frombuffer(raw, np.uint8, n * kind.itemsize, at).reshape(kind.itemsize, n)
-        out.append(np.ascontiguousarray(planes.T).view(kind).reshape(n))
-        at += n * kind.itemsize
-    return out
-
-
-def _deltas(sorted_keys: np.ndarray) -> np.ndarray:
-    return np.diff(sorted_keys, prepend=U(0))
-
-
 class Block:
     """Tokens of a block of texts: local word numbers, words' hashes, and the distinct keys."""
 
@@ -88,7 +59,7 @@ class Block:
         if len(before):
             before[0] = 0  # the token before a text's first is an end token anyway
         self.before = before
-        keys = _mix(_mix(hashes[before] + U(0x9E3779B97F4A7C15)) ^ hashes[self.tokens]) & U(0xFFFFFFFFFFFFFF00)
+        keys = mix(mix(hashes[before] + U(0x9E3779B97F4A7C15)) ^ hashes[self.tokens]) & U(0xFFFFFFFFFFFFFF00)
         self.bigrams, self.bigram_of = np.unique(keys, return_inverse=True)
 
     def counts(self, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -98,12 +69,6 @@ class Block:
         return words, np.bincount(self.bigram_of[marked], minlength=len(self.bigrams))
 
 
-def _cut_points(keys: np.ndarray, slices: int) -> np.ndarray:
-    width = U(64 - (slices.bit_length() - 1))
-    starts = np.arange(1, slices, dtype=U) << width
-    return np.r_[0, np.searchsorted(keys, starts), len(keys)]
-
-
 def _blocks(slices: int, block_tokens: int):
     """Map side: blocks' texts, and their packed keys and training counts by slice."""
     import pyarrow as pa
@@ -114,16 +79,16 @@ def _blocks(slices: int, block_tokens: int):
         made = Block(texts)
         marks = np.array(train, bool)
         sizes = np.array([-1 if t is None else len(t) for t in texts], np.int64)
-        head = _packed(np.array([0 if i is None else i for i in ids], np.int64), np.array([i is None for i in ids], np.uint8), marks.astype(np.uint8), sizes)
+        head = packed(np.array([0 if i is None else i for i in ids], np.int64), np.array([i is None for i in ids], np.uint8), marks.astype(np.uint8), sizes)
         body = zstandard.ZstdCompressor(level=3).compress(b"".join(t for t in texts if t))
         yield [block], [TEXT], [0], [len(head).to_bytes(8, "little") + head + body]
         for kind, keys, counts in zip((WORDS, BIGRAMS), (made.words, made.bigrams), made.counts(marks), strict=True):
-            cuts = _cut_points(keys, slices)
+            cuts = cut_points(keys, slices)
             out: list[list] = [[], [], [], []]
             for k in range(slices):
                 low, high = cuts[k], cuts[k + 1]
                 if high > low:
-                    for column, value in zip(out, (block, kind, k, _packed(_deltas(keys[low:high]), counts[low:high].astype(np.uint32))), strict=True):
+                    for column, value in zip(out, (block, kind, k, packed(deltas(keys[low:high]), counts[low:high].astype(np.uint32))), strict=True):
                         column.append(value)
             yield out
 
@@ -157,12 +122,12 @@ def _answers(batches):
     """A slice's totals for each block that asked; and, for words, the slice's tokens and kinds."""
     import pyarrow as pa
 
-    for place_, group in _group_runs(batches):
+    for place_, group in group_runs(batches):
         kind, number = place_ >> 32, place_ & 0xFFFFFFFF
         asked, counted = [], []
         for row in group:
-            deltas, counts = _unpacked(row[2])
-            asked.append(np.cumsum(deltas, dtype=U))
+            steps, counts = unpacked(row[2])
+            asked.append(np.cumsum(steps, dtype=U))
             counted.append(counts)
         keys, place = np.unique(np.concatenate(asked), return_inverse=True)
         total = np.zeros(len(keys), np.int64)
@@ -172,7 +137,7 @@ def _answers(batches):
         for row, own in zip(group, asked, strict=True):
             blocks.append(row[1])
             mine = total[place[at : at + len(own)]]
-            data.append(_packed(mine.astype(np.uint32) if not len(mine) or mine.max() < 2**32 else mine.astype(np.uint64)))
+            data.append(packed(mine.astype(np.uint32) if not len(mine) or mine.max() < 2**32 else mine.astype(np.uint64)))
             at += len(own)
         n = len(blocks)
         tokens = [0] * n
@@ -189,14 +154,14 @@ def _merged(batches):
     """A block's text and all its answers as one row."""
     import pyarrow as pa
 
-    for block, group in _group_runs(batches):
+    for block, group in group_runs(batches):
         text = next(r[3] for r in group if r[1] == TEXT)
         answers = []
         for kind in (WORDS, BIGRAMS):
-            parts = [(r[2], _unpacked(r[3])[0]) for r in group if r[1] == kind]
+            parts = [(r[2], unpacked(r[3])[0]) for r in group if r[1] == kind]
             answers.append(np.concatenate([x.astype(np.int64) for _, x in sorted(parts, key=lambda p: p[0])] or [np.empty(0, np.int64)]))
         small = [x.astype(np.uint32) if not len(x) or x.max() < 2**32 else x for x in answers]
-        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([text], pa.binary()), pa.array([_packed(*small)], pa.binary())], ["block", "text", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([text], pa.binary()), pa.array([packed(*small)], pa.binary())], ["block", "text", "counts"])
 
 
 @dataclass
@@ -215,12 +180,12 @@ class Counted:
         import zstandard
 
         size = int.from_bytes(text[:8], "little")
-        ids, missing, train, sizes = _unpacked(text[8 : 8 + size])
+        ids, missing, train, sizes = unpacked(text[8 : 8 + size])
         raw = zstandard.ZstdDecompressor().decompress(text[8 + size :], max_output_size=int(sizes.clip(0).sum()) + 1)
         ends = np.cumsum(sizes.clip(0))
         texts = [raw[e - s : e] if s >= 0 else None for s, e in zip(sizes.clip(-1).tolist(), ends.tolist(), strict=True)]
         block = Block(texts)
-        by_hash, pairs = _unpacked(counts)
+        by_hash, pairs = unpacked(counts)
         words = np.empty(len(by_hash), np.int64)
         words[block.order] = by_hash
         return cls([None if m else int(i) for i, m in zip(ids.tolist(), missing.tolist(), strict=True)], train.astype(bool), block.lengths, pairs.astype(np.int64)[block.bigram_of], words[block.before], words[block.tokens])
@@ -298,6 +263,7 @@ def score_texts(documents: DataFrame, train: Column, *, key: str = "doc_id", tex
     keys = keys.select(F.shiftleft(F.col("kind").cast("long"), 32).bitwiseOR(F.col("slice").cast("long")).alias("place"), "block", "data")
     answered = keys.repartition("place").sortWithinPartitions("place").mapInArrow(_answers, schema + ", tokens long, kinds long")
     answered = common.stored(answered, "lm-answers")
+    common.release(spark)
     found = answered.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n"), F.coalesce(F.sum("kinds"), F.lit(0)).alias("v")).first()
     tokens, kinds = found["n"], found["v"]
     _remove(spark, f"{folder}/what=keys")

@@ -30,21 +30,13 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import common
 from tidemark.llm.components import Forest, connected
+from tidemark.llm.packed import cut_points, deltas, group_runs, mix, packed, unpacked
 
 BITS = 512
 LEAF = 32
 U = np.uint64
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    """Scramble 64-bit numbers."""
-    x = x ^ (x >> U(30))
-    x = x * U(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> U(27))
-    x = x * U(0x94D049BB133111EB)
-    return x ^ (x >> U(31))
-
-
 class Words(dict):
     """64-bit hashes of words, made once for each word of a task's current texts."""
 
@@ -67,7 +59,7 @@ def shingles(text: str | None, n: int, words: Words) -> np.ndarray:
     count = len(h) - width + 1
     mixed = np.full(count, U(width))
     for k in range(width):
-        mixed = _mix(mixed * U(0x9E3779B97F4A7C15) + h[k : k + count])
+        mixed = mix(mixed * U(0x9E3779B97F4A7C15) + h[k : k + count])
     return np.unique(mixed)
 
 
@@ -99,20 +91,21 @@ class Bands:
     def keys(self, hashes: np.ndarray) -> np.ndarray:
         """A 64-bit key for each band and part, made of the hashes that fall in the part."""
         out = []
-        mixed = _mix(hashes ^ U(0x5851F42D4C957F2D))
+        mixed = mix(hashes ^ U(0x5851F42D4C957F2D))
         for band in self.levels(len(hashes)) if len(hashes) else []:
             parts = self.parts(band)
             place = (hashes % U(parts)).astype(np.int64)
             sums = np.zeros(parts, U)
             np.add.at(sums, place, mixed)
-            out.append(_mix(sums + _mix(np.arange(parts, dtype=U) + U(band << 40))))
-        return np.unique(np.concatenate(out)) if out else np.empty(0, U)
+            out.append(mix(sums + mix(np.arange(parts, dtype=U) + U(band << 40))))
+        # 48 bits do: keys that agree by chance bring sets together that turn out not to be linked
+        return np.unique(np.concatenate(out) >> U(16) << U(16)) if out else np.empty(0, U)
 
 
 def _set_key(hashes: np.ndarray) -> tuple[int, int]:
     """128 bits that stand for a set."""
-    a = int(_mix(hashes).sum(dtype=U)) if len(hashes) else 0
-    b = int(_mix(hashes * U(0x9E3779B97F4A7C15) + U(1)).sum(dtype=U)) if len(hashes) else 0
+    a = int(mix(hashes).sum(dtype=U)) if len(hashes) else 0
+    b = int(mix(hashes * U(0x9E3779B97F4A7C15) + U(1)).sum(dtype=U)) if len(hashes) else 0
     return np.array([a, b], U).astype(np.int64).tolist()
 
 
@@ -236,86 +229,81 @@ def _signed(documents: DataFrame, bands: Bands, n: int, key: str, text: str) ->
             for t in batch.column(1).to_pylist():
                 hashes = shingles(t, n, words)
                 a, b = _set_key(hashes)
-                for column, value in zip(out, (len(hashes), a, b, bands.keys(hashes).astype("<u8").tobytes()), strict=True):
+                for column, value in zip(out, (len(hashes), a, b, bands.keys(hashes).astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()), strict=True):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.binary())], ["key", "n_shingles", "k1", "k2", "keys"])
 
     return documents.select(F.col(key).cast("long").alias("key"), text).mapInArrow(run, "key long, n_shingles long, k1 long, k2 long, keys binary")
 
 
-def _parts(frame: DataFrame, local_links: bool, chunk: int = 1 << 21) -> DataFrame:
-    """Who meets where, combined on the map side: columns a, b.
+def _six_bytes(raw: bytes) -> np.ndarray:
+    """Keys whose two low bytes are left out."""
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, 2:] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view("<u8").reshape(-1)
+
+
+def _first_of_run(part: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each part with its smallest key; and the links of the others to it."""
+    order = np.lexsort((own, part))
+    part, own = part[order], own[order]
+    first = np.r_[True, part[1:] != part[:-1]]
+    a, b = own[first][np.cumsum(first) - 1][~first], own[~first]
+    links = np.unique(np.stack([a[a != b], b[a != b]]), axis=1)
+    return part[first], own[first], links[0], links[1]
 
-    Rows of a task that meet in a part are linked to the smallest of them there and then
-    (``local_links``: the pairs of keys), and only that one goes on (else: part and key).
-    A part that most rows share so sends a row for each task.
+
+def _meetings(frame: DataFrame, slices: int, chunk: int = 1 << 21) -> DataFrame:
+    """Links a, b that connect all keys that meet in a part.
+
+    Rows of a task that meet are linked to the smallest of them there and then, and only that
+    one goes on, so a part that most rows share sends one entry for each task. What goes on is
+    sorted, cut into slices of the range of parts, and packed.
     """
     import pyarrow as pa
 
-    def flush(parts, owners):
-        part, own = np.concatenate(parts), np.concatenate(owners)
-        order = np.lexsort((own, part))
-        part, own = part[order], own[order]
-        first = np.r_[True, part[1:] != part[:-1]]
-        if local_links:
-            a, b = own[first][np.cumsum(first) - 1][~first], own[~first]
-            keep = a != b
-            a, b = np.unique(np.stack([a[keep], b[keep]]), axis=1)
-        else:
-            a, b = part[first], own[first]
-        for at in range(0, len(a), 50_000):
-            yield pa.RecordBatch.from_arrays([pa.array(a[at : at + 50_000]), pa.array(b[at : at + 50_000])], ["a", "b"])
+    def batch(kind, a, b, data):
+        return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(data, pa.binary())], ["slice", "a", "b", "data"])
 
-    def run(batches):
+    def flush(parts, owners):
+        part, own, a, b = _first_of_run(np.concatenate(parts), np.concatenate(owners))
+        for at in range(0, len(a), 20_000):
+            some = a[at : at + 20_000]
+            yield batch([-1] * len(some), some, b[at : at + 20_000], [None] * len(some))
+        cuts = cut_points(part, slices).tolist()
+        full = [k for k in range(slices) if cuts[k + 1] > cuts[k]]
+        for at in range(0, len(full), 64):
+            some = full[at : at + 64]
+            yield batch(some, [None] * len(some), [None] * len(some), [packed(deltas(part[cuts[k] : cuts[k + 1]]), own[cuts[k] : cuts[k + 1]]) for k in some])
+
+    def combined(batches):
         parts, owners, held = [], [], 0
-        for batch in batches:
-            for own, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                part = np.frombuffer(packed, "<i8")
-                parts.append(part)
-                owners.append(np.full(len(part), own, np.int64))
-                held += len(part)
+        for rows in batches:
+            for own, raw in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
+                parts.append(_six_bytes(raw))
+                owners.append(np.full(len(parts[-1]), own, np.int64))
+                held += len(parts[-1])
                 if held >= chunk:
                     yield from flush(parts, owners)
                     parts, owners, held = [], [], 0
         if held:
             yield from flush(parts, owners)
 
-    return frame.select("key", "keys").mapInArrow(run, "a long, b long")
+    def met(batches):
+        for number, rows in group_runs(batches):
+            if number < 0:
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in (1, 2)], ["a", "b"])
+                continue
+            parts, owners = zip(*(unpacked(r[3]) for r in rows), strict=True)
+            *_, a, b = _first_of_run(np.concatenate([np.cumsum(p, dtype=U) for p in parts]), np.concatenate(owners))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
+    sent = frame.select("key", "keys").mapInArrow(combined, "slice int, a long, b long, data binary")
+    spread = F.when(F.col("slice") < 0, F.pmod(F.xxhash64("a", "b"), F.lit(1 << 20))).otherwise(F.col("slice"))
+    return sent.repartition(spread).sortWithinPartitions("slice").mapInArrow(met, "a long, b long")
 
-def _stars(batches):
-    """Link each key of a part to the part's first; rows come sorted, and only the run's first is kept in mind."""
-    import pyarrow as pa
 
-    part_before, first_before = None, None
-    for batch in batches:
-        part, own = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        if not len(part):
-            continue
-        starts = np.r_[part[0] != part_before, part[1:] != part[:-1]]
-        firsts = np.r_[first_before if first_before is not None else own[0], own[starts]]
-        first = firsts[np.cumsum(starts)]
-        keep = ~starts & (first != own)
-        part_before, first_before = part[-1], first[-1]
-        if keep.any():
-            yield pa.RecordBatch.from_arrays([pa.array(first[keep]), pa.array(own[keep])], ["a", "b"])
-
-
-def _group_runs(batches, column: int = 0):
-    """Rows of each run of equal values in a sorted column, over batch borders: (value, rows)."""
-    value, held = None, []
-    for batch in batches:
-        for row in zip(*(batch.column(k).to_pylist() for k in range(batch.num_columns)), strict=True):
-            if held and row[column] != value:
-                yield value, held
-                held = []
-            value = row[column]
-            held.append(row)
-    if held:
-        yield value, held
-
-
-def similar(documents: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = 3, percent: int = 90, block_rows: int = 1024) -> DataFrame:
+def similar(documents: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = 3, percent: int = 90, block_rows: int = 1024, rows_per_slice: int = 1000) -> DataFrame:
     """Components of the links of at least ``percent`` per cent Jaccard: key, n_shingles, component_id.
 
     Keys are integers. ``block_rows`` bounds the sets of a block; a task holds two at most.
@@ -328,9 +316,9 @@ def similar(documents: DataFrame, *, key: str = "doc_id", text: str = "text", n:
     signed = common.stored(_signed(documents, bands, n, key, text), "signed")
     filled = signed.where("n_shingles > 0")
     classes = common.stored(filled.groupBy("k1", "k2").agg(F.min("key").alias("first"), F.min("n_shingles").alias("size")), "classes")
-    packed = filled.join(classes.select("k1", "k2", F.col("first").alias("key")), ["k1", "k2", "key"], "left_semi")
-    parts = _parts(packed, local_links=False).repartition("a").sortWithinPartitions("a", "b").mapInArrow(_stars, "a long, b long")
-    meeting = connected(parts.union(_parts(packed, local_links=True)))
+    reps = filled.join(classes.select("k1", "k2", F.col("first").alias("key")), ["k1", "k2", "key"], "left_semi")
+    slices = 1 << max(4, int(np.ceil(np.log2(max(1, signed.count() / rows_per_slice)))))
+    meeting = connected(_meetings(reps, slices))
     # tasks: a whole group, or pairs of blocks of a large one
     sized = meeting.join(classes.select(F.col("first").alias("node"), "size").groupBy("node").agg(F.max("size").alias("size")), "node")
     counts = meeting.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > 1)
@@ -364,7 +352,7 @@ def similar(documents: DataFrame, *, key: str = "doc_id", text: str = "text", n:
     sets = texts.mapInArrow(sets_of, "node long, hashes binary").join(assigned, "node")
 
     def joined(batches):
-        for _, rows in _group_runs(batches):
+        for _, rows in group_runs(batches):
             rows = sorted({r[2]: r for r in rows}.values(), key=lambda r: r[2])
             sides = None if rows[0][1] is None else np.array([r[1] for r in rows])
             found = tree_join([np.frombuffer(r[3], "<u8") for r in rows], percent, sides)

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import common
 from tidemark.llm.components import Forest, connected
+from tidemark.llm.packed import group_runs
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -149,9 +150,7 @@ def near_duplicates(embeddings: DataFrame, *, key: str = "vec_id", vector: str =
     tasks = other.select("first", "bucket", F.xxhash64("bucket", low, high).alias("task"), F.when(F.col("slot") != F.col("other"), (F.col("slot") > F.col("other")).cast("int")).alias("side"), (low == high).alias("lone"))
 
     def joined(batches):
-        from tidemark.llm.jaccard_join import _group_runs
-
-        for _, group in _group_runs(batches):
+        for _, group in group_runs(batches):
             sizes = {len(r[5]) for r in group}
             ids, added, edges = [], [], []
             for size in sizes:
