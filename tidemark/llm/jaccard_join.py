@@ -1,12 +1,13 @@
 """Exact n-gram Jaccard join with signature trees.
 
 1. Documents with the same set of shingles are one class; its smallest key stands for it.
-2. Classes that can't link are kept apart exactly. Two sets of a and b <= a / t shingles that
-   reach the threshold t differ in at most d = floor(a (1 - t) / t) places; dealt by hash over
-   d + 1 parts, they agree in one part at least. Sets meet where a part agrees (parts are
-   counted for bands of sizes, and a set enters its own band and, where it may be the larger
-   one, the band below). The components of this meeting relation are the groups: a link never
-   leaves its group.
+2. Sets that can't link are kept apart exactly. In one order of all shingles, rare before
+   common, a set of n has its first n - ceil(t n) + 1 shingles as its prefix; two sets that
+   reach the threshold t share the smallest of their common shingles in both prefixes. Sets
+   meet where prefixes share a shingle; pairs whose sizes or bitmaps rule a link out are left
+   out, and the components of the rest are the groups: a link never leaves its group. The order need not be exact about what is rare, only the same
+   for all sets, so occurrences are counted in a table of ``COUNTERS`` cells by hash, whose size
+   doesn't depend on the data; a passage that many documents share so comes last in each.
 3. A group, or a pair of blocks of a large group, is one task's work. Its sets are sorted by
    size into the leaves of a signature tree, whose nodes hold the OR of their members' token
    bitmaps and their range of sizes. A dual traversal walks pairs of nodes and leaves out those
@@ -34,6 +35,9 @@ from tidemark.llm.packed import cut_points, deltas, group_runs, mix, packed, unp
 
 BITS = 512
 LEAF = 32
+COUNTERS = 1 << 21
+FEW = 16
+WIDEST = 1 << 14
 U = np.uint64
 
 
@@ -63,43 +67,45 @@ def shingles(text: str | None, n: int, words: Words) -> np.ndarray:
     return np.unique(mixed)
 
 
-class Bands:
-    """Bands of set sizes, with the number of parts that the sets of each are dealt over."""
-
-    def __init__(self, percent: int, growth: float = 1.25, most: int = 1 << 40):
-        self.percent = percent
-        starts = [1]
-        while starts[-1] < most:
-            starts.append(max(starts[-1] + 1, int(starts[-1] * growth)))
-        self.starts = np.array(starts)
-
-    def parts(self, band: int) -> int:
-        """One more than the differences that a linked pair can have whose smaller set is in the band."""
-        largest = int(self.starts[band + 1]) - 1
-        return largest * (100 - self.percent) // self.percent + 1
-
-    def levels(self, size: int) -> list[int]:
-        """The bands that a set enters; bands of one part hold no link between different sets."""
-        own = int(np.searchsorted(self.starts, size, "right")) - 1
-        out, band = [], own
-        while band >= 0 and (band == own or 100 * (int(self.starts[band + 1]) - 1) >= self.percent * size):
-            if self.parts(band) > 1:
-                out.append(band)
-            band -= 1
-        return out
-
-    def keys(self, hashes: np.ndarray) -> np.ndarray:
-        """A 64-bit key for each band and part, made of the hashes that fall in the part."""
-        out = []
-        mixed = mix(hashes ^ U(0x5851F42D4C957F2D))
-        for band in self.levels(len(hashes)) if len(hashes) else []:
-            parts = self.parts(band)
-            place = (hashes % U(parts)).astype(np.int64)
-            sums = np.zeros(parts, U)
-            np.add.at(sums, place, mixed)
-            out.append(mix(sums + mix(np.arange(parts, dtype=U) + U(band << 40))))
-        # 48 bits do: keys that agree by chance bring sets together that turn out not to be linked
-        return np.unique(np.concatenate(out) >> U(16) << U(16)) if out else np.empty(0, U)
+def commonness(documents: DataFrame, text: str, n: int, width: int = 1 << 16) -> np.ndarray:
+    """A byte for each cell of the table: how often shingles that hash there occur, in quarters of a power of two.
+
+    Tasks add up their own cells; cells go on packed, by ranges of ``width``, and are added there.
+    """
+    import pyarrow as pa
+
+    def count(batches):
+        words, cells = Words(), np.zeros(COUNTERS, np.uint32)
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                np.add.at(cells, (shingles(t, n, words) & U(COUNTERS - 1)).astype(np.int64), 1)
+        for k in range(COUNTERS // width) if cells.any() else []:
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([packed(cells[k * width : (k + 1) * width])], pa.binary())], ["range", "cells"])
+
+    def add(batches):
+        for k, rows in group_runs(batches):
+            total = np.zeros(width)
+            for r in rows:
+                total += unpacked(r[1])[0]
+            level = np.minimum(np.floor(4 * np.log2(1 + total)), 255).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([level.tobytes()], pa.binary())], ["range", "cells"])
+
+    kind = "range int, cells binary"
+    sums = documents.select(text).mapInArrow(count, kind).repartition("range").sortWithinPartitions("range").mapInArrow(add, kind)
+    out = np.zeros(COUNTERS, np.uint8)
+    for row in sums.collect():  # COUNTERS bytes in all
+        out[row["range"] * width : (row["range"] + 1) * width] = np.frombuffer(row["cells"], np.uint8)
+    return out
+
+
+def prefix_keys(hashes: np.ndarray, percent: int, common_: np.ndarray) -> np.ndarray:
+    """Sorted keys of a set's prefix in the order of (commonness, hash)."""
+    size = len(hashes)
+    if not size:
+        return hashes
+    length = size + (-percent * size // 100) + 1
+    order = (common_[(hashes & U(COUNTERS - 1)).astype(np.int64)].astype(U) << U(56)) | (hashes >> U(8))
+    return np.unique(mix(np.partition(order, length - 1)[:length] if length < size else order))
 
 
 def _set_key(hashes: np.ndarray) -> tuple[int, int]:
@@ -218,47 +224,71 @@ def tree_join(sets: list[np.ndarray], percent: int, side: np.ndarray | None = No
     return links
 
 
-def _signed(documents: DataFrame, bands: Bands, n: int, key: str, text: str) -> DataFrame:
-    """key, size, set key, and the packed keys of all parts."""
+def _signed(documents: DataFrame, percent: int, cells, n: int, key: str, text: str) -> DataFrame:
+    """key, size, set key, the keys of the prefix, and the token bitmap."""
     import pyarrow as pa
 
     def run(batches):
         words = Words()
         for batch in batches:
-            out: list[list] = [[], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             for t in batch.column(1).to_pylist():
                 hashes = shingles(t, n, words)
                 a, b = _set_key(hashes)
-                for column, value in zip(out, (len(hashes), a, b, bands.keys(hashes).astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()), strict=True):
+                for column, value in zip(out, (len(hashes), a, b, prefix_keys(hashes, percent, cells.value).astype("<u8").tobytes(), _bitmap(hashes)), strict=True):
                     column.append(value)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.binary())], ["key", "n_shingles", "k1", "k2", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in out[:3]), *(pa.array(c, pa.binary()) for c in out[3:])], ["key", "n_shingles", "k1", "k2", "keys", "bits"])
 
-    return documents.select(F.col(key).cast("long").alias("key"), text).mapInArrow(run, "key long, n_shingles long, k1 long, k2 long, keys binary")
+    return documents.select(F.col(key).cast("long").alias("key"), text).mapInArrow(run, "key long, n_shingles long, k1 long, k2 long, keys binary, bits binary")
 
 
-def _six_bytes(raw: bytes) -> np.ndarray:
-    """Keys whose two low bytes are left out."""
-    out = np.zeros((len(raw) // 6, 8), np.uint8)
-    out[:, 2:] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-    return out.view("<u8").reshape(-1)
+def _bitmap(hashes: np.ndarray) -> bytes:
+    """Token bitmap of two bits or more for each shingle, up to ``WIDEST``; a power of two wide."""
+    width = min(WIDEST, 64 << max(0, (2 * len(hashes) // 64).bit_length()))
+    place = ((hashes >> U(20)) % U(width)).astype(np.int64)
+    bits = np.zeros(width, np.uint8)
+    bits[place] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
 
 
-def _first_of_run(part: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Each part with its smallest key; and the links of the others to it."""
+def _may_link(sizes: tuple[int, int], bitmaps: tuple[bytes, bytes], percent: int) -> bool:
+    """Whether two sets' largest possible overlap reaches the threshold."""
+    a, b = (np.frombuffer(x, np.uint8) for x in bitmaps)
+    while len(a) != len(b):  # the wider one is folded: places are remainders of powers of two
+        if len(a) > len(b):
+            a = a[: len(a) // 2] | a[len(a) // 2 :]
+        else:
+            b = b[: len(b) // 2] | b[len(b) // 2 :]
+    most = min(sizes[0] - int(np.bitwise_count(a & ~b).sum()), sizes[1] - int(np.bitwise_count(b & ~a).sum()))
+    return most >= -(-percent * (sizes[0] + sizes[1]) // (100 + percent))
+
+
+def _runs(part: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sorted entries, and the first place and length of each run of one key."""
     order = np.lexsort((own, part))
     part, own = part[order], own[order]
-    first = np.r_[True, part[1:] != part[:-1]]
-    a, b = own[first][np.cumsum(first) - 1][~first], own[~first]
-    links = np.unique(np.stack([a[a != b], b[a != b]]), axis=1)
-    return part[first], own[first], links[0], links[1]
+    fresh = np.r_[True, (part[1:] != part[:-1]) | (own[1:] != own[:-1])]
+    part, own = part[fresh], own[fresh]
+    start = np.nonzero(np.r_[True, part[1:] != part[:-1]])[0]
+    return part, own, start, np.diff(np.r_[start, len(part)])
+
+
+def _star(own: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The others of the given runs with their runs' first."""
+    of = np.repeat(np.arange(len(start)), size)
+    place = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size) + start[of]
+    other = place != start[of]
+    return own[start[of]][other], own[place][other]
 
 
 def _meetings(frame: DataFrame, slices: int, chunk: int = 1 << 21) -> DataFrame:
-    """Links a, b that connect all keys that meet in a part.
+    """Who shares a prefix shingle: a, b, sure.
 
-    Rows of a task that meet are linked to the smallest of them there and then, and only that
-    one goes on, so a part that most rows share sends one entry for each task. What goes on is
-    sorted, cut into slices of the range of parts, and packed.
+    Of up to ``FEW`` sets at a shingle each two are named (``sure`` is false: their bitmaps are
+    yet to be compared); more are named with the smallest of them only, which does for putting
+    them in one group (``sure``). Where a task alone has more than ``FEW`` rows at a shingle it
+    names them at once and sends one on, so a shingle that most rows have sends a few entries
+    for each task. What goes on is sorted, cut into slices of the range of keys, and packed.
     """
     import pyarrow as pa
 
@@ -266,10 +296,16 @@ def _meetings(frame: DataFrame, slices: int, chunk: int = 1 << 21) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(data, pa.binary())], ["slice", "a", "b", "data"])
 
     def flush(parts, owners):
-        part, own, a, b = _first_of_run(np.concatenate(parts), np.concatenate(owners))
+        part, own, start, size = _runs(np.concatenate(parts), np.concatenate(owners))
+        many = size > FEW
+        a, b = _star(own, start[many], size[many])
+        a, b = np.unique(np.stack([a, b]), axis=1)
         for at in range(0, len(a), 20_000):
             some = a[at : at + 20_000]
             yield batch([-1] * len(some), some, b[at : at + 20_000], [None] * len(some))
+        keep = ~np.repeat(many, size)
+        keep[start] = True
+        part, own = part[keep], own[keep]
         cuts = cut_points(part, slices).tolist()
         full = [k for k in range(slices) if cuts[k + 1] > cuts[k]]
         for at in range(0, len(full), 64):
@@ -280,7 +316,7 @@ def _meetings(frame: DataFrame, slices: int, chunk: int = 1 << 21) -> DataFrame:
         parts, owners, held = [], [], 0
         for rows in batches:
             for own, raw in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
-                parts.append(_six_bytes(raw))
+                parts.append(np.frombuffer(raw, "<u8"))
                 owners.append(np.full(len(parts[-1]), own, np.int64))
                 held += len(parts[-1])
                 if held >= chunk:
@@ -292,15 +328,38 @@ def _meetings(frame: DataFrame, slices: int, chunk: int = 1 << 21) -> DataFrame:
     def met(batches):
         for number, rows in group_runs(batches):
             if number < 0:
-                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in (1, 2)], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([*(pa.array([r[k] for r in rows], pa.int64()) for k in (1, 2)), pa.array([True] * len(rows))], ["a", "b", "sure"])
                 continue
             parts, owners = zip(*(unpacked(r[3]) for r in rows), strict=True)
-            *_, a, b = _first_of_run(np.concatenate([np.cumsum(p, dtype=U) for p in parts]), np.concatenate(owners))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            _, own, start, size = _runs(np.concatenate([np.cumsum(p, dtype=U) for p in parts]), np.concatenate(owners))
+            a, b = _star(own, start[size > FEW], size[size > FEW])
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.ones(len(a), bool))], ["a", "b", "sure"])
+            for n in range(2, FEW + 1):
+                runs = start[size == n]
+                if len(runs):
+                    i, j = np.triu_indices(n, 1)
+                    a, b = np.unique(np.stack([own[(runs[:, None] + i).ravel()], own[(runs[:, None] + j).ravel()]]), axis=1)
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.zeros(len(a), bool))], ["a", "b", "sure"])
 
     sent = frame.select("key", "keys").mapInArrow(combined, "slice int, a long, b long, data binary")
     spread = F.when(F.col("slice") < 0, F.pmod(F.xxhash64("a", "b"), F.lit(1 << 20))).otherwise(F.col("slice"))
-    return sent.repartition(spread).sortWithinPartitions("slice").mapInArrow(met, "a long, b long")
+    return sent.repartition(spread).sortWithinPartitions("slice").mapInArrow(met, "a long, b long, sure boolean")
+
+
+def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs a, b whose sizes and bitmaps leave a link possible. ``sets``: key, n_shingles, bits."""
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            a, b, size_a, bits_a, size_b, bits_b = (batch.column(k).to_pylist() for k in range(6))
+            keep = [_may_link((m, n), (x, y), percent) for m, x, n, y in zip(size_a, bits_a, size_b, bits_b, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    side = lambda k: sets.select(F.col("key").alias(k), F.col("n_shingles").alias(f"n{k}"), F.col("bits").alias(f"bits{k}"))
+    small, large = F.least("na", "nb"), F.greatest("na", "nb")
+    both = pairs.distinct().join(side("a"), "a").join(side("b"), "b").where(100 * small >= percent * large)
+    return both.select("a", "b", "na", "bitsa", "nb", "bitsb").mapInArrow(run, "a long, b long")
 
 
 def similar(documents: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = 3, percent: int = 90, block_rows: int = 1024, rows_per_slice: int = 1000) -> DataFrame:
@@ -312,13 +371,14 @@ def similar(documents: DataFrame, *, key: str = "doc_id", text: str = "text", n:
 
     spark = documents.sparkSession
     common.small_batches(spark, 500)
-    bands = Bands(percent)
-    signed = common.stored(_signed(documents, bands, n, key, text), "signed")
+    cells = spark.sparkContext.broadcast(commonness(documents, text, n))  # COUNTERS bytes
+    signed = common.stored(_signed(documents, percent, cells, n, key, text), "signed")
     filled = signed.where("n_shingles > 0")
     classes = common.stored(filled.groupBy("k1", "k2").agg(F.min("key").alias("first"), F.min("n_shingles").alias("size")), "classes")
     reps = filled.join(classes.select("k1", "k2", F.col("first").alias("key")), ["k1", "k2", "key"], "left_semi")
     slices = 1 << max(4, int(np.ceil(np.log2(max(1, signed.count() / rows_per_slice)))))
-    meeting = connected(_meetings(reps, slices))
+    met = common.stored(_meetings(reps, slices).distinct(), "met")
+    meeting = connected(met.where("sure").select("a", "b").union(_possible(met.where("NOT sure").select("a", "b"), reps.select("key", "n_shingles", "bits"), percent)))
     # tasks: a whole group, or pairs of blocks of a large one
     sized = meeting.join(classes.select(F.col("first").alias("node"), "size").groupBy("node").agg(F.max("size").alias("size")), "node")
     counts = meeting.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > 1)
