@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 import zlib
@@ -39,7 +38,11 @@ def stored(frame: DataFrame, what: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
-    frame.write.option("compression", "zstd").parquet(path)
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")  # once written, its shuffles aren't read again
+    try:
+        frame.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
     back = spark.read.schema(frame.schema).parquet(path)
     back._tidemark_path = path
     return back
@@ -53,12 +56,6 @@ def forget(*frames: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished steps, which it does once the driver has collected its garbage."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Bound an Arrow batch: long texts of many rows would else meet in one Python buffer."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

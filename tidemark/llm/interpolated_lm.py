@@ -34,7 +34,7 @@ U = np.uint64
 END = b" "  # no word can hold it
 BUCKETS = 40
 STEP = 0.05
-TEXT, WORDS, BIGRAMS, ANSWERS = 0, 1, 2, 3
+TEXT, WORDS, BIGRAMS = 0, 1, 2
 
 
 class Block:
@@ -124,6 +124,10 @@ def _answers(batches):
 
     for place_, group in group_runs(batches):
         kind, number = place_ >> 32, place_ & 0xFFFFFFFF
+        if kind == TEXT:  # passes through
+            for row in group:
+                yield pa.RecordBatch.from_arrays([pa.array([row[1]], pa.int64()), pa.array([TEXT], pa.int32()), pa.array([0], pa.int32()), pa.array([row[2]], pa.binary()), pa.array([0], pa.int64()), pa.array([0], pa.int64())], ["block", "kind", "slice", "data", "tokens", "kinds"])
+            continue
         asked, counted = [], []
         for row in group:
             steps, counts = unpacked(row[2])
@@ -255,22 +259,14 @@ def score_texts(documents: DataFrame, train: Column, *, key: str = "doc_id", tex
     slices = 1 << max(4, int(np.ceil(np.log2(max(1, documents.count() / rows_per_slice)))))
     given = documents.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     sent = given.mapInArrow(_blocks(slices, block_tokens), "block long, kind int, slice int, data binary")
-    folder = f"{common.shared_folder(spark)}/lm-{common.uuid.uuid4().hex}"
-    sent.withColumn("what", F.when(F.col("kind") == TEXT, "text").otherwise("keys")).write.option("compression", "none").partitionBy("what").parquet(folder)
-    schema = "block long, kind int, slice int, data binary"
-    texts, keys = (spark.read.schema(schema).parquet(f"{folder}/what={w}") if _there(spark, f"{folder}/what={w}") else spark.createDataFrame([], schema) for w in ("text", "keys"))
-    common.small_batches(spark, 100)
-    keys = keys.select(F.shiftleft(F.col("kind").cast("long"), 32).bitwiseOR(F.col("slice").cast("long")).alias("place"), "block", "data")
-    answered = keys.repartition("place").sortWithinPartitions("place").mapInArrow(_answers, schema + ", tokens long, kinds long")
-    answered = common.stored(answered, "lm-answers")
-    common.release(spark)
+    common.small_batches(spark, 16)
+    place = F.when(F.col("kind") == TEXT, F.pmod(F.xxhash64("block"), F.lit(1 << 31))).otherwise(F.shiftleft(F.col("kind").cast("long"), 32).bitwiseOR(F.col("slice").cast("long")))
+    sent = sent.select(place.alias("place"), "block", "data").repartition("place").sortWithinPartitions("place")
+    answered = common.stored(sent.mapInArrow(_answers, "block long, kind int, slice int, data binary, tokens long, kinds long"), "lm-answers")
     found = answered.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n"), F.coalesce(F.sum("kinds"), F.lit(0)).alias("v")).first()
     tokens, kinds = found["n"], found["v"]
-    _remove(spark, f"{folder}/what=keys")
-    both = texts.unionByName(answered.select("block", "kind", "slice", "data"))
     common.small_batches(spark, 64)
-    merged = common.stored(both.repartition("block").sortWithinPartitions("block").mapInArrow(_merged, "block long, text binary, counts binary"), "lm-blocks")
-    _remove(spark, folder)
+    merged = common.stored(answered.select("block", "kind", "slice", "data").repartition("block").sortWithinPartitions("block").mapInArrow(_merged, "block long, text binary, counts binary"), "lm-blocks")
     common.forget(answered)
     common.small_batches(spark, 1)
     cells = merged.select("text", "counts").mapInArrow(_held_out(tokens), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
@@ -293,17 +289,3 @@ def score_texts(documents: DataFrame, train: Column, *, key: str = "doc_id", tex
     names = [key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     return merged.select("text", "counts").mapInArrow(run, f"`{key}` long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
-
-def _path(spark, path: str):
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _there(spark, path: str) -> bool:
-    at, system = _path(spark, path)
-    return system.exists(at)
-
-
-def _remove(spark, path: str) -> None:
-    at, system = _path(spark, path)
-    system.delete(at, True)
