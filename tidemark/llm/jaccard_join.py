@@ -356,9 +356,16 @@ def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = [_may_link((m, n), (x, y), percent) for m, x, n, y in zip(size_a, bits_a, size_b, bits_b, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    side = lambda k: sets.select(F.col("key").alias(k), F.col("n_shingles").alias(f"n{k}"), F.col("bits").alias(f"bits{k}"))
+    sizes = lambda k: sets.select(F.col("key").alias(k), F.col("n_shingles").alias(f"n{k}"))
     small, large = F.least("na", "nb"), F.greatest("na", "nb")
-    both = pairs.distinct().join(side("a"), "a").join(side("b"), "b").where(100 * small >= percent * large)
+    sized = pairs.distinct().join(sizes("a"), "a").join(sizes("b"), "b").where(100 * small >= percent * large)
+    sized = common.stored(sized.select("a", "b", "na", "nb"), "sized")
+    wanted = common.stored(sized.select(F.col("a").alias("key")).union(sized.select("b")).distinct(), "wanted")
+    if wanted.count() <= 1 << 21:  # 16 MB at most; more are joined by a shuffle
+        wanted = F.broadcast(wanted)
+    bits = common.stored(sets.select("key", "bits").join(wanted, "key", "left_semi"), "bits")
+    side = lambda k: bits.select(F.col("key").alias(k), F.col("bits").alias(f"bits{k}"))
+    both = sized.join(side("a"), "a").join(side("b"), "b")
     return both.select("a", "b", "na", "bitsa", "nb", "bitsb").mapInArrow(run, "a long, b long")
 
 
@@ -375,7 +382,10 @@ def similar(documents: DataFrame, *, key: str = "doc_id", text: str = "text", n:
     signed = common.stored(_signed(documents, percent, cells, n, key, text), "signed")
     filled = signed.where("n_shingles > 0")
     classes = common.stored(filled.groupBy("k1", "k2").agg(F.min("key").alias("first"), F.min("n_shingles").alias("size")), "classes")
-    reps = filled.join(classes.select("k1", "k2", F.col("first").alias("key")), ["k1", "k2", "key"], "left_semi")
+    copies = common.stored(filled.select("k1", "k2", "key").join(classes.select("k1", "k2", "first"), ["k1", "k2"]).where("key <> first").select("key").distinct(), "copies")
+    if copies.count() <= 1 << 21:  # 16 MB at most; more are joined by a shuffle
+        copies = F.broadcast(copies)
+    reps = filled.join(copies, "key", "left_anti")
     slices = 1 << max(4, int(np.ceil(np.log2(max(1, signed.count() / rows_per_slice)))))
     met = common.stored(_meetings(reps, slices).distinct(), "met")
     meeting = connected(met.where("sure").select("a", "b").union(_possible(met.where("NOT sure").select("a", "b"), reps.select("key", "n_shingles", "bits"), percent)))
