@@ -25,32 +25,48 @@ from tidemark.llm import common
 JSON_TYPES = {"string": '"', "number": "[-0-9]", "boolean": "[tf]", "object": r"\{", "array": r"\["}
 
 
+def _chains(single: DataFrame) -> DataFrame:
+    """Ends of chains of nodes that need one other each: node, end, steps; ``end`` is null on or behind a cycle.
+
+    Pointers double their reach in each round, so a chain costs rounds by the logarithm of its length.
+    """
+    most = max(1, single.count()).bit_length() + 1
+    reach = common.stored(single.select("node", F.col("needs").alias("end"), F.lit(1).cast("long").alias("steps"), F.lit(True).alias("moved")), "call-chains")
+    for _ in range(most):
+        on = reach.select(F.col("node").alias("end"), F.col("end").alias("further"), F.col("steps").alias("more"))
+        longer = common.stored(reach.drop("moved").join(on, "end", "left").select("node", F.coalesce("further", "end").alias("end"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"), F.col("further").isNotNull().alias("moved")), "call-chains")
+        common.forget(reach)
+        reach = longer
+        if reach.where("moved").isEmpty():
+            break
+    return reach.select("node", F.when(~F.col("moved"), F.col("end")).alias("end"), "steps")
+
+
 def levels(edges: DataFrame) -> DataFrame:
-    """Topological levels above 0, by rounds: node, level; nodes on or behind a cycle get null.
+    """Topological levels above 0: node, level; nodes on or behind a cycle get null.
 
-    ``edges``: node, needs. Each round releases the nodes all of whose needs have a level, and
-    later rounds read only the edges that still wait, so a round costs what is left.
+    ``edges``: node, needs. Chains of nodes with one need each are cut short first; then rounds
+    give a level to the nodes with several needs all of whose needs have one.
     """
-    waiting = common.stored(edges.where(F.col("node").isNotNull() & F.col("needs").isNotNull()).distinct(), "call-edges")
-    done, kept = None, [waiting]
-    level = 0
-    free = None  # nodes of the last level; at the start all that are needed but need nothing
-    while True:
-        first = waiting.select(F.col("needs").alias("node")).distinct().join(waiting.select("node").distinct(), "node", "left_anti") if free is None else free
-        still = common.stored(waiting.join(first.select(F.col("node").alias("needs")), "needs", "left_anti").select("node", "needs"), "call-edges")
-        kept.append(still)
-        level += 1
-        ready = waiting.select("node").distinct().join(still.select("node").distinct(), "node", "left_anti")
-        ready = common.stored(ready.withColumn("level", F.lit(level)), "call-levels")
-        kept.append(ready)
-        if ready.isEmpty():
+    edges = common.stored(edges.where(F.col("node").isNotNull() & F.col("needs").isNotNull()).distinct(), "call-edges")
+    several = common.stored(edges.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node"), "call-several")
+    chains = _chains(edges.join(several, "node", "left_anti"))
+    short = chains.select(F.col("node").alias("needs"), F.col("end"), F.col("steps"), F.lit(True).alias("_c"))
+    waits = edges.join(several, "node", "left_semi").join(short, "needs", "left")
+    waits = waits.select("node", F.when(F.col("_c").isNull(), F.col("needs")).otherwise(F.col("end")).alias("end"), (F.coalesce("steps", F.lit(0)) + 1).alias("steps"))
+    waits = common.stored(waits.join(several.select(F.col("node").alias("end"), F.lit(True).alias("_wait")), "end", "left"), "call-waits")
+    known, found = None, several.where("false").withColumn("level", F.lit(0).cast("long"))
+    while not several.isEmpty():
+        base = F.when(F.col("end").isNotNull(), F.when(F.col("_wait").isNull(), F.lit(0)).otherwise(F.col("level")))
+        ready = waits.join(found.select(F.col("node").alias("end"), "level"), "end", "left").groupBy("node").agg(F.max(base + F.col("steps")).alias("level"), F.bool_and(base.isNotNull()).alias("all")).where("all").drop("all")
+        found = common.stored(ready, "call-levels")
+        if (n := found.count()) == known:
             break
-        done = ready if done is None else done.unionByName(ready)
-        free, waiting = ready, still
-    stuck = waiting.select("node").distinct().withColumn("level", F.lit(None).cast("int"))
-    out = common.stored(stuck if done is None else done.unionByName(stuck), "call-level")
-    common.forget(*kept)
-    return out
+        known = n
+    of_several = several.join(found, "node", "left")
+    ends = of_several.select(F.col("node").alias("end"), "level", F.lit(True).alias("_s"))
+    of_chains = chains.join(ends, "end", "left").select("node", F.when(F.col("end").isNotNull(), F.when(F.col("_s").isNull(), F.lit(0)).otherwise(F.col("level")) + F.col("steps")).alias("level"))
+    return common.stored(of_several.select("node", "level").unionByName(of_chains), "call-level")
 
 
 def argument_errors(arguments: Column, schema: dict[str, tuple[str, bool]]) -> Column:
