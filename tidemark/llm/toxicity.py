@@ -186,6 +186,17 @@ def _candidates(text: str | None) -> set[tuple[str, int]]:
     return {(w, 0) for w in words} | {(w[:n], 1) for w in words for n in STEMS if len(w) > n}
 
 
+def _stems(stems: dict[str, tuple[int, float]], terms: dict[str, int]) -> dict[str, float]:
+    """Stems that stand for many words: of a family the longest that loses nearly none of its texts, and none that one term explains."""
+    out = {}
+    for stem, (n, weight) in stems.items():
+        one = max((k for t, k in terms.items() if t.startswith(stem)), default=0)
+        longer = any(s != stem and s.startswith(stem) and k >= 0.95 * n for s, (k, _) in stems.items())
+        if n >= 1.5 * one and not longer:
+            out[stem] = weight
+    return {s: w for s, w in out.items() if not any(s[:n] in out for n in range(1, len(s)))}
+
+
 def regression(x: np.ndarray, y: np.ndarray, l2: float = 1e-3, turns: int = 30) -> np.ndarray:
     """Logistic regression by Newton steps."""
     w = np.zeros(x.shape[1])
@@ -242,8 +253,7 @@ def learn(documents: DataFrame, labels: DataFrame, *, key: str = "doc_id", text:
     chance = chance + F.when(F.col("clean") > 0, 2 * F.col("toxic") * F.log(F.col("toxic") / (F.col("toxic") + F.col("clean"))) + 2 * F.col("clean") * F.log(F.col("clean") * (clean + bad) / (F.col("toxic") + F.col("clean")) / clean)).otherwise(0)
     surely = chance >= 2 * math.log(200 * (clean + bad)) + 4
     best = counted.where((F.col("kind") < 2) & (ratio >= purity) & surely).withColumn("ratio", ratio).orderBy(F.desc("toxic"), "word", "kind").limit(most_terms).collect()
-    stems = {r["word"]: math.log(r["ratio"]) for r in best if r["kind"] == 1}
-    stems = {s: w for s, w in stems.items() if not any(s[:n] in stems for n in range(1, len(s)))}
+    stems = _stems({r["word"]: (r["toxic"], math.log(r["ratio"])) for r in best if r["kind"] == 1}, {r["word"]: r["toxic"] for r in best if r["kind"] == 0})
     terms = {r["word"]: math.log(r["ratio"]) for r in best if r["kind"] == 0}
     model = Model(terms, stems)
 
