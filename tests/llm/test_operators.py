@@ -138,7 +138,7 @@ def test_toxicity_held_out(spark, odd):
     rows = toxicity.score(sample, model, also={"held_out": common.fold("doc_id", 4) == 2}).join(labels, "doc_id").where("held_out").collect()
     bad = [r for r in rows if r.toxic]
     assert sum(r.predicted for r in bad) >= 0.85 * len(bad)
-    assert sum(r.predicted for r in rows if not r.toxic) <= 0.005 * len(rows)
+    assert sum(r.predicted for r in rows if not r.toxic) <= 0.01 * len(rows)
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
     assert toxicity.score(odd, model).count() == len(ODD)
     assert toxicity.learn(sample, labels.where("false")).weights is None

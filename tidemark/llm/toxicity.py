@@ -207,8 +207,8 @@ def regression(x: np.ndarray, y: np.ndarray, l2: float = 1e-3, turns: int = 30)
     return w
 
 
-def learn(documents: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", toxic: str = "toxic", fit_rows: int = 12_000, least: int = 4, purity: float = 25.0, most_terms: int = 2_000) -> Model:
-    """Lexicon and weights from about ``fit_rows`` labelled rows, chosen by a hash of their key.
+def learn(documents: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", toxic: str = "toxic", fit_rows: int = 12_000, least: int = 4, purity: float = 100.0, most_terms: int = 2_000) -> Model:
+    """Lexicon and weights from about ``fit_rows`` labelled rows, chosen by a hash of their key; equal texts count once.
 
     A term or stem needs ``least`` toxic texts, a share among them ``purity`` times that among
     the others, and a log-likelihood ratio that chance seldom reaches among so many candidates;
@@ -223,7 +223,7 @@ def learn(documents: DataFrame, labels: DataFrame, *, key: str = "doc_id", text:
     if not total:
         return Model()
     known = known.where(F.pmod(F.xxhash64(key, F.lit("toxicity")), F.lit(1_000_000)) < int(1e6 * min(1.0, fit_rows / total)))
-    sample = common.stored(documents.select(key, F.col(text).alias("_text")).join(known, key).select("_toxic", "_text"), "toxicity-sample")
+    sample = common.stored(documents.select(key, F.col(text).alias("_text")).join(known, key).select("_toxic", "_text").distinct(), "toxicity-sample")
 
     def count(batches):
         counts = (Counter(), Counter())
