@@ -303,6 +303,17 @@ def test_tool_calls(spark):
     assert got[1, "b", 1].errors == ["x"]
 
 
+def test_argument_types(spark):
+    schema = {"n": ("number", True), "s": ("string", False), "b": ("boolean", False), "o": ("object", False), "a": ("array", False)}
+    cases = {
+        '{"n":1.5,"s":"7","b":true,"o":{"x":[]},"a":[]}': [], '{"n":-2e9}': [], '{"n":"1"}': ["n"], '{"n":null}': ["n"], '{"n":1,"s":7}': ["s"], '{"n":1,"s":null}': ["s"],
+        '{"n":1,"b":"true"}': ["b"], '{"n":1,"o":[],"a":{}}': ["a", "o"], '{"n":1,"z":1}': ["z"], '{"s":""}': ["n"], '{"n":1,"n":2}': ["$"], "[1]": ["$"], "no": ["$"], "": ["$"], None: ["n"],
+    }
+    frame = spark.createDataFrame([(k,) for k in cases], "arguments string")
+    got = {r.arguments: r.errors for r in frame.select("arguments", tool_calls.argument_errors(F.col("arguments"), schema).alias("errors")).collect()}
+    assert got == cases
+
+
 def test_levels_of_random_graphs(spark):
     rng = random.Random(9)
     edges = {(a, rng.randrange(a)) for a in (rng.randrange(1, 120) for _ in range(150))} | {(k, k - 1) for k in range(201, 260)} | {(300, 301), (301, 302), (302, 300), (303, 300), (304, 303), (304, 5)}

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import common
 
-#: Beginning of a JSON value of each type (fixed patterns).
-JSON_TYPES = {"string": '"', "number": "[-0-9]", "boolean": "[tf]", "object": r"\{", "array": r"\["}
+#: How the schema of a variant begins for a JSON value of each type (fixed patterns).
+JSON_TYPES = {"string": "STRING", "number": "BIGINT|DECIMAL|DOUBLE", "boolean": "BOOLEAN", "object": "OBJECT", "array": "ARRAY"}
 
 
 def _chains(single: DataFrame) -> DataFrame:
@@ -72,23 +72,20 @@ def levels(edges: DataFrame) -> DataFrame:
 def argument_errors(arguments: Column, schema: dict[str, tuple[str, bool]]) -> Column:
     """Names of the arguments that break a schema of ``name: (JSON type, required)``, sorted.
 
-    ``arguments``: JSON text of an object; anything else breaks at ``$``.
+    ``arguments``: JSON text of an object; anything else breaks at ``$``, names given twice and
+    texts beyond the size of a variant included. A value must have the JSON type itself: neither
+    null nor a number in quotes is a number.
     """
-    given = F.from_json(F.coalesce(arguments, F.lit("{}")), "map<string,string>")
+    text = F.coalesce(arguments, F.lit("{}"))
+    given, parsed = F.from_json(text, "map<string,string>"), F.try_parse_json(text)
     keys = F.map_keys(given)
     wrong = [F.array_except(keys, F.array(*map(F.lit, sorted(schema)))) if schema else keys]
     for name, (kind, required) in sorted(schema.items()):
-        raw = F.get_json_object(F.coalesce(arguments, F.lit("{}")), f"$.{name}")
-        value = given[name]
-        if kind == "string":
-            bad = value.isNull()
-        elif kind == "number":
-            bad = value.cast("string").try_cast("double").isNull()
-        else:
-            bad = raw.isNull() | ~raw.rlike(r"\A\s*" + JSON_TYPES[kind])
+        found = F.schema_of_variant(F.try_variant_get(parsed, f"$['{name}']", "variant"))
+        bad = ~F.coalesce(found.rlike(rf"\A({JSON_TYPES[kind]})"), F.lit(False))
         bad = F.when(F.array_contains(keys, name), bad).otherwise(F.lit(required))
         wrong.append(F.when(bad, F.array(F.lit(name))).otherwise(F.array().cast("array<string>")))
-    return F.when(given.isNull(), F.array(F.lit("$"))).otherwise(F.array_sort(F.array_distinct(F.concat(*wrong))))
+    return F.when(given.isNull() | parsed.isNull(), F.array(F.lit("$"))).otherwise(F.array_sort(F.array_distinct(F.concat(*wrong))))
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict[str, tuple[str, bool]]]) -> DataFrame:
