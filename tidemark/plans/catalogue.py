@@ -487,3 +487,35 @@ def selection_ranked(s, d):
     from tidemark.operators import selection
 
     return selection.ranked(_judged(s, d)).select("listing_id", F.round("gap", 9).alias("gap"))
+
+
+@query("""WITH k AS (SELECT o_custkey AS k, max(o_orderdate) AS seen FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01' GROUP BY 1),
+r AS (SELECT o_custkey AS k, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS status FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' GROUP BY 1)
+SELECT coalesce(k.k, r.k) AS o_custkey, coalesce(r.status, 'missing') AS status, CASE WHEN r.k IS NULL THEN CAST(seen AS DATE) ELSE DATE '1998-09-01' END AS last_seen FROM k FULL OUTER JOIN r ON k.k = r.k""")
+def inventory_settled(s, d):
+    from tidemark.operators import inventory
+
+    o, cut = t(s, d, "orders"), F.lit("1998-01-01").cast("date")
+    known = o.where(c("o_orderdate") < cut).groupBy("o_custkey").agg(F.max("o_orderdate").alias("last_seen_at"))
+    reported = o.where(c("o_orderdate") >= cut).groupBy("o_custkey").agg(F.max_by("o_orderstatus", F.struct("o_orderdate", "o_orderkey")).alias("status"))
+    out = inventory.settled(known, reported, ["o_custkey"], F.lit("1998-09-01").cast("date"))
+    return out.select("o_custkey", "status", c("last_seen_at").cast("date").alias("last_seen"))
+
+
+@query("""WITH h AS (SELECT o_custkey, arg_min(o_orderpriority, (o_orderdate, o_orderkey)) AS o, min(o_orderdate) + INTERVAL 90 DAY AS u FROM orders GROUP BY 1),
+w AS (SELECT o_custkey, arg_min(o_orderpriority, (o_orderdate, o_orderpriority)) AS o, min(o_orderdate) + INTERVAL 90 DAY AS u FROM orders JOIN h USING (o_custkey) WHERE o_orderdate >= TIMESTAMP '1995-01-01' AND (o_orderpriority = h.o OR h.u <= o_orderdate) GROUP BY 1)
+SELECT o_custkey, coalesce(w.o, h.o) AS owner, CAST(coalesce(w.u, h.u) AS DATE) AS until FROM h LEFT JOIN w USING (o_custkey)""")
+def lease_claims(s, d):
+    from tidemark.operators import inventory
+
+    o, k = t(s, d, "orders"), ["o_custkey"]
+    held = o.groupBy(*k).agg(F.min_by("o_orderpriority", F.struct("o_orderdate", "o_orderkey")).alias("owner"), (F.min("o_orderdate") + F.expr("INTERVAL 90 DAYS")).alias("until"))
+    asked = o.where(c("o_orderdate") >= F.lit("1995-01-01").cast("date")).select(*k, c("o_orderpriority").alias("owner"), c("o_orderdate").alias("at"))
+    return inventory.claimed(held, asked, k, "INTERVAL 90 DAYS").select(*k, "owner", c("until").cast("date").alias("until"))
+
+
+@query(None)
+def embedded_states(s, d):
+    from tidemark.sources import state
+
+    return state.states(t(s, d, "pages"))
