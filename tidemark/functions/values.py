@@ -82,7 +82,7 @@ def haversine_km(latitude: Column, longitude: Column, centre: tuple[float, float
     lat, lon = F.radians(latitude), F.radians(longitude)
     lat0, lon0 = F.radians(F.lit(centre[0])), F.radians(F.lit(centre[1]))
     h = F.pow(F.sin((lat - lat0) / 2), 2) + F.cos(lat) * F.cos(lat0) * F.pow(F.sin((lon - lon0) / 2), 2)
-    return 2 * EARTH_KM * F.asin(F.sqrt(F.greatest(F.lit(0.0), F.least(F.lit(1.0), h))))
+    return F.when(h.isNotNull(), 2 * EARTH_KM * F.asin(F.sqrt(F.greatest(F.lit(0.0), F.least(F.lit(1.0), h)))))  # greatest and least pass over nulls
 
 
 def url_host(url: Column) -> Column:

@@ -85,3 +85,26 @@ def temporal_cuts(days: DataFrame) -> DataFrame:
     train = d.where("i <= days - 2").agg(F.min_by("i", F.struct(F.abs(F.col("cum") - 0.6 * F.col("total")), "i")).alias("train_cut"))
     val = d.join(F.broadcast(train)).where("i > train_cut AND i <= days - 1")
     return val.groupBy("train_cut").agg(F.min_by("i", F.struct(F.abs(F.col("cum") - 0.8 * F.col("total")), "i")).alias("val_cut"))
+
+
+def domain_counts(frame: DataFrame, column: str, domain: list[str]) -> DataFrame:
+    """Rows of each value of a domain, 0 for those that don't come; other values don't count."""
+    values = frame.sparkSession.createDataFrame([(x,) for x in domain], f"{column} string")
+    n = frame.groupBy(column).agg(F.count("*").alias("n"))
+    return values.join(n, column, "left").select(column, F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def nested_prefixes(frame: DataFrame, column: str) -> DataFrame:
+    """Distinct scopes of which one begins another: scope, inner_scope.
+
+    Each scope meets the others in an equi-join on its own beginnings, so no pairs are tried.
+    """
+    inner = frame.select(F.col(column).alias("inner_scope")).where(F.length("inner_scope") > 0).distinct()
+    starts = inner.withColumn("scope", F.explode(F.transform(F.sequence(F.lit(1), F.length("inner_scope")), lambda n: F.col("inner_scope").substr(F.lit(1), n)))).where("scope <> inner_scope")
+    return starts.join(inner.select(F.col("inner_scope").alias("scope")), "scope").select("scope", "inner_scope")
+
+
+def changed(stored: DataFrame, arriving: DataFrame, key: list[str], payload: list[str]) -> DataFrame:
+    """Keys that both sides have with different payloads; nulls equal each other."""
+    side = lambda f, n: f.select(*key, F.struct(*payload).alias(n))
+    return side(stored, "_a").join(side(arriving, "_b"), key).where(~F.col("_a").eqNullSafe(F.col("_b"))).select(*key)

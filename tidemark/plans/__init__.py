@@ -1 +1,3 @@
-"""Plans of the observation engine."""
+"""Queries over the driver's tables."""
+
+from tidemark.plans import catalogue, collection  # noqa: F401  (each registers its queries)
