@@ -287,6 +287,16 @@ def test_bundles_are_sums_of_bound_vectors():
 # --- 8
 
 
+def test_canonical_arguments(spark):
+    cases = {'{"b": 1, "a": {"d": [1, "x", null], "c": 1.5}}': '{"a":{"c":1.5,"d":[1,"x",null]},"b":1}', "{}": "{}", '{"b":1,"a":2,"a":1}': '{"a":"1","a":"2","b":"1"}', "[1]": None, "x": None, None: None}
+    frame = spark.createDataFrame([(k,) for k in cases], "t string")
+    assert {r.t: r.c for r in frame.select("t", tool_calls.canonical(F.col("t")).alias("c")).collect()} == cases
+    bare = spark.createDataFrame([(1, None, 0, None, "{}", None), (1, "b", 1, "f", '{"a":1,"a":2}', None)], "conv_id long, call_id string, position long, name string, arguments string, needs array<string>")
+    results = spark.createDataFrame([], "conv_id long, call_id string, position long, content string")
+    got = {r.call_id: (r.status, r.message) for r in tool_calls.link(bare, results, {"f": {"a": ("number", True)}}).collect()}
+    assert got == {None: ("unknown_tool", '{"arguments":{}}'), "b": ("invalid_arguments", '{"arguments":{"a":"1","a":"2"},"id":"b","name":"f"}')}
+
+
 def test_tool_calls(spark):
     calls = spark.createDataFrame(
         [(1, "a", 0, "add", '{"y":2,"x":1}', []), (1, "b", 1, "add", '{"x":"q"}', ["a"]), (1, "c", 2, "nope", "{}", ["b", "zz"]), (1, "d", 3, "add", '{"x":1}', ["e"]), (1, "e", 4, "add", '{"x":1}', ["d"]), (1, None, 5, "add", None, None), (2, "a", 9, "add", '{"x":1}', [])],
@@ -299,7 +309,7 @@ def test_tool_calls(spark):
         (1, "a", 0): ("linked", 0, 2), (1, "b", 1): ("invalid_arguments", 1, 0), (1, "c", 2): ("unknown_tool", 2, 0), (1, "d", 3): ("cyclic", None, 0),
         (1, "e", 4): ("cyclic", None, 0), (1, None, 5): ("invalid_arguments", 0, 0), (1, "z", 3): ("orphan_result", None, 1), (2, "a", 9): ("early_result", 0, 1),
     }
-    assert got[1, "a", 0].message == '{"arguments":{"x":"1","y":"2"},"id":"a","name":"add","result":"ok"}'
+    assert got[1, "a", 0].message == '{"arguments":{"x":1,"y":2},"id":"a","name":"add","result":"ok"}'
     assert got[1, "b", 1].errors == ["x"]
 
 

@@ -102,7 +102,7 @@ SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id)
   CAST(coalesce(r.n, 0) AS BIGINT) AS n_results,
   CASE WHEN c.call_id IS NOT NULL AND c.text IS NULL THEN 'text' ELSE '' END AS errors,
   '{' || concat_ws(',',
-    CASE WHEN c.call_id IS NOT NULL THEN '"arguments":{' || coalesce('"text":' || CAST(to_json(c.text) AS VARCHAR) || ',', '') || '"turn":"' || c.position || '"}' END,
+    CASE WHEN c.call_id IS NOT NULL THEN '"arguments":{' || coalesce('"text":' || CAST(to_json(c.text) AS VARCHAR) || ',', '') || '"turn":' || c.position || '}' END,
     '"id":"' || coalesce(c.call_id, r.call_id) || '"',
     CASE WHEN c.call_id IS NOT NULL THEN '"name":"reply"' END,
     '"result":' || CAST(to_json(r.one.c) AS VARCHAR)) || '}' AS message

@@ -88,6 +88,18 @@ def argument_errors(arguments: Column, schema: dict[str, tuple[str, bool]]) -> C
     return F.when(given.isNull() | parsed.isNull(), F.array(F.lit("$"))).otherwise(F.array_sort(F.array_distinct(F.concat(*wrong))))
 
 
+def canonical(text: Column) -> Column:
+    """An object's JSON with sorted names at all depths, no spaces, and values of their own types.
+
+    Where names come twice or the text is beyond the size of a variant, the first level is sorted
+    and its values are put out as strings; null for a text that isn't an object.
+    """
+    given, parsed = F.from_json(text, "map<string,string>"), F.try_parse_json(text)
+    alone = lambda e: F.regexp_extract(F.to_json(F.create_map(e["key"], e["value"])), r"(?s)\A.(.*).\z", 1)
+    plain = F.concat(F.lit("{"), F.array_join(F.transform(F.array_sort(F.map_entries(given)), alone), ","), F.lit("}"))
+    return F.when(given.isNotNull(), F.coalesce(F.to_json(parsed), plain))
+
+
 def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict[str, tuple[str, bool]]]) -> DataFrame:
     """Link, order, check and serialise.
 
@@ -120,7 +132,8 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict[str, tupl
         .otherwise("linked")
     )
     out = joined.withColumn("errors", F.when(is_call, errors).otherwise(F.array().cast("array<string>")))
-    out = out.withColumns({"level": level, "status": status, "n_results": F.coalesce("_n", F.lit(0)), "_args": F.from_json(F.when(is_call, F.coalesce("arguments", F.lit("{}"))), "map<string,string>")})
-    sorted_args = F.map_from_entries(F.array_sort(F.map_entries("_args")))
-    message = F.to_json(F.struct(sorted_args.alias("arguments"), F.col("call_id").alias("id"), "name", F.col("_r.content").alias("result")))
+    out = out.withColumns({"level": level, "status": status, "n_results": F.coalesce("_n", F.lit(0)), "_args": canonical(F.when(is_call, F.coalesce("arguments", F.lit("{}"))))})
+    rest = F.to_json(F.struct(F.col("call_id").alias("id"), "name", F.col("_r.content").alias("result")))
+    after = F.when(rest == "{}", "}").otherwise(F.concat(F.lit(","), F.substr(rest, F.lit(2))))
+    message = F.when(F.col("_args").isNull(), rest).otherwise(F.concat(F.lit('{"arguments":'), F.col("_args"), after))
     return out.select("conv_id", "call_id", F.coalesce("position", "_r.position").alias("position"), F.col("level").cast("int").alias("level"), "status", F.col("n_results").cast("long").alias("n_results"), "errors", message.alias("message"))
