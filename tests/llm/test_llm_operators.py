@@ -242,6 +242,25 @@ def test_jaccard_join(spark, n, percent, rows):
     assert {tuple(r) for r in jaccard_join.similar(frame, n=n, percent=percent, block_rows=rows).collect()} == brute_components(docs, n, percent)
 
 
+def test_jaccard_join_of_shared_paragraphs(spark):
+    """Many sets of one partition share a paragraph, one set of the other does: only some of the many link with it."""
+    rng = random.Random(11)
+    words = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    common_ = [words(30) for _ in range(14)]
+    large, small = [(k, " ".join(common_)) for k in range(5000, 5060)], []
+    for group in range(6):
+        paragraph = words(100)
+        large += [(100 * group + k, " ".join([paragraph, *rng.sample(common_, 10)])) for k in range(jaccard_join.FEW + 4)]
+        large.append((100 * group + 90, f"{paragraph} {words(3)}"))
+        small.append((100 * group + 91, f"{words(3)} {paragraph}"))
+    one = lambda rows: spark.sparkContext.parallelize(rows, 1)
+    frame = spark.createDataFrame(one(large).union(one(small)), "doc_id long, text string")
+    assert frame.rdd.getNumPartitions() == 2
+    got = {tuple(r) for r in jaccard_join.similar(frame).collect()}
+    assert got == brute_components(large + small, 3, 90)
+    assert {(100 * g + 91, 101, 100 * g + 90) for g in range(6)} <= got
+
+
 def test_jaccard_join_odd_rows(spark, odd):
     got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.similar(odd).collect()}
     assert {(1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), (5, 1, 4)} <= got

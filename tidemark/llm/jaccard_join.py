@@ -288,7 +288,9 @@ def _meetings(frame: DataFrame, slices: int, chunk: int = 1 << 21) -> DataFrame:
     yet to be compared); more are named with the smallest of them only, which does for putting
     them in one group (``sure``). Where a task alone has more than ``FEW`` rows at a shingle it
     names them at once and sends one on, so a shingle that most rows have sends a few entries
-    for each task. What goes on is sorted, cut into slices of the range of keys, and packed.
+    for each task. The one sent on is marked: it stands for sets that can link where it can't,
+    so a run with a mark is named with its smallest, however few are left of it. What goes on
+    is sorted, cut into slices of the range of keys, and packed.
     """
     import pyarrow as pa
 
@@ -305,12 +307,13 @@ def _meetings(frame: DataFrame, slices: int, chunk: int = 1 << 21) -> DataFrame:
             yield batch([-1] * len(some), some, b[at : at + 20_000], [None] * len(some))
         keep = ~np.repeat(many, size)
         keep[start] = True
+        marked = np.repeat(many, size)[keep]
         part, own = part[keep], own[keep]
         cuts = cut_points(part, slices).tolist()
         full = [k for k in range(slices) if cuts[k + 1] > cuts[k]]
         for at in range(0, len(full), 64):
             some = full[at : at + 64]
-            yield batch(some, [None] * len(some), [None] * len(some), [packed(deltas(part[cuts[k] : cuts[k + 1]]), own[cuts[k] : cuts[k + 1]]) for k in some])
+            yield batch(some, [None] * len(some), [None] * len(some), [packed(deltas(part[cuts[k] : cuts[k + 1]]), own[cuts[k] : cuts[k + 1]], marked[cuts[k] : cuts[k + 1]].astype(np.uint8)) for k in some])
 
     def combined(batches):
         parts, owners, held = [], [], 0
@@ -330,12 +333,15 @@ def _meetings(frame: DataFrame, slices: int, chunk: int = 1 << 21) -> DataFrame:
             if number < 0:
                 yield pa.RecordBatch.from_arrays([*(pa.array([r[k] for r in rows], pa.int64()) for k in (1, 2)), pa.array([True] * len(rows))], ["a", "b", "sure"])
                 continue
-            parts, owners = zip(*(unpacked(r[3]) for r in rows), strict=True)
-            _, own, start, size = _runs(np.concatenate([np.cumsum(p, dtype=U) for p in parts]), np.concatenate(owners))
-            a, b = _star(own, start[size > FEW], size[size > FEW])
+            parts, owners, marks = zip(*(unpacked(r[3]) for r in rows), strict=True)
+            parts = np.concatenate([np.cumsum(p, dtype=U) for p in parts])
+            reduced = np.unique(parts[np.concatenate(marks) > 0])
+            part, own, start, size = _runs(parts, np.concatenate(owners))
+            many = (size > FEW) | np.isin(part[start], reduced)
+            a, b = _star(own, start[many], size[many])
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.ones(len(a), bool))], ["a", "b", "sure"])
             for n in range(2, FEW + 1):
-                runs = start[size == n]
+                runs = start[(size == n) & ~many]
                 if len(runs):
                     i, j = np.triu_indices(n, 1)
                     a, b = np.unique(np.stack([own[(runs[:, None] + i).ravel()], own[(runs[:, None] + j).ravel()]]), axis=1)
