@@ -108,6 +108,17 @@ def test_packing(spark, odd, sample):
     assert packing.sequences(spark.createDataFrame(got, pieces.schema.add("sequence_id", "long").add("offset", "long"))).count() == len(held)
 
 
+def test_added_tokens_get_the_ids_of_the_contract(spark):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    texts = ["ab <|endoftext|> cd", "<|endoftext|><|endoftext|>", "a<|endoftext|>\n\n b", "<|endoftext<|endoftext|>|>", "<|endoftext|", "it's  é 日本 😀<|endoftext|>  ", "<|ENDOFTEXT|>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in packing.pieces_of(docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN, with_ids=True).collect()}
+    assert got == {k: [*whole.encode(t, add_special_tokens=False).ids, 0] for k, t in enumerate(texts)}
+    assert got[0] == [397, 220, 50256, 22927, 0]
+
+
 # --- 3
 
 

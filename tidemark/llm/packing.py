@@ -14,13 +14,17 @@ same bulk-synchronous rounds in a task of its own:
 A shard wastes less than one sequence beyond what its own pieces force, so the loss of sharding
 is bounded by the number of shards. Shards hold shard_rows rows whatever the input's size.
 
+The string of an added token of the JSON vocabulary in a text gets that token's id.
 A null or empty text is a document of the end token alone. Repeated rows are packed as rows of
 their own, equal keys included. Extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import json
 import zlib
+from functools import partial
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -32,12 +36,20 @@ from tidemark.llm.merge_replay import load_ranks
 _encoders: dict = {}
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """The added tokens of the JSON vocabulary beside a file of ranks; none where there is no such file."""
+    beside = Path(path).with_suffix(".json")
+    if not beside.exists():
+        return {}
+    return {t["content"]: t["id"] for t in json.loads(beside.read_text(encoding="utf-8"))["added_tokens"]}
+
+
 def encoder(path: str, pattern: str):
     """A worker's tokenizer over a file of ranks: the fast route to the ids of the JSON vocabulary beside it."""
     if (path, pattern) not in _encoders:
         import tiktoken
 
-        _encoders[path, pattern] = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=load_ranks(path), special_tokens={})
+        _encoders[path, pattern] = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=load_ranks(path), special_tokens=added_tokens(path))
     return _encoders[path, pattern]
 
 
@@ -59,7 +71,7 @@ def pieces_of(documents: DataFrame, path: str, pattern: str, *, end: int = 0, le
     kinds = [key_type.simpleString(), "int", "long", "long", "long"] + ["binary"] * with_ids
 
     def run(batches):
-        encode = encoder(path, pattern).encode_ordinary
+        encode = partial(encoder(path, pattern).encode, allowed_special="all")
         for batch in batches:
             out: list[list] = [[] for _ in names]
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
