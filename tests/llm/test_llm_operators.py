@@ -383,6 +383,24 @@ def test_tool_calls_equal_sql(spark):
     assert sorted(tuple(map(str, (r[n] for n in names))) for r in frame.collect()) == sorted(tuple(str(r[k]) for k in place) for r in want.fetchall())
 
 
+def test_all_turns_are_in_a_row(spark, tmp_path):
+    import duckdb
+
+    given = common.table(spark, SF, "conversations")
+    odd_turns = [(10**6, 0, "tool", "t"), (10**6, 1, None, 'n "q"'), (10**6, 2, "system", None), (10**6, 3, "user", "u"), (10**6, 4, "assistant", "a"), (10**6, 5, None, None)]
+    kinds = {f.name: f.dataType.simpleString() for f in given.schema}
+    more = spark.createDataFrame(odd_turns, "conv_id long, turn int, role string, text string")
+    turns = given.select("conv_id", "turn", "role", "text").union(more.select(*(F.col(c).cast(kinds[c]) for c in ("conv_id", "turn", "role", "text"))))
+    turns.write.parquet(f"{tmp_path}/conversations.parquet")
+    rows = registry.op8_all_turns(spark, str(tmp_path)).collect()
+    calls = sum('"arguments":' in r.message for r in rows if r.call_id is not None)
+    assert calls + sum(r.n_results for r in rows) + sum(r.call_id is None for r in rows) == turns.count()
+    duckdb.sql(f"CREATE OR REPLACE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    assert collections.Counter(map(tuple, rows)) == collections.Counter(duckdb.sql(registry.ORACLE_SQL["op8_all_turns"]).fetchall())
+    got = {r.position: (r.status, r.message) for r in rows if r.conv_id == 10**6}
+    assert got[0] == ("other_role", '{"role":"tool","text":"t"}') and got[1][0] == got[5][0] == "no_role" and got[2] == ("system", '{"role":"system"}')
+
+
 # --- 9
 
 

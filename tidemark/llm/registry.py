@@ -76,6 +76,27 @@ def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("errors", F.array_join("errors", ","))
 
 
+def op8_all_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``op8_tool_calls`` and a row for each turn it leaves out: those of the system, other roles and none."""
+    turns = table(spark, sf_dir, "conversations")
+    return _with_other_turns(op8_tool_calls(spark, sf_dir), turns)
+
+
+def _with_other_turns(linked: DataFrame, turns: DataFrame) -> DataFrame:
+    """Turns that are neither call nor result are messages of their own; ``status`` says whose."""
+    rest = turns.where(~F.coalesce(F.col("role").isin("user", "assistant"), F.lit(False))).select(
+        "conv_id",
+        F.lit(None).cast("string").alias("call_id"),
+        F.col("turn").alias("position"),
+        F.lit(None).cast("int").alias("level"),
+        F.when(F.col("role") == "system", "system").when(F.col("role").isNull(), "no_role").otherwise("other_role").alias("status"),
+        F.lit(0).cast("long").alias("n_results"),
+        F.lit("").alias("errors"),
+        F.to_json(F.struct("role", "text")).alias("message"),
+    )
+    return linked.unionByName(rest)
+
+
 def op9_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolated_lm.score_texts(table(spark, sf_dir, "documents"), fold("doc_id", 5) != 1)
 
@@ -86,7 +107,7 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_url_filter, op2_best_fit_packing, op3_merge_replay, op4_toxicity, op5_quality_crf, op6_jaccard_join, op7_language_id, op8_tool_calls, op9_interpolated_lm, op10_vector_dedup)
+    for f in (op1_url_filter, op2_best_fit_packing, op3_merge_replay, op4_toxicity, op5_quality_crf, op6_jaccard_join, op7_language_id, op8_tool_calls, op8_all_turns, op9_interpolated_lm, op10_vector_dedup)
 }
 
 ORACLE_SQL = {
@@ -109,3 +130,10 @@ SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id)
 FROM c FULL OUTER JOIN r ON c.conv_id = r.conv_id AND c.call_id = r.call_id LEFT JOIN l ON l.call_id = c.call_id
 """,
 }
+
+ORACLE_SQL["op8_all_turns"] = ORACLE_SQL["op8_tool_calls"] + """
+UNION ALL
+SELECT conv_id, NULL, turn, NULL, CASE WHEN role IS NULL THEN 'no_role' WHEN role = 'system' THEN 'system' ELSE 'other_role' END, 0, '',
+  '{' || concat_ws(',', '"role":' || CAST(to_json(role) AS VARCHAR), '"text":' || CAST(to_json(text) AS VARCHAR)) || '}'
+FROM conversations WHERE coalesce(role NOT IN ('user', 'assistant'), true)
+"""
