@@ -1,22 +1,27 @@
 """Best-fit packing of tokenised documents into sequences of a fixed length.
 
-Documents become pieces of at most ``length`` tokens; pieces are dealt by hash over shards of
-about ``shard_rows`` rows, a number taken from the row count, and every shard is packed by the
-same bulk-synchronous rounds in a task of its own:
-
-* the shard's pieces are range-sorted by length, its gaps (sequences with room) by room;
-* a round takes all pieces of one length and sweeps the sorted gaps upwards from the smallest
-  that still holds them (the successors);
-* of the pieces that want the same gaps, those of lowest rank (by key and piece) get them;
-* the gaps taken are put back with the room that is left, and the losers sweep again; where no
-  gap is left, the remaining pieces open new sequences, whose room is the next round's gaps.
-
-A shard wastes less than one sequence beyond what its own pieces force, so the loss of sharding
-is bounded by the number of shards. Shards hold shard_rows rows whatever the input's size.
+Documents become pieces of at most ``length`` tokens, packed by bulk-synchronous best-fit:
+
+* all pieces are range-sorted over the cluster, long before short, and numbered within their
+  length: each task numbers its own, and a task's first number is the count of the tasks before it;
+* gaps (sequences with room) are sorted by room. Gaps of one room with neighbouring numbers are
+  kept as one run, and so are the pieces of one length, so what a round sweeps is bounded by
+  ``length`` and not by the input;
+* a round takes the longest pieces left and sweeps the gaps upwards from the smallest that holds
+  them (the successor). Of pieces that want the same gaps, those of lowest rank get them, as many
+  to a gap as fit; pieces that find no gap open sequences. Gaps taken are put back with the room
+  left to them, and the next round begins;
+* each task then sweeps its sorted pieces along the sorted runs that the rounds gave out, and so
+  finds every piece's sequence and offset.
+
+The number of sequences is that of best-fit decreasing over all pieces at once. The driver holds
+a count for each length and task that has it (a task has neighbouring lengths, so these are at
+most ``length`` more than there are tasks), and about a dozen runs for each length.
 
 The string of an added token of the JSON vocabulary in a text gets that token's id.
 A null or empty text is a document of the end token alone. Repeated rows are packed as rows of
-their own, equal keys included. Extra columns are ignored; an empty table gives an empty result.
+their own, equal and null keys included: ranks are by row, so they part like any others. Extra
+columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -64,7 +69,6 @@ def pieces_of(documents: DataFrame, path: str, pattern: str, *, end: int = 0, le
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_type
 
-    common.small_batches(documents.sparkSession)
     key_type = documents.schema[key].dataType
     arrow_key = to_arrow_type(key_type)
     names = [key, "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
@@ -72,7 +76,7 @@ def pieces_of(documents: DataFrame, path: str, pattern: str, *, end: int = 0, le
 
     def run(batches):
         encode = partial(encoder(path, pattern).encode, allowed_special="all")
-        for batch in batches:
+        for batch in common.sliced(batches):
             out: list[list] = [[] for _ in names]
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = np.array([*encode(t or ""), end], "<u4")
@@ -87,50 +91,99 @@ def pieces_of(documents: DataFrame, path: str, pattern: str, *, end: int = 0, le
     return documents.select(key, text).mapInArrow(run, ", ".join(f"{n} {t}" for n, t in zip(names, kinds, strict=True)))
 
 
-def sweep(lengths: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pack one shard: the sequence and offset of each piece. Pieces come in rank order."""
-    sequence, offset = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
-    gaps: list[list[int]] = [[] for _ in range(length + 1)]  # open sequences by room
-    opened = 0
-    order = np.argsort(-lengths, kind="stable")
-    cuts = np.nonzero(np.diff(lengths[order]))[0] + 1
-    for same in np.split(order, cuts) if len(order) else []:
-        size, waiting = int(lengths[same[0]]), same.tolist()[::-1]
-        room = size
-        while waiting and room <= length:
-            if not (there := gaps[room]):
-                room += 1
+def rounds(counts: dict[int, int], length: int) -> tuple[np.ndarray, int]:
+    """Best-fit decreasing over counts: the runs given out, and the number of sequences opened.
+
+    ``counts``: pieces of each length. A run says where the pieces of one size from one rank on
+    go: size, first rank, pieces to a gap, first sequence, offset in the sequence. Runs are
+    sorted by size and rank.
+    """
+    gaps: dict[int, list[tuple[int, int]]] = {}  # room: runs of sequences that have it, as (first, how many)
+    given, opened = [], 0
+    for size in sorted(counts, reverse=True):
+        rank, left = 0, counts[size]
+        for room in [*sorted(r for r in gaps if r >= size), length + 1]:
+            if room > length:  # no gap is left: as many new ones as the pieces need
+                room, need = length, -(-left // (length // size))
+                runs, opened = [(opened, need)] if need else [], opened + need
+            else:
+                runs = gaps.pop(room)[::-1]
+            for first, n in runs:
+                while n and left:
+                    each = min(room // size, left)
+                    filled = min(n, left // each)
+                    given.append((size, rank, each, first, length - room))
+                    if room > each * size:
+                        gaps.setdefault(room - each * size, []).append((first, filled))
+                    rank, left, first, n = rank + filled * each, left - filled * each, first + filled, n - filled
+                if n:
+                    gaps.setdefault(room, []).append((first, n))
+            if not left:
+                break
+    return np.array(sorted(given), np.int64).reshape(-1, 5), opened
+
+
+def _numbered(pieces: DataFrame) -> DataFrame:
+    """Pieces range-sorted by length, long ones first: ``_task`` and ``_at``, a piece's number among those of its length in that task."""
+    import pyarrow as pa
+
+    names = pieces.columns
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        task, size, seen = TaskContext.get().partitionId(), None, 0
+        for batch in batches:
+            lengths = batch.column("length").to_numpy()
+            start = np.r_[0, np.nonzero(np.diff(lengths))[0] + 1]
+            at = np.arange(len(lengths)) - np.repeat(start, np.diff(np.r_[start, len(lengths)]))
+            if not len(lengths):
                 continue
-            winners = min(len(there), len(waiting))
-            taken, gaps[room] = there[:winners], there[winners:]
-            for s in taken:
-                piece = waiting.pop()
-                sequence[piece], offset[piece] = s, length - room
-            gaps[room - size] += taken
-            room = max(size, room - size) if room - size >= size else room  # the gaps just put back may hold the next ones
-        while waiting:
-            each = length // size
-            placed = min(each, len(waiting))
-            for k in range(placed):
-                piece = waiting.pop()
-                sequence[piece], offset[piece] = opened, k * size
-            gaps[length - placed * size].append(opened)
-            opened += 1
-    return sequence, offset
-
-
-def pack(pieces: DataFrame, *, length: int = 2048, key: str = "doc_id", shard_rows: int = 1 << 15) -> DataFrame:
-    """Give each piece its sequence_id and its offset there; offsets leave no gap from 0 on."""
-    shards = max(1, -(-pieces.count() // shard_rows))
-    schema = pieces.schema.simpleString()[len("struct<") : -1].replace(":", " ") + ", sequence_id long, offset long"
-
-    def run(group):
-        group = group.sort_values([key, "piece"], kind="stable").reset_index(drop=True)
-        sequence, offset = sweep(group["length"].to_numpy(np.int64), length)
-        return group.assign(sequence_id=(group["_shard"].to_numpy(np.int64) << 32) + sequence, offset=offset).drop(columns="_shard")
-
-    shard = F.pmod(F.xxhash64(key, "piece"), F.lit(shards)).cast("int")
-    return pieces.withColumn("_shard", shard).groupBy("_shard").applyInPandas(run, schema)
+            if lengths[0] == size:
+                at[: len(lengths) if len(start) == 1 else start[1]] += seen
+            size, seen = lengths[-1], int(at[-1]) + 1
+            yield pa.RecordBatch.from_arrays([*batch.select(names).columns, pa.array(np.full(len(at), task, np.int32)), pa.array(at)], [*names, "_task", "_at"])
+
+    fixed = common.stored(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")  # the range sort samples them, and ranks need fixed rows
+    order = [F.col("length").desc(), F.col("_row")]
+    schema = pieces.schema.simpleString()[len("struct<") : -1].replace(":", " ")
+    ranged = fixed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, f"{schema}, _task int, _at long")
+    numbered = common.stored(ranged, "ranked-pieces")
+    common.forget(fixed)
+    return numbered
+
+
+def pack(pieces: DataFrame, *, length: int = 2048) -> DataFrame:
+    """Give each piece its sequence_id and its offset there; offsets leave no gap from 0 on. The result is a written table."""
+    import pyarrow as pa
+
+    names = pieces.columns
+    numbered = _numbered(pieces)
+    counted = sorted((r["length"], r["_task"], r["n"]) for r in numbered.groupBy("length", "_task").agg(F.count("*").alias("n")).collect())
+    before, totals = {}, {}
+    for size, task, n in counted:
+        before[task, size] = totals.get(size, 0)
+        totals[size] = before[task, size] + n
+    runs, _ = rounds(totals, length)
+    sent = numbered.sparkSession.sparkContext.broadcast((before, runs))
+
+    def run(batches):
+        first, given = sent.value
+        starts = given[:, 0] << 44 | given[:, 1]  # ranks below 2**44
+        for batch in batches:
+            size, at = batch.column("length").to_numpy(), batch.column("_at").to_numpy()
+            of = np.stack([batch.column("_task").to_numpy(), size])
+            which, place = np.unique(of, axis=1, return_inverse=True)
+            rank = at + np.array([first[t, s] for t, s in which.T.tolist()], np.int64)[place.ravel()] if len(at) else at
+            own = given[np.searchsorted(starts, size << 44 | rank, side="right") - 1] if len(at) else np.zeros((0, 5), np.int64)
+            along = rank - own[:, 1]
+            each = np.maximum(own[:, 2], 1)
+            yield pa.RecordBatch.from_arrays([*batch.select(names).columns, pa.array(own[:, 3] + along // each), pa.array(own[:, 4] + along % each * size)], [*names, "sequence_id", "offset"])
+
+    schema = pieces.schema.simpleString()[len("struct<") : -1].replace(":", " ")
+    placed = common.stored(numbered.mapInArrow(run, f"{schema}, sequence_id long, offset long"), "packed", rows=10_000)
+    common.forget(numbered)
+    return placed
 
 
 def sequences(placed: DataFrame) -> DataFrame:
