@@ -3,10 +3,14 @@
 Every line with a word is labelled content or boilerplate by Viterbi decoding; a document stays
 if the base rules pass and content lines hold at least ``share`` of its words.
 
-The CRF is fitted by maximum likelihood (forward-backward, L2) on a bounded sample of documents
-with a quality label, whose lines all carry the document's label; neighbouring lines and the
-transition weights decide where lines look unlike their document. Without labelled rows every
-line counts as content. Everything else looks at whole texts.
+The CRF is fitted on a bounded sample of documents with a quality label. No line has a label of
+its own: labels are hidden, and what is known of them is soft evidence, as odds. Lines of a good
+document are mostly content and those of a bad one mostly boilerplate; a line that repeats an
+earlier one, or is full of symbols, is likely boilerplate wherever it stands. The fit maximises
+the likelihood of that evidence over all labellings of each whole document (expectation by
+forward-backward with and without the evidence; L2), so that labels may change within a document
+and the steps between them are learned. Without labelled rows of both kinds every line counts as
+content. All lines of the sampled documents are used.
 
 Null and empty texts have no words and so fail. Ties in decoding go to content. Repeated rows
 are judged alike, extra columns are ignored, and an empty table gives an empty result.
@@ -27,6 +31,11 @@ SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
 FEATURES = 12
 BOILERPLATE, CONTENT = 0, 1
+#: Places of features that are evidence by themselves, and what each kind of evidence says: log
+#: odds for content of a line in a good and in a bad document, of a repeated line, and of a line
+#: with more than a tenth of its bytes symbols.
+SYMBOL_SHARE, REPEATED = 2, 10
+ODDS_GOOD, ODDS_BAD, ODDS_REPEATED, ODDS_SYMBOLS, MANY_SYMBOLS = 3.0, -3.0, -4.0, -4.0, 0.1
 
 
 @dataclass(frozen=True)
@@ -127,42 +136,68 @@ def features(lines: list[bytes], again: list[bool]) -> tuple[np.ndarray, np.ndar
     return np.array([b[0] for b in both]).reshape(-1, FEATURES), np.array([b[1] for b in both], np.int64)
 
 
-def fit(documents: list[tuple[np.ndarray, int]], steps: int = 80, rate: float = 0.2, l2: float = 1e-3, chain: int = 32) -> Crf:
-    """Maximum likelihood for chains of up to ``chain`` lines; each document's lines carry its label."""
-    parts = [(x[k : k + chain], y) for x, y in documents for k in range(0, len(x), chain)]
-    if not parts or len({y for _, y in parts}) < 2:
+def _scan(step: np.ndarray, first: np.ndarray, longest: int) -> np.ndarray:
+    """Products of each chain's 2 x 2 steps from its first line up to each line, scaled to 1; ``first`` marks chains' first lines.
+
+    Doubling spans: as many passes as the binary logarithm of the longest chain.
+    """
+    out = step / step.max((1, 2), keepdims=True)
+    whole = first.copy()  # whether the product reaches back to its chain's first line
+    reach = 1
+    while reach < longest:
+        open_ = np.nonzero(~whole[reach:])[0] + reach
+        out[open_], whole[open_] = (made := out[open_ - reach] @ out[open_]) / made.max((1, 2), keepdims=True), whole[open_ - reach]
+        reach *= 2
+    return out
+
+
+def marginals(score: np.ndarray, step: np.ndarray, first: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities of each line's labels, and of each step's (zero for a chain's first line), of chains laid end to end."""
+    near = np.exp(np.clip(score - score.max(1, keepdims=True), -200, 0))
+    hop = np.exp(np.clip(step, -100, 100))
+    own = np.where(first[:, None, None], near[:, None, :], hop * near[:, None, :])
+    ahead = _scan(own, first, longest).sum(1)
+    last = np.r_[first[1:], True]
+    back = np.where(last[:, None, None], 1.0, np.r_[own[1:], own[:1]])  # what follows a line
+    behind = _scan(back[::-1].transpose(0, 2, 1), last[::-1], longest)[::-1].sum(1)
+    ahead /= ahead.sum(1, keepdims=True)
+    one = ahead * behind
+    before = np.r_[ahead[:1], ahead[:-1]]
+    pair = before[:, :, None] * hop * (near * behind)[:, None, :]
+    pair[first] = 0
+    return one / one.sum(1, keepdims=True), pair / np.maximum(pair.sum((1, 2), keepdims=True), 1e-300)
+
+
+def evidence(x: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Log odds for content of lines, from their document's label and their looks."""
+    return np.where(label == 1, ODDS_GOOD, ODDS_BAD) + ODDS_REPEATED * x[:, REPEATED] + ODDS_SYMBOLS * (x[:, SYMBOL_SHARE] > 10 * MANY_SYMBOLS)
+
+
+def fit(documents: list[tuple[np.ndarray, int]], steps: int = 150, rate: float = 0.2, l2: float = 1e-4, l2_step: float = 0.02) -> Crf:
+    """Likelihood of the evidence at its highest, from (features of all lines, label) of each document.
+
+    ``l2_step`` holds steps back: evidence that mostly speaks for whole documents would else make
+    any change of label within one too dear.
+    """
+    documents = [(x, y) for x, y in documents if len(x)]
+    if len({y for _, y in documents}) < 2:
         return Crf.empty()
-    n, longest = len(parts), max(len(x) for x, _ in parts)
-    x, real, y = np.zeros((n, longest, FEATURES)), np.zeros((n, longest), bool), np.array([p[1] for p in parts])
-    for k, (rows, _) in enumerate(parts):
-        x[k, : len(rows)], real[k, : len(rows)] = rows, True
+    x = np.concatenate([d[0] for d in documents])
+    sizes = np.array([len(d[0]) for d in documents])
+    label = np.repeat([d[1] for d in documents], sizes)
+    first = np.zeros(len(x), bool)
+    first[np.cumsum(sizes) - sizes] = True
+    known = np.stack([np.zeros(len(x)), evidence(x, label)], axis=1)
     # both labels weigh alike, whatever their shares
-    lines = real.sum(1)
-    weight = np.where(y == 1, 0.5 / lines[y == 1].sum(), 0.5 / lines[y == 0].sum())
+    weight = np.where(label == 1, 0.5 / (label == 1).sum(), 0.5 / (label == 0).sum())
     emit, step = np.zeros((FEATURES, 2)), np.zeros((2, 2))
     moment = [np.zeros_like(emit), np.zeros_like(emit), np.zeros_like(step), np.zeros_like(step)]
     for turn in range(1, steps + 1):
         score = x @ emit
-        ahead, behind = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
-        ahead[:, 0] = score[:, 0]
-        for t in range(1, longest):
-            here = np.logaddexp(ahead[:, t - 1, 0, None] + step[0], ahead[:, t - 1, 1, None] + step[1]) + score[:, t]
-            ahead[:, t] = np.where(real[:, t, None], here, ahead[:, t - 1])
-        whole = np.logaddexp(ahead[:, -1, 0], ahead[:, -1, 1])
-        for t in range(longest - 2, -1, -1):
-            there = behind[:, t + 1] + score[:, t + 1]
-            here = np.logaddexp(there[:, 0, None] + step[:, 0], there[:, 1, None] + step[:, 1])
-            behind[:, t] = np.where(real[:, t + 1, None], here, 0)
-        mark = np.exp(np.minimum(ahead + behind - whole[:, None, None], 0)) * real[:, :, None]
-        truth = np.zeros_like(mark)
-        truth[np.arange(n), :, y] = real
-        g_emit = np.einsum("ntf,ntl,n->fl", x, truth - mark, weight) - l2 * emit
-        g_step = -l2 * step
-        for t in range(1, longest):
-            on = real[:, t]
-            pair = ahead[on, t - 1, :, None] + step + (score[on, t] + behind[on, t])[:, None, :] - whole[on, None, None]
-            g_step -= (np.exp(np.minimum(pair, 0)) * weight[on, None, None]).sum(0)
-            np.add.at(g_step, (y[on], y[on]), weight[on])
+        free, free_steps = marginals(score, step, first, int(sizes.max()))
+        told, told_steps = marginals(score + known, step, first, int(sizes.max()))
+        g_emit = x.T @ ((told - free) * weight[:, None]) - l2 * emit
+        g_step = ((told_steps - free_steps) * weight[:, None, None]).sum(0) - l2_step * step
         for k, (at, g) in enumerate(((emit, g_emit), (step, g_step))):
             m, v = moment[2 * k], moment[2 * k + 1]
             m += 0.1 * (g - m)
@@ -171,8 +206,8 @@ def fit(documents: list[tuple[np.ndarray, int]], steps: int = 80, rate: float =
     return Crf(emit, step)
 
 
-def fitted(documents: DataFrame, labels: DataFrame | None, *, key: str = "doc_id", text: str = "text", quality: str = "quality", fit_rows: int = 1500, fit_lines: int = 128) -> Crf:
-    """A CRF from about ``fit_rows`` labelled documents, chosen by a hash of their key, and the first ``fit_lines`` lines of each."""
+def fitted(documents: DataFrame, labels: DataFrame | None, *, key: str = "doc_id", text: str = "text", quality: str = "quality", fit_rows: int = 1500) -> Crf:
+    """A CRF from all lines of about ``fit_rows`` labelled documents, chosen by a hash of their key."""
     if labels is None:
         return Crf.empty()
     known = labels.where(F.col(quality).isin(0, 1)).select(key, F.col(quality).cast("int").alias("_label"))
@@ -184,16 +219,16 @@ def fitted(documents: DataFrame, labels: DataFrame | None, *, key: str = "doc_id
     def lines(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in common.sliced(batches):
             for label, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 *_, rows, again = base_counts(t)
-                x, _ = features(rows[:fit_lines], again[:fit_lines])
+                x, _ = features(rows, again)
                 yield pa.RecordBatch.from_arrays([pa.array([label], pa.int32()), pa.array([x.astype("<f4").tobytes()])], ["label", "x"])
 
-    common.small_batches(documents.sparkSession)
-    rows = documents.select(key, F.col(text).alias("_text")).join(known, key).select("_label", "_text").mapInArrow(lines, "label int, x binary").collect()
+    with common.batches_of(documents.sparkSession):
+        rows = documents.select(key, F.col(text).alias("_text")).join(known, key).select("_label", "_text").mapInArrow(lines, "label int, x binary").collect()
     rows = sorted((r["label"], bytes(r["x"])) for r in rows)
-    return fit([(np.frombuffer(x, "<f4").reshape(-1, FEATURES).astype(float), label) for label, x in rows if x])
+    return fit([(np.frombuffer(x, "<f4").reshape(-1, FEATURES).astype(float), label) for label, x in rows])
 
 
 def judge(documents: DataFrame, crf: Crf, *, key: str = "doc_id", text: str = "text", share: float = 0.5, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -204,14 +239,13 @@ def judge(documents: DataFrame, crf: Crf, *, key: str = "doc_id", text: str = "t
     """
     import pyarrow as pa
 
-    common.small_batches(documents.sparkSession)
     emit, step = crf.emit, crf.step
     columns = [key, *[c for c in keep if c != key]]
     count = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
     def run(batches):
         own = Crf(emit, step)
-        for batch in batches:
+        for batch in common.sliced(batches):
             out: list[list] = [[] for _ in range(9)]
             for t in batch.column("_text").to_pylist():
                 *numbers, lines, again = base_counts(t)
