@@ -141,13 +141,11 @@ class Scorer:
                 found.add(word)
         out = []
         if found:
-            marked = [any(q in w for q in QUOTES) for w in words]
+            quoted = quotations(words)
             for k, word in enumerate(words):
                 if word in found:
                     weight, misspelled = known[word]
-                    left = word[:1] in QUOTES or any(marked[max(0, k - CONTEXT) : k])
-                    right = word.rstrip(".,;:!?")[-1:] in QUOTES or any(marked[k + 1 : k + 1 + CONTEXT])
-                    out.append((k, weight, misspelled, left and right))
+                    out.append((k, weight, misspelled, quoted is not None and quoted[k]))
         return out, len(words)
 
     def features(self, text: str | None) -> list[float]:
@@ -180,9 +178,28 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), len(hits)
 
 
+def quotations(words: list[str]) -> list[bool] | None:
+    """Which words have quotation marks on both sides within the context window; None where no word has a mark."""
+    marks = [k for k, w in enumerate(words) if any(q in w for q in QUOTES)]
+    if not marks:
+        return None
+    left, right = [False] * len(words), [False] * len(words)
+    for k in marks:
+        for near in range(k + 1, min(k + 1 + CONTEXT, len(words))):
+            left[near] = True
+        for near in range(max(0, k - CONTEXT), k):
+            right[near] = True
+        left[k] |= words[k][:1] in QUOTES
+        right[k] |= words[k].rstrip(".,;:!?")[-1:] in QUOTES
+    return [a and b for a, b in zip(left, right, strict=True)]
+
+
 def _candidates(text: str | None) -> set[tuple[str, int]]:
-    """Words of a text as (word, 0), and the beginnings of its longer words as (stem, 1)."""
-    words = {w for w in (x.strip(PUNCTUATION) for x in set((text or "").lower().split())) if w}
+    """Words that a text uses unquoted somewhere, as (word, 0), and the beginnings of the longer ones as (stem, 1)."""
+    used = (text or "").lower().split()
+    quoted = quotations(used)
+    plain = set(used) if quoted is None else {w for w, q in zip(used, quoted, strict=True) if not q}
+    words = {w for w in (x.strip(PUNCTUATION) for x in plain) if w}
     return {(w, 0) for w in words} | {(w[:n], 1) for w in words for n in STEMS if len(w) > n}
 
 
@@ -207,17 +224,17 @@ def regression(x: np.ndarray, y: np.ndarray, l2: float = 1e-3, turns: int = 30)
     return w
 
 
-def learn(documents: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", toxic: str = "toxic", fit_rows: int = 12_000, least: int = 4, purity: float = 100.0, most_terms: int = 2_000) -> Model:
+def learn(documents: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", toxic: str = "toxic", fit_rows: int = 12_000, least: int = 4, purity: float = 5.0) -> Model:
     """Lexicon and weights from about ``fit_rows`` labelled rows, chosen by a hash of their key; equal texts count once.
 
-    A term or stem needs ``least`` toxic texts, a share among them ``purity`` times that among
-    the others, and a log-likelihood ratio that chance seldom reaches among so many candidates;
-    the ``most_terms`` with the most toxic texts make the lexicon.
+    A term or stem needs ``least`` toxic texts that use it unquoted, a share among them ``purity``
+    times that among the others, and a log-likelihood ratio that chance seldom reaches among so
+    many candidates. Quoted use doesn't count for the lexicon, on either side; what it means for
+    a text is left to the regression.
     """
     import pyarrow as pa
 
     spark = documents.sparkSession
-    common.small_batches(spark)
     known = labels.where(F.col(toxic).isin(0, 1)).select(key, F.col(toxic).cast("int").alias("_toxic"))
     total = known.count()
     if not total:
@@ -251,8 +268,8 @@ def learn(documents: DataFrame, labels: DataFrame, *, key: str = "doc_id", text:
     ratio = (F.col("toxic") / bad) / ((F.col("clean") + 0.5) / clean)
     chance = F.log(F.lit((clean + bad) / bad)) * F.col("toxic") * 2  # for terms that are all but absent elsewhere
     chance = chance + F.when(F.col("clean") > 0, 2 * F.col("toxic") * F.log(F.col("toxic") / (F.col("toxic") + F.col("clean"))) + 2 * F.col("clean") * F.log(F.col("clean") * (clean + bad) / (F.col("toxic") + F.col("clean")) / clean)).otherwise(0)
-    surely = chance >= 2 * math.log(200 * (clean + bad)) + 4
-    best = counted.where((F.col("kind") < 2) & (ratio >= purity) & surely).withColumn("ratio", ratio).orderBy(F.desc("toxic"), "word", "kind").limit(most_terms).collect()
+    surely = chance >= 2 * math.log(200 * (clean + bad)) + 16
+    best = counted.where((F.col("kind") < 2) & (ratio >= purity) & surely).withColumn("ratio", ratio).collect()  # terms of the bounded sample
     stems = _stems({r["word"]: (r["toxic"], math.log(r["ratio"])) for r in best if r["kind"] == 1}, {r["word"]: r["toxic"] for r in best if r["kind"] == 0})
     terms = {r["word"]: math.log(r["ratio"]) for r in best if r["kind"] == 0}
     model = Model(terms, stems)
@@ -263,7 +280,8 @@ def learn(documents: DataFrame, labels: DataFrame, *, key: str = "doc_id", text:
             x = [scorer.features(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], ["y", "x"])
 
-    found = sample.mapInArrow(rows_of, "y int, x array<double>").groupBy("y", "x").agg(F.count("*").alias("n")).collect()
+    with common.batches_of(spark):
+        found = sample.mapInArrow(rows_of, "y int, x array<double>").groupBy("y", "x").agg(F.count("*").alias("n")).collect()
     found = sorted((r["y"], tuple(r["x"]), r["n"]) for r in found)
     x = np.repeat(np.array([f[1] for f in found]), [f[2] for f in found], axis=0)
     y = np.repeat(np.array([f[0] for f in found], float), [f[2] for f in found])
@@ -275,12 +293,11 @@ def score(documents: DataFrame, model: Model, *, key: str = "doc_id", text: str
     """Score of every text: key, the columns of ``also``, score, predicted, n_hits."""
     import pyarrow as pa
 
-    common.small_batches(documents.sparkSession)
     kept = [key, *(also or {})]
 
     def run(batches):
         scorer = Scorer(model)
-        for batch in batches:
+        for batch in common.sliced(batches):
             both = [scorer.score(t) for t in batch.column("_text").to_pylist()]
             scores = [s for s, _ in both]
             yield pa.RecordBatch.from_arrays(
