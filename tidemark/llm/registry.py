@@ -1,4 +1,8 @@
-"""The queries ``op1_...`` to ``op10_...``: each operator over its whole table, with its digest columns."""
+"""The queries ``op1_...`` to ``op10_...``: each operator over its whole table, with its digest columns.
+
+A query's result is a written table: it is made under settings that bound what Python gets at
+once, and the session has its own settings again when the query returns.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import interpolated_lm, jaccard_join, language_id, merge_replay, packing, quality_crf, tool_calls, toxicity, url_filter, vector_dedup
-from tidemark.llm.common import fold, table
+from tidemark.llm.common import fold, stored, table
 
 RULES = [
     url_filter.Rule("com/en/", "block"),
@@ -20,30 +24,29 @@ LENGTH = 2048
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.filter_urls(table(spark, sf_dir, "pages"), RULES)
+    return stored(url_filter.filter_urls(table(spark, sf_dir, "pages"), RULES), "op1", rows=10_000)
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ranks of ``byte_bpe_50k.tiktoken`` are the vocabulary of ``byte_bpe_50k.json``; a test compares their ids."""
-    from tidemark.llm.common import stored
-
     pieces = packing.pieces_of(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, length=LENGTH)
-    return packing.pack(stored(pieces, "pieces"), length=LENGTH)
+    return packing.pack(pieces, length=LENGTH)
 
 
 def op3_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge_replay.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=False, digests=True)
+    encoded = merge_replay.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=False, digests=True)
+    return stored(encoded, "op3")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = toxicity.learn(documents, table(spark, sf_dir, "labels").where(fold("doc_id", 4) != 2))
-    return toxicity.score(documents, model, also={"held_out": fold("doc_id", 4) == 2})
+    return stored(toxicity.score(documents, model, also={"held_out": fold("doc_id", 4) == 2}), "op4")
 
 
 def op5_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    return quality_crf.judge(documents, quality_crf.fitted(documents, table(spark, sf_dir, "labels")))
+    return stored(quality_crf.judge(documents, quality_crf.fitted(documents, table(spark, sf_dir, "labels"))), "op5")
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,13 +56,14 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     prototypes = language_id.learn(documents.where(fold("doc_id", 5) != 0))
-    return language_id.predict(documents, prototypes, also={"held_out": fold("doc_id", 5) == 0})
+    return stored(language_id.predict(documents, prototypes, also={"held_out": fold("doc_id", 5) == 0}), "op7")
 
 
 def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations read as tool use: a user's turn calls ``reply``, and the next turn, if the assistant's, is its result.
 
-    The identifier is ``conv_id:turn`` of the call; a call needs the one two turns before it.
+    The identifier is ``conv_id:turn`` of the call; a call needs the one two turns before it. All
+    other turns are messages of their own.
     """
     turns = table(spark, sf_dir, "conversations")
     ident = lambda back: F.concat_ws(":", F.col("conv_id").cast("string"), (F.col("turn") - back).cast("string"))
@@ -73,13 +77,7 @@ def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     results = turns.where("role = 'assistant'").select("conv_id", ident(1).alias("call_id"), F.col("turn").alias("position"), F.col("text").alias("content"))
     out = tool_calls.link(calls, results, {"reply": {"text": ("string", True), "turn": ("number", True)}})
-    return out.withColumn("errors", F.array_join("errors", ","))
-
-
-def op8_all_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of ``op8_tool_calls`` and a row for each turn it leaves out: those of the system, other roles and none."""
-    turns = table(spark, sf_dir, "conversations")
-    return _with_other_turns(op8_tool_calls(spark, sf_dir), turns)
+    return _with_other_turns(out.withColumn("errors", F.array_join("errors", ",")), turns)
 
 
 def _with_other_turns(linked: DataFrame, turns: DataFrame) -> DataFrame:
@@ -107,7 +105,7 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_url_filter, op2_best_fit_packing, op3_merge_replay, op4_toxicity, op5_quality_crf, op6_jaccard_join, op7_language_id, op8_tool_calls, op8_all_turns, op9_interpolated_lm, op10_vector_dedup)
+    for f in (op1_url_filter, op2_best_fit_packing, op3_merge_replay, op4_toxicity, op5_quality_crf, op6_jaccard_join, op7_language_id, op8_tool_calls, op9_interpolated_lm, op10_vector_dedup)
 }
 
 ORACLE_SQL = {
@@ -128,12 +126,9 @@ SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id)
     CASE WHEN c.call_id IS NOT NULL THEN '"name":"reply"' END,
     '"result":' || CAST(to_json(r.one.c) AS VARCHAR)) || '}' AS message
 FROM c FULL OUTER JOIN r ON c.conv_id = r.conv_id AND c.call_id = r.call_id LEFT JOIN l ON l.call_id = c.call_id
-""",
-}
-
-ORACLE_SQL["op8_all_turns"] = ORACLE_SQL["op8_tool_calls"] + """
 UNION ALL
 SELECT conv_id, NULL, turn, NULL, CASE WHEN role IS NULL THEN 'no_role' WHEN role = 'system' THEN 'system' ELSE 'other_role' END, 0, '',
   '{' || concat_ws(',', '"role":' || CAST(to_json(role) AS VARCHAR), '"text":' || CAST(to_json(text) AS VARCHAR)) || '}'
 FROM conversations WHERE coalesce(role NOT IN ('user', 'assistant'), true)
-"""
+""",
+}

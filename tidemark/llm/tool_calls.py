@@ -25,17 +25,17 @@ from tidemark.llm import common
 JSON_TYPES = {"string": "STRING", "number": "BIGINT|DECIMAL|DOUBLE", "boolean": "BOOLEAN", "object": "OBJECT", "array": "ARRAY"}
 
 
-def _chains(single: DataFrame) -> DataFrame:
+def _chains(single: DataFrame, tmp: common.Scratch) -> DataFrame:
     """Ends of chains of nodes that need one other each: node, end, steps; ``end`` is null on or behind a cycle.
 
     Pointers double their reach in each round, so a chain costs rounds by the logarithm of its length.
     """
-    most = max(1, single.count()).bit_length() + 1
-    reach = common.stored(single.select("node", F.col("needs").alias("end"), F.lit(1).cast("long").alias("steps"), F.lit(True).alias("moved")), "call-chains")
+    reach = tmp.stored(single.select("node", F.col("needs").alias("end"), F.lit(1).cast("long").alias("steps"), F.lit(True).alias("moved")), "call-chains")
+    most = max(1, reach.count()).bit_length() + 1
     for _ in range(most):
         on = reach.select(F.col("node").alias("end"), F.col("end").alias("further"), F.col("steps").alias("more"))
-        longer = common.stored(reach.drop("moved").join(on, "end", "left").select("node", F.coalesce("further", "end").alias("end"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"), F.col("further").isNotNull().alias("moved")), "call-chains")
-        common.forget(reach)
+        longer = tmp.stored(reach.drop("moved").join(on.hint("shuffle_hash"), "end", "left").select("node", F.coalesce("further", "end").alias("end"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"), F.col("further").isNotNull().alias("moved")), "call-chains")
+        tmp.drop(reach)
         reach = longer
         if reach.where("moved").isEmpty():
             break
@@ -43,30 +43,35 @@ def _chains(single: DataFrame) -> DataFrame:
 
 
 def levels(edges: DataFrame) -> DataFrame:
-    """Topological levels above 0: node, level; nodes on or behind a cycle get null.
+    """Topological levels above 0: node, level, as a written table; nodes on or behind a cycle get null.
 
-    ``edges``: node, needs. Chains of nodes with one need each are cut short first; then rounds
-    give a level to the nodes with several needs all of whose needs have one.
+    ``edges``: node, needs. Chains of nodes with one need each are cut short first, whatever their
+    length; then rounds give a level to the nodes with several needs all of whose needs have one,
+    so rounds go by the number of such nodes on a path.
     """
-    edges = common.stored(edges.where(F.col("node").isNotNull() & F.col("needs").isNotNull()).distinct(), "call-edges")
-    several = common.stored(edges.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node"), "call-several")
-    chains = _chains(edges.join(several, "node", "left_anti"))
-    short = chains.select(F.col("node").alias("needs"), F.col("end"), F.col("steps"), F.lit(True).alias("_c"))
-    waits = edges.join(several, "node", "left_semi").join(short, "needs", "left")
-    waits = waits.select("node", F.when(F.col("_c").isNull(), F.col("needs")).otherwise(F.col("end")).alias("end"), (F.coalesce("steps", F.lit(0)) + 1).alias("steps"))
-    waits = common.stored(waits.join(several.select(F.col("node").alias("end"), F.lit(True).alias("_wait")), "end", "left"), "call-waits")
-    known, found = None, several.where("false").withColumn("level", F.lit(0).cast("long"))
-    while not several.isEmpty():
-        base = F.when(F.col("end").isNotNull(), F.when(F.col("_wait").isNull(), F.lit(0)).otherwise(F.col("level")))
-        ready = waits.join(found.select(F.col("node").alias("end"), "level"), "end", "left").groupBy("node").agg(F.max(base + F.col("steps")).alias("level"), F.bool_and(base.isNotNull()).alias("all")).where("all").drop("all")
-        found = common.stored(ready, "call-levels")
-        if (n := found.count()) == known:
-            break
-        known = n
-    of_several = several.join(found, "node", "left")
-    ends = of_several.select(F.col("node").alias("end"), "level", F.lit(True).alias("_s"))
-    of_chains = chains.join(ends, "end", "left").select("node", F.when(F.col("end").isNotNull(), F.when(F.col("_s").isNull(), F.lit(0)).otherwise(F.col("level")) + F.col("steps")).alias("level"))
-    return common.stored(of_several.select("node", "level").unionByName(of_chains), "call-level")
+    with common.Scratch() as tmp:
+        edges = edges.where(F.col("node").isNotNull() & F.col("needs").isNotNull())
+        ends_of = tmp.stored(edges.groupBy("node").agg(F.min("needs").alias("needs"), F.max("needs").alias("other")), "call-ends")
+        several = ends_of.where("needs <> other").select("node")
+        chains = _chains(ends_of.where("needs = other").select("node", "needs"), tmp)
+        if several.isEmpty():
+            return common.stored(chains.select("node", F.when(F.col("end").isNotNull(), F.col("steps")).alias("level")), "call-level")
+        short = chains.select(F.col("node").alias("needs"), F.col("end"), F.col("steps"), F.lit(True).alias("_c"))
+        waits = edges.join(several, "node", "left_semi").distinct().join(short, "needs", "left")
+        waits = waits.select("node", F.when(F.col("_c").isNull(), F.col("needs")).otherwise(F.col("end")).alias("end"), (F.coalesce("steps", F.lit(0)) + 1).alias("steps"))
+        waits = tmp.stored(waits.join(several.select(F.col("node").alias("end"), F.lit(True).alias("_wait")), "end", "left"), "call-waits")
+        known, found = None, several.where("false").withColumn("level", F.lit(0).cast("long"))
+        while True:
+            base = F.when(F.col("end").isNotNull(), F.when(F.col("_wait").isNull(), F.lit(0)).otherwise(F.col("level")))
+            ready = waits.join(found.select(F.col("node").alias("end"), "level"), "end", "left").groupBy("node").agg(F.max(base + F.col("steps")).alias("level"), F.bool_and(base.isNotNull()).alias("all")).where("all").drop("all")
+            found = tmp.stored(ready, "call-levels")
+            if (n := found.count()) == known:
+                break
+            known = n
+        of_several = several.join(found, "node", "left")
+        ends = of_several.select(F.col("node").alias("end"), "level", F.lit(True).alias("_s"))
+        of_chains = chains.join(ends, "end", "left").select("node", F.when(F.col("end").isNotNull(), F.when(F.col("_s").isNull(), F.lit(0)).otherwise(F.col("level")) + F.col("steps")).alias("level"))
+        return common.stored(of_several.select("node", "level").unionByName(of_chains), "call-level")
 
 
 def argument_errors(arguments: Column, schema: dict[str, tuple[str, bool]]) -> Column:
@@ -106,16 +111,17 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict[str, tupl
     ``calls``: conv_id, call_id, position, name, arguments (JSON text), needs (array of call_id).
     ``results``: conv_id, call_id, position, content. Gives conv_id, call_id, position, level,
     status (linked, no_result, early_result, orphan_result, invalid_arguments, unknown_tool,
-    cyclic), n_results, errors, message (canonical JSON: sorted names, no spaces).
+    cyclic), n_results, errors, message (canonical JSON: sorted names, no spaces), as a written table.
     """
     call = calls.select("conv_id", "call_id", "position", "name", "arguments", "needs")
     node = F.struct("conv_id", "call_id")
     known = call.select("conv_id", F.col("call_id").alias("needed")).distinct()
-    wants = call.select("conv_id", "call_id", F.explode("needs").alias("needed")).join(known, ["conv_id", "needed"], "left_semi")
-    found = levels(wants.select(node.alias("node"), F.struct("conv_id", F.col("needed").alias("call_id")).alias("needs")))
-    found = found.select(F.col("node.conv_id").alias("conv_id"), F.col("node.call_id").alias("call_id"), F.coalesce("level", F.lit(-1)).alias("_level"))
+    wants = call.where(F.col("call_id").isNotNull()).select("conv_id", "call_id", F.explode("needs").alias("needed")).join(known.hint("shuffle_hash"), ["conv_id", "needed"], "left_semi")
+    ordered = levels(wants.select(node.alias("node"), F.struct("conv_id", F.col("needed").alias("call_id")).alias("needs")))
+    found = ordered.select(F.col("node.conv_id").alias("conv_id"), F.col("node.call_id").alias("call_id"), F.coalesce("level", F.lit(-1)).alias("_level"))
+    # one row for each identifier on the built sides, so that no hash table holds a group
     first = results.groupBy("conv_id", "call_id").agg(F.min(F.struct("position", "content")).alias("_r"), F.count("*").alias("_n"))
-    joined = call.withColumn("_call", F.lit(True)).join(first, ["conv_id", "call_id"], "full_outer").join(found, ["conv_id", "call_id"], "left")
+    joined = call.withColumn("_call", F.lit(True)).join(first.hint("shuffle_hash"), ["conv_id", "call_id"], "full_outer").join(found.hint("shuffle_hash"), ["conv_id", "call_id"], "left")
     is_call = F.col("_call").isNotNull()
     errors, unknown = F.array().cast("array<string>"), F.lit(True)
     for name, schema in sorted(schemas.items()):
@@ -136,4 +142,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict[str, tupl
     rest = F.to_json(F.struct(F.col("call_id").alias("id"), "name", F.col("_r.content").alias("result")))
     after = F.when(rest == "{}", "}").otherwise(F.concat(F.lit(","), F.substr(rest, F.lit(2))))
     message = F.when(F.col("_args").isNull(), rest).otherwise(F.concat(F.lit('{"arguments":'), F.col("_args"), after))
-    return out.select("conv_id", "call_id", F.coalesce("position", "_r.position").alias("position"), F.col("level").cast("int").alias("level"), "status", F.col("n_results").cast("long").alias("n_results"), "errors", message.alias("message"))
+    linked = out.select("conv_id", "call_id", F.coalesce("position", "_r.position").alias("position"), F.col("level").cast("int").alias("level"), "status", F.col("n_results").cast("long").alias("n_results"), "errors", message.alias("message"))
+    done = common.stored(linked, "linked")
+    common.forget(ordered)
+    return done
