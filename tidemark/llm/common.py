@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,8 @@ from pyspark.sql import functions as F
 #: Bytes that end a word: space and the ASCII controls 9 to 13 (fixed values).
 WORD_BREAKS = b" \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Rows that Python code gets at once where an action is the library's own.
+BATCH_ROWS = 500
 LOWER_BYTES = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -23,31 +27,69 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset, as in
-    tests on one machine, a temporary folder is set as the checkpoint folder.
+    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset and all runs on
+    one machine, as in tests, a temporary folder is set as the checkpoint folder.
     """
     context = spark.sparkContext
     if (found := context.getCheckpointDir()) is None:
         named = spark.conf.get("spark.checkpoint.dir", "")
+        if not named and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidemark-"))
         found = context.getCheckpointDir()
     return found
 
 
-def stored(frame: DataFrame, what: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back: cuts lineage and survives lost executors."""
+@contextmanager
+def settings(spark: SparkSession, **to: str) -> Iterator[None]:
+    """Session settings for the actions inside, put back afterwards; ``__`` in a name stands for a dot."""
+    names = {k.replace("__", "."): v for k, v in to.items()}
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def batches_of(spark: SparkSession, rows: int = BATCH_ROWS):
+    """Actions inside hand Python at most so many rows at once: long texts of many rows would else meet in one buffer."""
+    return settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=str(rows))
+
+
+def sliced(batches: Iterator, rows: int = BATCH_ROWS) -> Iterator:
+    """Record batches in parts of at most ``rows`` rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def stored(frame: DataFrame, what: str, rows: int = BATCH_ROWS) -> DataFrame:
+    """Write a frame to the shared folder and read it back: cuts lineage and survives lost executors.
+
+    Its shuffles are freed, as they aren't read again; ``rows`` bounds the batches its Python code gets.
+    """
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
-    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")  # once written, its shuffles aren't read again
-    try:
+    with batches_of(spark, rows), settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
         frame.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.unset("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
     back = spark.read.schema(frame.schema).parquet(path)
     back._tidemark_path = path
     return back
 
 
+def is_written(frame: DataFrame) -> bool:
+    """Whether a frame is a table that ``stored`` wrote."""
+    return hasattr(frame, "_tidemark_path")
+
+
+def written(frame: DataFrame, what: str) -> DataFrame:
+    """The frame, stored unless it is a written table already."""
+    return frame if is_written(frame) else stored(frame, what)
+
+
 def forget(*frames: DataFrame) -> None:
     """Delete what ``stored`` wrote, once no later step reads it."""
     for frame in frames:
@@ -56,9 +98,26 @@ def forget(*frames: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound an Arrow batch: long texts of many rows would else meet in one Python buffer."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+class Scratch:
+    """Tables written on the way to a result; all are deleted at the end of the ``with`` block, by when the result must be written."""
+
+    def __init__(self) -> None:
+        self.frames: list[DataFrame] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        forget(*self.frames)
+
+    def stored(self, frame: DataFrame, what: str, rows: int = BATCH_ROWS) -> DataFrame:
+        self.frames.append(stored(frame, what, rows))
+        return self.frames[-1]
+
+    def drop(self, *frames: DataFrame) -> None:
+        """Delete some before the others."""
+        forget(*frames)
+        self.frames = [f for f in self.frames if not any(f is g for g in frames)]
 
 
 def fold_of(doc_id, folds: int) -> int:

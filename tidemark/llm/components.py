@@ -59,41 +59,44 @@ def _finish(batches):
 
 
 def _jumped(hooks: DataFrame) -> DataFrame:
-    """Follow hooks to their ends: node, root. Hooks lead to smaller nodes, so there is no cycle."""
+    """Follow hooks to their ends: node, root, as a written table. Hooks lead to smaller nodes, so there is no cycle."""
+    hooks = common.stored(hooks, "hooks")
     while True:
         onward = hooks.select(F.col("node").alias("root"), F.col("root").alias("further"))
         longer = common.stored(hooks.join(onward, "root", "left").select("node", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("_moved")), "hooks")
-        if longer.where("_moved").isEmpty():
-            return longer.drop("_moved")
-        hooks = longer.drop("_moved")
+        common.forget(hooks)
+        hooks = longer
+        if hooks.where("_moved").isEmpty():
+            return hooks
+        path, hooks = hooks._tidemark_path, hooks.drop("_moved")
+        hooks._tidemark_path = path
 
 
 def connected(edges: DataFrame, *, finish_rows: int = 1 << 18) -> DataFrame:
-    """Smallest node that each node reaches: node, root, for every node that has an edge.
+    """Smallest node that each node reaches: node, root, for every node that has an edge; a written table.
 
     ``edges``: columns a and b, 64-bit integers. Repeated edges and loops do no harm; a node
     with a loop alone is its own root.
     """
-    left = common.stored(edges.select("a", "b").distinct(), "edges")
-    nodes = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
-    labels = None  # node, root: what earlier rounds have merged
-    while True:
-        if left.count() <= finish_rows:
-            roots = left.repartition(1).mapInArrow(_finish, "node long, root long")
-            if labels is None:
-                return common.stored(roots, "components")
-            break
-        both = left.where("a <> b").select("a", "b").union(left.where("a <> b").select("b", "a"))
-        hooks = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")).where("root < node")
-        roots = _jumped(common.stored(hooks, "hooks"))
-        labels = _renamed(nodes.withColumn("root", F.col("node")) if labels is None else labels, roots)
-        at = lambda side: F.coalesce(F.col(f"r{side}.root"), F.col(side))
-        joined = left.join(roots.alias("ra"), F.col("a") == F.col("ra.node"), "left").join(roots.alias("rb"), F.col("b") == F.col("rb.node"), "left")
-        renamed = joined.select(at("a").alias("a"), at("b").alias("b")).where("a <> b")
-        left = common.stored(renamed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-    return _renamed(labels, roots)
+    with common.Scratch() as tmp:
+        left = tmp.stored(edges.select("a", "b").distinct(), "edges")
+        nodes = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
+        labels = None  # node, root: what earlier rounds have merged
+        while left.count() > finish_rows:
+            both = left.where("a <> b").select("a", "b").union(left.where("a <> b").select("b", "a"))
+            hooks = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")).where("root < node")
+            roots = _jumped(hooks)
+            tmp.frames.append(roots)
+            roots = roots.select("node", "root")
+            labels = tmp.stored(_renamed(nodes.withColumn("root", F.col("node")) if labels is None else labels, roots), "labels")
+            at = lambda side: F.coalesce(F.col(f"r{side}.root"), F.col(side))  # noqa: B023, E731
+            joined = left.join(roots.alias("ra"), F.col("a") == F.col("ra.node"), "left").join(roots.alias("rb"), F.col("b") == F.col("rb.node"), "left")
+            renamed = joined.select(at("a").alias("a"), at("b").alias("b")).where("a <> b")
+            left = tmp.stored(renamed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+        roots = left.repartition(1).mapInArrow(_finish, "node long, root long")
+        return common.stored(roots if labels is None else _renamed(labels, roots), "components")
 
 
 def _renamed(labels: DataFrame, roots: DataFrame) -> DataFrame:
     onto = roots.select(F.col("node").alias("root"), F.col("root").alias("_to"))
-    return common.stored(labels.join(onto, "root", "left").select("node", F.coalesce("_to", "root").alias("root")), "labels")
+    return labels.join(onto, "root", "left").select("node", F.coalesce("_to", "root").alias("root"))

@@ -102,7 +102,7 @@ def _blocks(slices: int, block_tokens: int):
                     span = slice(at, at + 256)
                     yield pa.RecordBatch.from_arrays([pa.array(a[span], pa.int64()), pa.array(b[span], pa.int32()), pa.array(c[span], pa.int32()), pa.array(d[span], pa.binary())], ["block", "kind", "slice", "data"])
 
-        for batch in batches:
+        for batch in common.sliced(batches):
             for i, t, own in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 t = None if t is None else t.encode("utf-8", "surrogatepass")
                 ids.append(i)
@@ -247,29 +247,30 @@ def _held_out(tokens: int):
     return run
 
 
-def score_texts(documents: DataFrame, train: Column, *, key: str = "doc_id", text: str = "text", block_tokens: int = 1 << 20, rows_per_slice: int = 1000) -> DataFrame:
+def score_texts(documents: DataFrame, train: Column, *, key: str = "doc_id", text: str = "text", block_tokens: int = 1 << 20, rows_per_slice: int = 4000) -> DataFrame:
     """Score every text with a model of the rows where ``train`` holds.
 
-    Gives key, held_out, n_tokens, n_known, train_tokens, base_score, score; keys are integers.
+    Gives key, held_out, n_tokens, n_known, train_tokens, base_score, score, as a written table;
+    keys are integers. The number of partitions follows that of slices, so what a task reads
+    doesn't grow with the input.
     """
     import pyarrow as pa
 
     spark = documents.sparkSession
-    common.small_batches(spark)
     slices = 1 << max(4, int(np.ceil(np.log2(max(1, documents.count() / rows_per_slice)))))
+    parts = 2 * slices
     given = documents.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     sent = given.mapInArrow(_blocks(slices, block_tokens), "block long, kind int, slice int, data binary")
-    common.small_batches(spark, 16)
     place = F.when(F.col("kind") == TEXT, F.pmod(F.xxhash64("block"), F.lit(1 << 31))).otherwise(F.shiftleft(F.col("kind").cast("long"), 32).bitwiseOR(F.col("slice").cast("long")))
-    sent = sent.select(place.alias("place"), "block", "data").repartition("place").sortWithinPartitions("place")
-    answered = common.stored(sent.mapInArrow(_answers, "block long, kind int, slice int, data binary, tokens long, kinds long"), "lm-answers")
+    sent = sent.select(place.alias("place"), "block", "data").repartition(parts, "place").sortWithinPartitions("place")
+    answered = common.stored(sent.mapInArrow(_answers, "block long, kind int, slice int, data binary, tokens long, kinds long"), "lm-answers", rows=16)
     found = answered.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n"), F.coalesce(F.sum("kinds"), F.lit(0)).alias("v")).first()
     tokens, kinds = found["n"], found["v"]
-    common.small_batches(spark, 64)
-    merged = common.stored(answered.select("block", "kind", "slice", "data").repartition("block").sortWithinPartitions("block").mapInArrow(_merged, "block long, text binary, counts binary"), "lm-blocks")
+    by_block = answered.select("block", "kind", "slice", "data").repartition(parts, "block").sortWithinPartitions("block")
+    merged = common.stored(by_block.mapInArrow(_merged, "block long, text binary, counts binary"), "lm-blocks", rows=64)
     common.forget(answered)
-    common.small_batches(spark, 1)
-    cells = merged.select("text", "counts").mapInArrow(_held_out(tokens), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    with common.batches_of(spark, 1):  # a row is a block of texts
+        cells = merged.select("text", "counts").mapInArrow(_held_out(tokens), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
     uniform = 1 / (kinds + 1)
     weights = learn_weights([(c["cell"] >> 40, ((c["cell"] >> 20) & 0xFFFFF) - 1, (c["cell"] & 0xFFFFF) - 1, c["n"]) for c in cells], uniform)
 
@@ -287,5 +288,6 @@ def score_texts(documents: DataFrame, train: Column, *, key: str = "doc_id", tex
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     names = [key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    return merged.select("text", "counts").mapInArrow(run, f"`{key}` long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-
+    scored = common.stored(merged.select("text", "counts").mapInArrow(run, f"`{key}` long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"), "lm-scores", rows=1)
+    common.forget(merged)
+    return scored

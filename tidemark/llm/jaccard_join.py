@@ -5,8 +5,8 @@
    common, a set of n has its first n - ceil(t n) + 1 shingles as its prefix; two sets that
    reach the threshold t share the smallest of their common shingles in both prefixes. Sets
    meet where prefixes share a shingle; pairs whose sizes or bitmaps rule a link out are left
-   out, and the components of the rest are the groups: a link never leaves its group. The order need not be exact about what is rare, only the same
-   for all sets, so occurrences are counted in a table of ``COUNTERS`` cells by hash, whose size
+   out, and the components of the rest are the groups: a link never leaves its group. The order
+   need not be exact about what is rare, only the same for all sets, so occurrences are counted in a table of ``COUNTERS`` cells by hash, whose size
    doesn't depend on the data; a passage that many documents share so comes last in each.
 3. A group, or a pair of blocks of a large group, is one task's work. Its sets are sorted by
    size into the leaves of a signature tree, whose nodes hold the OR of their members' token
@@ -93,7 +93,9 @@ def commonness(documents: DataFrame, text: str, n: int, width: int = 1 << 16) ->
     kind = "range int, cells binary"
     sums = documents.select(text).mapInArrow(count, kind).repartition("range").sortWithinPartitions("range").mapInArrow(add, kind)
     out = np.zeros(COUNTERS, np.uint8)
-    for row in sums.collect():  # COUNTERS bytes in all
+    with common.batches_of(documents.sparkSession):
+        rows = sums.collect()  # COUNTERS bytes in all
+    for row in rows:
         out[row["range"] * width : (row["range"] + 1) * width] = np.frombuffer(row["cells"], np.uint8)
     return out
 
@@ -230,7 +232,7 @@ def _signed(documents: DataFrame, percent: int, cells, n: int, key: str, text: s
 
     def run(batches):
         words = Words()
-        for batch in batches:
+        for batch in common.sliced(batches):
             out: list[list] = [[], [], [], [], []]
             for t in batch.column(1).to_pylist():
                 hashes = shingles(t, n, words)
@@ -352,7 +354,7 @@ def _meetings(frame: DataFrame, slices: int, chunk: int = 1 << 21) -> DataFrame:
     return sent.repartition(spread).sortWithinPartitions("slice").mapInArrow(met, "a long, b long, sure boolean")
 
 
-def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _possible(pairs: DataFrame, sets: DataFrame, percent: int, tmp: common.Scratch) -> DataFrame:
     """The pairs a, b whose sizes and bitmaps leave a link possible. ``sets``: key, n_shingles, bits."""
     import pyarrow as pa
 
@@ -365,44 +367,50 @@ def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     sizes = lambda k: sets.select(F.col("key").alias(k), F.col("n_shingles").alias(f"n{k}"))
     small, large = F.least("na", "nb"), F.greatest("na", "nb")
     sized = pairs.distinct().join(sizes("a"), "a").join(sizes("b"), "b").where(100 * small >= percent * large)
-    sized = common.stored(sized.select("a", "b", "na", "nb"), "sized")
-    wanted = common.stored(sized.select(F.col("a").alias("key")).union(sized.select("b")).distinct(), "wanted")
+    sized = tmp.stored(sized.select("a", "b", "na", "nb"), "sized")
+    wanted = tmp.stored(sized.select(F.col("a").alias("key")).union(sized.select("b")).distinct(), "wanted")
     if wanted.count() <= 1 << 21:  # 16 MB at most; more are joined by a shuffle
         wanted = F.broadcast(wanted)
-    bits = common.stored(sets.select("key", "bits").join(wanted, "key", "left_semi"), "bits")
+    bits = tmp.stored(sets.select("key", "bits").join(wanted, "key", "left_semi"), "bits")
     side = lambda k: bits.select(F.col("key").alias(k), F.col("bits").alias(f"bits{k}"))
     both = sized.join(side("a"), "a").join(side("b"), "b")
     return both.select("a", "b", "na", "bitsa", "nb", "bitsb").mapInArrow(run, "a long, b long")
 
 
 def similar(documents: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = 3, percent: int = 90, block_rows: int = 1024, rows_per_slice: int = 1000) -> DataFrame:
-    """Components of the links of at least ``percent`` per cent Jaccard: key, n_shingles, component_id.
+    """Components of the links of at least ``percent`` per cent Jaccard: key, n_shingles, component_id; a written table.
 
     Keys are integers. ``block_rows`` bounds the sets of a block; a task holds two at most.
     """
+    with common.Scratch() as tmp:
+        return common.stored(_similar(documents, key, text, n, percent, block_rows, rows_per_slice, tmp), "similar")
+
+
+def _similar(documents: DataFrame, key: str, text: str, n: int, percent: int, block_rows: int, rows_per_slice: int, tmp: common.Scratch) -> DataFrame:
+    """The components; ``tmp`` holds what is written on the way."""
     import pyarrow as pa
 
     spark = documents.sparkSession
-    common.small_batches(spark, 500)
     cells = spark.sparkContext.broadcast(commonness(documents, text, n))  # COUNTERS bytes
-    signed = common.stored(_signed(documents, percent, cells, n, key, text), "signed")
+    signed = tmp.stored(_signed(documents, percent, cells, n, key, text), "signed")
     filled = signed.where("n_shingles > 0")
-    classes = common.stored(filled.groupBy("k1", "k2").agg(F.min("key").alias("first"), F.min("n_shingles").alias("size")), "classes")
-    copies = common.stored(filled.select("k1", "k2", "key").join(classes.select("k1", "k2", "first"), ["k1", "k2"]).where("key <> first").select("key").distinct(), "copies")
+    classes = tmp.stored(filled.groupBy("k1", "k2").agg(F.min("key").alias("first"), F.min("n_shingles").alias("size")), "classes")
+    copies = tmp.stored(filled.select("k1", "k2", "key").join(classes.select("k1", "k2", "first"), ["k1", "k2"]).where("key <> first").select("key").distinct(), "copies")
     if copies.count() <= 1 << 21:  # 16 MB at most; more are joined by a shuffle
         copies = F.broadcast(copies)
     reps = filled.join(copies, "key", "left_anti")
     slices = 1 << max(4, int(np.ceil(np.log2(max(1, signed.count() / rows_per_slice)))))
-    met = common.stored(_meetings(reps, slices).distinct(), "met")
-    meeting = connected(met.where("sure").select("a", "b").union(_possible(met.where("NOT sure").select("a", "b"), reps.select("key", "n_shingles", "bits"), percent)))
+    met = tmp.stored(_meetings(reps, slices).distinct(), "met")
+    meeting = connected(met.where("sure").select("a", "b").union(_possible(met.where("NOT sure").select("a", "b"), reps.select("key", "n_shingles", "bits"), percent, tmp)))
+    tmp.frames.append(meeting)
     # tasks: a whole group, or pairs of blocks of a large one
     sized = meeting.join(classes.select(F.col("first").alias("node"), "size").groupBy("node").agg(F.max("size").alias("size")), "node")
     counts = meeting.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    sized = common.stored(sized.join(counts, "root"), "groups")
+    sized = tmp.stored(sized.join(counts, "root"), "groups")
     step = 1.05
     bin_ = F.floor(F.log(F.col("size").cast("double")) / float(np.log(step))).cast("int")
     large = sized.where(F.col("n") > block_rows).withColumn("bin", bin_)
-    bins = common.stored(large.groupBy("root", "bin").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("slots")), "bins")
+    bins = tmp.stored(large.groupBy("root", "bin").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("slots")), "bins")
     reach = int(np.ceil(np.log(100 / percent) / np.log(step))) + 1
     one = bins.select("root", F.col("bin").alias("bin1"), F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot1"))
     two = bins.select("root", F.col("bin").alias("bin2"), F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot2")).withColumn("bin1", F.explode(F.sequence(F.col("bin2") - reach, F.col("bin2"))))
@@ -413,11 +421,11 @@ def similar(documents: DataFrame, *, key: str = "doc_id", text: str = "text", n:
     slots = large.join(bins, ["root", "bin"]).withColumn("slot", F.pmod(F.xxhash64("node", F.lit("slot")), F.col("slots")).cast("int"))
     assigned = slots.join(ends, ["root", "bin", "slot"]).select("node", "task", "side")
     whole = sized.where(F.col("n") <= block_rows).select("node", F.xxhash64("root").alias("task"), F.lit(None).cast("int").alias("side"))
-    assigned = common.stored(whole.unionByName(assigned), "assigned")
+    assigned = tmp.stored(whole.unionByName(assigned), "assigned")
 
     def sets_of(batches):
         words = Words()
-        for batch in batches:
+        for batch in common.sliced(batches):
             sets = [shingles(t, n, words).astype("<u8").tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "hashes"])
 
@@ -436,5 +444,6 @@ def similar(documents: DataFrame, *, key: str = "doc_id", text: str = "text", n:
 
     links = sets.select("task", "side", "node", "hashes").repartition("task").sortWithinPartitions("task").mapInArrow(joined, "a long, b long")
     linked = connected(links)
+    tmp.frames.append(linked)
     roots = classes.join(linked, F.col("first") == F.col("node"), "left").select("k1", "k2", F.coalesce("root", "first").alias("root"))
     return signed.join(roots, ["k1", "k2"], "left").select(F.col("key").alias(key), "n_shingles", F.coalesce(F.when(F.col("n_shingles") > 0, F.col("root")), F.col("key")).alias("component_id"))

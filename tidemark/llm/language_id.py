@@ -15,6 +15,8 @@ judged alike, extra columns are ignored, and an empty table gives an empty resul
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,10 +34,11 @@ def letter_vectors(seed: int = 7) -> np.ndarray:
     return np.random.default_rng(seed).choice(np.array([-1, 1], np.int8), (LETTERS, WIDTH))
 
 
+@lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
     """For each code point its letter's number: 0 for what isn't a letter."""
     to = np.zeros(0x110000, np.int16)
-    for point in range(0x30000):
+    for point in range(0x110000):
         c = chr(point)
         if c.isalpha():
             to[point] = 1 + (ord(c.lower()[0]) * 2654435761 >> 7) % (LETTERS - 1) if point > 0x24F else 1 + ord(c.lower()[0]) % (LETTERS - 1)
@@ -76,11 +79,15 @@ class Profiler:
         if not rows:
             return np.zeros((0, WIDTH), np.float32)
         every, place = np.unique(np.concatenate([g for g, _ in rows]), return_inverse=True)
-        counts = np.zeros((len(rows), len(every)), np.float32)
-        counts[np.repeat(np.arange(len(rows)), [len(g) for g, _ in rows]), place] = np.concatenate([c for _, c in rows])
+        owner = np.repeat(np.arange(len(rows)), [len(g) for g, _ in rows])
+        order = np.argsort(place, kind="stable")
+        place, owner, number = place[order], owner[order], np.concatenate([c for _, c in rows])[order]
         out = np.zeros((len(rows), WIDTH), np.float32)
-        for k in range(0, len(every), 4096):
-            out += counts[:, k : k + 4096] @ self.vectors(every[k : k + 4096]).astype(np.float32)
+        for k in range(0, len(every), 4096):  # a dense block of counts at a time, whatever the texts' lengths
+            some = slice(*np.searchsorted(place, (k, k + 4096)))
+            counts = np.zeros((len(rows), min(4096, len(every) - k)), np.float32)
+            counts[owner[some], place[some] - k] = number[some]
+            out += counts @ self.vectors(every[k : k + 4096]).astype(np.float32)
         return out
 
 
@@ -119,10 +126,10 @@ def learn(documents: DataFrame, *, text: str = "text", lang: str = "lang", seed:
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([total.tolist()], pa.list_(pa.float64()))], ["lang", "v"])
         sums.clear()
 
-    common.small_batches(documents.sparkSession, 250)
     parts = documents.where(F.col(lang).isNotNull()).select(lang, text).mapInArrow(run, "lang string, v array<double>")
     summed = parts.select("lang", F.posexplode("v").alias("at", "x")).groupBy("lang", "at").agg(F.sum("x").alias("x")).groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("at", "x"))).alias("v"))
-    return {r["lang"]: np.array([x["x"] for x in r["v"]]) for r in summed.collect()}
+    with common.batches_of(documents.sparkSession):
+        return {r["lang"]: np.array([x["x"] for x in r["v"]]) for r in summed.collect()}
 
 
 def predict(documents: DataFrame, prototypes: dict[str, np.ndarray], *, key: str = "doc_id", text: str = "text", seed: int = 7, also: dict[str, Column] | None = None) -> DataFrame:
@@ -135,7 +142,7 @@ def predict(documents: DataFrame, prototypes: dict[str, np.ndarray], *, key: str
 
     def run(batches):
         own = profiler(seed)
-        for batch in batches:
+        for batch in common.sliced(batches, 250):
             rows = [own.grams(t) for t in batch.column("_text").to_pylist()]
             said, score = [UND] * len(rows), [0.0] * len(rows)
             for k in range(0, len(rows), 125) if names else []:
@@ -147,7 +154,6 @@ def predict(documents: DataFrame, prototypes: dict[str, np.ndarray], *, key: str
                     said[j], score[j] = names[best], float(min(max(c[best], 0.0), 1.0))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(said, pa.string()), pa.array(score, pa.float64())], [*kept, "lang_pred", "score"])
 
-    common.small_batches(documents.sparkSession, 250)
     given = documents.select(key, *(c.alias(n) for n, c in (also or {}).items()), F.col(text).alias("_text"))
     schema = ", ".join(f"`{c}` {given.schema[c].dataType.simpleString()}" for c in kept) + ", lang_pred string, score double"
     return given.mapInArrow(run, schema)

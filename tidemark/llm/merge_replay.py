@@ -40,6 +40,7 @@ class MergeReplay:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self._by_pair: dict[int, int] = {}
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         pairs = {}
         for token, rank in ranks.items():
@@ -59,14 +60,26 @@ class MergeReplay:
         return np.where(self.keys[at] == key, self.merged[at], NONE)
 
     def _one(self, word: bytes) -> list[int]:
-        """One word by itself: the lowest rank first, the leftmost of equals."""
-        parts = [bytes([b]) for b in word]
-        while len(parts) > 1:
-            rank, at = min((self.ranks.get(parts[k] + parts[k + 1], NONE), k) for k in range(len(parts) - 1))
-            if rank == NONE:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [self.ranks[p] for p in parts]
+        """One word by itself: the lowest rank first, the leftmost of equals, from a heap of pairs."""
+        symbol: list[int] = self.single[np.frombuffer(word, np.uint8)].tolist()
+        n = len(symbol)
+        after, before = [*range(1, n), -1], [*range(-1, n - 1)]
+        merged = dict(zip(self.keys.tolist(), self.merged.tolist(), strict=True)) if not self._by_pair else self._by_pair
+        self._by_pair = merged
+        heap = [(rank, k) for k in range(n - 1) if (rank := merged.get(symbol[k] << 32 | symbol[k + 1])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            rank, k = heapq.heappop(heap)
+            nxt = after[k]
+            if nxt < 0 or symbol[k] < 0 or merged.get(symbol[k] << 32 | symbol[nxt]) != rank:
+                continue  # a part of it went into another merge
+            symbol[k], symbol[nxt], after[k] = rank, -1, after[nxt]
+            if after[nxt] >= 0:
+                before[after[nxt]] = k
+            for left in (before[k], k):
+                if left >= 0 and after[left] >= 0 and (found := merged.get(symbol[left] << 32 | symbol[after[left]])) is not None:
+                    heapq.heappush(heap, (found, left))
+        return [x for x in symbol if x >= 0]
 
     def encode(self, words: list[bytes]) -> list[np.ndarray]:
         """Ids of each word; a word that is a token itself has that id alone."""
@@ -185,7 +198,7 @@ def codec(path: str, pattern: str) -> Codec:
 def _blocks(batches, most: int):
     """Lists of (key, text) of up to ``most`` bytes of text; one longer text is a block of its own."""
     block, held = [], 0
-    for batch in batches:
+    for batch in common.sliced(batches):
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             block.append((key, text))
             held += len(text or "")
@@ -200,7 +213,6 @@ def encode_documents(documents: DataFrame, path: str, pattern: str, *, key: str
     """Encode every text: key, n_tokens, then ids (binary) and, for ``digests``, checksums of the ids and of what they decode to."""
     import pyarrow as pa
 
-    common.small_batches(documents.sparkSession)
     columns = [f"{key} {documents.schema[key].dataType.simpleString()}", "n_tokens long"]
     columns += ["ids binary"] * with_ids + ["ids_sha256 string", "decoded_sha256 string"] * digests
 

@@ -108,15 +108,19 @@ def _join(ids: np.ndarray, weights: np.ndarray, units: np.ndarray, keys: np.ndar
 
 
 def near_duplicates(embeddings: DataFrame, *, key: str = "vec_id", vector: str = "embedding", label: str = "label", least: float = 0.98, tables: int = 6, hashes: int | None = None, seed: int = 11, block_rows: int = 512) -> DataFrame:
-    """Links of cosine ``least`` or more: key, n_links, component_id, kept. Keys are integers."""
+    """Links of cosine ``least`` or more: key, n_links, component_id, kept, as a written table. Keys are integers."""
+    with common.Scratch() as tmp:
+        return common.stored(_linked(embeddings, key, vector, label, least, tables, hashes, seed, block_rows, tmp), "vectors")
+
+
+def _linked(embeddings: DataFrame, key: str, vector: str, label: str, least: float, tables: int, hashes: int | None, seed: int, block_rows: int, tmp: common.Scratch) -> DataFrame:
+    """Links and components; ``tmp`` holds what is written on the way."""
     import pyarrow as pa
 
-    spark = embeddings.sparkSession
-    common.small_batches(spark, 2000)
     good = embeddings.where(F.col(label).isNotNull() & usable(F.col(vector)) & F.col(key).isNotNull())
     fingerprint = F.xxhash64(label, vector)
     rows = good.select(F.col(key).cast("long").alias("id"), F.col(label).alias("_label"), F.col(vector).alias("_v"), fingerprint.alias("_f"))
-    classes = common.stored(rows.groupBy("_label", "_f", "_v").agg(F.min("id").alias("first"), F.count("*").alias("weight")).withColumn("_at", F.xxhash64("_label", F.size("_v"))), "vector-classes")
+    classes = tmp.stored(rows.groupBy("_label", "_f", "_v").agg(F.min("id").alias("first"), F.count("*").alias("weight")).withColumn("_at", F.xxhash64("_label", F.size("_v"))), "vector-classes", rows=2000)
     if hashes is None:
         total = classes.count()
         width = classes.select(F.max(F.size("_v"))).first()[0] or 1
@@ -139,9 +143,9 @@ def near_duplicates(embeddings: DataFrame, *, key: str = "vec_id", vector: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.list_(pa.int64())), batch.column(3)], ["first", "weight", "keys", "v"])
 
     of_type = classes.schema["_v"].dataType.simpleString()
-    keyed_rows = common.stored(classes.select("first", "weight", "_at", "_v").mapInArrow(keyed, f"first long, weight long, keys array<long>, v {of_type}"), "vector-keys")
+    keyed_rows = tmp.stored(classes.select("first", "weight", "_at", "_v").mapInArrow(keyed, f"first long, weight long, keys array<long>, v {of_type}"), "vector-keys", rows=2000)
     members = keyed_rows.select("first", F.explode("keys").alias("bucket"))
-    counts = common.stored(members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
+    counts = tmp.stored(members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
     slots = F.ceil(F.col("n") / block_rows).cast("int")
     mine = F.pmod(F.xxhash64("first", F.lit("slot")), F.col("slots")).cast("int")
     placed = members.join(counts.withColumn("slots", slots), "bucket").withColumn("slot", mine)
@@ -166,9 +170,11 @@ def near_duplicates(embeddings: DataFrame, *, key: str = "vec_id", vector: str =
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in linked], pa.int64()) for k in range(3)], ["a", "b", "n"])
 
     full = tasks.join(keyed_rows, "first").select("task", "bucket", "side", "first", "keys", "v", "weight")
-    found = common.stored(full.repartition("task").sortWithinPartitions("task").mapInArrow(joined, "a long, b long, n long"), "vector-links")
+    found = tmp.stored(full.repartition("task").sortWithinPartitions("task").mapInArrow(joined, "a long, b long, n long"), "vector-links", rows=2000)
     degree = found.where("b IS NULL").groupBy(F.col("a").alias("first")).agg(F.sum("n").alias("_n"))
-    roots = connected(found.where("b IS NOT NULL").select("a", "b")).withColumnRenamed("node", "first")
+    components = connected(found.where("b IS NOT NULL").select("a", "b"))
+    tmp.frames.append(components)
+    roots = components.withColumnRenamed("node", "first")
     said = classes.join(degree, "first", "left").join(roots, "first", "left").select("_label", "_f", "_v", (F.coalesce("_n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("root", "first").alias("component_id"))
     of_rows = embeddings.select(F.col(key).alias(key), F.col(label).alias("_label"), F.col(vector).alias("_v"), F.when(F.col(label).isNotNull() & usable(F.col(vector)) & F.col(key).isNotNull(), fingerprint).alias("_f"))
     out = of_rows.join(said, ["_label", "_f", "_v"], "left").select(key, F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", F.col(key).cast("long")).alias("component_id"))
