@@ -75,14 +75,60 @@ def test_url_models_tell_classes_apart():
 # --- 2
 
 
+def best_fit_decreasing(lengths, room):
+    """Sequences that plain best-fit needs, piece by piece."""
+    import bisect
+
+    gaps, opened = [], 0
+    for size in sorted(lengths, reverse=True):
+        at = bisect.bisect_left(gaps, size)
+        left = gaps.pop(at) if at < len(gaps) else room
+        opened += left == room
+        if left > size:
+            bisect.insort(gaps, left - size)
+    return opened
+
+
+def test_rounds_equal_plain_best_fit():
+    rng = random.Random(1)
+    for room in (1, 8, 64, 300) * 20:
+        lengths = [rng.choice([rng.randint(1, room), rng.randint(1, max(1, room // 8)), room // 3 or 1]) for _ in range(rng.randint(0, 400))]
+        counts = collections.Counter(lengths)
+        runs, opened = packing.rounds(counts, room)
+        assert opened == best_fit_decreasing(lengths, room)
+        filled = collections.defaultdict(list)
+        for size, n in counts.items():
+            own = runs[runs[:, 0] == size]
+            for rank in range(n):
+                _, first, each, sequence, offset = own[np.searchsorted(own[:, 1], rank, side="right") - 1].tolist()
+                filled[sequence + (rank - first) // each].append((offset + (rank - first) % each * size, size))
+        for places in filled.values():
+            ends = np.cumsum([size for _, size in sorted(places)])
+            assert [o for o, _ in sorted(places)] == [0, *ends[:-1]] and ends[-1] <= room
+        assert set(filled) == set(range(opened))
+
+
+def test_packing_of_repeated_rows(spark):
+    """One key and length holds nearly all rows; null keys and extra columns of the same names as the operator's."""
+    rows = [(7, "a b c")] * 3000 + [(None, "x")] * 50 + [(8, "word " * 3000)] * 3 + [(9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"piece": F.lit(1), "_at": F.lit(1), "_task": F.lit(1), "length": F.lit("x")}).repartition(7)
+    got = packing.pack(packing.pieces_of(docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN)).collect()
+    assert collections.Counter(r.doc_id for r in got) == {7: 3000, None: 50, 8: 6, 9: 1}
+    places = collections.defaultdict(list)
+    for r in got:
+        places[r.sequence_id].append((r.offset, r.length))
+    assert all(o == sum(n for _, n in sorted(v)[:k]) for v in places.values() for k, (o, _) in enumerate(sorted(v)))
+    assert len(places) == best_fit_decreasing([r.length for r in got], 2048)
+
+
 def test_packing(spark, odd, sample):
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    whole.encode_special_tokens = True
-    docs = sample.select("doc_id", "text").union(odd.where("doc_id <> 5").select(F.col("doc_id") + 10**6, "text"))
+    special = spark.createDataFrame([(2 * 10**6, "a <|endoftext|> b")], "doc_id long, text string")
+    docs = sample.select("doc_id", "text").union(odd.where("doc_id <> 5").select(F.col("doc_id") + 10**6, "text")).union(special)
     pieces = packing.pieces_of(docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN, with_ids=True)
-    got = packing.pack(common.stored(pieces, "p"), shard_rows=300).collect()
+    got = packing.pack(pieces).collect()
     by = collections.defaultdict(list)
     for r in got:
         by[r.doc_id].append(r)
@@ -103,7 +149,7 @@ def test_packing(spark, odd, sample):
             assert offset == at
             at += length
         assert at <= 2048
-    assert len(held) <= 1.02 * -(-sum(r.length for r in got) // 2048) + 5
+    assert len(held) == best_fit_decreasing([r.length for r in got], 2048)
     assert packing.pack(pieces.where("false")).count() == 0
     assert packing.sequences(spark.createDataFrame(got, pieces.schema.add("sequence_id", "long").add("offset", "long"))).count() == len(held)
 
@@ -392,11 +438,11 @@ def test_all_turns_are_in_a_row(spark, tmp_path):
     more = spark.createDataFrame(odd_turns, "conv_id long, turn int, role string, text string")
     turns = given.select("conv_id", "turn", "role", "text").union(more.select(*(F.col(c).cast(kinds[c]) for c in ("conv_id", "turn", "role", "text"))))
     turns.write.parquet(f"{tmp_path}/conversations.parquet")
-    rows = registry.op8_all_turns(spark, str(tmp_path)).collect()
+    rows = registry.op8_tool_calls(spark, str(tmp_path)).collect()
     calls = sum('"arguments":' in r.message for r in rows if r.call_id is not None)
     assert calls + sum(r.n_results for r in rows) + sum(r.call_id is None for r in rows) == turns.count()
     duckdb.sql(f"CREATE OR REPLACE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
-    assert collections.Counter(map(tuple, rows)) == collections.Counter(duckdb.sql(registry.ORACLE_SQL["op8_all_turns"]).fetchall())
+    assert collections.Counter(map(tuple, rows)) == collections.Counter(duckdb.sql(registry.ORACLE_SQL["op8_tool_calls"]).fetchall())
     got = {r.position: (r.status, r.message) for r in rows if r.conv_id == 10**6}
     assert got[0] == ("other_role", '{"role":"tool","text":"t"}') and got[1][0] == got[5][0] == "no_role" and got[2] == ("system", '{"role":"system"}')
 

@@ -31,3 +31,24 @@ def test_empty_documents(spark):
     docs = common.table(spark, SF, "documents").where("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+def test_one_row_of_each_group_whatever_its_id(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, text), (1, text), (None, text), (1, "other words that are here alone " * 3), (None, None), (None, ""), (4, text + " more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"_row0": F.lit(1), "component_id": F.lit("x"), "n_shingles": F.lit("y")}).coalesce(1)
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, len(r.text or "")) for r in kept.collect()) == sorted([(1, len(text)), (1, 96), (0, 0), (0, 0)])
+
+
+def test_null_and_repeated_rows_go_through(spark):
+    docs = common.table(spark, SF, "documents").limit(200)
+    kinds = {f.name: f.dataType for f in docs.schema}
+    odd = [docs.limit(1).withColumn("text", F.lit(t).cast("string")).withColumn("doc_id", F.lit(i).cast(kinds["doc_id"])) for t, i in ((None, 1), ("", None), ("a b " * 50_000, None))]
+    docs = docs.union(docs.limit(20))
+    for o in odd:
+        docs = docs.union(o)
+    for name, stage in corpus_pipeline.STAGES:
+        docs = common.written(stage(spark, docs, SF), "odd-stage")
+        assert docs.count() > 0, name
