@@ -2,7 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before it kept. All but
 the last return the columns of ``documents``; the last gives the pieces with their places.
-Documents without rows give empty results; extra columns travel along whatever their names.
+Null and empty texts fail the quality rules; null ids teach the models nothing and are else rows
+like any others; repeated rows are judged alike, and the join keeps one of them. Documents without
+rows give empty results; extra columns travel along whatever their names.
 """
 
 from __future__ import annotations
@@ -26,24 +28,32 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model doesn't predict as toxic."""
-    model = toxicity.learn(docs, common.table(spark, sf_dir, "labels"))
+    """Documents that the toxicity model doesn't predict as toxic; a quarter of the labels is left for measuring it."""
+    model = toxicity.learn(docs, common.table(spark, sf_dir, "labels").where(common.fold("doc_id", 4) != 2))
     return toxicity.score(_with_row(docs), model, also={"_row": F.col("_row")}).where("predicted = 0").select("_row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group: five-word shingles, Jaccard 0.8 or more."""
-    groups = jaccard_join.similar(docs, n=5, percent=80)
-    copies = common.stored(groups.where("component_id <> doc_id").select("doc_id").distinct(), "copies")
-    if copies.count() <= 1 << 19:  # 4 MB at most; more are joined by a shuffle
-        copies = F.broadcast(copies)
-    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    """The first row of each group in the table's order: five-word shingles, Jaccard 0.8 or more.
+
+    Rows are told apart by a number of their own, so one row of a group stays whether its ids are
+    null, repeated or shared by different texts. Rows without a word are in no group and stay.
+    """
+    row = next(n for k in range(len(docs.columns) + 1) if (n := f"_row{k}") not in docs.columns)
+    with common.Scratch() as tmp:
+        rows = tmp.stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+        groups = jaccard_join.similar(rows.select(row, "text"), key=row, n=5, percent=80)
+        tmp.frames.append(groups)
+        copies = groups.where(F.col("component_id") != F.col(row)).select(row)
+        if copies.count() <= 1 << 19:  # 4 MB at most; more are joined by a shuffle
+            copies = F.broadcast(copies)
+        return common.stored(rows.join(copies, row, "left_anti").select(docs.columns), "first-rows")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their sequences and offsets."""
     pieces = packing.pieces_of(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    return packing.pack(common.stored(pieces, "pieces"))
+    return packing.pack(pieces)
 
 
 STAGES = [
@@ -60,6 +70,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, each over what the one before it kept."""
     docs = common.table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = common.stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    for name, stage in STAGES:
+        kept = common.written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if common.is_written(docs):
+            common.forget(docs)
+        docs = kept
+    return docs
