@@ -48,7 +48,7 @@ def test_carriers():
     assert state.agreeing(state.streamed(page), "flats") == [{"n": 1}]
     for read, bad in [
         (lambda h: state.assigned(h, "w.S"), script('w.S={"a":1,"a":2}')), (lambda h: state.assigned(h, "w.S"), script("w.S=1") * 2), (state.scripted, script("{}", 'id="__NEXT_DATA__"')),
-        (state.scripted, script("[1]", 'id="__NEXT_DATA__" type="application/json"')), (state.streamed, push("what")), (state.streamed, push("1:NaN")), (state.streamed, push("1:1e999")), (state.streamed, push("1:{}\n1:{}")), (state.streamed, script("self.__next_f.push([7,1])")), (state.streamed, None),
+        (state.scripted, script("[1]", 'id="__NEXT_DATA__" type="application/json"')), (state.streamed, push("what")), (state.streamed, push("1:NaN")), (state.streamed, push("1:1e999")), (state.streamed, push("1:{}\n1:[]")), (state.streamed, script("self.__next_f.push([7,1])")), (state.streamed, None),
         (lambda h: state.agreeing({"1": {"f": [1]}, "2": {"f": [2]}}, "f"), ""),
     ]:
         with pytest.raises(ValueError):

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions import values as v
+from tidemark.functions import scope, values as v
 from tidemark.operators import match, quality, rows
 from tidemark.sources import pages
 from tidemark.streaming import fold
@@ -78,9 +78,10 @@ def test_fold_equals_batch_whatever_the_order(spark):
 def test_pages():
     html = '<a href="/x#f">1</a><a rel="next" href="?p=2">2</a><a href="https://o.org/">3</a><script type="application/ld+json">{"@graph":[{"@id":"#a","name":"N"},{"@type":"Offer","price":"7","itemOffered":{"@id":"#a"}}]}</script>'
     assert pages.same_origin_links("https://e.org/l", html) == [("https://e.org/x", False), ("https://e.org/l?p=2", True)]
-    assert pages.offers(html) == [{"name": "N", "price": "7", "currency": None, "url": None}]
-    assert pages.offers('<script type="application/ld+json">{"a":1,"a":2}</script>') == []
-    assert pages.url_words("https://e.org/%25C5%2582a-B%C3%B3") == ["la", "bo"]
+    ((row, reason),) = pages.listings(html, "https://e.org/")
+    assert (row["price"], row["currency"], row["link"], reason) == ("7", None, "https://e.org/", None)
+    assert pages.listings('<script type="application/ld+json">{"a":1,"a":2}</script>', "https://e.org/") == []
+    assert scope.plain_words("https://e.org/%25C5%2582a-B%C3%B3") == "la bo "
     assert pages.robots_allows([("/a", False), ("/a/b", True)], "/a/b/c") is True
     assert pages.robots_allows([("/a", False), ("/a", True)], "/a") is True
     assert pages.robots_allows([("/*.x$", False)], "/q.x") is False

@@ -1,4 +1,9 @@
-"""Quality audit: every row is kept and annotated with flags, a status and a ratio."""
+"""Quality audit: every row is kept and annotated with flags, a status and a ratio.
+
+Texts are cast once into columns of a projection of their own; all rules are comparisons of
+those columns, so the plan's size goes with the number of rules. Two rules need other rows: they
+are windows over the identity, and share its shuffle.
+"""
 
 from __future__ import annotations
 
@@ -7,9 +12,18 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.errors import InputError
 from tidemark.functions import values as v
 
 INCOMPLETE = ("missing_price", "missing_area", "missing_exact_rooms")
+REQUIRED = ("source", "listing_id", "city", "price_pln", "area_m2", "rooms", "observed_at")
+ADDED = ("quality_flags", "quality_status", "audit_price_per_m2")
+#: Names that a flag uses for a field, and the fields whose values are compared at one instant (fixed values).
+SHORT = {"price_pln": "price", "area_m2": "area", "rooms": "rooms"}
+COMPARED = ("price_pln", "area_m2", "rooms", "district", "url")
+#: Fields of the report on missing values (fixed values).
+REPORTED = ("price_pln", "area_m2", "rooms", "city", "district", "floor", "build_year", "latitude", "longitude", "published_at")
+c = F.col
 
 
 @dataclass(frozen=True)
@@ -23,63 +37,172 @@ class Thresholds:
     def __post_init__(self):
         for low, high in (self.price, self.area, self.price_per_m2):
             if not 0 < low < high < float("inf"):
-                raise ValueError("bounds must be positive, finite and ascending")
-
+                raise InputError("bounds must be positive, finite and ascending")
 
-def review(name: str, x: Column, bounds: tuple[float, float]) -> list[tuple[str, Column]]:
-    return [(f"{name}_below_review_min", x < bounds[0]), (f"{name}_above_review_max", x > bounds[1])]
 
-
-def rules(price: Column, area: Column, rooms: Column, bounds: Thresholds) -> list[tuple[str, Column]]:
-    """Flags of one row's price, area and rooms (raw texts or numbers)."""
+@dataclass(frozen=True)
+class Numeric:
+    """What a number must be: whole or not, and its least and greatest value (``above``: the least is left out)."""
+
+    field: str
+    whole: bool = False
+    least: float | None = None
+    most: float | None = None
+    above: bool = False
+
+    def holds(self, x: Column) -> Column:
+        fits = x.isNotNull()
+        if self.whole:
+            fits = fits & (x == F.floor(x))
+        if self.least is not None:
+            fits = fits & ((x > self.least) if self.above else (x >= self.least))
+        return fits if self.most is None else fits & (x <= self.most)
+
+
+#: The first three are required columns, the others are looked at where they are there.
+NUMBERS = (
+    Numeric("price_pln", least=0, above=True),
+    Numeric("area_m2", least=0, above=True),
+    Numeric("rooms", whole=True, least=0, above=True),
+    Numeric("rooms_min", whole=True, least=0, above=True),
+    Numeric("floor", whole=True),
+    Numeric("build_year", whole=True, least=0, above=True),
+    Numeric("latitude", least=-90, most=90),
+    Numeric("longitude", least=-180, most=180),
+    Numeric("distance_km", least=0),
+)
+
+
+def number_rules(there: tuple[str, ...] | list[str]) -> list[tuple[str, Column]]:
+    """Flags for numbers missing or not what they must be, from the columns ``_n_`` (number) and ``_missing_``."""
     out = []
-    for name, x, good in (("price", price, v.positive(price)), ("area", area, v.positive(area)), ("rooms", rooms, v.whole(rooms).isNotNull())):
-        none = v.missing(x.cast("string"))
-        out += [("missing_exact_rooms" if name == "rooms" else f"missing_{name}", none), (f"invalid_{name}", ~none & ~good)]
-    p, a = F.when(v.positive(price), v.finite(price)), F.when(v.positive(area), v.finite(area))
-    return out + review("price", p, bounds.price) + review("area", a, bounds.area) + review("price_per_m2", v.ratio(p, a), bounds.price_per_m2)
+    for rule in (r for r in NUMBERS if r.field in there):
+        none, fits = c(f"_missing_{rule.field}"), F.coalesce(rule.holds(c(f"_n_{rule.field}")), F.lit(False))
+        if rule.field in SHORT:
+            out.append(("missing_exact_rooms" if rule.field == "rooms" else f"missing_{SHORT[rule.field]}", none))
+        out.append((f"invalid_{SHORT.get(rule.field, rule.field)}", ~none & ~fits))
+    if "rooms_min" in there:
+        out.append(("rooms_below_minimum", (c("_n_rooms") > 0) & (c("_n_rooms_min") > 0) & (c("_n_rooms_min") == F.floor("_n_rooms_min")) & (c("_n_rooms") < c("_n_rooms_min"))))
+    return out
+
+
+def review_rules(bounds: Thresholds) -> list[tuple[str, Column]]:
+    """Flags for positive values outside the review bounds."""
+    out = []
+    for name, x, (low, high) in (("price", c("_n_price_pln"), bounds.price), ("area", c("_n_area_m2"), bounds.area), ("price_per_m2", c("_ratio"), bounds.price_per_m2)):
+        out += [(f"{name}_below_review_min", (x > 0) & (x < low)), (f"{name}_above_review_max", x > high)]
+    return out
 
 
 def annotate(frame: DataFrame, found: list[tuple[str, Column]]) -> DataFrame:
     """Add quality_flags (sorted, joined by ``|``) and quality_status (pass, incomplete, review)."""
-    flags = F.array_sort(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in found])))
-    frame = frame.withColumn("_flags", flags)
-    serious = F.size(F.array_except("_flags", F.array(*map(F.lit, INCOMPLETE)))) > 0
+    frame = frame.withColumn("_flags", F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in sorted(found)])))
+    serious = F.exists("_flags", lambda x: ~x.isin(*INCOMPLETE))
     status = F.when(serious, "review").when(F.size("_flags") > 0, "incomplete").otherwise("pass")
     return frame.withColumns({"quality_flags": F.array_join("_flags", "|"), "quality_status": status}).drop("_flags")
 
 
 def audit(frame: DataFrame, *, bounds: Thresholds | None = None, city: tuple[str, ...] = ("warsaw", "warszawa")) -> DataFrame:
-    """Audit of raw observation rows; columns source, listing_id, city, price_pln, area_m2, rooms, observed_at are needed."""
-    need = {"source", "listing_id", "city", "price_pln", "area_m2", "rooms", "observed_at"}
-    if lost := need - set(frame.columns):
-        raise ValueError(f"missing columns: {sorted(lost)}")
-    if {"quality_flags", "quality_status", "audit_price_per_m2"} & set(frame.columns):
-        raise ValueError("the audit's columns are there already")
-    c = F.col
-    same = Window.partitionBy("source", "listing_id")
-    known = ~v.missing(c("source")) & ~v.missing(c("listing_id"))
-    frame = frame.withColumn("_same", F.count("*").over(same))
-    payload = [x for x in ("price_pln", "area_m2", "rooms", "district", "url") if x in frame.columns]
-    norm = lambda x: F.coalesce(v.finite(c(x)).cast("string") if x in ("price_pln", "area_m2", "rooms") else v.collapsed(c(x)), F.concat(F.lit("invalid:"), c(x)), F.lit(""))
-    moment = Window.partitionBy("source", "listing_id", "observed_at")
-    frame = frame.withColumn("_kinds", F.size(F.collect_set(F.struct(*[norm(x).alias(x) for x in payload])).over(moment)))
+    """Audit of raw observation rows: the frame with quality_flags, quality_status and audit_price_per_m2.
+
+    The columns of ``REQUIRED`` are needed; rooms_min, floor, build_year, latitude, longitude,
+    distance_km, district and url are looked at where they are there. Extra columns pass through.
+    """
+    if lost := set(REQUIRED) - set(frame.columns):
+        raise InputError(f"missing columns: {sorted(lost)}")
+    if set(ADDED) & set(frame.columns):
+        raise InputError("the audit's columns are there already")
+    numbers = [r.field for r in NUMBERS if r.field in frame.columns]
+    text = {n: c(n).cast("string") for n in frame.columns}
+    # the identity's shuffle moves the rows as they are; whatever is made of them is made behind it
+    rows = frame.withColumns({"_source": F.trim(text["source"]), "_id": F.trim(text["listing_id"])})
+    rows = rows.withColumn("_same", F.count("*").over(Window.partitionBy("_source", "_id")))
+    # one expression over an array of all number texts: nine casts side by side make a method too long for the JIT
+    texts = F.array(*[text[n] for n in numbers])
+    cast = {"_numbers": F.transform(texts, lambda x: v.finite(F.trim(x))), "_nones": F.transform(texts, v.missing)}
+    cast |= {"_at": F.try_to_timestamp(text["observed_at"]), "_aware": text["observed_at"].rlike(r"(Z|[+-]\d{2}:?\d{2})\z")}
+    rows = rows.withColumns(cast)
+    rows = rows.withColumns({f"_n_{n}": c("_numbers")[k] for k, n in enumerate(numbers)} | {f"_missing_{n}": c("_nones")[k] for k, n in enumerate(numbers)})
+    rows = rows.withColumns({"_known": (F.coalesce("_source", F.lit("")) != "") & (F.coalesce("_id", F.lit("")) != ""), "_ratio": F.when((c("_n_price_pln") > 0) & (c("_n_area_m2") > 0), v.finite(F.try_divide("_n_price_pln", "_n_area_m2")))})
+    compared = [x for x in COMPARED if x in frame.columns]
+    form = {x: F.coalesce(c(f"_n_{x}").cast("string"), F.when(~c(f"_missing_{x}"), F.concat(F.lit("invalid:"), F.trim(text[x]))), F.lit("")) if x in numbers else F.coalesce(v.collapsed(text[x]) if x == "district" else F.trim(text[x]), F.lit("")) for x in compared}
+    rows = rows.withColumn("_payload", F.struct(*[x.alias(n) for n, x in form.items()]) if form else F.lit(0))
+    moment = Window.partitionBy("_source", "_id", "_at")
+    rows = rows.withColumns({"_differ": F.min("_payload").over(moment) != F.max("_payload").over(moment)})
     found = [
-        ("invalid_source", v.missing(c("source"))),
-        ("invalid_listing_id", v.missing(c("listing_id"))),
+        ("invalid_source", F.coalesce("_source", F.lit("")) == ""),
+        ("invalid_listing_id", F.coalesce("_id", F.lit("")) == ""),
         ("not_warsaw", ~F.coalesce(v.collapsed(c("city")).isin(*city), F.lit(False))),
-        *rules(c("price_pln"), c("area_m2"), c("rooms"), bounds or Thresholds()),
-        ("invalid_observed_at", F.try_to_timestamp(c("observed_at").cast("string")).isNull()),
-        ("unverified_timestamp_timezone", F.try_to_timestamp(c("observed_at").cast("string")).isNotNull() & v.aware_utc(c("observed_at").cast("string")).isNull()),
-        ("repeated_identity", known & (c("_same") > 1)),
-        ("conflicting_identity_timestamp", known & (c("_kinds") > 1)),
+        *number_rules(numbers),
+        ("invalid_observed_at", c("_at").isNull()),
+        ("unverified_timestamp_timezone", c("_at").isNotNull() & ~c("_aware")),
+        *review_rules(bounds or Thresholds()),
+        ("repeated_identity", c("_known") & (c("_same") > 1)),
+        ("conflicting_identity_timestamp", c("_known") & c("_at").isNotNull() & c("_differ")),
     ]
-    ratio = v.ratio(F.when(v.positive(c("price_pln")), c("price_pln")), F.when(v.positive(c("area_m2")), c("area_m2")))
-    return annotate(frame, found).withColumn("audit_price_per_m2", ratio).drop("_same", "_kinds")
+    return annotate(rows, found).select(*frame.columns, "quality_flags", "quality_status", c("_ratio").alias("audit_price_per_m2"))
+
+
+def flag_counts(audited: DataFrame) -> DataFrame:
+    """Rows of each flag: flag, n."""
+    return audited.where("quality_flags <> ''").select(F.explode(F.split("quality_flags", r"\|")).alias("flag")).groupBy("flag").agg(F.count("*").alias("n"))
+
+
+def status_counts(audited: DataFrame) -> DataFrame:
+    return audited.groupBy("quality_status").agg(F.count("*").alias("n"))
+
+
+def missing_matrix(frame: DataFrame, source: str = "source", fields: tuple[str, ...] = REPORTED) -> DataFrame:
+    """Missing values of each source and field: source, field, n; a field that isn't there is missing in all rows."""
+    count = lambda x: F.sum((v.missing(c(x).cast("string")) if x in frame.columns else F.lit(True)).cast("long"))
+    return frame.groupBy(source).agg(*[count(x).alias(x) for x in fields]).unpivot(source, list(fields), "field", "n")
+
+
+def repeats(frame: DataFrame, key: list[str]) -> DataFrame:
+    """Identities and rows beyond the first of each: one row with identities, duplicate_rows."""
+    counted = frame.groupBy(*key).agg(F.count("*").alias("n"))
+    return counted.agg(F.count("*").alias("identities"), F.coalesce(F.sum(c("n") - 1), F.lit(0)).alias("duplicate_rows"))
+
+
+def quantiles(frame: DataFrame, column: str, at: list[float], by: list[str] | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation: by, n, q0, q1, ... in the order of ``at``; n counts the values.
+
+    Equal values are counted first; ranks are running sums of those counts over ranges of values,
+    first over the ranges' totals and then within each, so that no task sorts or keeps all values.
+    """
+    by = by or []
+    counted = frame.where(c(column).isNotNull()).groupBy(*by, c(column).cast("double").alias("x")).agg(F.count("*").alias("n"))
+    bucket = F.xxhash64(*by) if by else F.lit(0).cast("long")
+    # an order-preserving cut of doubles: sign and leading bits of exponent and fraction
+    cut = F.when(c("x") == 0, F.lit(0)).otherwise(F.signum("x") * (F.floor(F.log2(F.abs("x")) * 512) + 600_000)).cast("long")
+    counted = counted.withColumns({"_g": bucket, "_cut": cut})
+    totals = counted.groupBy("_g", "_cut").agg(F.sum("n").alias("m"))
+    totals = totals.withColumns({"_before": F.sum("m").over(Window.partitionBy("_g").orderBy("_cut")) - c("m"), "_all": F.sum("m").over(Window.partitionBy("_g"))})
+    ranked = counted.join(totals, ["_g", "_cut"]).withColumn("_to", c("_before") + F.sum("n").over(Window.partitionBy("_g", "_cut").orderBy("x")))
+    ranked = ranked.withColumn("_from", c("_to") - c("n"))
+    wanted = []
+    for k, q in enumerate(at):
+        place = F.lit(q) * (c("_all") - 1)
+        hit = lambda r: F.max(F.when((c("_from") <= r) & (r < c("_to")), c("x")))
+        wanted += [hit(F.floor(place)).alias(f"_l{k}"), hit(F.ceil(place)).alias(f"_h{k}"), F.max(place - F.floor(place)).alias(f"_f{k}")]
+    wanted.append(F.coalesce(F.max("_all"), F.lit(0)).alias("n"))
+    out = ranked.groupBy(*by).agg(*wanted) if by else ranked.agg(*wanted)
+    return out.select(*by, "n", *[(c(f"_l{k}") + (c(f"_h{k}") - c(f"_l{k}")) * c(f"_f{k}")).alias(f"q{k}") for k in range(len(at))])
 
 
 def summary(frame: DataFrame, column: str) -> DataFrame:
     """Count, extremes and exact 1st, 50th and 99th percentiles of a column's positive finite values."""
-    x = v.finite(F.col(column))
-    q = frame.select(x.alias("x")).where("x > 0").agg(F.count("x").alias("n"), F.min("x").alias("least"), F.max("x").alias("most"), F.percentile("x", [0.01, 0.5, 0.99]).alias("q"))
-    return q.select("n", "least", "most", *[F.round(F.col("q")[k], 4).alias(n) for k, n in enumerate(("p01", "median", "p99"))])
+    q = quantiles(frame.select(v.finite(c(column)).alias("x")).where("x > 0"), "x", [0.0, 1.0, 0.01, 0.5, 0.99])
+    return q.select("n", c("q0").alias("least"), c("q1").alias("most"), *[F.round(c(f"q{k}"), 4).alias(name) for k, name in enumerate(("p01", "median", "p99"), 2)])
+
+
+def markdown(report: dict) -> str:
+    """A report of counts and summaries as a Markdown page; names and values are escaped, order is by name."""
+    safe = lambda x: str(x).replace("\\", "\\\\").replace("|", "\\|").replace("\n", " ")
+    out = ["# Quality report", ""]
+    for title, part in sorted(report.items()):
+        if not isinstance(part, dict):
+            out += [f"* {safe(title)}: {safe(part)}"]
+            continue
+        out += ["", f"## {safe(title)}", "", "| name | value |", "| --- | --- |", *(f"| {safe(k)} | {safe(x)} |" for k, x in sorted(part.items(), key=lambda e: str(e[0])))]
+    return "\n".join(out) + "\n"

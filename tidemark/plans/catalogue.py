@@ -8,6 +8,7 @@ price l_extendedprice), ``customer`` and ``part`` the catalogues, ``events`` the
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -96,51 +97,97 @@ def freshness_filter(s, d):
     return o.join(F.broadcast(now)).select("o_orderkey", age.alias("age")).withColumn("freshness", F.when(c("age") < 0, "future").when(c("age") > 7, "stale").otherwise("fresh"))
 
 
-RAW = "SELECT *, CASE WHEN l_orderkey % 11 = 0 THEN NULL WHEN l_orderkey % 13 = 0 THEN '-1' ELSE CAST(l_extendedprice AS VARCHAR) END AS price, CASE WHEN l_orderkey % 17 = 0 THEN '' ELSE CAST(l_quantity AS VARCHAR) END AS area, CASE WHEN l_orderkey % 19 = 0 THEN '1.5' ELSE CAST(l_linenumber AS VARCHAR) END AS rooms FROM lineitem"
-FLAGGED = f"""WITH r AS ({RAW}), x AS (SELECT *, CASE WHEN try_cast(price AS DOUBLE) > 0 THEN CAST(price AS DOUBLE) END AS p, CASE WHEN try_cast(area AS DOUBLE) > 0 THEN CAST(area AS DOUBLE) END AS a FROM r),
-f AS (SELECT l_orderkey, l_linenumber, list_sort(list_filter([
- CASE WHEN price IS NULL THEN 'missing_price' END, CASE WHEN price IS NOT NULL AND p IS NULL THEN 'invalid_price' END,
- CASE WHEN coalesce(area,'') = '' THEN 'missing_area' END, CASE WHEN coalesce(area,'') <> '' AND a IS NULL THEN 'invalid_area' END, CASE WHEN rooms = '1.5' THEN 'invalid_rooms' END,
- CASE WHEN p < 10000 THEN 'price_below_review_min' END, CASE WHEN p > 90000 THEN 'price_above_review_max' END, CASE WHEN a < 5 THEN 'area_below_review_min' END, CASE WHEN a > 45 THEN 'area_above_review_max' END,
- CASE WHEN p / a < 1000 THEN 'price_per_m2_below_review_min' END, CASE WHEN p / a > 1900 THEN 'price_per_m2_above_review_max' END], lambda x : x IS NOT NULL)) AS flags FROM x)
-SELECT l_orderkey, l_linenumber, array_to_string(flags, '|') AS quality_flags, CASE WHEN len(list_filter(flags, lambda x : x NOT IN ('missing_price','missing_area','missing_exact_rooms'))) > 0 THEN 'review' WHEN len(flags) > 0 THEN 'incomplete' ELSE 'pass' END AS quality_status FROM f"""
+RAW = """SELECT l_orderkey, l_linenumber, l_linestatus, CASE WHEN l_orderkey % 23 = 0 THEN ' ' ELSE l_linestatus END AS source,
+ CASE WHEN l_orderkey % 29 = 0 THEN NULL WHEN l_orderkey % 4 = 0 THEN CAST(l_partkey AS VARCHAR) ELSE l_orderkey || '-' || l_linenumber END AS listing_id,
+ CASE l_suppkey % 20 WHEN 0 THEN 'Other' WHEN 1 THEN NULL WHEN 2 THEN ' WARSAW ' ELSE 'Warszawa' END AS city,
+ CASE WHEN l_orderkey % 11 = 0 THEN NULL WHEN l_orderkey % 13 = 0 THEN '-1' WHEN l_orderkey % 31 = 0 THEN 'abc' ELSE CAST(l_extendedprice AS VARCHAR) END AS price_pln,
+ CASE WHEN l_orderkey % 17 = 0 THEN '' WHEN l_orderkey % 37 = 0 THEN 'inf' ELSE CAST(l_quantity AS VARCHAR) END AS area_m2,
+ CASE WHEN l_orderkey % 19 = 0 THEN '1.5' WHEN l_orderkey % 47 = 0 THEN NULL ELSE CAST(l_linenumber AS VARCHAR) END AS rooms,
+ CASE WHEN l_orderkey % 6 = 0 THEN '5' WHEN l_orderkey % 7 = 0 THEN '0' WHEN l_orderkey % 8 = 0 THEN '1' END AS rooms_min,
+ CASE WHEN l_orderkey % 9 = 0 THEN '-1' WHEN l_orderkey % 10 = 0 THEN '2.5' END AS floor,
+ CASE WHEN l_orderkey % 12 = 0 THEN '0' WHEN l_orderkey % 14 = 0 THEN '1999' END AS build_year,
+ CAST(l_orderkey % 200 - 100 AS VARCHAR) AS latitude, CAST(l_orderkey % 400 - 200 AS VARCHAR) AS longitude, CAST(l_suppkey - 3 AS VARCHAR) AS distance_km,
+ CASE WHEN l_linenumber % 2 = 0 THEN 'Wola' ELSE ' wola ' END AS district, 'u' || CAST(l_partkey % 3 AS VARCHAR) AS url,
+ CASE WHEN l_orderkey % 41 = 0 THEN 'someday' WHEN l_orderkey % 43 = 0 THEN strftime(l_shipdate, '%Y-%m-01T00:00:00') ELSE strftime(l_shipdate, '%Y-%m-01T00:00:00Z') END AS observed_at FROM lineitem"""
+#: Review bounds that rows of lineitem lie on both sides of.
+BOUNDS = quality.Thresholds((10000, 90000), (5, 45), (1000, 1900))
+_NUM = "CASE WHEN isfinite(try_cast({0} AS DOUBLE)) THEN try_cast({0} AS DOUBLE) END AS n_{0}"
+FLAGGED = f"""WITH r AS ({RAW}), x AS (SELECT *, {', '.join(_NUM.format(n.field) for n in quality.NUMBERS)},
+ trim(source) AS s, coalesce(listing_id, '') AS i, try_cast(rtrim(observed_at, 'Z') AS TIMESTAMP) AS instant FROM r),
+y AS (SELECT *, CASE WHEN n_price_pln > 0 AND n_area_m2 > 0 THEN n_price_pln / n_area_m2 END AS ratio, s <> '' AND i <> '' AS known,
+ row(coalesce(CAST(n_price_pln AS VARCHAR), 'invalid:' || price_pln, ''), coalesce(CAST(n_area_m2 AS VARCHAR), nullif('invalid:' || area_m2, 'invalid:'), ''), coalesce(CAST(n_rooms AS VARCHAR), ''), lower(trim(district)), url) AS payload FROM x),
+z AS (SELECT *, count(*) OVER (PARTITION BY s, i) > 1 AS again, min(payload) OVER m <> max(payload) OVER m AS differ FROM y WINDOW m AS (PARTITION BY s, i, instant)),
+f AS (SELECT *, list_sort(list_filter([
+ CASE WHEN s = '' THEN 'invalid_source' END, CASE WHEN i = '' THEN 'invalid_listing_id' END, CASE WHEN coalesce(lower(trim(city)), '') NOT IN ('warsaw', 'warszawa') THEN 'not_warsaw' END,
+ CASE WHEN price_pln IS NULL THEN 'missing_price' WHEN coalesce(n_price_pln, 0) <= 0 THEN 'invalid_price' END, CASE WHEN area_m2 = '' THEN 'missing_area' WHEN coalesce(n_area_m2, 0) <= 0 THEN 'invalid_area' END,
+ CASE WHEN rooms IS NULL THEN 'missing_exact_rooms' WHEN rooms = '1.5' THEN 'invalid_rooms' END, CASE WHEN rooms_min = '0' THEN 'invalid_rooms_min' END, CASE WHEN n_rooms > 0 AND n_rooms_min > 0 AND n_rooms < n_rooms_min THEN 'rooms_below_minimum' END,
+ CASE WHEN floor = '2.5' THEN 'invalid_floor' END, CASE WHEN build_year = '0' THEN 'invalid_build_year' END, CASE WHEN n_latitude NOT BETWEEN -90 AND 90 THEN 'invalid_latitude' END, CASE WHEN n_longitude NOT BETWEEN -180 AND 180 THEN 'invalid_longitude' END,
+ CASE WHEN n_distance_km < 0 THEN 'invalid_distance_km' END, CASE WHEN instant IS NULL THEN 'invalid_observed_at' WHEN NOT ends_with(observed_at, 'Z') THEN 'unverified_timestamp_timezone' END,
+ CASE WHEN n_price_pln > 0 AND n_price_pln < 10000 THEN 'price_below_review_min' END, CASE WHEN n_price_pln > 90000 THEN 'price_above_review_max' END, CASE WHEN n_area_m2 > 0 AND n_area_m2 < 5 THEN 'area_below_review_min' END, CASE WHEN n_area_m2 > 45 THEN 'area_above_review_max' END,
+ CASE WHEN ratio < 1000 THEN 'price_per_m2_below_review_min' END, CASE WHEN ratio > 1900 THEN 'price_per_m2_above_review_max' END,
+ CASE WHEN known AND again THEN 'repeated_identity' END, CASE WHEN known AND instant IS NOT NULL AND differ THEN 'conflicting_identity_timestamp' END], lambda x : x IS NOT NULL)) AS flags FROM z)
+SELECT l_orderkey, l_linenumber, array_to_string(flags, '|') AS quality_flags, CASE WHEN len(list_filter(flags, lambda x : x NOT IN ('missing_price','missing_area','missing_exact_rooms'))) > 0 THEN 'review' WHEN len(flags) > 0 THEN 'incomplete' ELSE 'pass' END AS quality_status, ratio AS audit_price_per_m2 FROM f"""
+
+
+def _raw(s, d):
+    """Rows of lineitem as raw observations, with some of everything that an audit can find."""
+    k, text = c("l_orderkey"), lambda x: x.cast("string")
+    first = lambda *cases: reduce(lambda done, case: done.when(k % case[0] == 0, case[1]), cases[1:], F.when(k % cases[0][0] == 0, cases[0][1]))
+    none, month = F.lit(None).cast("string"), F.date_format("l_shipdate", "yyyy-MM-'01T00:00:00'")
+    town = c("l_suppkey") % 20
+    return t(s, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_linestatus",
+        first((23, F.lit(" "))).otherwise(c("l_linestatus")).alias("source"),
+        first((29, none), (4, text(c("l_partkey")))).otherwise(F.concat_ws("-", "l_orderkey", "l_linenumber")).alias("listing_id"),
+        F.when(town == 0, "Other").when(town == 1, none).when(town == 2, " WARSAW ").otherwise("Warszawa").alias("city"),
+        first((11, none), (13, F.lit("-1")), (31, F.lit("abc"))).otherwise(text(c("l_extendedprice"))).alias("price_pln"),
+        first((17, F.lit("")), (37, F.lit("inf"))).otherwise(text(c("l_quantity"))).alias("area_m2"),
+        first((19, F.lit("1.5")), (47, none)).otherwise(text(c("l_linenumber"))).alias("rooms"),
+        first((6, F.lit("5")), (7, F.lit("0")), (8, F.lit("1"))).alias("rooms_min"),
+        first((9, F.lit("-1")), (10, F.lit("2.5"))).alias("floor"),
+        first((12, F.lit("0")), (14, F.lit("1999"))).alias("build_year"),
+        text(k % 200 - 100).alias("latitude"), text(k % 400 - 200).alias("longitude"), text(c("l_suppkey") - 3).alias("distance_km"),
+        F.when(c("l_linenumber") % 2 == 0, "Wola").otherwise(" wola ").alias("district"), F.concat(F.lit("u"), text(c("l_partkey") % 3)).alias("url"),
+        first((41, F.lit("someday")), (43, month)).otherwise(F.concat(month, F.lit("Z"))).alias("observed_at"),
+    )
 
 
 @query(FLAGGED)
 def audit_flags(s, d):
-    li = t(s, d, "lineitem")
-    price = F.when(c("l_orderkey") % 11 == 0, F.lit(None)).when(c("l_orderkey") % 13 == 0, F.lit("-1")).otherwise(c("l_extendedprice").cast("string"))
-    area = F.when(c("l_orderkey") % 17 == 0, F.lit("")).otherwise(c("l_quantity").cast("string"))
-    rooms = F.when(c("l_orderkey") % 19 == 0, F.lit("1.5")).otherwise(c("l_linenumber").cast("string"))
-    raw = li.select("l_orderkey", "l_linenumber", price.alias("p"), area.alias("a"), rooms.alias("r"))
-    found = quality.rules(c("p"), c("a"), c("r"), quality.Thresholds((10000, 90000), (5, 45), (1000, 1900)))
-    return quality.annotate(raw, found).select("l_orderkey", "l_linenumber", "quality_flags", "quality_status")
+    return quality.audit(_raw(s, d), bounds=BOUNDS).select("l_orderkey", "l_linenumber", *quality.ADDED)
 
 
 @query(f"SELECT quality_status, count(*) AS n FROM ({FLAGGED}) GROUP BY 1")
 def audit_status_counts(s, d):
-    return audit_flags(s, d).groupBy("quality_status").agg(F.count("*").alias("n"))
+    return quality.status_counts(audit_flags(s, d))
 
 
 @query(f"SELECT flag, count(*) AS n FROM (SELECT unnest(string_split(quality_flags, '|')) AS flag FROM ({FLAGGED}) WHERE quality_flags <> '') GROUP BY 1")
 def audit_flag_counts(s, d):
-    return audit_flags(s, d).where("quality_flags <> ''").select(F.explode(F.split("quality_flags", r"\|")).alias("flag")).groupBy("flag").agg(F.count("*").alias("n"))
+    return quality.flag_counts(audit_flags(s, d))
+
+
+@query(f"SELECT count(*) AS identities, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows FROM (SELECT count(*) AS n FROM ({RAW}) WHERE trim(source) <> '' AND listing_id IS NOT NULL GROUP BY source, listing_id)")
+def audit_repeats(s, d):
+    return quality.repeats(_raw(s, d).where("trim(source) <> '' AND listing_id IS NOT NULL"), ["source", "listing_id"])
 
 
-@query("SELECT o_orderkey, count(*) OVER (PARTITION BY o_custkey, o_orderdate) > 1 AS repeated FROM orders")
+@query(f"SELECT l_orderkey, l_linenumber, contains(quality_flags, 'repeated_identity') AS repeated FROM ({FLAGGED})")
 def audit_repeated_identity(s, d):
-    return t(s, d, "orders").select("o_orderkey", (F.count("*").over(Window.partitionBy("o_custkey", "o_orderdate")) > 1).alias("repeated"))
+    return audit_flags(s, d).select("l_orderkey", "l_linenumber", c("quality_flags").contains("repeated_identity").alias("repeated"))
 
 
-@query("SELECT o_custkey, o_orderdate, count(*) AS n FROM orders GROUP BY 1, 2 HAVING count(DISTINCT row(o_totalprice, o_orderstatus)) > 1")
+@query(f"SELECT l_orderkey, l_linenumber FROM ({FLAGGED}) WHERE contains(quality_flags, 'conflicting_identity_timestamp')")
 def audit_conflicts(s, d):
-    return t(s, d, "orders").groupBy("o_custkey", "o_orderdate").agg(F.count("*").alias("n"), F.count_distinct(F.struct("o_totalprice", "o_orderstatus")).alias("k")).where("k > 1").drop("k")
+    return audit_flags(s, d).where(c("quality_flags").contains("conflicting_identity_timestamp")).select("l_orderkey", "l_linenumber")
+
+
+_BLANK = ", ".join(f"sum(CAST(trim(coalesce({n}, '')) = '' AS INT)) AS {n}" for n in quality.REPORTED if n != "published_at")
 
 
-@query("SELECT l_linestatus, field, CAST(n AS BIGINT) AS n FROM (SELECT l_linestatus, sum(CAST(l_orderkey % 11 = 0 AS INT)) AS price, sum(CAST(l_orderkey % 17 = 0 AS INT)) AS area FROM lineitem GROUP BY 1) UNPIVOT (n FOR field IN (price, area))")
+@query(f"SELECT source, field, CAST(n AS BIGINT) AS n FROM (SELECT source, {_BLANK}, count(*) AS published_at FROM ({RAW}) GROUP BY 1) UNPIVOT (n FOR field IN ({', '.join(quality.REPORTED)}))")
 def missing_by_source(s, d):
-    n = lambda m: F.sum((c("l_orderkey") % m == 0).cast("long"))
-    return t(s, d, "lineitem").groupBy("l_linestatus").agg(n(11).alias("price"), n(17).alias("area")).unpivot("l_linestatus", ["price", "area"], "field", "n")
+    return quality.missing_matrix(_raw(s, d))
 
 
 @query("SELECT count(*) AS n, min(l_extendedprice) AS least, max(l_extendedprice) AS most, round(quantile_cont(l_extendedprice, 0.01), 4) AS p01, round(median(l_extendedprice), 4) AS median, round(quantile_cont(l_extendedprice, 0.99), 4) AS p99 FROM lineitem WHERE l_extendedprice > 0")
@@ -213,11 +260,11 @@ def interval_containment_join(s, d):
     return o.join(li, (c("o_orderkey") == c("l_orderkey")) & c("l_shipdate").between(c("o_orderdate"), c("o_orderdate") + F.expr("INTERVAL 30 DAYS"))).select("o_orderkey", "l_linenumber")
 
 
-@query("SELECT l_orderkey, l_linenumber FROM lineitem JOIN part ON l_partkey = p_partkey WHERE abs(CAST(l_extendedprice / l_quantity AS DECIMAL(18,2)) - CAST(p_retailprice AS DECIMAL(18,2))) <= 0.01")
+@query("SELECT l_orderkey, l_linenumber FROM lineitem JOIN part ON l_partkey = p_partkey WHERE abs(CAST(round(l_extendedprice / l_quantity, -1) AS DECIMAL(18,2)) - CAST(round(p_retailprice, -1) AS DECIMAL(18,2))) <= 10.0")
 def decimal_tolerance_join(s, d):
     dec = lambda x: x.cast("decimal(18,2)")
     j = t(s, d, "lineitem").join(t(s, d, "part"), c("l_partkey") == c("p_partkey"))
-    return j.where(F.abs(dec(F.try_divide("l_extendedprice", "l_quantity")) - dec(c("p_retailprice"))) <= F.lit("0.01").cast("decimal(4,2)")).select("l_orderkey", "l_linenumber")
+    return j.where(F.abs(dec(F.round(F.try_divide("l_extendedprice", "l_quantity"), -1)) - dec(F.round("p_retailprice", -1))) <= F.lit("10.00").cast("decimal(4,2)")).select("l_orderkey", "l_linenumber")
 
 
 @query("SELECT c_custkey AS id FROM customer UNION SELECT o_custkey FROM orders")
@@ -274,7 +321,7 @@ def regression_metrics(s, d):
 @query("SELECT c_mktsegment, round(avg(abs(o_totalprice - m)), 4) AS mae FROM orders JOIN customer ON o_custkey = c_custkey, (SELECT median(o_totalprice) AS m FROM orders) GROUP BY 1")
 def median_baseline(s, d):
     o = t(s, d, "orders")
-    m = o.agg(F.median("o_totalprice").alias("m"))
+    m = quality.quantiles(o, "o_totalprice", [0.5]).select(c("q0").alias("m"))
     return o.join(t(s, d, "customer"), c("o_custkey") == c("c_custkey")).join(F.broadcast(m)).groupBy("c_mktsegment").agg(F.round(F.avg(F.abs(c("o_totalprice") - c("m"))), 4).alias("mae"))
 
 
@@ -299,7 +346,8 @@ def source_counts(s, d):
 
 @query("SELECT c_mktsegment, median(o_totalprice) AS price, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1 ORDER BY n DESC")
 def group_median_count(s, d):
-    return t(s, d, "orders").join(t(s, d, "customer"), c("o_custkey") == c("c_custkey")).groupBy("c_mktsegment").agg(F.median("o_totalprice").alias("price"), F.count("*").alias("n")).orderBy(c("n").desc())
+    priced = t(s, d, "orders").join(t(s, d, "customer"), c("o_custkey") == c("c_custkey"))
+    return quality.quantiles(priced, "o_totalprice", [0.5], ["c_mktsegment"]).select("c_mktsegment", c("q0").alias("price"), "n").orderBy(c("n").desc())
 
 
 @query("SELECT round(100 * avg(CAST(CASE WHEN l_orderkey % 11 = 0 THEN NULL ELSE l_extendedprice END IS NULL AS INT)), 6) AS price, round(100 * avg(CAST(l_quantity IS NULL AS INT)), 6) AS area FROM lineitem")
@@ -355,7 +403,7 @@ def pagination_drift(s, d):
 
 
 @query("""SELECT page_id, lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)) || regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) ||
- coalesce('?' || nullif(array_to_string(list_filter(string_split(regexp_extract(url, '^[^?#]*[?]([^#]*)', 1), '&'), lambda p : NOT starts_with(p, 'utm_') AND split_part(p, '=', 1) NOT IN ('fbclid','gclid','mc_cid','mc_eid','ref') AND p <> ''), '&'), ''), '') AS url FROM pages""")
+ coalesce('?' || nullif(array_to_string(list_filter(string_split(regexp_extract(url, '^[^?#]*[?]([^#]*)', 1), '&'), lambda p : NOT starts_with(p, 'utm_') AND split_part(p, '=', 1) NOT IN ('fbclid','gclid','msclkid','dclid','yclid') AND p <> ''), '&'), ''), '') AS url FROM pages""")
 def url_canonical(s, d):
     return t(s, d, "pages").select("page_id", v.canonical_url(c("url")).alias("url"))
 
@@ -430,13 +478,6 @@ def link_extract(s, d):
     return pages.links(t(s, d, "pages"))
 
 
-@query(None)
-def rights_flags(s, d):
-    from tidemark.sources import pages
-
-    return t(s, d, "pages").select("page_id", pages.slug_words("url").alias("words"))
-
-
 @query(None)
 def gbt_score(s, d):
     from tidemark.operators import model

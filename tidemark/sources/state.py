@@ -2,7 +2,8 @@
 
 Three carriers are known: a JavaScript assignment whose value may be JSON within a JSON string,
 one JSON script with an id, and a stream of records pushed in chunks. Whatever is missing, there
-twice or malformed raises ValueError; ``states`` turns that into a row's reason.
+twice or malformed raises an error whose message is a code; ``states`` makes it a row's reason, so
+that nothing of a page gets into a log.
 """
 
 from __future__ import annotations
@@ -14,12 +15,12 @@ from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame
 
+from tidemark.errors import SourceError
 from tidemark.sources.pages import strict_json
 
-_PUSH = re.compile(r"self\.__next_f\.push\s*\(\s*")
-_RECORD = re.compile(r"([0-9a-fA-F]*):(.*)", re.S)
-#: Marks of records that load modules and hint at resources (fixed values).
-_METADATA = ("HL", "I")
+#: How a stream is pushed, and the letters that mark its records of modules and resource hints (fixed values).
+PUSHED = "self.__next_f.push("
+MARKS = ("HL", "I")
 
 
 class _Scripts(HTMLParser):
@@ -61,7 +62,7 @@ def assigned(html: str | None, name: str) -> dict:
     place = re.compile(re.escape(name) + r"\s*=(?!=)\s*")
     found = [(body, m.end()) for _, body in scripts(html) for m in place.finditer(body)]
     if len(found) != 1:
-        raise ValueError(f"{len(found)} assignments of the state")
+        raise SourceError("not_one_assignment")
     value = strict_json(_value_at(*found[0])[0])
     return _an_object(strict_json(value) if isinstance(value, str) else value)
 
@@ -70,46 +71,61 @@ def scripted(html: str | None, ident: str = "__NEXT_DATA__") -> dict:
     """The object in the one JSON script of an id."""
     found = [(a, body) for a, body in scripts(html) if a.get("id") == ident]
     if len(found) != 1 or found[0][0].get("type") != "application/json":
-        raise ValueError(f"{len(found)} scripts of the state")
+        raise SourceError("not_one_script")
     return _an_object(strict_json(found[0][1]))
 
 
 def _an_object(value) -> dict:
     if not isinstance(value, dict):
-        raise ValueError("the state is not an object")
+        raise SourceError("not_an_object")
     return value
 
 
-def streamed(html: str | None) -> dict[str, object]:
-    """Records of a pushed stream by their ids: text chunks are joined first, metadata left out."""
-    chunks = []
+def _calls(html: str | None) -> Iterator[object]:
+    """Arguments of all calls that push to the stream, in the page's order."""
     for _, body in scripts(html):
-        for m in _PUSH.finditer(body):
-            raw, end = _value_at(body, m.end())
-            pushed = strict_json(raw)
-            if not body[end:].lstrip().startswith(")") or not isinstance(pushed, list) or not pushed or type(pushed[0]) is not int:
-                raise ValueError("not a push of one list")
-            if pushed[0] == 1:
-                if len(pushed) != 2 or not isinstance(pushed[1], str):
-                    raise ValueError("not a chunk of text")
-                chunks.append(pushed[1])
-            elif pushed[0] not in (0, 2):
-                raise ValueError("a channel that isn't text")
-    if not chunks:
-        raise ValueError("no pushed text")
-    records: dict[str, object] = {}
-    for line in filter(str.strip, "".join(chunks).split("\n")):
-        if not (m := _RECORD.fullmatch(line)):
-            raise ValueError("not a record")
-        ident, body = m[1], m[2].strip()
-        mark = next((x for x in _METADATA if body.startswith(x)), "")
-        value = strict_json(body[len(mark) :])
-        if mark:
-            continue
-        if ident in records:
-            raise ValueError("a record's id twice")
-        records[ident] = value
-    return records
+        compact = body.replace(PUSHED[:-1] + " ", PUSHED[:-1])
+        for piece in compact.split(PUSHED)[1:]:
+            raw, end = _value_at(piece.lstrip(), 0)
+            if piece.lstrip()[end:].lstrip()[:1] != ")":
+                raise SourceError("call_of_more_than_one_value")
+            yield strict_json(raw)
+
+
+def _text_of(call: object) -> str:
+    """The text that one call adds: none for the calls that open the stream or carry form state."""
+    match call:
+        case [1, str() as text]:
+            return text
+        case [0] | [0, _] | [2, _] if type(call[0]) is int:
+            return ""
+    raise SourceError("unknown_call")
+
+
+def _record_of(line: str) -> tuple[str, object] | None:
+    """Id and value of a line; None for a line of metadata, which is a list and may go without an id."""
+    ident, parted, value = line.partition(":")
+    mark = next((m for m in MARKS if value.lstrip().startswith(m)), "")
+    if not parted or not (ident or mark) or set(ident) - set("0123456789abcdefABCDEF"):
+        raise SourceError("line_without_id")
+    read = strict_json(value.lstrip().removeprefix(mark))
+    if not mark:
+        return ident, read
+    if not isinstance(read, list):
+        raise SourceError("metadata_without_list")
+    return None
+
+
+def streamed(html: str | None) -> dict[str, object]:
+    """Records of a pushed stream by their ids. A record may come again as it was, never changed."""
+    lines = "".join(map(_text_of, _calls(html))).splitlines()
+    found: dict[str, object] = {}
+    for ident, value in filter(None, (_record_of(line.strip()) for line in lines if line.strip())):
+        if found.setdefault(ident, value) != value:
+            raise SourceError("record_changed")
+    if not found:
+        raise SourceError("no_records")
+    return found
 
 
 def _lists(value, name: str) -> Iterator[list]:
@@ -127,7 +143,7 @@ def agreeing(records: dict[str, object], name: str) -> list:
     """The list of a name anywhere in the records; where it comes several times, all must be equal."""
     found = list(_lists(records, name))
     if not found or any(x != found[0] for x in found):
-        raise ValueError(f"{len(found)} lists that don't agree")
+        raise SourceError("lists_differ")
     return found[0]
 
 
@@ -139,7 +155,7 @@ def ungrouped(items: list[dict], name: str = "relatedAds", most: int = 500) -> l
         if members is None:
             out.append(item)
         elif not isinstance(members, list) or len(members) > most or any(not isinstance(x, dict) or x.get(name) for x in members):
-            raise ValueError("not a group of one level")
+            raise SourceError("not_a_group_of_one_level")
         else:
             out += members
     return out
@@ -158,13 +174,15 @@ def states(pages: DataFrame) -> DataFrame:
         import pandas as pd
 
         for frame in frames:
-            out = []
-            for page, html in frame.itertuples(index=False):
+            for page, html in frame.itertuples(index=False):  # a frame for each page: states can be large
+                out = []
                 for carrier, read in READERS.items():
                     try:
                         out.append((page, carrier, json.dumps(read(html), sort_keys=True, ensure_ascii=False), None))
-                    except (ValueError, RecursionError) as why:
+                    except SourceError as why:
                         out.append((page, carrier, None, str(why)))
-            yield pd.DataFrame(out, columns=["page_id", "carrier", "state", "reason"])
+                    except (ValueError, RecursionError):
+                        out.append((page, carrier, None, "malformed_json"))
+                yield pd.DataFrame(out, columns=["page_id", "carrier", "state", "reason"])
 
     return pages.select("page_id", "html").mapInPandas(run, "page_id long, carrier string, state string, reason string")

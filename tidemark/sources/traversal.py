@@ -13,6 +13,8 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.errors import SourceError
+
 #: First cut of an unbounded range, and the bound that cuts stay under (fixed values of price).
 STEP, HIGHEST = 1_000_000, 1_000_000_000
 #: Signals and settings that are read; others are ignored (fixed values).
@@ -30,7 +32,7 @@ class Range:
     def __post_init__(self):
         bounds = [b for b in (self.lower, self.upper) if b is not None]
         if any(type(b) is not int or not 0 <= b <= HIGHEST for b in bounds) or len(bounds) == 2 and bounds[0] >= bounds[1] or type(self.page) is not int or not 1 <= self.page <= 1000:
-            raise ValueError(f"not a range: {self}")
+            raise SourceError(f"not a range: {self}")
 
     def halves(self) -> list[Range]:
         """Two ranges that share their boundary; none where the range can't be cut."""
@@ -58,10 +60,10 @@ class Cursor:
         try:
             value = json.loads(text)
             if value.pop("version") != 1 or (value["source"], value["mode"]) != (source, mode):
-                raise ValueError("the cursor belongs to another traversal")
+                raise SourceError("the cursor belongs to another traversal")
             return Cursor(**value | {"queue": tuple(Range(**r) for r in value["queue"]), "unresolved": tuple(map(dict, value["unresolved"]))})
         except (KeyError, TypeError, AttributeError) as e:
-            raise ValueError("not a cursor") from e
+            raise SourceError("not a cursor") from e
 
 
 @dataclass
@@ -111,7 +113,7 @@ def walk(cursor: Cursor, fetch: Callable[[Range], Page], *, max_pages: int, max_
             seen.add((at.lower, at.upper, ids))
             for row in page.rows:
                 if owner.setdefault(row["url"], row["listing_id"]) != row["listing_id"]:
-                    raise ValueError(f"two identities at {row['url']}")
+                    raise SourceError(f"two identities at {row['url']}")
                 before = out.rows.get(row["listing_id"])
                 out.duplicates += before is not None
                 out.conflicts += before is not None and before != row
