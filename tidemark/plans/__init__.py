@@ -1,3 +1,3 @@
 """Queries over the driver's tables."""
 
-from tidemark.plans import catalogue, collection, reading  # noqa: F401  (each registers its queries)
+from tidemark.plans import catalogue, collection, pipelines, reading  # noqa: F401  (each registers its queries)

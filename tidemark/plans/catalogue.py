@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import values as v
-from tidemark.operators import match, quality, rows
+from tidemark.operators import feed, inventory, match, quality, rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -242,11 +242,11 @@ def current_left_availability(s, d):
     return joined.select("c_custkey", "c_name", F.coalesce("status", F.lit("untracked")).alias("status"))
 
 
-@query("SELECT coalesce(k, r) AS id, coalesce(st, 'missing') AS status, k IS NOT NULL AS was_known FROM (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderkey % 2 = 0) FULL JOIN (SELECT o_custkey AS r, max(o_orderstatus) AS st FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1) ON k = r")
+@query("SELECT coalesce(k, r) AS id, coalesce(st, 'missing') AS status, k IS NOT NULL AS was_known FROM (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01') FULL JOIN (SELECT o_custkey AS r, max(o_orderstatus) AS st FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01' GROUP BY 1) ON k = r")
 def missing_inference(s, d):
     o = t(s, d, "orders").withColumnRenamed("o_custkey", "id")
-    reported = o.where("o_orderkey % 3 = 0").groupBy("id").agg(F.max("o_orderstatus").alias("status"))
-    return rows.reconcile(o.where("o_orderkey % 2 = 0"), reported, ["id"])
+    reported = o.where("o_orderdate >= '1997-01-01'").groupBy("id").agg(F.max("o_orderstatus").alias("status"))
+    return rows.reconcile(o.where("o_orderdate < '1997-01-01'"), reported, ["id"])
 
 
 @query("SELECT p_partkey AS k, 'left' AS side FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity < 3) UNION ALL SELECT DISTINCT l_partkey, 'right' FROM lineitem WHERE l_quantity < 3 AND l_partkey NOT IN (SELECT p_partkey FROM part)")
@@ -272,10 +272,10 @@ def known_ids_union(s, d):
     return t(s, d, "customer").select(c("c_custkey").alias("id")).union(t(s, d, "orders").select("o_custkey")).distinct()
 
 
-@query("SELECT o_custkey AS id FROM orders WHERE o_orderkey % 5 = 0 INTERSECT SELECT o_custkey FROM orders WHERE o_orderkey % 7 = 0")
+@query("SELECT o_custkey AS id FROM orders WHERE o_orderstatus = 'F' INTERSECT SELECT o_custkey FROM orders WHERE o_orderstatus <> 'F'")
 def split_overlap_intersect(s, d):
-    side = lambda m: t(s, d, "orders").where(c("o_orderkey") % m == 0).select(c("o_custkey").alias("id"))
-    return side(5).intersect(side(7))
+    side = lambda test: t(s, d, "orders").where(test).select(c("o_custkey").alias("id"))
+    return side("o_orderstatus = 'F'").intersect(side("o_orderstatus <> 'F'"))
 
 
 @query(f"SELECT l_orderkey, l_linenumber, len(list_filter(string_split(quality_flags, '|'), lambda x : x NOT IN ('missing_price','missing_area','missing_exact_rooms',''))) AS n FROM ({FLAGGED})")
@@ -286,8 +286,8 @@ def flag_set_difference(s, d):
 
 CUTS = """d AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1),
 x AS (SELECT day, row_number() OVER (ORDER BY day) AS i, sum(n) OVER (ORDER BY day) AS cum, sum(n) OVER () AS total, count(*) OVER () AS days FROM d),
-a AS (SELECT arg_min(i, (abs(cum - 0.6 * total), i)) AS train_cut FROM x WHERE i <= days - 2),
-b AS (SELECT train_cut, arg_min(i, (abs(cum - 0.8 * total), i)) AS val_cut FROM x, a WHERE i > train_cut AND i <= days - 1 GROUP BY 1)"""
+a AS (SELECT arg_min(i, (abs(cum - 0.6::DOUBLE * total), i)) AS train_cut FROM x WHERE i <= days - 2),
+b AS (SELECT train_cut, arg_min(i, (abs(cum - 0.8::DOUBLE * total), i)) AS val_cut FROM x, a WHERE i > train_cut AND i <= days - 1 GROUP BY 1)"""
 
 
 @query(f"WITH {CUTS} SELECT CAST(train_cut AS INTEGER) AS train_cut, CAST(val_cut AS INTEGER) AS val_cut FROM b")
@@ -296,14 +296,14 @@ def temporal_split(s, d):
 
 
 @query(f"""WITH {CUTS}, p AS (SELECT o_orderkey, CASE WHEN i <= train_cut THEN 'train' WHEN i <= val_cut THEN 'validation' ELSE 'test' END AS partition FROM orders JOIN x ON CAST(o_orderdate AS DATE) = day, b)
-SELECT partition, count(*) AS n, sha256(string_agg(CAST(o_orderkey AS VARCHAR), chr(10) ORDER BY CAST(o_orderkey AS VARCHAR))) AS digest FROM p GROUP BY 1""")
+SELECT partition, count(*) AS n, CAST(sum(CAST(CAST('0x' || substr(h, 1, 15) AS UBIGINT) AS HUGEINT)) AS VARCHAR) || '-' || CAST(sum(CAST(CAST('0x' || substr(h, 16, 15) AS UBIGINT) AS HUGEINT)) AS VARCHAR) AS digest
+FROM (SELECT partition, sha256('{{"o_orderkey":' || o_orderkey || '}}') AS h FROM p) GROUP BY 1""")
 def split_summary(s, d):
     days = day_histogram(s, d)
     numbered = days.withColumn("i", F.row_number().over(Window.orderBy("day"))).join(F.broadcast(rows.temporal_cuts(days)))
     part = F.when(c("i") <= c("train_cut"), "train").when(c("i") <= c("val_cut"), "validation").otherwise("test")
     p = t(s, d, "orders").withColumn("day", F.to_date("o_orderdate")).join(F.broadcast(numbered), "day").withColumn("partition", part)
-    digest = F.sha2(F.array_join(F.array_sort(F.collect_list(c("o_orderkey").cast("string"))), "\n"), 256)
-    return p.groupBy("partition").agg(F.count("*").alias("n"), digest.alias("digest"))
+    return inventory.digests(p, ["partition"], ["o_orderkey"])
 
 
 METRICS = "round(avg(abs(y - p)), 4) AS mae, round(sqrt(avg(pow(y - p, 2))), 4) AS rmse, round(1 - sum(pow(y - p, 2)) / sum(pow(y - m, 2)), 6) AS r2"
@@ -449,8 +449,9 @@ def dashboard_filter_sort(s, d):
 
 @query("SELECT count(*) AS kept FROM events, (SELECT max(ts) AS now_ FROM events) WHERE now_ - ts <= INTERVAL 7 DAY")
 def feed_expiry(s, d):
-    e = t(s, d, "events")
-    return e.join(F.broadcast(e.agg(F.max("ts").alias("now_")))).where(c("now_") - c("ts") <= F.expr("INTERVAL 7 DAYS")).agg(F.count("*").alias("kept"))
+    e = t(s, d, "events").withColumn("ts", c("ts").cast("timestamp"))
+    now = F.lit(e.agg(F.max("ts")).first()[0])
+    return feed.fresh(e, c("ts"), now, now).agg(F.count("*").alias("kept"))
 
 
 @query("SELECT user_id, count(*) AS rises FROM (SELECT user_id, value > lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS up FROM events) WHERE up GROUP BY 1")
@@ -478,13 +479,6 @@ def link_extract(s, d):
     return pages.links(t(s, d, "pages"))
 
 
-@query(None)
-def gbt_score(s, d):
-    from tidemark.operators import model
-
-    return model.scored(t(s, d, "lineitem"))
-
-
 def _scored_orders(s, d):
     """Orders as scored observations with some of everything that excludes an identity."""
     o, k = t(s, d, "orders"), c("o_custkey")

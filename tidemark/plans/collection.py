@@ -34,6 +34,8 @@ def _shared(s) -> str:
     """The folder that the cluster shares, one of this machine's where none is named."""
     import tempfile
 
+    if not s.sparkContext.master.startswith("local") and not (s.sparkContext.getCheckpointDir() or s.conf.get("spark.checkpoint.dir", "")):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     return s.sparkContext.getCheckpointDir() or s.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="tidemark-")
 
 

@@ -17,6 +17,8 @@ from tidemark.errors import SourceError
 
 #: First cut of an unbounded range, and the bound that cuts stay under (fixed values of price).
 STEP, HIGHEST = 1_000_000, 1_000_000_000
+#: Ranges that a cursor may hold.
+LONGEST_QUEUE = 10_000
 #: Signals and settings that are read; others are ignored (fixed values).
 SIGNALS, SETTINGS = ("search", "ai-input", "ai-train"), ("yes", "no")
 
@@ -51,6 +53,14 @@ class Cursor:
     queue: tuple[Range, ...] = (Range(),)
     unresolved: tuple[dict, ...] = ()
 
+    def __post_init__(self):
+        if len(self.queue) > LONGEST_QUEUE or len(self.unresolved) > LONGEST_QUEUE:
+            raise SourceError("too many ranges in a cursor")
+
+    @property
+    def finished(self) -> bool:
+        return not self.queue
+
     def text(self) -> str:
         return json.dumps({"version": 1} | asdict(self), sort_keys=True)
 

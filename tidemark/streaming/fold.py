@@ -1,8 +1,10 @@
-"""Micro-batches folded into current state: late rows enter, and never roll the state back.
+"""Micro-batches folded into current state: late rows enter, replayed ones don't count again, and nothing rolls the state back.
 
-Each batch is reduced to one row for each key and merged into a versioned table; a version is a
-folder named by the batch, so a replayed batch writes the same version again instead of counting
-twice. No watermark drops late rows.
+A batch adds the events that history hasn't seen to history, reduces them to one row for each key
+and merges these into a versioned table. History parts and versions are folders named by the
+batch, so a batch that runs again writes the same folders again. The stream's checkpoint and both
+tables lie in one folder: a run that is given the folder of an earlier one goes on where it
+stopped. No watermark drops late rows.
 """
 
 from __future__ import annotations
@@ -13,6 +15,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+EVENT = ["user_id", "event_id"]
+
 
 def reduced(events: DataFrame) -> DataFrame:
     """One row for each user: the latest event, first and last time, number of events."""
@@ -24,27 +28,63 @@ def merged(state: DataFrame, delta: DataFrame) -> DataFrame:
     return both.groupBy("user_id").agg(F.max_by("event_id", F.struct("last_seen", "event_id")).alias("event_id"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.sum("n").alias("n"))
 
 
+def unseen(events: DataFrame, history: DataFrame | None) -> DataFrame:
+    """The first row of each event that history lacks."""
+    once = events.groupBy(*EVENT).agg(F.min_by(F.struct(*events.columns), F.struct("ts")).alias("_e")).select("_e.*")
+    return once if history is None else once.join(history, EVENT, "left_anti")
+
+
+def _numbers(spark: SparkSession, folder: str, prefix: str) -> list[int]:
+    """Numbers of the finished folders of a prefix."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(at):
+        return []
+    there = [f.getPath() for f in system.listStatus(at)]
+    done = [p.getName().removeprefix(prefix) for p in there if p.getName().startswith(prefix) and system.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return sorted(int(n) for n in done if n.isdigit())
+
+
+def _dropped(spark: SparkSession, folder: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def folded(spark: SparkSession, path: str, *, folder: str | None = None) -> DataFrame:
-    """Run the fold over all files of a folder (or one file) and return the last version."""
-    base = folder or spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="tidemark-")
-    base = f"{base}/fold-{uuid.uuid4().hex}"
+    """Run the fold over the files of a folder (or one file) that it hasn't read, and return the last version.
+
+    ``folder``: where checkpoint, history and versions are, shared by the cluster; without one, a
+    new folder is made below the checkpoint folder, and the run starts from nothing.
+    """
+    named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", "")
+    if not folder and not named and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    base = folder or f"{named or tempfile.mkdtemp(prefix='tidemark-')}/fold-{uuid.uuid4().hex}"
     schema = spark.read.parquet(path).schema
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 50)
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     if at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isFile():  # a stream reads folders
         reader, path = reader.option("pathGlobFilter", at.getName()), at.getParent().toString()
     stream = reader.parquet(path)
-    versions: list[int] = []
 
     def step(batch: DataFrame, number: int) -> None:
-        delta = reduced(batch)
-        if number > 0:
-            delta = merged(batch.sparkSession.read.parquet(f"{base}/v{number - 1}"), delta)
+        own = batch.sparkSession
+        parts = [n for n in _numbers(own, f"{base}/history", "h") if n < number]
+        history = own.read.parquet(*[f"{base}/history/h{n}" for n in parts]) if parts else None
+        new = unseen(batch, history).persist()
+        new.select(*EVENT).write.mode("overwrite").parquet(f"{base}/history/h{number}")
+        before = [n for n in _numbers(own, base, "v") if n < number]
+        delta = reduced(new)
+        if before:
+            delta = merged(own.read.parquet(f"{base}/v{before[-1]}"), delta)
         delta.write.mode("overwrite").parquet(f"{base}/v{number}")
-        versions.append(number)
+        new.unpersist()
+        for n in before[:-1]:  # the one before stays for a batch that runs again
+            _dropped(own, f"{base}/v{n}")
 
     running = stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
     running.awaitTermination()
+    versions = _numbers(spark, base, "v")
     if not versions:
         return reduced(spark.createDataFrame([], schema))
-    return spark.read.parquet(f"{base}/v{max(versions)}")
+    return spark.read.parquet(f"{base}/v{versions[-1]}")
