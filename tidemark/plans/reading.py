@@ -194,3 +194,10 @@ def text_forms(s, d):
     frame = t(s, d, "customer").select("c_custkey", v.shown(dirty).alias("shown"), v.identity_text(name).alias("name"), F.when(k == 1, float("nan")).when(k == 0, 1.0).alias("latitude"), F.lit(None).cast("double").alias("floor"))
     none = F.struct(F.lit(None).cast("double").alias("latitude"), F.lit(None).cast("double").alias("floor"))
     return frame.select("c_custkey", "shown", "name", v.signature(["latitude", "floor"]).eqNullSafe(none).alias("same"))
+
+
+@query("SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'https://h.example' WHEN 1 THEN 'https://h.example:8443' END AS origin FROM pages")
+def url_origins(s, d):
+    k = c("page_id") % 3
+    url = F.when(k == 0, "HTTPS://H.example:443/a?b").when(k == 1, "https://h.example:8443/x").otherwise("/relative")
+    return t(s, d, "pages").select("page_id", v.origin(url).alias("origin"))

@@ -186,3 +186,22 @@ def states(pages: DataFrame) -> DataFrame:
                 yield pd.DataFrame(out, columns=["page_id", "carrier", "state", "reason"])
 
     return pages.select("page_id", "html").mapInPandas(run, "page_id long, carrier string, state string, reason string")
+
+
+def lists(pages: DataFrame, name: str) -> DataFrame:
+    """page_id, units (JSON of the list of a name that all of a page's streamed records agree on), reason."""
+
+    def run(frames):
+        import pandas as pd
+
+        for frame in frames:
+            for page, html in frame.itertuples(index=False):
+                try:
+                    row = (page, json.dumps(agreeing(streamed(html), name), ensure_ascii=False), None)
+                except SourceError as why:
+                    row = (page, None, str(why))
+                except (ValueError, RecursionError):
+                    row = (page, None, "malformed_json")
+                yield pd.DataFrame([row], columns=["page_id", "units", "reason"], dtype=object)
+
+    return pages.select("page_id", "html").mapInPandas(run, "page_id long, units string, reason string")
