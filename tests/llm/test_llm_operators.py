@@ -318,6 +318,27 @@ def test_jaccard_join_of_shared_paragraphs(spark):
     assert {(100 * g + 91, 101, 100 * g + 90) for g in range(6)} <= got
 
 
+def test_jaccard_join_of_one_passage_in_a_fifth(spark):
+    """A passage that a fifth of all texts share neither joins them to one group nor hides their own copies."""
+    rng = random.Random(21)
+    words = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    passage, docs = words(60), []
+    for k in range(600):
+        own = words(120)
+        text = f"{own} {passage}" if k % 5 == 0 else own
+        docs.append((k, text))
+        if k % 50 == 0:
+            docs.append((1000 + k, text + " end"))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    got = {tuple(r) for r in jaccard_join.similar(frame).collect()}
+    assert got == brute_components(docs, 3, 90)
+    assert sum(component != doc for doc, _, component in got) == 12
+    cells = jaccard_join.commonness(frame, "text", 3)
+    words_ = jaccard_join.Words()
+    met = collections.Counter(key for _, text in docs for key in jaccard_join.prefix_keys(jaccard_join.shingles(text, 3, words_), 90, cells).tolist())
+    assert max(met.values()) <= 2  # the passage is in no prefix
+
+
 def test_jaccard_join_odd_rows(spark, odd):
     got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.similar(odd).collect()}
     assert {(1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), (5, 1, 4)} <= got
