@@ -472,7 +472,8 @@ def stream_history_fold(s, d):
     return fold.folded(s, f"{d}/events.parquet")
 
 
-@query(None)
+@query("""WITH h AS (SELECT page_id, regexp_extract(url, '^[A-Za-z]+://[^/?#]*') AS o, regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1) AS l FROM pages), u AS (SELECT page_id, o, unnest(l) AS x, generate_subscripts(l, 1) AS i FROM h)
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS position, link, false AS is_next FROM (SELECT page_id, o || x AS link, min(i) AS i FROM u GROUP BY 1, 2)""")
 def link_extract(s, d):
     from tidemark.sources import pages
 
@@ -549,8 +550,15 @@ def lease_claims(s, d):
     return inventory.claimed(held, asked, k, "INTERVAL 90 DAYS").select(*k, "owner", c("until").cast("date").alias("until"))
 
 
-@query(None)
+@query("""SELECT o_orderkey AS page_id, CASE o_orderkey % 3 WHEN 0 THEN 'assigned' WHEN 1 THEN 'scripted' ELSE 'streamed' END AS carrier,
+ CASE WHEN o_orderkey % 3 < 2 THEN '{"a": ' || o_orderkey || ', "b": "' || o_orderpriority || '"}' ELSE '{"1": {"a": ' || o_orderkey || ', "b": "' || o_orderpriority || '"}}' END AS state FROM orders WHERE o_orderkey % 7 > 0""")
 def embedded_states(s, d):
     from tidemark.sources import state
 
-    return state.states(t(s, d, "pages"))
+    k = c("o_orderkey")
+    whole = F.to_json(F.struct(c("o_orderpriority").alias("b"), k.alias("a")))
+    quoted = F.replace(whole, F.lit('"'), F.lit('\\"'))
+    html = F.when(k % 7 == 0, F.lit("<p>none</p>")).when(k % 3 == 0, F.concat(F.lit('<script>window.__PRERENDERED_STATE__ = "'), quoted, F.lit('";</script>'))).when(k % 3 == 1, F.concat(F.lit('<script id="__NEXT_DATA__" type="application/json">'), whole, F.lit("</script>")))
+    html = html.otherwise(F.concat(F.lit('<script>self.__next_f.push([1,"1:'), F.substr(quoted, F.lit(1), F.lit(6)), F.lit('"])</script><script>self.__next_f.push([1,"'), F.substr(quoted, F.lit(7)), F.lit('\\n2:I[1]"])</script>')))
+    made = t(s, d, "orders").select(k.cast("long").alias("page_id"), html.alias("html"))
+    return state.states(made).where("state IS NOT NULL").drop("reason")

@@ -61,12 +61,15 @@ def _ranking(s, d, ready):
     return model.scored(told, parts.select("source", "listing_id", "partition"))
 
 
-@query(f"""{SNAPSHOTS}, f AS (SELECT *, min(CASE WHEN NOT naive THEN at_ END) OVER i AS began FROM w WINDOW i AS (PARTITION BY src, o_custkey)),
+SCORED = f"""{SNAPSHOTS}, f AS (SELECT *, min(CASE WHEN NOT naive THEN at_ END) OVER i AS began FROM w WINDOW i AS (PARTITION BY src, o_custkey)),
 h AS (SELECT src, o_custkey AS k, began, max(price) AS price FROM f WHERE NOT spoilt AND at_ = began AND began <= TIMESTAMP '1999-01-01' GROUP BY ALL HAVING count(DISTINCT price) = 1 AND count(DISTINCT row(floor)) = 1 AND o_custkey % 17 > 0 AND o_custkey % 13 > 0),
 d AS (SELECT CAST(began AS DATE) AS day, count(*) AS n FROM h GROUP BY 1), x AS (SELECT day, row_number() OVER (ORDER BY day) AS i, sum(n) OVER (ORDER BY day) AS cum, sum(n) OVER () AS total, count(*) OVER () AS days FROM d),
 a AS (SELECT arg_min(i, (abs(cum - 0.6::DOUBLE * total), i)) AS train_cut FROM x WHERE i <= days - 2), b AS (SELECT train_cut, arg_min(i, (abs(cum - 0.8::DOUBLE * total), i)) AS val_cut FROM x, a WHERE i > train_cut AND i <= days - 1 GROUP BY 1),
 p AS (SELECT h.*, CASE WHEN i <= train_cut THEN 'train' WHEN i <= val_cut THEN 'validation' ELSE 'test' END AS partition FROM h JOIN x ON CAST(began AS DATE) = day, b), m AS (SELECT k % 3 AS dist, median(price) AS predicted FROM p WHERE partition = 'train' GROUP BY 1)
-SELECT e.src || '.example' AS source, CAST(e.k AS VARCHAR) AS listing_id, coalesce(p.partition, 'unseen') AS partition, round((predicted - e.price) / predicted, 9) AS discount, (predicted - e.price) / predicted >= 0.15 AS is_deal FROM e JOIN m ON e.k % 3 = dist LEFT JOIN p ON p.src = e.src AND p.k = e.k WHERE reason IS NULL""")
+SELECT e.src || '.example' AS source, CAST(e.k AS VARCHAR) AS listing_id, coalesce(p.partition, 'unseen') AS partition, e.price, predicted, (predicted - e.price) / predicted AS discount, (predicted - e.price) / predicted >= 0.15 AS is_deal, e.k % 3 AS dist, chosen FROM e JOIN m ON e.k % 3 = dist LEFT JOIN p ON p.src = e.src AND p.k = e.k WHERE reason IS NULL"""
+
+
+@query(f"SELECT source, listing_id, partition, round(discount, 9) AS discount, is_deal FROM ({SCORED})")
 def scored_latest(s, d):
     ready = prepare.prepared(_observations(s, d), F.to_timestamp(F.lit("1998-01-01T00:00:00Z")), keep="latest", hosts=HOSTS, max_age_days=900)
     return _ranking(s, d, ready).select("source", "listing_id", "partition", F.round("discount", 9).alias("discount"), "is_deal")
@@ -80,14 +83,19 @@ def _candidates(s, d):
     return selection.ranked(selection.judged(ready, now, max_age_days=900, hosts=HOSTS))
 
 
-@query(None)
+RANKED = f"SELECT * FROM ({SCORED}) WHERE partition IN ('test', 'unseen') AND is_deal ORDER BY discount DESC, source, listing_id LIMIT 50"
+
+
+@query(f"SELECT source, listing_id, price AS price_pln, round(predicted, 6) AS predicted_price_pln, round(discount, 9) AS gap, 'experimental' AS ranking_status FROM ({RANKED})")
 def build_ranking(s, d):
-    return _candidates(s, d).select("source", "listing_id", "price_pln", "predicted_price_pln", "gap", "ranking_status")
+    return _candidates(s, d).select("source", "listing_id", "price_pln", F.round("predicted_price_pln", 6).alias("predicted_price_pln"), F.round("gap", 9).alias("gap"), "ranking_status")
 
 
-@query(None)
+@query(f"""SELECT CAST(row_number() OVER (ORDER BY discount DESC, source, listing_id) AS INTEGER) AS position, source, listing_id, 'https://' || source || '/x' AS url, 'D' || dist AS district, price AS price_pln, 50.0 AS area_m2, 2 AS rooms, round(predicted, 6) AS predicted_price_pln,
+ round(discount, 9) AS model_gap_fraction, round(predicted - price, 6) AS model_gap_pln, strftime(chosen, '%Y-%m-%dT%H:%M:%SZ') AS observed_at FROM ({RANKED})""")
 def feed_from_ranking(s, d):
-    return feed.offers(_candidates(s, d))
+    rounded = {"predicted_price_pln": 6, "model_gap_fraction": 9, "model_gap_pln": 6}
+    return feed.offers(_candidates(s, d)).withColumns({n: F.round(n, k) for n, k in rounded.items()})
 
 
 @query(None)

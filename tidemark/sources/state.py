@@ -10,13 +10,13 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame
 
 from tidemark.errors import SourceError
-from tidemark.sources.pages import strict_json
+from tidemark.sources.pages import framed, strict_json
 
 #: How a stream is pushed, and the letters that mark its records of modules and resource hints (fixed values).
 PUSHED = "self.__next_f.push("
@@ -164,6 +164,16 @@ def ungrouped(items: list[dict], name: str = "relatedAds", most: int = 500) -> l
 READERS = {"assigned": lambda html: assigned(html, "window.__PRERENDERED_STATE__"), "scripted": scripted, "streamed": streamed}
 
 
+def _told(read: Callable, html: str | None) -> tuple[str | None, str | None]:
+    """What a reader finds as JSON with sorted names, and the code of what keeps it from finding anything."""
+    try:
+        return json.dumps(read(html), sort_keys=True, ensure_ascii=False), None
+    except SourceError as why:
+        return None, str(why)
+    except (ValueError, RecursionError):
+        return None, "malformed_json"
+
+
 def states(pages: DataFrame) -> DataFrame:
     """page_id, carrier, state (JSON, sorted names), reason: a row for each page and carrier.
 
@@ -171,19 +181,8 @@ def states(pages: DataFrame) -> DataFrame:
     """
 
     def run(frames):
-        import pandas as pd
-
-        for frame in frames:
-            for page, html in frame.itertuples(index=False):  # a frame for each page: states can be large
-                out = []
-                for carrier, read in READERS.items():
-                    try:
-                        out.append((page, carrier, json.dumps(read(html), sort_keys=True, ensure_ascii=False), None))
-                    except SourceError as why:
-                        out.append((page, carrier, None, str(why)))
-                    except (ValueError, RecursionError):
-                        out.append((page, carrier, None, "malformed_json"))
-                yield pd.DataFrame(out, columns=["page_id", "carrier", "state", "reason"])
+        found = ((page, carrier, *_told(read, html)) for frame in frames for page, html in frame.itertuples(index=False) for carrier, read in READERS.items())
+        yield from framed(found, ["page_id", "carrier", "state", "reason"])
 
     return pages.select("page_id", "html").mapInPandas(run, "page_id long, carrier string, state string, reason string")
 
@@ -192,16 +191,7 @@ def lists(pages: DataFrame, name: str) -> DataFrame:
     """page_id, units (JSON of the list of a name that all of a page's streamed records agree on), reason."""
 
     def run(frames):
-        import pandas as pd
-
-        for frame in frames:
-            for page, html in frame.itertuples(index=False):
-                try:
-                    row = (page, json.dumps(agreeing(streamed(html), name), ensure_ascii=False), None)
-                except SourceError as why:
-                    row = (page, None, str(why))
-                except (ValueError, RecursionError):
-                    row = (page, None, "malformed_json")
-                yield pd.DataFrame([row], columns=["page_id", "units", "reason"], dtype=object)
+        found = ((page, *_told(lambda h: agreeing(streamed(h), name), html)) for frame in frames for page, html in frame.itertuples(index=False))
+        yield from framed(found, ["page_id", "units", "reason"])
 
     return pages.select("page_id", "html").mapInPandas(run, "page_id long, units string, reason string")
