@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.functions import values as v
-from tidemark.operators import feed, inventory, match, model, prepare, selection, store
+from tidemark.operators import contracts, feed, inventory, match, model, prepare, selection, store
 from tidemark.plans.catalogue import FLAGGED, RAW, _raw, audit_flags, c, query, t
-from tidemark.sources import files
+from tidemark.plans.collection import _shared
+from tidemark.sources import files, tables
 
 HOSTS = {"a.example": "a.example", "b.example": "b.example"}
 
@@ -253,3 +255,80 @@ def client_offers(s, d):
         c("o_totalprice").alias("price_pln"), F.when(k % 7 == 0, 0.0).otherwise(50.0).alias("area_m2"), F.lit(1e6).alias("predicted_price_pln"), F.lit(0.9).alias("model_gap_fraction"), F.lit(0.0).alias("model_gap_pln"),
     )
     return feed.client_rows(offered, {"b": "b.example"}, HOSTS).select("o_orderkey", "source", F.round("model_gap_fraction", 9).alias("gap"))
+
+
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS listing_id, CASE WHEN c_custkey % 3 = 0 AND c_custkey % 2 = 0 THEN '5' WHEN c_custkey % 5 > 0 THEN CAST(c_custkey * 10 AS VARCHAR) END AS price_pln, CASE WHEN c_custkey % 2 = 0 THEN '2025-01-01T00:00:00Z' ELSE '2026-01-01T00:00:00Z' END AS first_seen,
+ CASE WHEN c_custkey % 3 = 0 AND c_custkey % 2 = 0 THEN '2027-01-01T00:00:00Z' ELSE '2026-01-01T00:00:00Z' END AS last_seen FROM customer WHERE c_custkey > 0""")
+def capture_commit(s, d):
+    """Customers as a capture over a catalogue that knows half of them, some by a later time."""
+    k, none = c("c_custkey"), F.lit(None).cast("string")
+    people = t(s, d, "customer").where("c_custkey > 0")
+    base = {"source": F.lit("www.a.example"), "listing_id": k.cast("string"), "url": F.concat(F.lit("https://www.a.example/o/"), k), "city": F.lit("Warszawa"), "area_m2": F.lit("50"), "rooms": F.lit("2")}
+    record = lambda **more: [(base | more).get(n, none).alias(n) for n in contracts.CATALOGUE]
+    batch = people.select(*record(price_pln=F.when(k % 5 > 0, (k * 10).cast("string")), observed_at=F.lit("2026-01-01T00:00:00Z")))
+    late = F.when(k % 3 == 0, "2027-01-01T00:00:00Z").otherwise("2025-06-01T00:00:00Z")
+    known = people.where("c_custkey % 2 = 0").select(*record(price_pln=F.lit("5"), observed_at=late)).withColumn("first_seen", F.lit("2025-01-01T00:00:00Z")).withColumnRenamed("observed_at", "last_seen")
+    progress = s.createDataFrame([("www.a.example", "full", "g", "{}", False, 0, "me", 10, None)], "source string, mode string, generation string, checkpoint string, completed boolean, updated_at int, lease_owner string, lease_until int, last_error string")
+    state = known.select("source", "listing_id", "price_pln", "first_seen", "last_seen")
+    done = store.captured(known, state.select("source", "listing_id", "price_pln", c("last_seen").alias("observed_at")), state, progress, batch, source="www.a.example", mode="full", owner="me", generation="g", checkpoint="{}", completed=True, at=F.lit(5), paths={"www.a.example": "/o/[^/]+"}, values=["price_pln"])
+    return done.catalogue.select("listing_id", "price_pln", "first_seen", "last_seen")
+
+
+@query("""WITH r AS (SELECT o_custkey AS k, CASE WHEN max(o_orderstatus) = 'O' THEN 'available' ELSE 'sold' END AS status FROM orders GROUP BY 1)
+SELECT 'p' || coalesce(c_custkey, r.k) AS listing_id, coalesce(status, 'missing') AS status, CASE WHEN r.k IS NULL THEN 1 ELSE 7 END AS last_seen_at FROM customer FULL JOIN r ON c_custkey = r.k""")
+def inventory_taken(s, d):
+    """All customers as the known inventory, those with orders as the next snapshot's."""
+    ident = lambda x: F.concat(F.lit("p"), x).alias("listing_id")
+    headers = s.createDataFrame([("s", "one", "p", 1, "x", 1)], "source string, scope string, prefix string, observed_at int, digest string, n long")
+    current = t(s, d, "customer").select(F.lit("s").alias("source"), F.lit("one").alias("scope"), ident("c_custkey"), F.lit("available").alias("status"), F.lit(1).alias("last_seen_at"), F.lit(1).alias("observed_at"))
+    reported = t(s, d, "orders").groupBy("o_custkey").agg(F.max("o_orderstatus").alias("o")).select(ident("o_custkey"), F.when(c("o") == "O", "available").otherwise("sold").alias("status"))
+    done = inventory.taken(headers, current, current, reported, source="s", scope="one", prefix="p", at=F.lit(7), complete=True)
+    return done.current.select("listing_id", "status", "last_seen_at")
+
+
+@query("""SELECT 'A' || c_custkey AS unit_number, CASE WHEN c_custkey % 11 > 0 THEN CAST(c_custkey + 1 AS DOUBLE) + 0.5 END AS price_pln, CASE WHEN c_custkey % 5 = 0 THEN 'other_context' WHEN c_custkey % 7 = 0 THEN 'other_property_type' WHEN c_custkey % 11 = 0 THEN 'invalid_price' WHEN c_custkey % 13 = 0 THEN 'invalid_time' WHEN c_custkey % 17 = 0 THEN 'not_of_the_day' END AS reason FROM customer WHERE c_custkey % 3 > 0""")
+def price_file_rows(s, d):
+    """A price file written of customers, read by its layout."""
+    k, folder = c("c_custkey"), f"{_shared(s)}/prices-{uuid.uuid4().hex}"
+    until = F.when(k % 13 == 0, "2026-08-01T00:00:00+01:00").when(k % 17 == 0, "2026-07-02T00:00:00Z").otherwise("2026-08-01T00:00:00+02:00")
+    price = F.when(k % 11 == 0, "1,2.3").otherwise(F.concat(k + 1, F.lit(",50")))
+    kind = F.when(k % 3 == 0, "Parking").when(k % 7 == 0, "House").otherwise("Flat")
+    made = t(s, d, "customer").select(F.concat(F.lit("A"), k).alias("Unit"), kind.alias("Kind"), F.lit("2026-07-01T00:00:00Z").alias("From"), until.alias("Until"), F.when(k % 5 == 0, "Else").otherwise("TOWN").alias("Town"), price.alias("Base price (PLN)"))
+    tables.write_csv(made, folder, made.columns)
+    layout = files.Layout({"unit_number": "Unit", "property_type": "Kind", "valid_from": "From", "valid_until": "Until"}, "Base price", context={"Town": "town"}, wanted="Flat", passed_over=("Parking",))
+    return files.price_file(s, folder, layout, F.lit("2026-07-15").cast("date")).select("unit_number", "price_pln", "reason")
+
+
+@query("SELECT s_suppkey AS id, s_name AS name, 'supplier' AS kind FROM supplier UNION ALL SELECT c_custkey, c_name, 'customer' FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')")
+def pinned_snapshot(s, d):
+    """Two frames of one bundle, read while another bundle comes into force."""
+    folder = f"{_shared(s)}/pinned-{uuid.uuid4().hex}"
+    bundle = {"suppliers": t(s, d, "supplier"), "customers": t(s, d, "customer").withColumnRenamed("c_mktsegment", "source")}
+    tables.save_bundle(s, folder, bundle)
+    both = tables.open_snapshot(s, folder, {"suppliers": {"columns": ["s_suppkey", "s_name"], "limit": 10_000_000}, "customers": {"columns": ["c_custkey", "c_name"], "sources": ("BUILDING", "MACHINERY"), "order": ["c_custkey"]}})
+    tables.save_bundle(s, folder, {n: f.where("false") for n, f in bundle.items()})
+    rows = lambda f, kind: f.toDF("id", "name").select(c("id").cast("long").alias("id"), "name", F.lit(kind).alias("kind"))
+    return rows(both["suppliers"], "supplier").unionByName(rows(both["customers"], "customer"))
+
+
+@query("SELECT CAST(n_nationkey + 1 AS VARCHAR) AS listing_id, CAST((n_nationkey + 1) * 100 AS VARCHAR) AS price_pln, '2026-01-01T00:00:00Z' AS first_seen FROM nation")
+def collected_run(s, d):
+    """Nations as a source's pages of ten listings, beside a source that fails."""
+    from tidemark.sources import collect
+    from tidemark.sources.traversal import Page
+
+    nations = sorted(r[0] for r in t(s, d, "nation").select("n_nationkey").limit(1000).collect())  # a fetcher's pages
+    listing = lambda n: {"source": "www.a.example", "listing_id": str(n + 1), "url": f"https://www.a.example/o/{n}", "city": "Warszawa", "price_pln": (n + 1) * 100, "area_m2": 50, "rooms": 2, "observed_at": "2026-01-01T00:00:00Z"}
+
+    def broken(at):
+        raise OSError("unreachable")
+
+    names = [n for n in contracts.CATALOGUE if n not in ("source", "listing_id", "observed_at")]
+    empty = s.createDataFrame([], ", ".join(f"{n} string" for n in ("source", "listing_id", *names, "first_seen", "last_seen")))
+    history, state = (empty.select("source", "listing_id", "price_pln", "area_m2", *times) for times in ((c("last_seen").alias("observed_at"),), ("first_seen", "last_seen")))
+    progress = s.createDataFrame([(x, "full", "g", "{}", False, 0, "me", 10, None) for x in ("www.a.example", "www.b.example")], "source string, mode string, generation string, checkpoint string, completed boolean, updated_at int, lease_owner string, lease_until int, last_error string")
+    pages = lambda at: Page([listing(n) for n in nations[10 * at.page - 10 : 10 * at.page]], pages=-(-len(nations) // 10))
+    sources = {"www.a.example": pages, "www.b.example": broken}
+    done = collect.run(s, sources, dict.fromkeys(sources, (empty, history, state)), progress, mode="full", owner="me", generation="g", at=F.lit(5), observed_at="now", paths=dict.fromkeys(sources, "/o/[^/]+"))
+    assert [done[x].failure for x in sorted(sources)] == [None, "source_failed"]
+    return done["www.a.example"].capture.catalogue.select("listing_id", "price_pln", "first_seen")
