@@ -93,7 +93,7 @@ def build_ranking(s, d):
     return _candidates(s, d).select("source", "listing_id", "price_pln", F.round("predicted_price_pln", 6).alias("predicted_price_pln"), F.round("gap", 9).alias("gap"), "ranking_status")
 
 
-@query(f"""SELECT CAST(row_number() OVER (ORDER BY discount DESC, source, listing_id) AS INTEGER) AS position, source, listing_id, 'https://' || source || '/x' AS url, 'D' || dist AS district, price AS price_pln, 50.0 AS area_m2, 2 AS rooms, round(predicted, 6) AS predicted_price_pln,
+@query(f"""SELECT CAST(row_number() OVER (ORDER BY discount DESC, source, listing_id) AS INTEGER) AS position, source, listing_id, 'https://' || source || '/x' AS url, 'D' || dist AS district, price AS price_pln, CAST(50 AS DOUBLE) AS area_m2, 2 AS rooms, round(predicted, 6) AS predicted_price_pln,
  round(discount, 9) AS model_gap_fraction, round(predicted - price, 6) AS model_gap_pln, strftime(chosen, '%Y-%m-%dT%H:%M:%SZ') AS observed_at FROM ({RANKED})""")
 def feed_from_ranking(s, d):
     rounded = {"predicted_price_pln": 6, "model_gap_fraction": 9, "model_gap_pln": 6}

@@ -122,7 +122,7 @@ def robots_verdicts(s, d):
     return robots.allowed(urls, rules, "site", "path", "own").select("p_partkey", "allowed")
 
 
-@query("SELECT site, agent, seconds FROM (VALUES (0, '*', 3.5), (1, 'own', 120.0), (1, 'other', 120.0)) x(site, agent, seconds)")
+@query("SELECT site, agent, CAST(seconds AS DOUBLE) AS seconds FROM (VALUES (0, '*', 3.5), (1, 'own', 120.0), (1, 'other', 120.0)) x(site, agent, seconds)")
 def robots_delays(s, d):
     files = s.createDataFrame([(0, "User-agent: *\nCrawl-delay: 2\nCrawl-delay: 3.5"), (1, "User-agent: own\nUser-agent: other\nRequest-rate: 1/2m\nCrawl-delay: 7"), (2, "Crawl-delay: 9")], "site int, t string")
     return robots.delays(robots.lines(files, "site", "t"), "site")
