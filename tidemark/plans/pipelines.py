@@ -54,10 +54,18 @@ def prepared_latest(s, d):
     return ready.select("source", "listing_id", "price_pln", "price_per_m2", c("observed_at").cast("timestamp_ntz").alias("observed_at"))
 
 
+def _kept(s, frame, what):
+    """The frame as a written table in the shared folder: several actions read it, and none of them works it out again."""
+    path = f"{_shared(s)}/{what}-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return s.read.schema(frame.schema).parquet(path)
+
+
 def _ranking(s, d, ready):
     """Latest listings scored by the median of their district among the training listings, best gap first."""
-    observations = _observations(s, d)
-    parts = model.disjoint(model.dealt(prepare.prepared(observations, F.to_timestamp(F.lit("1999-01-01T00:00:00Z")), keep="earliest", hosts=HOSTS), "temporal"))
+    ready = _kept(s, ready, "latest")
+    first = _kept(s, prepare.prepared(_observations(s, d), F.to_timestamp(F.lit("1999-01-01T00:00:00Z")), keep="earliest", hosts=HOSTS), "earliest")
+    parts = model.disjoint(model.dealt(first, "temporal"))
     medians = model.by_group_median(parts.where("partition = 'train'"), "district")
     told = ready.join(F.broadcast(medians), "district", "left")  # a row for each district
     return model.scored(told, parts.select("source", "listing_id", "partition"))
