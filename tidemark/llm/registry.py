@@ -1,4 +1,4 @@
-"""The queries ``op1_...`` to ``op10_...``: each operator over its whole table, with its digest columns.
+"""The queries ``op1_...`` to ``op13_...``: each operator over its whole table, with its digest columns.
 
 A query's result is a written table: it is made under settings that bound what Python gets at
 once, and the session has its own settings again when the query returns.
@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import interpolated_lm, jaccard_join, language_id, merge_replay, packing, quality_crf, tool_calls, toxicity, url_filter, vector_dedup
+from tidemark.llm import interpolated_lm, jaccard_join, language_id, merge_replay, name_join, packing, quality_crf, tool_calls, toxicity, url_filter, vector_dedup
 from tidemark.llm.common import fold, stored, table
 
 RULES = [
@@ -103,11 +103,44 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op12_name_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clients against vendors whose names are misspelt by a digest of their ids."""
+    vendors = table(spark, sf_dir, "vendors").select("vendor_id", name_join.misspelt(F.col("name"), F.col("vendor_id")).alias("name"))
+    return name_join.join_names(table(spark, sf_dir, "clients").select("client_id", "name"), vendors, most=2)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_url_filter, op2_best_fit_packing, op3_merge_replay, op4_toxicity, op5_quality_crf, op6_jaccard_join, op7_language_id, op8_tool_calls, op9_interpolated_lm, op10_vector_dedup)
+    for f in (op1_url_filter, op2_best_fit_packing, op3_merge_replay, op4_toxicity, op5_quality_crf, op6_jaccard_join, op7_language_id, op8_tool_calls, op9_interpolated_lm, op10_vector_dedup, op12_name_join)
 }
 
+#: crc32 of an id's decimal text: each byte's value and seven zeros take one step of the division each.
+_CRC_SQL = "xor(list_reduce(flatten(list_transform(string_split(coalesce(CAST({id} AS VARCHAR), ''), ''), lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0])), lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1)), 4294967295), 4294967295)"
+
+
+def _cell_sql(o: int) -> str:
+    """Cell (i, i + o - 2) of the next row; ``p`` is the row before it, ``q`` the one before that."""
+    j = f"(i + 1 + {o - 2})"
+    ways = [f"p{o} + CAST(a[i + 1] <> b[{j}] AS INTEGER)"] + [f"n{o - 1} + 1"] * (o > 0) + [f"p{o + 1} + 1"] * (o < 4)
+    ways.append(f"CASE WHEN i >= 1 AND {j} > 1 AND a[i + 1] = b[{j} - 1] AND a[i] = b[{j}] THEN q{o} + 1 ELSE 9 END")
+    return f"CASE WHEN {j} < 0 OR {j} > len(b) THEN 9 WHEN {j} = 0 THEN i + 1 ELSE least(9, {', '.join(ways)}) END AS n{o}"
+
+
+_NAME_SQL = f"""
+WITH RECURSIVE
+h AS (SELECT vendor_id, name, {_CRC_SQL.format(id="vendor_id")} AS h, length(name) AS n FROM vendors WHERE name <> ''),
+v AS (SELECT vendor_id, CASE WHEN h % 2 = 0 AND n >= 2 THEN concat(substring(name, 1, h % (n - 1)), substring(name, h % (n - 1) + 2, 1), substring(name, h % (n - 1) + 1, 1), substring(name, h % (n - 1) + 3)) ELSE name END AS name FROM h),
+pairs AS (SELECT c.name AS cn, v.name AS vn, string_split(c.name, '') AS a, string_split(v.name, '') AS b
+  FROM (SELECT DISTINCT name FROM clients WHERE name <> '') c JOIN (SELECT DISTINCT name FROM v) v ON abs(length(c.name) - length(v.name)) <= 2),
+d AS (SELECT cn, vn, a, b, 0 AS i, 9 AS p0, 9 AS p1, 0 AS p2, 1 AS p3, 2 AS p4, 9 AS q0, 9 AS q1, 9 AS q2, 9 AS q3, 9 AS q4 FROM pairs
+  UNION ALL SELECT cn, vn, a, b, i + 1, n0, n1, n2, n3, n4, p0, p1, p2, p3, p4
+  FROM (SELECT *, {', '.join(_cell_sql(o) for o in range(5))} FROM d WHERE i < len(a)) WHERE least(n0, n1, n2, n3, n4) <= 2),
+near AS (SELECT cn, vn, [p0, p1, p2, p3, p4][len(b) - len(a) + 3] AS distance FROM d WHERE i = len(a))
+SELECT v.vendor_id, CAST(distance AS INTEGER) AS distance, count(*) AS n_clients, min(client_id) AS first_client_id,
+  CAST(sum({_CRC_SQL.format(id="client_id")}) AS BIGINT) AS clients_crc
+FROM near JOIN clients c ON c.name = near.cn JOIN v ON v.name = near.vn WHERE distance <= 2 GROUP BY 1, 2
+"""
+
 ORACLE_SQL = {
     "op8_tool_calls": """
 WITH RECURSIVE
@@ -131,4 +164,5 @@ SELECT conv_id, NULL, turn, NULL, CASE WHEN role IS NULL THEN 'no_role' WHEN rol
   '{' || concat_ws(',', '"role":' || CAST(to_json(role) AS VARCHAR), '"text":' || CAST(to_json(text) AS VARCHAR)) || '}'
 FROM conversations WHERE coalesce(role NOT IN ('user', 'assistant'), true)
 """,
+    "op12_name_join": _NAME_SQL,
 }
