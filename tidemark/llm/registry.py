@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import interpolated_lm, jaccard_join, language_id, merge_replay, name_join, packing, quality_crf, tool_calls, toxicity, url_filter, vector_dedup
+from tidemark.llm import heap_lloyd, interpolated_lm, jaccard_join, language_id, merge_replay, name_join, packing, personal_spans, quality_crf, tool_calls, toxicity, url_filter, vector_dedup
 from tidemark.llm.common import fold, stored, table
 
 RULES = [
@@ -103,15 +103,23 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_personal_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_spans.find(table(spark, sf_dir, "documents"))
+
+
 def op12_name_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clients against vendors whose names are misspelt by a digest of their ids."""
     vendors = table(spark, sf_dir, "vendors").select("vendor_id", name_join.misspelt(F.col("name"), F.col("vendor_id")).alias("name"))
     return name_join.join_names(table(spark, sf_dir, "clients").select("client_id", "name"), vendors, most=2)
 
 
+def op13_heap_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return heap_lloyd.compress(table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4, scale=1024)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_url_filter, op2_best_fit_packing, op3_merge_replay, op4_toxicity, op5_quality_crf, op6_jaccard_join, op7_language_id, op8_tool_calls, op9_interpolated_lm, op10_vector_dedup, op12_name_join)
+    for f in (op1_url_filter, op2_best_fit_packing, op3_merge_replay, op4_toxicity, op5_quality_crf, op6_jaccard_join, op7_language_id, op8_tool_calls, op9_interpolated_lm, op10_vector_dedup, op11_personal_spans, op12_name_join, op13_heap_lloyd)
 }
 
 #: crc32 of an id's decimal text: each byte's value and seven zeros take one step of the division each.
@@ -141,6 +149,33 @@ SELECT v.vendor_id, CAST(distance AS INTEGER) AS distance, count(*) AS n_clients
 FROM near JOIN clients c ON c.name = near.cn JOIN v ON v.name = near.vn WHERE distance <= 2 GROUP BY 1, 2
 """
 
+
+
+def _rounds_sql(rounds: int) -> str:
+    """Assignments ``a0`` ... of all parts, each by the codebooks ``c0`` ... before it. Sums of products are whole numbers that doubles hold."""
+    dot = "list_inner_product"
+    out = []
+    for r in range(rounds + 1):
+        out.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, part, min({{'d': {dot}(p.x, p.x) - 2 * {dot}(p.x, c.x) + {dot}(c.x, c.x), 'e': e}}) AS near, any_value(p.x) AS x
+  FROM p JOIN c{r} c USING (part) GROUP BY vec_id, part)""")
+        out.append(f"""c{r + 1} AS MATERIALIZED (SELECT part, e, coalesce(n.x, c.x) AS x FROM c{r} c LEFT JOIN (
+  SELECT part, e, list(floor(s / n) ORDER BY j) AS x FROM (
+    SELECT part, near.e AS e, j, sum(x[j]) AS s, count(*) AS n FROM (SELECT *, unnest(range(1, len(x) + 1)) AS j FROM a{r}) GROUP BY ALL) GROUP BY ALL) n USING (part, e))""")
+    return ",\n".join(out[:-1])
+
+
+_CODE_SQL = f"""
+WITH k AS (SELECT vec_id, label, list_transform(embedding, lambda y: CAST(floor(1024 * CAST(y AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+p AS MATERIALIZED (SELECT vec_id, part, v[part * len(v) // 4 + 1 : (part + 1) * len(v) // 4] AS x FROM (SELECT *, unnest(range(4)) AS part FROM k)),
+c0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS e, x FROM p QUALIFY e < 256),
+{_rounds_sql(4)},
+codes AS (SELECT vec_id, string_agg(lpad(lower(to_hex(near.e)), 2, '0'), '' ORDER BY part) AS code, CAST(sum(near.d) AS BIGINT) AS error FROM a4 GROUP BY vec_id),
+book AS (SELECT sha256(string_agg(array_to_string(list_transform(x, lambda y: CAST(CAST(y AS BIGINT) AS VARCHAR)), ','), ',' ORDER BY part, e)) AS digest FROM c4)
+SELECT k.vec_id, code, error, CAST(sum(error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error, digest AS codebooks_sha256
+FROM k JOIN codes USING (vec_id), book
+"""
+
 ORACLE_SQL = {
     "op8_tool_calls": """
 WITH RECURSIVE
@@ -165,4 +200,5 @@ SELECT conv_id, NULL, turn, NULL, CASE WHEN role IS NULL THEN 'no_role' WHEN rol
 FROM conversations WHERE coalesce(role NOT IN ('user', 'assistant'), true)
 """,
     "op12_name_join": _NAME_SQL,
+    "op13_heap_lloyd": _CODE_SQL,
 }
