@@ -18,7 +18,10 @@ The number of sequences is that of best-fit decreasing over all pieces at once.
 a count for each length and task that has it (a task has neighbouring lengths, so these are at
 most ``length`` more than there are tasks), and about a dozen runs for each length.
 
-The string of an added token of the JSON vocabulary in a text gets that token's id.
+The string of an added token of the JSON vocabulary in a text gets that token's id. Very long texts
+are tokenised whole. A text that the fast tokenizer refuses, as its regular expression has no depth
+for runs of about a million white-space characters, goes to the ``tokenizers`` library, which gives
+the same ids from the JSON file.
 A null or empty text is a document of the end token alone. Repeated rows are packed as rows of
 their own, equal and null keys included: ranks are by row, so they part like any others. Extra
 columns are ignored; an empty table gives an empty result.
@@ -58,6 +61,24 @@ def encoder(path: str, pattern: str):
     return _encoders[path, pattern]
 
 
+def encode_with(path: str, pattern: str):
+    """A function from a text to its ids, for texts of any length and make."""
+    fast = partial(encoder(path, pattern).encode, allowed_special="all")
+
+    def encode(text: str) -> list[int]:
+        try:
+            return fast(text)
+        except ValueError:  # the expression's stack
+            beside = str(Path(path).with_suffix(".json"))
+            if beside not in _encoders:
+                from tokenizers import Tokenizer
+
+                _encoders[beside] = Tokenizer.from_file(beside)
+            return _encoders[beside].encode(text, add_special_tokens=False).ids
+
+    return encode
+
+
 def cut(total: int, length: int) -> list[tuple[int, int]]:
     """Start and length of each piece: all are full but the first, which takes the rest."""
     first = total % length or length
@@ -75,7 +96,7 @@ def pieces_of(documents: DataFrame, path: str, pattern: str, *, end: int = 0, le
     kinds = [key_type.simpleString(), "int", "long", "long", "long"] + ["binary"] * with_ids
 
     def run(batches):
-        encode = partial(encoder(path, pattern).encode, allowed_special="all")
+        encode = encode_with(path, pattern)
         for batch in common.sliced(batches):
             out: list[list] = [[] for _ in names]
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
