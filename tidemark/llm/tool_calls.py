@@ -93,16 +93,54 @@ def argument_errors(arguments: Column, schema: dict[str, tuple[str, bool]]) -> C
     return F.when(given.isNull() | parsed.isNull(), F.array(F.lit("$"))).otherwise(F.array_sort(F.array_distinct(F.concat(*wrong))))
 
 
+def _number(token: Column) -> Column:
+    """A JSON number in its one form: digits without needless zeros, an exponent only beyond 40 places."""
+    part = lambda k: F.regexp_extract(F.lower(token), r"\A-?([0-9]+)(?:\.([0-9]+))?(?:e([+-]?[0-9]+))?\z", k)
+    led = F.ltrim(F.concat(part(1), part(2)), F.lit("0"))
+    digits = F.rtrim(led, F.lit("0"))
+    power = F.coalesce(part(3).try_cast("int"), F.lit(0)) - F.length(part(2)) + F.length(led) - F.length(digits)
+    size = F.length(digits)
+    plain = (
+        F.when((power >= 0) & (size + power <= 40), F.concat(digits, F.repeat(F.lit("0"), power)))
+        .when((power < 0) & (size > -power), F.concat(F.substring(digits, F.lit(1), size + power), F.lit("."), F.substring(digits, size + power + 1, -power)))
+        .when((power < 0) & (power >= -40), F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - size), digits))
+        .otherwise(F.concat(digits, F.lit("e"), power.cast("string")))
+    )
+    return F.when(digits == "", "0").otherwise(F.concat(F.when(token.startswith("-"), "-").otherwise(""), plain))
+
+
+#: Stand for an escaped backslash and an escaped quotation mark; JSON text holds no such character raw.
+_HIDDEN = (("\\\\", "\x01"), ('\\"', "\x02"))
+
+
+def one_number_form(text: Column) -> Column:
+    """JSON text whose numbers all have the form of ``_number``; strings are left alone.
+
+    With the escapes hidden, quotation marks part strings from all else, so every second piece is
+    outside of strings, and its numbers are runs of their characters.
+    """
+    hidden = text
+    for shown, mark in _HIDDEN:
+        hidden = F.replace(hidden, F.lit(shown), F.lit(mark))
+    tokens = lambda piece: F.regexp_extract_all(piece, F.lit("[-0-9][0-9.eE+-]*|[^-0-9]+"), F.lit(0))
+    numbers = lambda piece: F.array_join(F.transform(tokens(piece), lambda t: F.when(t.rlike("^[-0-9]"), _number(t)).otherwise(t)), "")
+    pieces = F.transform(F.split(hidden, '"'), lambda piece, k: F.when((k % 2 == 0) & piece.rlike("[0-9]"), numbers(piece)).otherwise(piece))
+    out = F.array_join(pieces, '"')
+    for shown, mark in _HIDDEN:
+        out = F.replace(out, F.lit(mark), F.lit(shown))
+    return F.when(text.rlike("[0-9][.eE]|-0"), out).otherwise(text)
+
+
 def canonical(text: Column) -> Column:
     """An object's JSON with sorted names at all depths, no spaces, and values of their own types.
 
-    Where names come twice or the text is beyond the size of a variant, the first level is sorted
+    Equal numbers have equal texts (``1``, ``1.0`` and ``0.1e1`` all give ``1``). Where names come twice or the text is beyond the size of a variant, the first level is sorted
     and its values are put out as strings; null for a text that isn't an object.
     """
     given, parsed = F.from_json(text, "map<string,string>"), F.try_parse_json(text)
     alone = lambda e: F.regexp_extract(F.to_json(F.create_map(e["key"], e["value"])), r"(?s)\A.(.*).\z", 1)
     plain = F.concat(F.lit("{"), F.array_join(F.transform(F.array_sort(F.map_entries(given)), alone), ","), F.lit("}"))
-    return F.when(given.isNotNull(), F.coalesce(F.to_json(parsed), plain))
+    return F.when(given.isNotNull(), F.coalesce(one_number_form(F.to_json(parsed)), plain))
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict[str, tuple[str, bool]]]) -> DataFrame:
