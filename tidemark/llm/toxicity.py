@@ -4,17 +4,18 @@ The lexicon (terms, and stems that stand for all words beginning with them) and
 come from a bounded sample of labelled rows. All terms' Levenshtein automata are run at once
 over the trie, as one automaton whose states are sets of (trie node, edits), made as they are
 needed; a word of five letters or more is a hit if it is a term, begins with a stem, or is one
-edit from a term. A hit counts as quoted if quotation marks stand on both sides of it within
-the context window. Counts of plain, quoted and misspelled hits, their weights and their density
+edit from a term. A hit counts as quoted if it stands between an opening mark and the one that
+closes it, both in one context window. Counts of plain, quoted and misspelled hits, their weights and their density
 go into a logistic regression, fitted on the same sample.
 
-Whole texts are read. Null and empty texts have no hits. Without labelled rows of both kinds
+Whole texts are read, very long ones too. Null and empty texts have no hits. Without labelled rows of both kinds
 nothing is learned and every score is 0. Repeated rows are judged alike, extra columns are
 ignored, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections import Counter
 from dataclasses import dataclass, field
@@ -27,8 +28,11 @@ from tidemark.llm import common
 
 #: Marks stripped from both ends of a word, and those that open or close a quotation (fixed values).
 PUNCTUATION = ".,;:!?\"'()[]{}<>|*#%&$-_«»„“”‘’`~"
-QUOTES = "\"«»„“”"
-CONTEXT = 6
+#: Opening marks and those that close them.
+PAIRS = {'"': '"', "'": "'", "«": "»", "»": "«", "„": "“”", "“": "”", "‘": "’", "‚": "‘’"}
+MARKS = "\"'«»„“”‘’‚"
+#: Words that a quotation may hold: the context window of a hit.
+CONTEXT = 40
 FEATURES = 9
 STEMS = (4, 5, 6)
 STATES = 200_000
@@ -179,19 +183,48 @@ class Scorer:
 
 
 def quotations(words: list[str]) -> list[bool] | None:
-    """Which words have quotation marks on both sides within the context window; None where no word has a mark."""
-    marks = [k for k, w in enumerate(words) if any(q in w for q in QUOTES)]
-    if not marks:
+    """Which words stand in a quotation; None where no word does.
+
+    Marks are paired in reading order. A word that begins with a mark opens a quotation, one that ends
+    with the mark that fits (sentence marks aside) closes the innermost of that kind, and what was
+    opened inside it stays unclosed. A mark that stands alone closes if it can, and else opens. Words
+    from opening to closing are quoted, at most ``CONTEXT`` of them; a mark without its pair quotes nothing.
+    """
+    open_: list[tuple[str, int]] = []
+    found: list[tuple[int, int]] = []
+
+    def close(mark: str, at: int) -> bool:
+        fits = [k for k, (o, _) in enumerate(open_) if mark in PAIRS[o]]
+        if not fits:
+            return False
+        start = open_[fits[-1]][1]
+        del open_[fits[-1] :]
+        if at - start < CONTEXT:
+            found.append((start, at))
+        return True
+
+    for k, word in enumerate(words):
+        if not any(m in word for m in MARKS):
+            continue
+        ends = word.rstrip(".,;:!?")
+        if len(ends) == 1 and ends in MARKS:
+            if not close(ends, k) and ends in PAIRS:
+                open_.append((ends, k))
+            continue
+        for mark in word:
+            if mark not in PAIRS:
+                break
+            open_.append((mark, k))
+        if core := ends.rstrip(MARKS):
+            for mark in ends[len(core) :]:
+                close(mark, k)
+    if not found:
         return None
-    left, right = [False] * len(words), [False] * len(words)
-    for k in marks:
-        for near in range(k + 1, min(k + 1 + CONTEXT, len(words))):
-            left[near] = True
-        for near in range(max(0, k - CONTEXT), k):
-            right[near] = True
-        left[k] |= words[k][:1] in QUOTES
-        right[k] |= words[k].rstrip(".,;:!?")[-1:] in QUOTES
-    return [a and b for a, b in zip(left, right, strict=True)]
+    out = [0] * (len(words) + 1)
+    for start, end in found:
+        out[start] += 1
+        out[end + 1] -= 1
+    return [n > 0 for n in itertools.accumulate(out[:-1])]
 
 
 def _candidates(text: str | None) -> set[tuple[str, int]]:
