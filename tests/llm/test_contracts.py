@@ -11,7 +11,7 @@ import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, interpolated_lm, language_id, merge_replay, quality_crf, registry, tool_calls, toxicity, url_filter, vector_dedup
+from tidemark.llm import common, interpolated_lm, language_id, merge_replay, packing, quality_crf, registry, tool_calls, toxicity, url_filter, vector_dedup
 
 SF = "/root/testdata/sf0.001"
 SETTINGS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.classic.shuffleDependency.fileCleanup.enabled")
@@ -142,16 +142,38 @@ def test_clean_texts_may_quote_the_lexicon(spark):
     assert toxicity.score(frame.where("false"), model).count() == 0
 
 
-def test_quotations_equal_plain_look_around():
-    rng = random.Random(2)
-    for _ in range(300):
-        words = [rng.choice(["a", '"a', 'a"', 'a".', "b", "«c", "d»"]) if rng.random() < 0.2 else "w" for _ in range(rng.randint(0, 30))]
-        mark = [any(q in w for q in toxicity.QUOTES) for w in words]
-        want = [
-            (w[:1] in toxicity.QUOTES or any(mark[max(0, k - toxicity.CONTEXT) : k])) and (w.rstrip(".,;:!?")[-1:] in toxicity.QUOTES or any(mark[k + 1 : k + 1 + toxicity.CONTEXT]))
-            for k, w in enumerate(words)
-        ]
-        assert (toxicity.quotations(words) or [False] * len(words)) == want
+@pytest.mark.parametrize(
+    ("text", "quoted"),
+    [
+        ('say "hello" you moron said "bye" now', "hello bye"),
+        ('he said "you are a moron," twice', "you are a moron"),
+        ("he said 'you moron' twice", "you moron"),
+        ("don't say the dogs' bone", ""),
+        ("'tis a moron and the dogs' bone", "tis a moron and the dogs"),
+        ("«a «b» c» d", "a b c"),
+        ("„das“ ist “that” ist ‘it’ .", "das that it"),
+        ('" moron " x', "\" moron \""),
+        ('x "unclosed moron', ""),
+        ('moron" closed x', ""),
+        ('a "b \'c" d\' e', "b c"),
+        ('"' + "w " * 60 + 'x" y', ""),
+        ('"moron"', "moron"),
+        ("", ""),
+    ],
+)
+def test_marks_of_quotation_are_paired(text, quoted):
+    words = text.split()
+    got = [w for w, q in zip(words, toxicity.quotations(words) or [False] * len(words), strict=True) if q]
+    assert [w.strip(toxicity.PUNCTUATION) or w for w in got] == quoted.split()
+
+
+def test_toxicity_of_long_and_repeated_rows(spark):
+    model = toxicity.Model({"grubtk": 4.0}, {}, np.array([-2.0, 3.0, 1.0, -1.0, 1.0, 0.0, 0.0, 0.0, 0.0]))
+    long = "w " * 400_000
+    rows = [(1, "you grubtk"), (1, "you grubtk"), (2, long + "grubtk"), (3, long + '"grubtk"'), (4, long)]
+    got = sorted((r.doc_id, r.n_hits, round(r.score, 4)) for r in toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), model).collect())
+    of = lambda z: round(1 / (1 + math.exp(-z)), 4)
+    assert got == [(1, 1, of(-2 + 3 + math.log1p(1))), (1, 1, of(-2 + 3 + math.log1p(1))), (2, 1, of(-2 + 3 + math.log1p(1))), (3, 1, of(-2 - math.log1p(1))), (4, 0, of(-2))]
 
 
 # --- 5
@@ -286,3 +308,40 @@ def test_vectors_of_empty_and_repeated_rows(spark):
     frame = spark.createDataFrame([(5, [1.0, 0.0], 1), (5, [1.0, 0.0], 1), (3, [1.0, 0.01], 1), (None, [1.0, 0.0], 1), (9, [1.0, 0.0], 2)], kinds)
     got = sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in vector_dedup.near_duplicates(frame).collect())
     assert got == [(0, 0, 0, True), (3, 2, 3, True), (5, 2, 3, False), (5, 2, 3, False), (9, 0, 9, True)]
+
+
+# --- long white space, equal numbers, many languages
+
+
+def test_packing_takes_any_run_of_white_space(spark):
+    """Runs beyond the fast tokenizer's stack, through the operator; ids by the library that the contract names."""
+    from tokenizers import Tokenizer
+
+    said = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    texts = [" " * 2_000_000, "\n" * 2_000_000, "\t" * 1_200_000 + "end", "a" + " \n" * 1_000_000 + "b", "x" + " " * 1_100_000 + "y z" + "\n" * 1_100_000]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = packing.pieces_of(frame, P.path("byte_bpe_50k.tiktoken"), P.PATTERN, with_ids=True).collect()
+    for k, text in enumerate(texts):
+        ids = np.concatenate([np.frombuffer(r.ids, "<u4") for r in sorted((r for r in got if r.doc_id == k), key=lambda r: r.piece)])
+        assert ids.tolist() == [*said.encode(text, add_special_tokens=False).ids, 0]
+    packed = packing.pack(packing.pieces_of(frame, P.path("byte_bpe_50k.tiktoken"), P.PATTERN))
+    assert packed.agg(F.sum("length")).first()[0] == sum(len(r.ids) // 4 for r in got)
+
+
+def test_equal_numbers_have_equal_texts(spark):
+    cases = {
+        '{"a":1.0}': '{"a":1}', '{"a":0.1e1}': '{"a":1}', '{"a":100}': '{"a":100}', '{"a":1e2}': '{"a":100}', '{"a":-0.0}': '{"a":0}', '{"a":-1.50}': '{"a":-1.5}', '{"a":1e-7}': '{"a":0.0000001}', '{"a":0.00000010}': '{"a":0.0000001}',
+        '{"a":1e300}': '{"a":1e300}', '{"a":[1.0,[2.50,{"b":3e1}],"4.0 \\" 5.0"],"c":"1.0"}': '{"a":[1,[2.5,{"b":30}],"4.0 \\" 5.0"],"c":"1.0"}', '{"1.0":"\\\\\\\\","b":2.0}': '{"1.0":"\\\\\\\\","b":2}', '{"a":12345678901234567890.5}': '{"a":12345678901234567890.5}',
+        '{"a":true,"b":null,"c":-5e-1}': '{"a":true,"b":null,"c":-0.5}', '{"t":"' + 'x\\n1.5\\"' * 20_000 + '","n":1.0}': '{"n":1,"t":"' + 'x\\n1.5\\"' * 20_000 + '"}',
+    }
+    frame = spark.createDataFrame([(t,) for t in cases], "t string")
+    got = {r.t: r.c for r in frame.select("t", tool_calls.canonical(F.col("t")).alias("c")).collect()}
+    for text, want in cases.items():
+        assert got[text] == want
+
+
+def test_too_many_languages_are_refused(spark):
+    frame = spark.createDataFrame([(i, "some words here", f"l{i}") for i in range(30)], "doc_id long, text string, lang string")
+    assert len(language_id.learn(frame)) == 30
+    with pytest.raises(ValueError, match="languages"):
+        language_id.learn(frame, most=29)

@@ -100,8 +100,11 @@ def profiler(seed: int) -> Profiler:
     return _profilers[seed]
 
 
-def learn(documents: DataFrame, *, text: str = "text", lang: str = "lang", seed: int = 7) -> dict[str, np.ndarray]:
-    """Prototypes of all languages of the rows given; rows without a language or a letter teach nothing."""
+def learn(documents: DataFrame, *, text: str = "text", lang: str = "lang", seed: int = 7, most: int = 1000) -> dict[str, np.ndarray]:
+    """Prototypes of all languages of the rows given; rows without a language or a letter teach nothing.
+
+    A prototype of each language is held by the driver and sent to all tasks, so more than ``most`` are an error.
+    """
     import pyarrow as pa
 
     def run(batches):
@@ -129,7 +132,10 @@ def learn(documents: DataFrame, *, text: str = "text", lang: str = "lang", seed:
     parts = documents.where(F.col(lang).isNotNull()).select(lang, text).mapInArrow(run, "lang string, v array<double>")
     summed = parts.select("lang", F.posexplode("v").alias("at", "x")).groupBy("lang", "at").agg(F.sum("x").alias("x")).groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("at", "x"))).alias("v"))
     with common.batches_of(documents.sparkSession):
-        return {r["lang"]: np.array([x["x"] for x in r["v"]]) for r in summed.collect()}
+        found = summed.limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} languages")
+    return {r["lang"]: np.array([x["x"] for x in r["v"]]) for r in found}
 
 
 def predict(documents: DataFrame, prototypes: dict[str, np.ndarray], *, key: str = "doc_id", text: str = "text", seed: int = 7, also: dict[str, Column] | None = None) -> DataFrame:
