@@ -24,14 +24,14 @@ def listing_rows(spark, *htmls):
 def test_linked_graph_is_one_listing(spark):
     graph = {
         "@graph": [
-            {"@id": "#home", "@type": "Apartment", "floorSize": {"value": "60,5", "unitCode": "MTK"}, "numberOfRooms": 3, "address": {"addressLocality": "Warszawa", "addressDistrict": "Wola"}, "geo": {"latitude": "52,2297", "longitude": "21,0122"}, "floorLevel": "parter", "yearBuilt": 1999},
-            {"@id": "#offer", "@type": "https://schema.org/Offer", "price": "1 200 000,50 zł", "itemOffered": {"@id": "#home"}},
-            {"@id": "#page", "@type": ["RealEstateListing"], "identifier": "SALE-101", "url": "/o/101?utm_source=x&a=1#top", "offers": "#offer"},
+            {"@id": "#home", "@type": "Apartment", "floorSize": {"value": "74,25", "unitCode": "MTK"}, "numberOfRooms": 4, "address": {"addressLocality": "Warszawa", "addressDistrict": "Ochota"}, "geo": {"latitude": "52,2297", "longitude": "21,0122"}, "floorLevel": "parter", "yearBuilt": 1936},
+            {"@id": "#offer", "@type": "https://schema.org/Offer", "price": "981 300,75 zł", "itemOffered": {"@id": "#home"}},
+            {"@id": "#page", "@type": ["RealEstateListing"], "identifier": "flat/7-b", "url": "/homes/seven?utm_medium=z&k=v#photos", "offers": "#offer"},
         ]
     }
     (row,) = listing_rows(spark, script(graph))
-    assert row["reason"] is None and (row["source"], row["listing_id"], row["url"]) == ("www.example.com", "SALE-101", "https://www.example.com/o/101?a=1")
-    assert (row["price_pln"], row["area_m2"], row["rooms"], row["floor"], row["build_year"], row["district"], row["distance_km"]) == (1200000.5, 60.5, 3, 0, 1999, "Wola", 0.0)
+    assert row["reason"] is None and (row["source"], row["listing_id"], row["url"]) == ("www.example.com", "flat/7-b", "https://www.example.com/homes/seven?k=v")
+    assert (row["price_pln"], row["area_m2"], row["rooms"], row["floor"], row["build_year"], row["district"], row["distance_km"]) == (981300.75, 74.25, 4, 0, 1936, "Ochota", 0.0)
 
 
 def test_listings_and_their_refusals(spark):
