@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import values as v
-from tidemark.operators import rows
+from tidemark.operators import ranks, rows
 
 
 def band_pairs(left: DataFrame, right: DataFrame, block: list[str], *, area: str = "area", price: str = "price", floor: str | None = None, width: float = 0.1, share: float = 0.005, price_share: float = 0.01) -> DataFrame:
@@ -45,12 +45,12 @@ def band_pairs(left: DataFrame, right: DataFrame, block: list[str], *, area: str
 
 
 def budgeted(pairs: DataFrame, order: list[str], accepted: str, max_pairs: int, max_comparisons: int) -> DataFrame:
-    """The prefix of candidates that a sequential search with both budgets would look at."""
-    from pyspark.sql import Window
+    """The prefix of candidates that a sequential search with both budgets would look at, each with its number ``n``.
 
-    line = Window.orderBy(*order)
-    numbered = pairs.withColumns({"n": F.row_number().over(line), "_a": F.sum(F.col(accepted).cast("int")).over(line.rowsBetween(Window.unboundedPreceding, -1))})
-    return numbered.where((F.col("n") <= max_comparisons) & (F.coalesce("_a", F.lit(0)) < max_pairs)).drop("_a")
+    Numbers and the pairs accepted before each are running sums over range-sorted candidates.
+    """
+    numbered = ranks.running(pairs, order, {"_a": F.col(accepted).cast("int")}, rank="n")
+    return numbered.where((F.col("n") <= max_comparisons) & (F.col("_a") < max_pairs)).drop("_a")
 
 
 def normalised(frame: DataFrame, hosts: dict[str, str], city: str = "warszawa", alias: str = "warsaw") -> DataFrame:

@@ -116,18 +116,21 @@ def audit(frame: DataFrame, *, bounds: Thresholds | None = None, city: tuple[str
     text = {n: c(n).cast("string") for n in frame.columns}
     # the identity's shuffle moves the rows as they are; whatever is made of them is made behind it
     rows = frame.withColumns({"_source": F.trim(text["source"]), "_id": F.trim(text["listing_id"])})
-    rows = rows.withColumn("_same", F.count("*").over(Window.partitionBy("_source", "_id")))
+    # rows without an identity are compared with none, so they are dealt over all partitions instead of meeting in one
+    rows = rows.withColumn("_known", (F.coalesce("_source", F.lit("")) != "") & (F.coalesce("_id", F.lit("")) != ""))
+    rows = rows.withColumn("_apart", F.when(~c("_known"), F.xxhash64(*[text[n] for n in frame.columns if n not in ("source", "listing_id")])))
+    rows = rows.withColumn("_same", F.count("*").over(Window.partitionBy("_source", "_id", "_apart")))
     # one expression over an array of all number texts: nine casts side by side make a method too long for the JIT
     texts = F.array(*[text[n] for n in numbers])
     cast = {"_numbers": F.transform(texts, lambda x: v.finite(F.trim(x))), "_nones": F.transform(texts, v.missing)}
     cast |= {"_at": F.try_to_timestamp(text["observed_at"]), "_aware": text["observed_at"].rlike(r"(Z|[+-]\d{2}:?\d{2})\z")}
     rows = rows.withColumns(cast)
     rows = rows.withColumns({f"_n_{n}": c("_numbers")[k] for k, n in enumerate(numbers)} | {f"_missing_{n}": c("_nones")[k] for k, n in enumerate(numbers)})
-    rows = rows.withColumns({"_known": (F.coalesce("_source", F.lit("")) != "") & (F.coalesce("_id", F.lit("")) != ""), "_ratio": F.when((c("_n_price_pln") > 0) & (c("_n_area_m2") > 0), v.finite(F.try_divide("_n_price_pln", "_n_area_m2")))})
+    rows = rows.withColumns({"_ratio": F.when((c("_n_price_pln") > 0) & (c("_n_area_m2") > 0), v.finite(F.try_divide("_n_price_pln", "_n_area_m2")))})
     compared = [x for x in COMPARED if x in frame.columns]
     form = {x: F.coalesce(c(f"_n_{x}").cast("string"), F.when(~c(f"_missing_{x}"), F.concat(F.lit("invalid:"), F.trim(text[x]))), F.lit("")) if x in numbers else F.coalesce(v.collapsed(text[x]) if x == "district" else F.trim(text[x]), F.lit("")) for x in compared}
     rows = rows.withColumn("_payload", F.struct(*[x.alias(n) for n, x in form.items()]) if form else F.lit(0))
-    moment = Window.partitionBy("_source", "_id", "_at")
+    moment = Window.partitionBy("_source", "_id", "_apart", "_at")
     rows = rows.withColumns({"_differ": F.min("_payload").over(moment) != F.max("_payload").over(moment)})
     found = [
         ("invalid_source", F.coalesce("_source", F.lit("")) == ""),
@@ -167,18 +170,20 @@ def repeats(frame: DataFrame, key: list[str]) -> DataFrame:
 def quantiles(frame: DataFrame, column: str, at: list[float], by: list[str] | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation: by, n, q0, q1, ... in the order of ``at``; n counts the values.
 
+    Values that are null, infinite or no number don't count; a null group is a group.
+
     Equal values are counted first; ranks are running sums of those counts over ranges of values,
     first over the ranges' totals and then within each, so that no task sorts or keeps all values.
     """
     by = by or []
-    counted = frame.where(c(column).isNotNull()).groupBy(*by, c(column).cast("double").alias("x")).agg(F.count("*").alias("n"))
-    bucket = F.xxhash64(*by) if by else F.lit(0).cast("long")
+    counted = frame.select(*by, v.finite(c(column)).alias("x")).where(c("x").isNotNull()).groupBy(*by, "x").agg(F.count("*").alias("n"))
+    bucket = F.struct(*by) if by else F.lit(0)
     # an order-preserving cut of doubles: sign and leading bits of exponent and fraction
     cut = F.when(c("x") == 0, F.lit(0)).otherwise(F.signum("x") * (F.floor(F.log2(F.abs("x")) * 512) + 600_000)).cast("long")
     counted = counted.withColumns({"_g": bucket, "_cut": cut})
     totals = counted.groupBy("_g", "_cut").agg(F.sum("n").alias("m"))
     totals = totals.withColumns({"_before": F.sum("m").over(Window.partitionBy("_g").orderBy("_cut")) - c("m"), "_all": F.sum("m").over(Window.partitionBy("_g"))})
-    ranked = counted.join(totals, ["_g", "_cut"]).withColumn("_to", c("_before") + F.sum("n").over(Window.partitionBy("_g", "_cut").orderBy("x")))
+    ranked = counted.join(totals.withColumnsRenamed({"_g": "_of", "_cut": "_at"}), c("_g").eqNullSafe(c("_of")) & (c("_cut") == c("_at"))).withColumn("_to", c("_before") + F.sum("n").over(Window.partitionBy("_g", "_cut").orderBy("x")))
     ranked = ranked.withColumn("_from", c("_to") - c("n"))
     wanted = []
     for k, q in enumerate(at):
