@@ -83,7 +83,7 @@ SELECT o_custkey, o_orderkey, round((predicted - asked) / predicted, 9) AS gap F
 def rank_topk_gap(s, d):
     latest = rows.keep_one(t(s, d, "orders"), ["o_custkey"], [c("o_orderdate").desc(), c("o_orderkey").desc()])
     joined = latest.join(t(s, d, "customer"), c("o_custkey") == c("c_custkey")).where(v.positive(c("o_totalprice")))
-    fitted = joined.groupBy("c_mktsegment").agg(F.median("o_totalprice").alias("predicted"))
+    fitted = quality.quantiles(joined, "o_totalprice", [0.5], ["c_mktsegment"]).select("c_mktsegment", c("q0").alias("predicted"))
     scored = joined.join(fitted, "c_mktsegment").withColumn("g", v.gap(c("predicted"), c("o_totalprice"))).where("g >= 0.15")
     return scored.orderBy(c("g").desc(), "o_custkey").limit(50).select("o_custkey", "o_orderkey", F.round("g", 9).alias("gap"))
 
@@ -481,34 +481,54 @@ def link_extract(s, d):
 
 
 def _scored_orders(s, d):
-    """Orders as scored observations with some of everything that excludes an identity."""
-    o, k = t(s, d, "orders"), c("o_custkey")
-    at = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
-    return o.select(
+    """Orders as scored observations of their customers' years, with some of everything that excludes an identity."""
+    k, o = c("o_custkey"), c("o_orderkey")
+    year = F.date_trunc("year", "o_orderdate") + F.when(k % 43 == 0, F.expr("INTERVAL 1 YEAR")).otherwise(F.expr("INTERVAL 0 YEAR"))
+    slug = F.when(k % 17 == 0, "udzial-1-2-w-mieszkaniu-").otherwise("mieszkanie-")
+    return t(s, d, "orders").select(
         F.lit("a.example.com").alias("source"),
         k.cast("string").alias("listing_id"),
-        F.concat(F.when(k % 7 == 0, "http").otherwise("https"), F.lit("://a.example.com/"), k.cast("string")).alias("url"),
-        F.when(k % 11 == 0, F.lit(None)).otherwise(c("o_totalprice")).alias("price_pln"),
-        F.lit(50.0).alias("area_m2"),
-        F.concat(at, F.when((k % 13 == 0) & (c("o_orderkey") % 4 == 0), "").otherwise("Z")).alias("observed_at"),
-        F.lit(150000.0).alias("predicted_price_pln"),
-        F.when(k % 3 == 0, "no").otherwise("yes").alias("is_deal"),
-        F.lit("false").alias("seen_in_training"),
-        F.when(k % 17 == 0, "other").otherwise("test").alias("partition"),
+        F.concat(F.when(k % 7 == 0, "http").otherwise("https"), F.lit("://a.example.com/"), slug, k.cast("string")).alias("url"),
+        F.lit("Warszawa").alias("city"),
+        F.lit(2).alias("rooms"),
+        F.when(k % 19 == 0, o % 2).alias("floor"),
+        F.when(k % 5 == 0, F.round("o_totalprice") + 150_000).otherwise(170_000.0 + k % 97 * 1500).alias("price_pln"),
+        F.when(k % 11 == 0, 5.0).otherwise(50.0).alias("area_m2"),
+        F.concat(F.date_format(year, "yyyy-MM-dd'T'HH:mm:ss"), F.when((k % 13 == 0) & (o % 4 == 0), "").otherwise("Z")).alias("observed_at"),
+        F.when(k % 31 == 0, -1.0).otherwise(300_000.0 + F.when(k % 37 == 0, o % 2 * 1000).otherwise(0)).alias("predicted_price_pln"),
+        F.when(k % 3 == 0, "false").otherwise("true").alias("is_deal"),
+        F.when(k % 41 == 0, "true").otherwise("false").alias("seen_in_training"),
+        F.when(k % 23 == 0, "other").when((k % 29 == 0) | (k % 41 == 0), "train").otherwise("test").alias("partition"),
     )
 
 
-JUDGED = """WITH b AS (SELECT o_custkey AS k, bool_or(o_custkey % 13 = 0 AND o_orderkey % 4 = 0) AS bad, max(o_orderdate) AS last_ FROM orders GROUP BY 1),
-l AS (SELECT k, bad, last_, count(DISTINCT o_totalprice) AS kinds, min(o_totalprice) AS price FROM orders JOIN b ON o_custkey = k AND o_orderdate = last_ GROUP BY ALL),
-j AS (SELECT k, price, CASE WHEN bad THEN 'unorderable_observation_time' WHEN epoch(TIMESTAMP '2001-08-01' - last_) / 86400.0 < 0 THEN 'future_observation' WHEN epoch(TIMESTAMP '2001-08-01' - last_) / 86400.0 > 365 THEN 'stale_observation'
- WHEN kinds > 1 AND k % 11 <> 0 THEN 'conflicting_latest_observation' WHEN k % 11 = 0 THEN 'quality_not_pass' WHEN k % 7 = 0 THEN 'unsafe_or_noncanonical_url' WHEN k % 17 = 0 THEN 'unknown_scoring_provenance' WHEN k % 3 = 0 THEN 'not_explicitly_flagged_as_deal'
- WHEN NOT ((150000 - price) / 150000 >= 0.15 OR abs(0.15 - (150000 - price) / 150000) <= 1e-12 * greatest(0.15, abs((150000 - price) / 150000))) THEN 'below_discount_threshold' END AS reason FROM l)"""
+#: The stages in the order in which a listing is asked for them, each over all rows of its latest time.
+JUDGED = """WITH r AS (SELECT o_custkey AS k, o_orderkey AS o, date_trunc('year', o_orderdate) + CASE WHEN o_custkey % 43 = 0 THEN INTERVAL 1 YEAR ELSE INTERVAL 0 YEAR END AS at_, o_custkey % 13 = 0 AND o_orderkey % 4 = 0 AS naive,
+ CASE WHEN o_custkey % 5 = 0 THEN round(o_totalprice) + 150000 ELSE 170000.0 + o_custkey % 97 * 1500 END AS price, 300000.0 + CASE WHEN o_custkey % 37 = 0 THEN o_orderkey % 2 * 1000 ELSE 0 END AS predicted FROM orders WHERE o_custkey > 0),
+w AS (SELECT *, bool_or(naive) OVER i AS spoilt, max(CASE WHEN NOT naive THEN at_ END) OVER i AS last_ FROM r WINDOW i AS (PARTITION BY k)),
+l AS (SELECT k, bool_or(spoilt) AS spoilt, max(last_) AS last_, count(DISTINCT price) > 1 AS differ, k % 19 = 0 AND count(DISTINCT o % 2) > 1 AS mixed, count(DISTINCT predicted) > 1 AS scores, min(price) AS price, min((predicted - price) / predicted) AS gap FROM w WHERE spoilt OR at_ = last_ GROUP BY k),
+j AS (SELECT k, price, gap, CASE
+ WHEN spoilt THEN 'unorderable_observation_time'
+ WHEN last_ > TIMESTAMP '2001-08-01' THEN 'future_observation'
+ WHEN epoch(TIMESTAMP '2001-08-01' - last_) / 86400.0 > 600 THEN 'stale_observation'
+ WHEN differ THEN 'conflicting_latest_observation'
+ WHEN k % 11 = 0 THEN 'quality_not_pass'
+ WHEN mixed THEN 'conflicting_latest_property_features'
+ WHEN k % 7 = 0 THEN 'unsafe_or_noncanonical_url'
+ WHEN k % 17 = 0 THEN 'nonstandard_rights_indicated'
+ WHEN k % 23 = 0 THEN 'unknown_scoring_provenance'
+ WHEN k % 29 = 0 AND k % 41 > 0 THEN 'contradictory_scoring_provenance'
+ WHEN k % 31 = 0 THEN 'invalid_model_prediction'
+ WHEN scores THEN 'conflicting_latest_score'
+ WHEN k % 41 = 0 THEN 'seen_in_training'
+ WHEN k % 3 = 0 THEN 'not_explicitly_flagged_as_deal'
+ WHEN NOT (gap >= 0.15 OR abs(0.15 - gap) <= 1e-12 * greatest(0.15, abs(gap))) THEN 'below_discount_threshold' END AS reason FROM l)"""
 
 
 def _judged(s, d):
     from tidemark.operators import selection
 
-    return selection.judged(_scored_orders(s, d), F.to_timestamp(F.lit("2001-08-01T00:00:00Z")), max_age_days=365, hosts={"a.example.com": "a.example.com"})
+    return selection.judged(_scored_orders(s, d), F.to_timestamp(F.lit("2001-08-01T00:00:00Z")), max_age_days=600, hosts={"a.example.com": "a.example.com"})
 
 
 @query(f"{JUDGED} SELECT coalesce(reason, 'eligible') AS reason, count(*) AS n FROM j GROUP BY 1")
@@ -518,7 +538,7 @@ def selection_exclusions(s, d):
     return selection.exclusions(_judged(s, d))
 
 
-@query(f"{JUDGED} SELECT CAST(k AS VARCHAR) AS listing_id, round((150000 - price) / 150000, 9) AS gap FROM j WHERE reason IS NULL ORDER BY (150000 - price) / 150000 DESC, CAST(k AS VARCHAR) LIMIT 50")
+@query(f"{JUDGED} SELECT CAST(k AS VARCHAR) AS listing_id, round(gap, 9) AS gap FROM j WHERE reason IS NULL ORDER BY gap DESC, CAST(k AS VARCHAR) LIMIT 50")
 def selection_ranked(s, d):
     from tidemark.operators import selection
 

@@ -5,10 +5,9 @@ The tables play the parts that ``catalogue`` gives them.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
+from tidemark import work
 from tidemark.functions import values as v
 from tidemark.operators import feed, rows, selection
 from tidemark.plans.catalogue import JUDGED, _judged, c, query, t
@@ -17,28 +16,19 @@ from tidemark.sources import tables, traversal
 
 @query("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_acctbal FROM customer")
 def csv_round_trip(s, d):
-    folder = f"{_shared(s)}/csv-{uuid.uuid4().hex}"
+    folder = work.passing_folder(s, "csv")
     tables.write_csv(t(s, d, "customer"), folder, ["c_custkey", "c_name", "c_acctbal"])
     return tables.read_csv(s, folder, need=("c_custkey",), typed={"c_acctbal": "double"})
 
 
 @query("SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey % 2 = 1")
 def bundle_swap(s, d):
-    folder = f"{_shared(s)}/bundle-{uuid.uuid4().hex}"
+    folder = work.passing_folder(s, "bundle")
     for odd in (0, 1):
         tables.save_bundle(s, folder, {"suppliers": t(s, d, "supplier").where(c("s_suppkey") % 2 == odd)})
     return tables.open_bundle(s, folder, "suppliers").select("s_suppkey", "s_name")
 
 
-def _shared(s) -> str:
-    """The folder that the cluster shares, one of this machine's where none is named."""
-    import tempfile
-
-    if not s.sparkContext.master.startswith("local") and not (s.sparkContext.getCheckpointDir() or s.conf.get("spark.checkpoint.dir", "")):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-    return s.sparkContext.getCheckpointDir() or s.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="tidemark-")
-
-
 @query("SELECT page_id, 'search' AS signal, CASE WHEN page_id % 2 = 0 THEN 'yes' ELSE 'no' END AS setting FROM pages UNION ALL SELECT page_id, 'ai-train', CASE WHEN page_id % 3 = 0 THEN 'no' ELSE 'yes' END FROM pages")
 def content_signals(s, d):
     p = c("page_id")

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
+from tidemark import work
 from tidemark.functions import values as v
-from tidemark.operators import contracts, feed, inventory, match, model, prepare, selection, store
+from tidemark.operators import artifact, contracts, feed, inventory, match, model, prepare, selection, store
 from tidemark.plans.catalogue import FLAGGED, RAW, _raw, audit_flags, c, query, t
-from tidemark.plans.collection import _shared
-from tidemark.sources import files, tables
+from tidemark.sources import collect, files, tables, udtf
+from tidemark.streaming import captures, inventories
 
 HOSTS = {"a.example": "a.example", "b.example": "b.example"}
 
@@ -56,9 +55,7 @@ def prepared_latest(s, d):
 
 def _kept(s, frame, what):
     """The frame as a written table in the shared folder: several actions read it, and none of them works it out again."""
-    path = f"{_shared(s)}/{what}-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
-    return s.read.schema(frame.schema).parquet(path)
+    return work.kept(frame, what)
 
 
 def _ranking(s, d, ready):
@@ -191,15 +188,61 @@ def metrics_by_group(s, d):
     return model.metrics(li, "l_extendedprice", "p", ["l_returnflag"]).select("l_returnflag", "rows", *[F.round(n, k).alias(n) for n, k in (("mae", 4), ("rmse", 4), ("r2", 6))])
 
 
+def _homes(s, d):
+    """Lineitems as observed homes with all of a model's features; their price follows from these, with noise of their own and some bargains."""
+    k, part, supp, noise = c("l_orderkey") * 10 + c("l_linenumber"), c("l_partkey"), c("l_suppkey"), F.pmod(c("l_extendedprice"), F.lit(1000)) / 1000
+    source = F.when(c("l_linestatus") == "F", "a.example").otherwise("b.example")
+    area, year, lat, lon = 20 + 2 * c("l_quantity"), 1930 + part % 90, 52.1 + supp % 50 / 200, 20.85 + part % 80 / 200
+    unit = 8_000 + 900 * (part % 5) + 35 * (year - 1930) - 350 * v.haversine_km(lat, lon) / 2 + 1_500 * noise
+    return t(s, d, "lineitem").select(
+        source.alias("source"), k.cast("string").alias("listing_id"), F.concat(F.lit("https://"), source, F.lit("/x")).alias("url"), F.lit("Warszawa").alias("city"), F.concat(F.lit("D"), part % 5).alias("district"),
+        F.round(area * F.greatest(unit, F.lit(4_000)) * F.when(c("l_discount") >= 0.09, 0.75).otherwise(1.0)).alias("price_pln"), area.alias("area_m2"), (1 + c("l_linenumber") % 4).alias("rooms"), F.when(c("l_tax") > 0.01, supp % 10).alias("floor"), year.alias("build_year"),
+        lat.alias("latitude"), lon.alias("longitude"), F.lit(None).cast("double").alias("distance_km"), F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("observed_at"),
+    )
+
+
+#: When the homes are looked at, and the oldest that counts then.
+LOOKED, OLDEST = "2001-06-01T00:00:00Z", 400
+
+
+def _model(s, d):
+    """A model of the homes' first observations, saved, and loaded again by the digest that was approved."""
+    now = F.to_timestamp(F.lit(LOOKED))
+    first = work.kept(prepare.prepared(_homes(s, d), now, keep="earliest", hosts=HOSTS), "earliest")
+    made, _ = artifact.trained(model.dealt(first, "temporal"), captured_at=LOOKED)
+    folder = work.passing_folder(s, "model")
+    approved = artifact.save(s, folder, made)
+    work.forget(first)
+    return artifact.load(s, folder, expected=approved)
+
+
 @query(None)
 def gbt_score(s, d):
-    """Prices of lineitems by boosted trees over two numbers and a category, orders dealt to parts by a hash; ``test`` and ``unseen`` rows with their gap."""
-    li = t(s, d, "lineitem").select(c("l_linestatus").alias("source"), c("l_orderkey").cast("string").alias("listing_id"), "l_linenumber", c("l_extendedprice").alias("price_pln"), c("l_quantity").alias("area_m2"), F.when(c("l_tax") > 0.01, c("l_tax")).alias("floor"), c("l_returnflag").alias("district"), c("l_shipdate").alias("observed_at"))
-    parts = model.dealt(li, "group")
-    learned = model.Preprocessor.fitted(parts.where("partition = 'train'"), ("area_m2", "floor"), "district")
-    fitted = model.trained(parts, learned)
-    out = model.scored(model.predicted(prepare.of_parts(parts), learned, fitted), parts)
-    return out.select("source", "listing_id", "l_linenumber", "predicted_price_pln", "discount", "is_deal", "partition")
+    """Prices of homes by boosted trees over seven numbers and a category; ``test`` and ``unseen`` homes with their gap."""
+    now = F.to_timestamp(F.lit(LOOKED))
+    latest = prepare.prepared(_homes(s, d), now, keep="latest", hosts=HOSTS, max_age_days=OLDEST)
+    out = prepare.of_parts(_model(s, d).scored(latest))
+    return out.select("source", "listing_id", "price_pln", "predicted_price_pln", "discount", "is_deal", "partition")
+
+
+def _deals(s, d):
+    now = F.to_timestamp(F.lit(LOOKED))
+    latest = prepare.prepared(_homes(s, d), now, keep="latest", hosts=HOSTS, max_age_days=OLDEST)
+    scored = prepare.of_parts(_model(s, d).scored(latest))
+    ready = scored.withColumns({n: c(n).cast("string") for n in ("is_deal", "seen_in_training")} | {"observed_at": F.date_format("observed_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")})
+    return selection.ranked(selection.judged(ready, now, max_age_days=OLDEST, hosts=HOSTS))
+
+
+@query(None)
+def ranking_by_model(s, d):
+    """The build: homes scored by the saved model, judged by all stages, the best by their gap."""
+    return _deals(s, d).select("source", "listing_id", "price_pln", "predicted_price_pln", "gap", "partition")
+
+
+@query(None)
+def feed_by_model(s, d):
+    """The same as a feed's offers."""
+    return feed.offers(_deals(s, d))
 
 
 @query(f"SELECT l_linenumber, array_to_string(list_sort(list_distinct(flatten(list(string_split(quality_flags, '|'))))), '|') AS flags FROM ({FLAGGED}) WHERE quality_flags <> '' GROUP BY 1")
@@ -234,9 +277,11 @@ def available_rows(s, d):
     return prepare.available(t(s, d, "customer").withColumn("availability_status", status)).select("c_custkey", (k > 0).alias("kept"))
 
 
-@query("SELECT CAST(n AS BIGINT) AS n, identities, days FROM (VALUES (200, CAST(180 AS BIGINT), CAST(31 AS BIGINT))) x(n, identities, days)")
+@query("""SELECT CAST(c_custkey + 1 AS VARCHAR) AS listing_id, CAST(CASE WHEN c_custkey < 20 THEN 2 ELSE 1 END AS BIGINT) AS n, strftime(DATE '2026-01-01' + CAST(floor(c_custkey * 30 / (SELECT count(*) FROM customer)) AS INTEGER), '%Y-%m-%d') AS first_day FROM customer""")
 def seeded_observations(s, d):
-    return files.seeded(s).agg(F.count("*").alias("n"), F.count_distinct("source", "listing_id").alias("identities"), F.count_distinct(F.to_date("observed_at")).alias("days"))
+    """Made observations of the customers' listings."""
+    made = files.seeded(s, t(s, d, "customer").select(c("c_custkey").cast("long").alias("id")))
+    return made.groupBy("listing_id").agg(F.count("*").alias("n"), F.date_format(F.min("observed_at"), "yyyy-MM-dd").alias("first_day"))
 
 
 @query("SELECT c_custkey, CAST(CASE WHEN x >= 9223372036854775808 THEN x - 18446744073709551616 ELSE x END AS BIGINT) AS key FROM (SELECT c_custkey, CAST(CAST('0x' || substr(sha256('s' || chr(10) || c_name), 1, 16) AS UBIGINT) AS HUGEINT) AS x FROM customer)")
@@ -265,8 +310,11 @@ def client_offers(s, d):
     return feed.client_rows(offered, {"b": "b.example"}, HOSTS).select("o_orderkey", "source", F.round("model_gap_fraction", 9).alias("gap"))
 
 
-@query("""SELECT CAST(c_custkey AS VARCHAR) AS listing_id, CASE WHEN c_custkey % 3 = 0 AND c_custkey % 2 = 0 THEN '5' WHEN c_custkey % 5 > 0 THEN CAST(c_custkey * 10 AS VARCHAR) END AS price_pln, CASE WHEN c_custkey % 2 = 0 THEN '2025-01-01T00:00:00Z' ELSE '2026-01-01T00:00:00Z' END AS first_seen,
- CASE WHEN c_custkey % 3 = 0 AND c_custkey % 2 = 0 THEN '2027-01-01T00:00:00Z' ELSE '2026-01-01T00:00:00Z' END AS last_seen FROM customer WHERE c_custkey > 0""")
+@query("""WITH k AS (SELECT *, c_custkey % 2 = 0 AS known, known AND c_custkey % 3 = 0 AS later, c_custkey % 5 > 0 AS priced, CAST(c_custkey AS VARCHAR) AS id, CAST(c_custkey * 10 AS VARCHAR) AS price FROM customer WHERE c_custkey > 0)
+SELECT 'catalogue' AS what, id AS listing_id, CASE WHEN later THEN '5' WHEN priced THEN price END AS price_pln, CASE WHEN known THEN '2025-01-01T00:00:00Z' ELSE '2026-01-01T00:00:00Z' END AS first_seen, CASE WHEN later THEN '2027-01-01T00:00:00Z' ELSE '2026-01-01T00:00:00Z' END AS last_seen FROM k
+UNION ALL SELECT 'appended', id, price, NULL, '2026-01-01T00:00:00Z' FROM k WHERE priced
+UNION ALL SELECT 'current', id, CASE WHEN priced AND NOT later THEN price ELSE '5' END, CASE WHEN known THEN '2025-01-01T00:00:00Z' ELSE '2026-01-01T00:00:00Z' END, CASE WHEN later THEN '2027-01-01T00:00:00Z' WHEN priced THEN '2026-01-01T00:00:00Z' ELSE '2025-06-01T00:00:00Z' END FROM k WHERE known OR priced
+UNION ALL SELECT 'progress', 'www.a.example', '{"page":7}', 'true', NULL""")
 def capture_commit(s, d):
     """Customers as a capture over a catalogue that knows half of them, some by a later time."""
     k, none = c("c_custkey"), F.lit(None).cast("string")
@@ -278,8 +326,15 @@ def capture_commit(s, d):
     known = people.where("c_custkey % 2 = 0").select(*record(price_pln=F.lit("5"), observed_at=late)).withColumn("first_seen", F.lit("2025-01-01T00:00:00Z")).withColumnRenamed("observed_at", "last_seen")
     progress = s.createDataFrame([("www.a.example", "full", "g", "{}", False, 0, "me", 10, None)], "source string, mode string, generation string, checkpoint string, completed boolean, updated_at int, lease_owner string, lease_until int, last_error string")
     state = known.select("source", "listing_id", "price_pln", "first_seen", "last_seen")
-    done = store.captured(known, state.select("source", "listing_id", "price_pln", c("last_seen").alias("observed_at")), state, progress, batch, source="www.a.example", mode="full", owner="me", generation="g", checkpoint="{}", completed=True, at=F.lit(5), paths={"www.a.example": "/o/[^/]+"}, values=["price_pln"])
-    return done.catalogue.select("listing_id", "price_pln", "first_seen", "last_seen")
+    done = store.captured(known, state.select("source", "listing_id", "price_pln", c("last_seen").alias("observed_at")), state, progress, batch, source="www.a.example", mode="full", owner="me", generation="g", checkpoint='{"page":7}', completed=True, at=F.lit(5), paths={"www.a.example": "/o/[^/]+"}, values=["price_pln"])
+    none = F.lit(None).cast("string")
+    row = lambda what, f, first, last, ident="listing_id", price="price_pln": f.select(F.lit(what).alias("what"), c(ident).alias("listing_id"), c(price).alias("price_pln"), first.cast("string").alias("first_seen"), last.alias("last_seen"))
+    return (
+        row("catalogue", done.catalogue, c("first_seen"), c("last_seen"))
+        .unionByName(row("appended", done.appended, none, c("observed_at")))
+        .unionByName(row("current", done.current, c("first_seen"), c("last_seen")))
+        .unionByName(row("progress", done.progress, c("completed"), none, "source", "checkpoint"))
+    )
 
 
 @query("""WITH r AS (SELECT o_custkey AS k, CASE WHEN max(o_orderstatus) = 'O' THEN 'available' ELSE 'sold' END AS status FROM orders GROUP BY 1)
@@ -297,7 +352,7 @@ def inventory_taken(s, d):
 @query("""SELECT 'A' || c_custkey AS unit_number, CASE WHEN c_custkey % 11 > 0 THEN CAST(c_custkey + 1 AS DOUBLE) + 0.5 END AS price_pln, CASE WHEN c_custkey % 5 = 0 THEN 'other_context' WHEN c_custkey % 7 = 0 THEN 'other_property_type' WHEN c_custkey % 11 = 0 THEN 'invalid_price' WHEN c_custkey % 13 = 0 THEN 'invalid_time' WHEN c_custkey % 17 = 0 THEN 'not_of_the_day' END AS reason FROM customer WHERE c_custkey % 3 > 0""")
 def price_file_rows(s, d):
     """A price file written of customers, read by its layout."""
-    k, folder = c("c_custkey"), f"{_shared(s)}/prices-{uuid.uuid4().hex}"
+    k, folder = c("c_custkey"), work.passing_folder(s, "prices")
     until = F.when(k % 13 == 0, "2026-08-01T00:00:00+01:00").when(k % 17 == 0, "2026-07-02T00:00:00Z").otherwise("2026-08-01T00:00:00+02:00")
     price = F.when(k % 11 == 0, "1,2.3").otherwise(F.concat(k + 1, F.lit(",50")))
     kind = F.when(k % 3 == 0, "Parking").when(k % 7 == 0, "House").otherwise("Flat")
@@ -310,7 +365,7 @@ def price_file_rows(s, d):
 @query("SELECT s_suppkey AS id, s_name AS name, 'supplier' AS kind FROM supplier UNION ALL SELECT c_custkey, c_name, 'customer' FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')")
 def pinned_snapshot(s, d):
     """Two frames of one bundle, read while another bundle comes into force."""
-    folder = f"{_shared(s)}/pinned-{uuid.uuid4().hex}"
+    folder = work.passing_folder(s, "pinned")
     bundle = {"suppliers": t(s, d, "supplier"), "customers": t(s, d, "customer").withColumnRenamed("c_mktsegment", "source")}
     tables.save_bundle(s, folder, bundle)
     both = tables.open_snapshot(s, folder, {"suppliers": {"columns": ["s_suppkey", "s_name"], "limit": 10_000_000}, "customers": {"columns": ["c_custkey", "c_name"], "sources": ("BUILDING", "MACHINERY"), "order": ["c_custkey"]}})
@@ -319,24 +374,101 @@ def pinned_snapshot(s, d):
     return rows(both["suppliers"], "supplier").unionByName(rows(both["customers"], "customer"))
 
 
+def _page(ident, price, rooms, source):
+    """A page with one JSON-LD listing."""
+    return F.concat(
+        F.lit('<script type="application/ld+json">{"@type":"RealEstateListing","identifier":"'), ident, F.lit('","url":"https://'), F.lit(source), F.lit('/o/'), ident, F.lit('","offers":{"@type":"Offer","price":'), price,
+        F.lit(',"priceCurrency":"PLN"},"mainEntity":{"@type":"Apartment","floorSize":50,"numberOfRooms":'), rooms, F.lit(',"address":{"addressLocality":"Warszawa"}}}</script>'),
+    )
+
+
+def _saved(s, made, files_):
+    """Pages saved in some files of the shared folder, as a collector leaves them."""
+    folder = work.passing_folder(s, "saved-pages")
+    made.repartition(files_).write.parquet(folder)
+    return folder
+
+
 @query("SELECT CAST(n_nationkey + 1 AS VARCHAR) AS listing_id, CAST((n_nationkey + 1) * 100 AS VARCHAR) AS price_pln, '2026-01-01T00:00:00Z' AS first_seen FROM nation")
 def collected_run(s, d):
-    """Nations as a source's pages of ten listings, beside a source that fails."""
-    from tidemark.sources import collect
-    from tidemark.sources.traversal import Page
-
-    nations = sorted(r[0] for r in t(s, d, "nation").select("n_nationkey").limit(1000).collect())  # a fetcher's pages
-    listing = lambda n: {"source": "www.a.example", "listing_id": str(n + 1), "url": f"https://www.a.example/o/{n}", "city": "Warszawa", "price_pln": (n + 1) * 100, "area_m2": 50, "rooms": 2, "observed_at": "2026-01-01T00:00:00Z"}
-
-    def broken(at):
-        raise OSError("unreachable")
-
-    names = [n for n in contracts.CATALOGUE if n not in ("source", "listing_id", "observed_at")]
-    empty = s.createDataFrame([], ", ".join(f"{n} string" for n in ("source", "listing_id", *names, "first_seen", "last_seen")))
-    history, state = (empty.select("source", "listing_id", "price_pln", "area_m2", *times) for times in ((c("last_seen").alias("observed_at"),), ("first_seen", "last_seen")))
-    progress = s.createDataFrame([(x, "full", "g", "{}", False, 0, "me", 10, None) for x in ("www.a.example", "www.b.example")], "source string, mode string, generation string, checkpoint string, completed boolean, updated_at int, lease_owner string, lease_until int, last_error string")
-    pages = lambda at: Page([listing(n) for n in nations[10 * at.page - 10 : 10 * at.page]], pages=-(-len(nations) // 10))
-    sources = {"www.a.example": pages, "www.b.example": broken}
-    done = collect.run(s, sources, dict.fromkeys(sources, (empty, history, state)), progress, mode="full", owner="me", generation="g", at=F.lit(5), observed_at="now", paths=dict.fromkeys(sources, "/o/[^/]+"))
-    assert [done[x].failure for x in sorted(sources)] == [None, "source_failed"]
-    return done["www.a.example"].capture.catalogue.select("listing_id", "price_pln", "first_seen")
+    """Nations' pages as a stream of files, taken in two runs with one lease; the second goes on with what is new."""
+    ident, folder = (c("n_nationkey") + 1).cast("string"), work.passing_folder(s, "capture")
+    page = t(s, d, "nation").select(c("n_nationkey").cast("long").alias("page_id"), F.lit("https://www.a.example/s").alias("url"), _page(ident, ((c("n_nationkey") + 1) * 100).cast("string"), F.lit("2"), "www.a.example").alias("html"), F.lit("2026-01-01T00:00:00Z").alias("observed_at"))
+    saved = _saved(s, page.where("page_id % 2 = 0"), 2)
+    how = {"source": "www.a.example", "owner": "me", "generation": 1, "paths": {"www.a.example": "/o/[^/]+"}, "files": 1, "buckets": 8}
+    captures.run(s, saved, folder, **how)
+    page.where("page_id % 2 = 1").write.mode("append").parquet(saved)
+    ledger = captures.run(s, saved, folder, **how)
+    return ledger.table("catalogue").select("listing_id", F.format_string("%.0f", c("price_pln").cast("double")).alias("price_pln"), "first_seen")
+
+
+CAPTURED = """WITH p AS (SELECT s_suppkey AS k, gen AS g, CASE WHEN gen = 1 AND s_suppkey % 4 = 0 THEN NULL ELSE 1000 * (s_suppkey + 1) + gen END AS price FROM supplier, (SELECT unnest(range(3)) AS gen) WHERE s_suppkey % 3 >= gen AND s_suppkey % 7 > 0)"""
+
+
+@query(f"""{CAPTURED} SELECT 'catalogue' AS what, CAST(k + 1 AS VARCHAR) AS listing_id, CAST(max(price) AS DOUBLE) AS price_pln, '2026-01-0' || min(g + 1) || 'T00:00:00Z' AS first_seen, '2026-01-0' || max(g + 1) || 'T00:00:00Z' AS last_seen FROM p WHERE price IS NOT NULL GROUP BY k
+UNION ALL SELECT 'history', CAST(k + 1 AS VARCHAR), CAST(price AS DOUBLE), NULL, '2026-01-0' || (g + 1) || 'T00:00:00Z' FROM p WHERE price IS NOT NULL
+UNION ALL SELECT 'current', CAST(k + 1 AS VARCHAR), CAST(max(price) AS DOUBLE), '2026-01-0' || min(g + 1) || 'T00:00:00Z', '2026-01-0' || max(g + 1) || 'T00:00:00Z' FROM p WHERE price IS NOT NULL GROUP BY k
+UNION ALL SELECT 'accounts', 'listings', CAST(count(*) AS DOUBLE), NULL, NULL FROM (SELECT 1 FROM supplier, (SELECT unnest(range(3)) AS gen) WHERE s_suppkey % 3 >= gen)
+UNION ALL SELECT 'accounts', 'accepted', CAST(count(price) AS DOUBLE), NULL, NULL FROM p""")
+def captured_pages(s, d):
+    """Three days of suppliers' saved pages as a stream: catalogue, price history, current prices and the account, put in force batch by batch."""
+    k, g = c("s_suppkey"), c("g")
+    price = F.when((g == 1) & (k % 4 == 0), "0").otherwise((1000 * (k + 1) + g).cast("string"))
+    rooms = F.when(k % 7 == 0, "1.5").otherwise("2")
+    days = t(s, d, "supplier").withColumn("g", F.explode(F.array(*map(F.lit, range(3))))).where("s_suppkey % 3 >= g")
+    page = days.select((k * 3 + g).cast("long").alias("page_id"), F.lit("https://www.a.example/s").alias("url"), _page((k + 1).cast("string"), price, rooms, "www.a.example").alias("html"), F.concat(F.lit("2026-01-0"), g + 1, F.lit("T00:00:00Z")).alias("observed_at"))
+    folder = work.passing_folder(s, "capture")
+    ledger = captures.run(s, _saved(s, page, 3), folder, source="www.a.example", owner="me", generation=1, paths={"www.a.example": "/o/[^/]+"}, files=1, buckets=8)
+    none = F.lit(None).cast("string")
+    told = lambda what, f, first, last: f.select(F.lit(what).alias("what"), "listing_id", c("price_pln").cast("double").alias("price_pln"), first.alias("first_seen"), last.alias("last_seen"))
+    count = lambda name: ledger.table("accounts").agg(F.sum(name).cast("double").alias("price_pln")).select(F.lit("accounts").alias("what"), F.lit(name).alias("listing_id"), "price_pln", none.alias("first_seen"), none.alias("last_seen"))
+    out = told("catalogue", ledger.table("catalogue"), c("first_seen"), c("last_seen"))
+    for more in (told("history", ledger.table("history"), none, c("observed_at")), told("current", ledger.table("current"), c("first_seen"), c("last_seen")), count("listings"), count("accepted")):
+        out = out.unionByName(more)
+    return out
+
+
+SNAPSHOTTED = """WITH s AS (SELECT o_custkey AS k, date_trunc('year', o_orderdate) AS at_, count(*) AS n, bool_or(o_orderstatus = 'O') AS open_ FROM orders GROUP BY 1, 2),
+u AS (SELECT 'n' || (k % 25) AS scope, at_, k, CASE WHEN open_ THEN 'available' ELSE 'sold' END AS status FROM s), l AS (SELECT scope, max(at_) AS last_ FROM u GROUP BY 1), f AS (SELECT scope, k, max(at_) AS seen FROM u GROUP BY 1, 2)"""
+
+
+@query(f"""{SNAPSHOTTED} SELECT f.scope, 'u' || f.k AS listing_id, CASE WHEN seen = last_ THEN u.status ELSE 'missing' END AS status, CAST(year(seen) AS BIGINT) AS last_seen_at FROM f JOIN l ON l.scope = f.scope LEFT JOIN u ON u.scope = f.scope AND u.k = f.k AND u.at_ = seen""")
+def streamed_inventory(s, d):
+    """Customers with orders in a year as that year's inventory of their scope, streamed with keyed state in files of no order within a batch."""
+    o = t(s, d, "orders")
+    unit = o.groupBy("o_custkey", F.year("o_orderdate").cast("long").alias("observed_at")).agg(F.when(F.bool_or(c("o_orderstatus") == "O"), "available").otherwise("sold").alias("status"))
+    snapshots = unit.groupBy(F.concat(F.lit("n"), c("o_custkey") % 25).alias("scope"), "observed_at").agg(F.lit(True).alias("complete"), F.collect_list(F.struct(F.concat(F.lit("u"), "o_custkey").alias("listing_id"), "status")).alias("units"))  # a scope's snapshot of a year
+    folder, told = work.passing_folder(s, "snapshots"), work.passing_folder(s, "inventory")
+    snapshots.repartition(4).write.parquet(folder)
+    with inventories.keyed_state(s):
+        stream = s.readStream.schema(inventories.SNAPSHOT).parquet(folder)
+        inventories.settled(stream).writeStream.foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(f"{told}/batch={n}")).outputMode("update").option("checkpointLocation", f"{told}-checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return inventories.current(s.read.schema(inventories.TOLD).parquet(f"{told}/*"))
+
+
+@query("""SELECT s_suppkey AS page_id, 'S' || s_suppkey AS identifier, CAST(s_suppkey * 1000 AS VARCHAR) AS price, CASE WHEN s_suppkey % 9 = 0 THEN 'rental' END AS refused, '/o/S' || s_suppkey AS path FROM supplier""")
+def lateral_listings(s, d):
+    """Listings and links of suppliers' pages by table functions in SQL."""
+    udtf.register(s)
+    k = c("s_suppkey")
+    html = F.concat(F.lit('<a href="/o/S'), k, F.lit('">x</a><script type="application/ld+json">{"@type":"RealEstateListing","identifier":"S'), k, F.lit('","name":"'), F.when(k % 9 == 0, "for rent").otherwise("flat"), F.lit('","price":'), k * 1000, F.lit("}</script>"))
+    t(s, d, "supplier").select(k.alias("page_id"), F.lit("https://a.example/l").alias("url"), html.alias("html")).createOrReplaceTempView("tidemark_pages")
+    return s.sql("""SELECT p.page_id, l.identifier, l.price, l.refused, replace(k.link, 'https://a.example', '') AS path FROM tidemark_pages p, LATERAL listings(p.html, p.url) l, LATERAL links(p.html, p.url) k""")
+
+
+@query("""SELECT 'n' || (c_custkey % 4) AS source, CASE WHEN c_custkey % 4 < 3 THEN count(*) END AS seen, CASE WHEN c_custkey % 4 < 3 THEN count(*) FILTER (c_custkey % 2 = 1) END AS new, CASE WHEN c_custkey % 4 = 3 THEN 'failed' ELSE 'ok' END AS status FROM customer GROUP BY c_custkey % 4""")
+def daily_sample(s, d):
+    """Customers as four sources' daily previews; one breaks its contract and leaves the others alone."""
+    k, at = c("c_custkey"), F.lit("2026-01-02T00:00:00Z")
+    fields = {"district": F.lit("D"), "floor": F.lit("1"), "build_year": F.lit("1990"), "latitude": F.lit("52"), "longitude": F.lit("21"), "distance_km": F.lit("1"), "area_m2": F.lit("50"), "observed_at": at}
+    previews, tables_ = {}, {}
+    for n in range(4):
+        people = t(s, d, "customer").where(k % 4 == n)
+        rows = people.select(F.lit(f"n{n}").alias("source"), (k + 1).cast("string").alias("listing_id"), (k + 1).cast("string").alias("price_pln"), F.lit("1.5" if n == 3 else "2").alias("rooms"), *[x.alias(name) for name, x in fields.items()])
+        known = rows.where("CAST(listing_id AS INT) % 2 = 1")
+        previews[f"n{n}"] = rows.select(*collect.PREVIEW)
+        old = known.select("source", "listing_id", F.lit("1").alias("price_pln"), "area_m2", F.lit("2025-01-01T00:00:00Z").alias("observed_at"))
+        tables_[f"n{n}"] = (old, old.select("source", "listing_id", "price_pln", "area_m2", c("observed_at").alias("first_seen"), c("observed_at").alias("last_seen")))
+    out = collect.daily(s, work.passing_folder(s, "daily"), previews, tables_, most=1 << 40)
+    rows = [(name, said.get("seen_listings"), said.get("new_listings"), said["status"]) for name, said in sorted(out.items())]
+    return s.createDataFrame(rows, "source string, seen long, new long, status string")  # a row for each source

@@ -77,7 +77,7 @@ def unit_reconciliation(s, d):
         F.concat(F.lit("A"), k).alias("number"), F.concat(F.lit("A"), k).alias("slugNumber"), k.cast("string").alias("id"), F.lit("T").alias("city"), F.lit("I").alias("investment"), F.lit("A").alias("building"),
         F.when(k % 5 == 0, "sold").otherwise("available").alias("status"), (k % 17 == 0).alias("isCommercialUnit"), F.lit(40.5).alias("area"), F.lit(2).alias("rooms"), F.lit(0).alias("floor"), base.alias("price"),
     )
-    lists = t(s, d, "customer").groupBy(c("c_nationkey").cast("long").alias("page_id")).agg(F.to_json(F.collect_list(unit)).alias("units"))  # a page's units
+    lists = t(s, d, "customer").groupBy(F.floor(k / 50).alias("page_id")).agg(F.to_json(F.collect_list(unit)).alias("units"))  # at most 50 units a page
     units = portals.unit_rows(lists, city="T", investment="I", url_base="https://u.example/")
     row = lambda ident, price, until: (F.concat(F.lit("A"), ident).alias("unit_number"), price.alias("price_pln"), F.lit(1).alias("valid_from"), until.alias("valid_until"))
     prices = t(s, d, "customer").where("c_custkey % 7 > 0").select(*row(k, base + F.when(k % 19 == 0, 0.02).otherwise(0.01), F.when(k % 23 == 0, 3).otherwise(9)))
@@ -122,10 +122,13 @@ def robots_verdicts(s, d):
     return robots.allowed(urls, rules, "site", "path", "own").select("p_partkey", "allowed")
 
 
-@query("SELECT site, agent, CAST(seconds AS DOUBLE) AS seconds FROM (VALUES (0, '*', 3.5), (1, 'own', 120.0), (1, 'other', 120.0)) x(site, agent, seconds)")
+@query("""SELECT s_suppkey AS site, agent, CAST(CASE s_suppkey % 3 WHEN 0 THEN s_suppkey % 7 + 1.5 ELSE greatest(120, 7) END AS DOUBLE) AS seconds FROM supplier, (VALUES (0, '*'), (1, 'own'), (1, 'other')) x(kind, agent) WHERE s_suppkey % 3 = kind""")
 def robots_delays(s, d):
-    files = s.createDataFrame([(0, "User-agent: *\nCrawl-delay: 2\nCrawl-delay: 3.5"), (1, "User-agent: own\nUser-agent: other\nRequest-rate: 1/2m\nCrawl-delay: 7"), (2, "Crawl-delay: 9")], "site int, t string")
-    return robots.delays(robots.lines(files, "site", "t"), "site")
+    """Robots files of suppliers' sites: two delays for all agents, a rate and a delay for two named ones, a delay without an agent."""
+    k = c("s_suppkey")
+    first = F.concat(F.lit("User-agent: *\nCrawl-delay: 1\nCrawl-delay: "), (k % 7 + 1.5).cast("string"))
+    text = F.when(k % 3 == 0, first).when(k % 3 == 1, "User-agent: own\nUser-agent: other\nRequest-rate: 1/2m\nCrawl-delay: 7").otherwise("Crawl-delay: 9")
+    return robots.delays(robots.lines(t(s, d, "supplier").select(k.alias("site"), text.alias("t")), "site", "t"), "site")
 
 
 def _records(s, d):
@@ -167,16 +170,26 @@ def strict_numbers(s, d):
     return t(s, d, "orders").select("o_orderkey", v.decimal_text(amount).cast("decimal(18,2)").alias("amount"), v.plain_number(plain).alias("plain"), v.plain_whole(whole).alias("whole"), v.whole_between(whole, 5, 500).alias("bounded"), refused.alias("refused"), v.json_number_or_text(js).alias("from_json"))
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN true WHEN month(o_orderdate) IN (6, 7, 8) THEN o_orderkey % 3 = 1 WHEN month(o_orderdate) IN (12, 1, 2) THEN o_orderkey % 3 = 2 END AS fits FROM orders WHERE month(o_orderdate) IN (12, 1, 2, 6, 7, 8)""")
+#: The zone's changes of clocks in a year, as days: the last Sundays of March and of October (till 1995 September).
+LAST_SUNDAY = "make_date(year({0})::INT, {1}) - dayofweek(make_date(year({0})::INT, {1}))::INT"
+CHANGES = f"{LAST_SUNDAY.format('{0}', '3, 31')} AS spring, CASE WHEN year({{0}}) < 1996 THEN {LAST_SUNDAY.format('{0}', '9, 30')} ELSE {LAST_SUNDAY.format('{0}', '10, 31')} END AS autumn"
+
+
+@query(f"""WITH l AS (SELECT o_orderkey, o_orderdate + to_hours(o_orderkey % 24) + INTERVAL 30 MINUTE AS at_ FROM orders), z AS (SELECT *, {CHANGES.format("at_")} FROM l)
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN true WHEN o_orderkey % 3 = 1 THEN at_ >= spring + INTERVAL 3 HOUR AND at_ < autumn + INTERVAL 3 HOUR ELSE at_ < spring + INTERVAL 2 HOUR OR at_ >= autumn + INTERVAL 2 HOUR END AS fits FROM z""")
 def local_offsets(s, d):
-    text = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.when(c("o_orderkey") % 3 == 0, "Z").when(c("o_orderkey") % 3 == 1, "+02:00").otherwise("+01:00"))
-    return t(s, d, "orders").where(F.month("o_orderdate").isin(12, 1, 2, 6, 7, 8)).select("o_orderkey", v.local_offset_fits(text, "Europe/Warsaw").alias("fits"))
+    """Times of all hours and months: an hour in spring has no local time, one in autumn has two."""
+    local = F.col("o_orderdate").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), (c("o_orderkey") % 24).cast("int"), F.lit(30))
+    text = F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), F.when(c("o_orderkey") % 3 == 0, "Z").when(c("o_orderkey") % 3 == 1, "+02:00").otherwise("+01:00"))
+    return t(s, d, "orders").select("o_orderkey", v.local_offset_fits(text, "Europe/Warsaw").alias("fits"))
 
 
-@query("""SELECT o_orderkey, (o_orderdate::DATE)::TIMESTAMP - CASE WHEN month(o_orderdate) IN (6, 7, 8) THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END AS day_start FROM orders WHERE month(o_orderdate) IN (12, 1, 2, 6, 7, 8)""")
+@query(f"""WITH z AS (SELECT o_orderkey, o_orderdate::DATE AS day, {CHANGES.format("o_orderdate")} FROM orders), b AS (SELECT o_orderkey, day, spring, autumn, day > spring AND day <= autumn AS summer, day + 1 > spring AND day + 1 <= autumn AS after FROM z)
+SELECT o_orderkey, day::TIMESTAMP - CASE WHEN summer THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END AS day_start, CAST(24 - CASE WHEN day = spring THEN 1 WHEN day = autumn THEN -1 ELSE 0 END AS BIGINT) AS hours FROM b""")
 def civil_days(s, d):
-    start, _ = v.day_bounds(F.to_date("o_orderdate"), "Europe/Warsaw")
-    return t(s, d, "orders").where(F.month("o_orderdate").isin(12, 1, 2, 6, 7, 8)).select("o_orderkey", start.cast("timestamp_ntz").alias("day_start"))
+    """Starts and lengths of civil days of all months; days of a change have 23 or 25 hours."""
+    start, end = v.day_bounds(F.to_date("o_orderdate"), "Europe/Warsaw")
+    return t(s, d, "orders").select("o_orderkey", start.cast("timestamp_ntz").alias("day_start"), ((F.unix_seconds(end) - F.unix_seconds(start)) / 3600).cast("long").alias("hours"))
 
 
 @query("""SELECT page_id, 'https://h.example/a/' || CASE page_id % 4 WHEN 0 THEN 'b/x' WHEN 1 THEN 'x' WHEN 2 THEN 'b/c?z=1' ELSE '../a/y' END AS link FROM pages WHERE page_id % 4 < 3 UNION ALL SELECT page_id, 'https://h.example/y' FROM pages WHERE page_id % 4 = 3""")

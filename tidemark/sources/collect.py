@@ -10,11 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.errors import BudgetError, ContractError, EngineError, SourceError
-from tidemark.operators import contracts, store
+from tidemark.operators import contracts, inventory, store
 from tidemark.operators.contracts import Limits
-from tidemark.sources import portals, state
+from tidemark.sources import portals, state, tables
 from tidemark.sources.traversal import Cursor, Page, Range, Walk, walk
 
+#: Fields of a preview row (fixed values).
+PREVIEW = ("source", "listing_id", "price_pln", "area_m2", "rooms", "district", "floor", "build_year", "latitude", "longitude", "distance_km", "observed_at")
+
 
 @dataclass
 class Budget:
@@ -51,7 +54,8 @@ class Outcome:
 def run(spark: SparkSession, fetchers: dict[str, Callable[[Range], Page]], tables: dict[str, tuple[DataFrame, DataFrame, DataFrame]], progress: DataFrame, *, mode: str, owner: str, generation: str, at: Column, observed_at: str, paths: dict[str, str], cursors: dict[str, Cursor] | None = None, limits: Limits | None = None, values: tuple[str, ...] = ("price_pln", "area_m2")) -> dict[str, Outcome]:
     """Walk every source from its cursor and make its capture; ``tables``: each source's catalogue, history and current state.
 
-    A source whose pages can't be read fails as ``source_failed``, one whose rows or lease are
+    A source that spends its requests or its time ends with that reason in its account and keeps what
+    was read. One whose pages can't be read fails as ``source_failed``, one whose rows or lease are
     refused as ``contract_failed``; the text of the error isn't kept, as it may hold what a page said.
     """
     limits = limits or Limits()
@@ -61,14 +65,14 @@ def run(spark: SparkSession, fetchers: dict[str, Callable[[Range], Page]], table
         done = out[source] = Outcome()
         try:
             done.walk = walk((cursors or {}).get(source) or Cursor(source, mode), budget(fetch), max_pages=limits.pages, max_listings=limits.listings)
-            done.account = {"source": source, "mode": mode, "observed_at": observed_at, "pages": done.walk.pages, "requests": budget.used, "listings": len(done.walk.rows)}
+            done.account = {"source": source, "mode": mode, "observed_at": observed_at, "pages": done.walk.pages, "requests": budget.used, "listings": len(done.walk.rows), "reason": done.walk.reason}
             if wrong := contracts.capture_errors(done.account, source=source, mode=mode, observed_at=observed_at, limits=limits):
                 raise ContractError("the capture's account", dict.fromkeys(wrong, 1))
             rows = [tuple(None if (x := r.get(n)) is None else str(x) for n in contracts.CATALOGUE) for r in done.walk.rows.values()]
             batch = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in contracts.CATALOGUE))
             catalogue, history, current = tables[source]
             done.capture = store.captured(catalogue, history, current, progress, batch, source=source, mode=mode, owner=owner, generation=generation, checkpoint=done.walk.cursor.text(), completed=done.walk.cursor.finished, at=at, paths=paths, values=list(values))
-        except (SourceError, BudgetError, OSError):
+        except (SourceError, OSError):
             done.failure = "source_failed"
         except EngineError:
             done.failure = "contract_failed"
@@ -76,6 +80,48 @@ def run(spark: SparkSession, fetchers: dict[str, Callable[[Range], Page]], table
     return out
 
 
+def daily(spark: SparkSession, folder: str, previews: dict[str, DataFrame], tables_: dict[str, tuple[DataFrame, DataFrame]], *, rooms: tuple[int, int] = (1, 20), most: int = 50_000, values: tuple[str, ...] = ("price_pln", "area_m2")) -> dict[str, dict]:
+    """The daily sample: each source's preview rows checked, merged into its price history, and reported by itself.
+
+    ``previews``: rows of each source as strings with the fields ``PREVIEW``; ``tables_``: its history
+    and current state. A source whose rows break the contract, are of several times or another source,
+    or are too many is told as ``failed`` with the counts of what broke, and leaves its tables and the
+    other sources alone. What was merged is written as one bundle a source; the report says what was new.
+    """
+    out: dict[str, dict] = {}
+    for source, rows in sorted(previews.items()):
+        history, current = tables_[source]
+        try:
+            checked = contracts.preview_reasons(rows.select(*[f for f in PREVIEW if f != "observed_at"]), tuple(f for f in PREVIEW if f != "observed_at"), rooms)
+            contracts.demanded(checked, "preview rows")
+            told = rows.agg(F.count("*").alias("n"), F.count_distinct("observed_at").alias("times"), F.count_if(~F.coalesce(F.col("source") == source, F.lit(False))).alias("others")).first()
+            if told["n"] > most or told["times"] > 1 or told["others"]:
+                raise ContractError("not one sample of the source", told.asDict())
+            added, state, report = store.merged_prices(history, current, rows.select(*store.KEY, *values, store.TIME), list(values))
+            save = lambda added=added, state=state, report=report, source=source: tables.save_bundle(spark, f"{folder}/{source}", {"appended": added, "current": state, "report": report})
+            run_id = store.retried(save)
+            said = tables.open_bundle(spark, f"{folder}/{source}", "report").first().asDict()
+            out[source] = {"status": "ok", "exported": told["n"], "run": run_id} | said
+        except EngineError as e:
+            out[source] = {"status": "failed", "exported": 0, "counts": dict(getattr(e, "reasons", {}))}
+    return out
+
+
+def status_of(sources: dict[str, dict]) -> str:
+    """``ok`` where all sources are, ``failed`` where none is, else ``partial``."""
+    ok = [s["status"] == "ok" for s in sources.values()]
+    return "ok" if all(ok) else "partial" if any(ok) else "failed"
+
+
+def piloted(found: DataFrame, wrong: DataFrame, headers: DataFrame, current: DataFrame, history: DataFrame, *, source: str, scope: str, prefix: str, at: Column) -> inventory.Taken:
+    """A pilot's reconciled units as a complete inventory snapshot; any verdict that forbids them refuses the whole of it."""
+    told = {r["verdict"]: r["n"] for r in wrong.collect()}  # a row for each verdict
+    if told:
+        raise ContractError("the pilot's units don't reconcile", told)
+    reported = found.select(F.concat(F.lit(prefix), "number").alias("listing_id"), "status")
+    return inventory.taken(headers, current, history, reported, source=source, scope=scope, prefix=prefix, at=at, complete=True)
+
+
 def pilot(pages: DataFrame, prices: DataFrame, *, observed_at: Column, city: str, investment: str, url_base: str, name: str = "apartments") -> tuple[DataFrame, DataFrame]:
     """(reconciled units, verdicts that forbid them) of a developer's pages and a price file's rows; pages without one agreed list count as ``unreadable_page``."""
     found = state.lists(pages, name)

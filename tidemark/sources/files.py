@@ -82,18 +82,22 @@ def price_file(spark: SparkSession, path: str, layout: Layout, day: Column) -> D
     return told.select(c("_unit").alias("unit_number"), v.decimal_text(c(f"`{price}`")).cast("double").alias("price_pln"), F.when(known, v.decimal_text(diagnostic)).cast("double").alias("price_per_m2_pln"), begins.alias("valid_from"), ends.alias("valid_until"), "reason")
 
 
-def seeded(spark: SparkSession, identities: int = 180, days: int = 30, again: int = 20, seed: int = 42, start: str = "2026-01-01", hosts: tuple[str, ...] = ("www.a.example", "www.b.example")) -> DataFrame:
-    """Made observations of listings, the same for a seed: a few new ones a day, and some of them seen once more a day later for three quarters of the price."""
+def seeded(spark: SparkSession, identities: int | DataFrame = 180, days: int = 30, again: int = 20, seed: int = 42, start: str = "2026-01-01", hosts: tuple[str, ...] = ("www.a.example", "www.b.example")) -> DataFrame:
+    """Made observations of listings, the same for a seed: a few new ones a day, and some of them seen once more a day later for three quarters of the price.
+
+    ``identities``: how many, or a frame of them with a number ``id`` from 0 on.
+    """
     k = c("id")
+    ids, total = (spark.range(identities), identities) if isinstance(identities, int) else (identities.select("id"), identities.count())
     r = lambda name: F.pmod(F.xxhash64(k, F.lit(seed), F.lit(name)), F.lit(10_000)) / 10_000
     host = F.element_at(F.array(*map(F.lit, hosts)), (k % len(hosts) + 1).cast("int"))
     area = F.round(25 + 95 * r("area"), 1)
     price = F.round(area * (9_000 + 9_000 * r("price")) / 100) * 100
-    first = spark.range(identities).select(
+    first = ids.select(
         host.alias("source"), (k + 1).cast("string").alias("listing_id"), F.concat(F.lit("https://"), host, F.lit("/o/"), k + 1).alias("url"), F.lit("Warszawa").alias("city"), F.concat(F.lit("District "), F.floor(5 * r("district"))).alias("district"),
         price.alias("price_pln"), area.alias("area_m2"), F.greatest(F.lit(1), F.floor(area / 22).cast("int")).alias("rooms"), F.floor(10 * r("floor")).cast("int").alias("floor"), (1960 + F.floor(60 * r("year"))).cast("int").alias("build_year"),
         (52.1 + 0.25 * r("lat")).alias("latitude"), (20.85 + 0.4 * r("lon")).alias("longitude"), F.lit(None).cast("double").alias("distance_km"),
-        (F.lit(start).cast("timestamp") + F.make_dt_interval((k * days / identities).cast("int"))).alias("observed_at"), k.alias("_k"),
+        (F.lit(start).cast("timestamp") + F.make_dt_interval((k * days / total).cast("int"))).alias("observed_at"), k.alias("_k"),
     )
     later = first.where(c("_k") < again).withColumns({"price_pln": F.round(c("price_pln") * 0.75, 2), "observed_at": F.lit(start).cast("timestamp") + F.make_dt_interval(F.lit(days))})
     return first.unionByName(later).drop("_k")

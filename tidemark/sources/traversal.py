@@ -13,7 +13,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.errors import SourceError
+from tidemark.errors import BudgetError, SourceError
 
 #: First cut of an unbounded range, and the bound that cuts stay under (fixed values of price).
 STEP, HIGHEST = 1_000_000, 1_000_000_000
@@ -100,8 +100,9 @@ class Walk:
 def walk(cursor: Cursor, fetch: Callable[[Range], Page], *, max_pages: int, max_listings: int, cut_capped: bool = True) -> Walk:
     """Read pages until the queue or a budget ends; the last row of an identity wins.
 
-    Stops with reason ``reported_search_end``, ``page_budget``, ``listing_budget`` or
-    ``repeated_page``. A page is taken whole or, where it would pass the listing budget, not at all,
+    Stops with reason ``reported_search_end``, ``page_budget``, ``listing_budget``, ``repeated_page``,
+    or what a fetcher's BudgetError says (``request_budget``, ``deadline``); what was read before stays
+    and the cursor points at the page that wasn't. A page is taken whole or, where it would pass the listing budget, not at all,
     and the cursor then still points at it. A URL under two identities is a ValueError.
     """
     out, queue, unresolved = Walk(cursor), list(cursor.queue), list(cursor.unresolved)
@@ -112,7 +113,11 @@ def walk(cursor: Cursor, fetch: Callable[[Range], Page], *, max_pages: int, max_
             out.reason = "page_budget"
             break
         at = queue[0]
-        page = fetch(at)
+        try:
+            page = fetch(at)
+        except BudgetError as e:
+            out.reason = str(e)
+            break
         out.pages += 1
         ids = tuple(sorted(r["listing_id"] for r in page.rows))
         if ids and (at.lower, at.upper, ids) in seen:

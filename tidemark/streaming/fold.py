@@ -1,21 +1,25 @@
 """Micro-batches folded into current state: late rows enter, replayed ones don't count again, and nothing rolls the state back.
 
-A batch adds the events that history hasn't seen to history, reduces them to one row for each key
-and merges these into a versioned table. History parts and versions are folders named by the
-batch, so a batch that runs again writes the same folders again. The stream's checkpoint and both
-tables lie in one folder: a run that is given the folder of an earlier one goes on where it
-stopped. No watermark drops late rows.
+State and history lie in a ledger, dealt into hash buckets of the key. A batch finds its buckets (a
+bounded number), reads the history and state of these alone, adds the events that history hasn't
+seen, and commits the new history, the new state of these buckets and its own number in one entry.
+A batch that was killed changes nothing; one that runs again after its commit is a replay. The
+stream's checkpoint lies beside the ledger: a run that is given the folder of an earlier one goes on
+where it stopped. No watermark drops late rows.
 """
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import work
+from tidemark.sources.ledger import Change, Ledger, bucket
+
 EVENT = ["user_id", "event_id"]
+BUCKETS = 64
+#: Parts that a bucket's history may have before they are written as one.
+PARTS = 20
 
 
 def reduced(events: DataFrame) -> DataFrame:
@@ -34,57 +38,39 @@ def unseen(events: DataFrame, history: DataFrame | None) -> DataFrame:
     return once if history is None else once.join(history, EVENT, "left_anti")
 
 
-def _numbers(spark: SparkSession, folder: str, prefix: str) -> list[int]:
-    """Numbers of the finished folders of a prefix."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(at):
+def step(ledger: Ledger, batch: DataFrame, number: str, buckets: int = BUCKETS) -> list[int]:
+    """Fold one batch; returns the buckets that it read and wrote."""
+    entry = ledger.entry()
+    if entry.batches.get("fold") == number:
         return []
-    there = [f.getPath() for f in system.listStatus(at)]
-    done = [p.getName().removeprefix(prefix) for p in there if p.getName().startswith(prefix) and system.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-    return sorted(int(n) for n in done if n.isdigit())
-
-
-def _dropped(spark: SparkSession, folder: str) -> None:
-    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-
-def folded(spark: SparkSession, path: str, *, folder: str | None = None) -> DataFrame:
-    """Run the fold over the files of a folder (or one file) that it hasn't read, and return the last version.
-
-    ``folder``: where checkpoint, history and versions are, shared by the cluster; without one, a
-    new folder is made below the checkpoint folder, and the run starts from nothing.
+    mine = sorted(r[0] for r in batch.select(bucket(("user_id",), buckets)).distinct().collect())  # a row for each bucket
+    if not mine:
+        return []
+    new = work.kept(unseen(batch, ledger.table("history", buckets=mine, entry=entry)), "fold-new")
+    delta, before = reduced(new), ledger.table("state", buckets=mine, entry=entry)
+    if before is not None:
+        delta = merged(before, delta)
+    by = {"by": ("user_id",), "buckets": buckets}
+    ledger.commit({"history": Change(new.select(*EVENT), **by), "state": Change(delta, "replace", **by)}, scope="fold", batch=number, read=entry)
+    work.forget(new)
+    ledger.compacted("history", PARTS)
+    return mine
+
+
+def folded(spark: SparkSession, path: str, *, folder: str | None = None, files: int = 50) -> DataFrame:
+    """Run the fold over the files of a folder (or one file) that it hasn't read, and return the state in force.
+
+    ``folder``: where checkpoint and ledger are, shared by the cluster; without one, a new folder is
+    made in the shared folder, and the run starts from nothing. ``files``: as many a batch.
     """
-    named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", "")
-    if not folder and not named and not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-    base = folder or f"{named or tempfile.mkdtemp(prefix='tidemark-')}/fold-{uuid.uuid4().hex}"
+    base = folder or work.passing_folder(spark, "fold")
     schema = spark.read.parquet(path).schema
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 50)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     if at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isFile():  # a stream reads folders
         reader, path = reader.option("pathGlobFilter", at.getName()), at.getParent().toString()
     stream = reader.parquet(path)
-
-    def step(batch: DataFrame, number: int) -> None:
-        own = batch.sparkSession
-        parts = [n for n in _numbers(own, f"{base}/history", "h") if n < number]
-        history = own.read.parquet(*[f"{base}/history/h{n}" for n in parts]) if parts else None
-        new = unseen(batch, history).persist()
-        new.select(*EVENT).write.mode("overwrite").parquet(f"{base}/history/h{number}")
-        before = [n for n in _numbers(own, base, "v") if n < number]
-        delta = reduced(new)
-        if before:
-            delta = merged(own.read.parquet(f"{base}/v{before[-1]}"), delta)
-        delta.write.mode("overwrite").parquet(f"{base}/v{number}")
-        new.unpersist()
-        for n in before[:-1]:  # the one before stays for a batch that runs again
-            _dropped(own, f"{base}/v{n}")
-
-    running = stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
+    running = stream.writeStream.foreachBatch(lambda batch, number: step(Ledger(batch.sparkSession, f"{base}/ledger"), batch, str(number)) and None).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
     running.awaitTermination()
-    versions = _numbers(spark, base, "v")
-    if not versions:
-        return reduced(spark.createDataFrame([], schema))
-    return spark.read.parquet(f"{base}/v{versions[-1]}")
+    state = Ledger(spark, f"{base}/ledger").table("state")
+    return reduced(spark.createDataFrame([], schema)) if state is None else state
