@@ -68,7 +68,8 @@ def unmatched(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
 def last_wins(pages: DataFrame, key: list[str], order: list[str], payload: list[str]) -> DataFrame:
     """The last row of each key over ordered pages, with how often it came and whether its payload changed."""
     by = Window.partitionBy(*key)
-    counted = pages.withColumns({"n": F.count("*").over(by), "conflict": F.size(F.collect_set(F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in payload])).over(by)) > 1})
+    said = F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in payload])
+    counted = pages.withColumns({"n": F.count("*").over(by), "conflict": F.min(said).over(by) != F.max(said).over(by)})
     return keep_one(counted, key, [F.col(c).desc() for c in order])
 
 
