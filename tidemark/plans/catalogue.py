@@ -506,8 +506,8 @@ def _scored_orders(s, d):
 JUDGED = """WITH r AS (SELECT o_custkey AS k, o_orderkey AS o, date_trunc('year', o_orderdate) + CASE WHEN o_custkey % 43 = 0 THEN INTERVAL 1 YEAR ELSE INTERVAL 0 YEAR END AS at_, o_custkey % 13 = 0 AND o_orderkey % 4 = 0 AS naive,
  CASE WHEN o_custkey % 5 = 0 THEN round(o_totalprice) + 150000 ELSE 170000.0 + o_custkey % 97 * 1500 END AS price, 300000.0 + CASE WHEN o_custkey % 37 = 0 THEN o_orderkey % 2 * 1000 ELSE 0 END AS predicted FROM orders WHERE o_custkey > 0),
 w AS (SELECT *, bool_or(naive) OVER i AS spoilt, max(CASE WHEN NOT naive THEN at_ END) OVER i AS last_ FROM r WINDOW i AS (PARTITION BY k)),
-l AS (SELECT k, bool_or(spoilt) AS spoilt, max(last_) AS last_, count(DISTINCT price) > 1 AS differ, k % 19 = 0 AND count(DISTINCT o % 2) > 1 AS mixed, count(DISTINCT predicted) > 1 AS scores, min(price) AS price, min((predicted - price) / predicted) AS gap FROM w WHERE spoilt OR at_ = last_ GROUP BY k),
-j AS (SELECT k, price, gap, CASE
+l AS (SELECT k, bool_or(spoilt) AS spoilt, max(last_) AS last_, count(DISTINCT price) > 1 AS differ, k % 19 = 0 AND count(DISTINCT o % 2) > 1 AS mixed, count(DISTINCT predicted) > 1 AS scores, min(price) AS price, min(predicted) AS predicted, min((predicted - price) / predicted) AS gap FROM w WHERE spoilt OR at_ = last_ GROUP BY k),
+j AS (SELECT k, price, predicted, gap, CASE
  WHEN spoilt THEN 'unorderable_observation_time'
  WHEN last_ > TIMESTAMP '2001-08-01' THEN 'future_observation'
  WHEN epoch(TIMESTAMP '2001-08-01' - last_) / 86400.0 > 600 THEN 'stale_observation'

@@ -44,7 +44,7 @@ def listing_budget(s, d):
     return traversal.within_budget(seen, ["l_linestatus"], "page", "l_partkey", 100)
 
 
-@query(f"{JUDGED} SELECT CAST(row_number() OVER (ORDER BY (150000 - price) / 150000 DESC, CAST(k AS VARCHAR)) AS INTEGER) AS position, CAST(k AS VARCHAR) AS listing_id, 'Centre ' || (k % 5) AS district, round(150000 - price, 6) AS model_gap_pln FROM j WHERE reason IS NULL ORDER BY position LIMIT 50")
+@query(f"{JUDGED} SELECT CAST(row_number() OVER (ORDER BY gap DESC, CAST(k AS VARCHAR)) AS INTEGER) AS position, CAST(k AS VARCHAR) AS listing_id, 'Centre ' || (k % 5) AS district, round(predicted - price, 6) AS model_gap_pln FROM j WHERE reason IS NULL ORDER BY position LIMIT 50")
 def feed_offers(s, d):
     best = selection.ranked(_judged(s, d)).withColumns({"district": F.concat(F.lit("\x07Centre \n"), c("listing_id").cast("long") % 5), "rooms": F.lit(2)})
     return feed.offers(best).select("position", "listing_id", "district", F.round("model_gap_pln", 6).alias("model_gap_pln"))
