@@ -54,7 +54,7 @@ def documents(count, seed=1):
         n = rng.randrange(1000, 9999)
         c = card()
         shown, kind, hidden = rng.choice([
-            (f"ann{n}@mail.example.com", "email", False), (f"bo{n} [at] mail [dot] example [dot] org", "email", True), (f"cy{n} (at) example.net", "email", True),
+            (f"ann{n}@mail.example.com", "email", False), (f"bo{n} [at] mail [dot] example [dot] org", "email", True), (f"cy{n} (at) example.net", "email", True), (f"di dot eve{n} at mail dot example dot com", "email", True),
             (f"10{n % 10}.44.12.{n % 250}", "ip", False), (f"10{n % 10}[.]44[.]12[.]{n % 250}", "ip", True),
             (c, "card", False), (f"{c[:4]}.{c[4:8]}.{c[8:12]}.{c[12:]}", "card", True),
             (f"+1 (631) 555-{n}", "phone", False), (f"(631) 555-{n}", "phone", True),

@@ -70,6 +70,7 @@ _WORDS = re.compile(r"[^\W\d_](?:[\w-]*\w)?")
 # --- wider forms
 _AT = re.compile(r"[@＠]|[\[({<] ?[Aa][Tt] ?[\])}>]| at | AT ")
 _NAME = re.compile(r"[A-Za-z0-9._%+-]{1,64}\Z")
+_SPOKEN_NAME = re.compile(r"(?<![A-Za-z0-9._%+-])(?:[A-Za-z0-9_%+-]{1,30}(?: dot | ?[\[({<]dot[\])}>] ?)){0,3}[A-Za-z0-9._%+-]{1,64}\Z")
 _DOT = r"(?: ?[\[({<] ?(?:[Dd][Oo][Tt]|\.) ?[\])}>] ?| (?:dot|DOT) |\.| \. )"
 _SITE = re.compile(rf" ?[A-Za-z0-9][A-Za-z0-9-]{{0,62}}(?:{_DOT}[A-Za-z0-9-]{{1,63}}){{1,4}}")
 _FOUR_WIDE = re.compile(r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:(?: ?[\[(](?:\.|dot)[\])] ?| \. | dot |\.|,)[0-9]{1,3}){3}(?![0-9A-Za-z])")
@@ -117,7 +118,7 @@ def _wide(text: str):
     """Kind, start and end of all candidates beyond the base forms."""
     for m in _AT.finditer(text):
         ahead = text[max(0, m.start() - 65) : m.start()].removesuffix(" ")
-        name = _NAME.search(ahead)
+        name = _NAME.search(ahead) if m.group() in "@＠" else _SPOKEN_NAME.search(ahead) or _NAME.search(ahead)
         if name and (site := _SITE.match(text, m.end())):
             yield EMAIL, m.start() - (text[m.start() - 1] == " ") - len(name.group()), site.end()
     for pattern in (_FOUR_WIDE, _SIX):
