@@ -183,3 +183,16 @@ def test_daily_sample(spark, tmp_path):
     from tidemark.sources import tables
 
     assert sorted((r.listing_id, r.price_pln) for r in tables.open_bundle(spark, str(tmp_path / "d" / "a"), "current").collect()) == [("1", "6"), ("2", "7")]
+
+
+def test_pilot_becomes_a_snapshot(spark):
+    found = spark.createDataFrame([("A1", "available"), ("A2", "sold")], "number string, status string")
+    none = spark.createDataFrame([], "verdict string, n long")
+    headers = spark.createDataFrame([], "source string, scope string, prefix string, observed_at int, digest string, n long")
+    units = spark.createDataFrame([("s", "one", "pA9", "available", 1, 1)], "source string, scope string, listing_id string, status string, last_seen_at int, observed_at int")
+    how = {"source": "s", "scope": "one", "prefix": "p", "at": F.lit(7)}
+    done = collect.piloted(found, none, headers, units, units.limit(0), **how)
+    assert done.verdict == "new" and sorted((r.listing_id, r.status, r.last_seen_at) for r in done.current.collect()) == [("pA1", "available", 7), ("pA2", "sold", 7), ("pA9", "missing", 1)]
+    assert collect.piloted(found, none, done.headers, done.current, done.history, **how).verdict == "replay"
+    with pytest.raises(ContractError, match="reconcile"):
+        collect.piloted(found, spark.createDataFrame([("prices_disagree", 2)], "verdict string, n long"), headers, units, units, **how)
