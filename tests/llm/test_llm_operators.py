@@ -500,6 +500,36 @@ def test_language_model(spark, odd, block):
     assert interpolated_lm.score_texts(docs.where("false"), F.lit(True)).count() == 0
 
 
+def test_language_model_in_levels(spark, odd):
+    docs = common.table(spark, SF, "documents").select("doc_id", "text").union(odd.where("doc_id < 5").select(F.col("doc_id") + 10**6, "text"))
+    train = common.fold("doc_id", 5) != 1
+    one, many = (sorted(map(tuple, interpolated_lm.score_texts(docs, train, block_tokens=700, fan_bits=fan).collect()), key=str) for fan in (10, 1))
+    assert one == many and len(one) == docs.count()
+
+
+def test_language_model_tree():
+    tree = interpolated_lm.Tree.of(11, 4)
+    assert tree.widths == (3, 4, 4)
+    keys = np.unique(np.random.default_rng(5).integers(0, 2**64, 5000, np.uint64))
+    ends, senders = {}, {}
+
+    def go(level, node, own):
+        found = list(tree.parted(level, node, own)) if level < 3 else []
+        assert not found or (found[0][1], found[-1][2]) == (0, len(own))
+        for at, low, high in found:
+            senders.setdefault((level + 1, at), set()).add(node)
+            go(level + 1, at, own[low:high])
+        if level == 3:
+            ends.setdefault(node, set()).update(own.tolist())
+
+    for block in (0, 5, 1029, 2047):
+        go(0, block, keys)
+    assert all({k >> 53 for k in own} == {node} for node, own in ends.items())
+    assert sorted(k for own in ends.values() for k in own) == keys.tolist()
+    assert {at for level, at in senders if level == 1} >= {5 | p << 8 for p in range(8)}  # block 5 and 1029 meet
+    assert all(len(s) <= 16 for (level, _), s in senders.items() if level > 1)
+
+
 # --- 10
 
 

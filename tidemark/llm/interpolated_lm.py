@@ -12,6 +12,13 @@ and answers each block with the totals of what that block asked for. So a key is
 each block, however often it occurs there, nothing is sent to all, and no task holds more than
 a slice or a block. The number of slices follows the number of rows.
 
+Blobs don't go from every block to every slice. Slices are reached in levels of at most
+``2 ** fan_bits`` ways (``Tree``): a node of a level merges what a group of senders sent for its
+range of hashes, and asks the next level as one sender; the totals come back along the same
+way. A sender makes at most that many blobs, each level has as many nodes as there are slices,
+and a node hears of a bounded number of senders, so blobs grow with the input and not with its
+square. Up to ``2 ** fan_bits`` slices there is one level; each further one writes its keys once.
+
 Words are runs of bytes other than space and the ASCII controls 9 to 13, with A-Z lower-cased;
 each text ends with one end token, which is also the context of its first token. Null and empty
 texts are the end token alone. Words are told apart by 64-bit hashes, bigrams by 56 bits.
@@ -21,6 +28,7 @@ table gives an empty result. Without training rows every word is unknown.
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,6 +43,42 @@ END = b" "  # no word can hold it
 BUCKETS = 40
 STEP = 0.05
 TEXT, WORDS, BIGRAMS = 0, 1, 2
+BLOBS = "block long, kind int, slice int, data binary"
+
+
+@dataclass(frozen=True)
+class Tree:
+    """Ways from senders to slices: ``widths`` are the bits of the hash that each level looks at.
+
+    A node's number holds the bits of the hash known so far, then as many bits of its group of
+    senders as are left; each level takes from the group what it adds to the range.
+    """
+
+    widths: tuple[int, ...]
+
+    @classmethod
+    def of(cls, bits: int, fan_bits: int) -> Tree:
+        levels = -(-bits // fan_bits)
+        return cls(tuple(bits * (k + 1) // levels - bits * k // levels for k in range(levels)))
+
+    @property
+    def bits(self) -> int:
+        return sum(self.widths)
+
+    def parted(self, level: int, node: int, keys: np.ndarray):
+        """Nodes that a node of a level asks for its sorted keys, with the places of each one's keys."""
+        known, width = sum(self.widths[:level]), self.widths[level]
+        left = self.bits - known
+        prefix, group = node >> left, node & ((1 << left - width) - 1)
+        cuts = cut_points(keys << U(known), 1 << width).tolist()
+        for k, (low, high) in enumerate(itertools.pairwise(cuts)):
+            if high > low:
+                yield (prefix << width | k) << left - width | group, low, high
+
+
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts in four bytes each where they fit."""
+    return counts.astype(np.uint32 if not len(counts) or counts.max() < 2**32 else U)
 
 
 class Block:
@@ -69,8 +113,23 @@ class Block:
         return words, np.bincount(self.bigram_of[marked], minlength=len(self.bigrams))
 
 
-def _blocks(slices: int, block_tokens: int):
-    """Map side: blocks' texts, and their packed keys and training counts by slice."""
+def _asked(tree: Tree, level: int, node: int, sender: int, kind: int, keys: np.ndarray, counts: np.ndarray) -> list[list]:
+    """What a sender asks the next level: sender, kind, node and packed keys with counts, as columns."""
+    found = list(tree.parted(level, node, keys))
+    return [[sender] * len(found), [kind] * len(found), [at for at, _, _ in found], [packed(deltas(keys[a:b]), _narrow(counts[a:b])) for _, a, b in found]]
+
+
+def _sent(blocks: list, kinds: list, slices: list, data: list):
+    """Rows of blobs as record batches of a bounded number of them."""
+    import pyarrow as pa
+
+    for at in range(0, len(blocks), 256):
+        span = slice(at, at + 256)
+        yield pa.RecordBatch.from_arrays([pa.array(blocks[span], pa.int64()), pa.array(kinds[span], pa.int32()), pa.array(slices[span], pa.int32()), pa.array(data[span], pa.binary())], ["block", "kind", "slice", "data"])
+
+
+def _blocks(tree: Tree, block_tokens: int):
+    """Map side: blocks' texts, and their packed keys and training counts by node of the first level."""
     import pyarrow as pa
     import zstandard
     from pyspark import TaskContext
@@ -82,15 +141,9 @@ def _blocks(slices: int, block_tokens: int):
         head = packed(np.array([0 if i is None else i for i in ids], np.int64), np.array([i is None for i in ids], np.uint8), marks.astype(np.uint8), sizes)
         body = zstandard.ZstdCompressor(level=3).compress(b"".join(t for t in texts if t))
         yield [block], [TEXT], [0], [len(head).to_bytes(8, "little") + head + body]
+        group = int(mix(np.array([block], U))[0]) & ((1 << tree.bits) - 1)
         for kind, keys, counts in zip((WORDS, BIGRAMS), (made.words, made.bigrams), made.counts(marks), strict=True):
-            cuts = cut_points(keys, slices)
-            out: list[list] = [[], [], [], []]
-            for k in range(slices):
-                low, high = cuts[k], cuts[k + 1]
-                if high > low:
-                    for column, value in zip(out, (block, kind, k, packed(deltas(keys[low:high]), counts[low:high].astype(np.uint32))), strict=True):
-                        column.append(value)
-            yield out
+            yield _asked(tree, 0, group, block, kind, keys, counts)
 
     def run(batches):
         task = TaskContext.get().partitionId()
@@ -98,9 +151,7 @@ def _blocks(slices: int, block_tokens: int):
 
         def flush():
             for a, b, c, d in rows(task << 32 | block, ids, texts, train):
-                for at in range(0, len(a), 256):
-                    span = slice(at, at + 256)
-                    yield pa.RecordBatch.from_arrays([pa.array(a[span], pa.int64()), pa.array(b[span], pa.int32()), pa.array(c[span], pa.int32()), pa.array(d[span], pa.binary())], ["block", "kind", "slice", "data"])
+                yield from _sent(a, b, c, d)
 
         for batch in common.sliced(batches):
             for i, t, own in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
@@ -118,6 +169,41 @@ def _blocks(slices: int, block_tokens: int):
     return run
 
 
+def _added(blobs) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+    """Distinct keys of several blobs in order, the place of each blob's keys among them, their totals, and each blob's keys in number."""
+    asked, counted = [], []
+    for blob in blobs:
+        steps, counts = unpacked(blob)
+        asked.append(np.cumsum(steps, dtype=U))
+        counted.append(counts.astype(np.int64))
+    keys, place = np.unique(np.concatenate(asked), return_inverse=True)
+    total = np.zeros(len(keys), np.int64)
+    np.add.at(total, place, np.concatenate(counted))
+    return keys, place, total, [len(x) for x in asked]
+
+
+def _gathered(tree: Tree, level: int):
+    """A node's merged keys, asked of the next level in the node's own name."""
+
+    def run(batches):
+        for place, group in group_runs(batches):
+            keys, _, total, _ = _added(row[2] for row in group)
+            yield from _sent(*_asked(tree, level, place & 0xFFFFFFFF, place, place >> 32, keys, total))
+
+    return run
+
+
+def _returned(batches):
+    """A node's totals from the next level, given to each sender for the keys that it asked for."""
+    for place, group in group_runs(batches):
+        asks = [row for row in group if row[1] is not None]
+        _, of, _, sizes = _added(row[3] for row in asks)
+        total = np.concatenate([unpacked(row[3])[0].astype(np.int64) for row in sorted((r for r in group if r[1] is None), key=lambda r: r[2])])
+        data = [packed(_narrow(total[own])) for own in np.split(of, np.cumsum(sizes)[:-1])]
+        n = len(asks)
+        yield from _sent([row[1] for row in asks], [place >> 32] * n, [place & 0xFFFFFFFF] * n, data)
+
+
 def _answers(batches):
     """A slice's totals for each block that asked; and, for words, the slice's tokens and kinds."""
     import pyarrow as pa
@@ -128,21 +214,9 @@ def _answers(batches):
             for row in group:
                 yield pa.RecordBatch.from_arrays([pa.array([row[1]], pa.int64()), pa.array([TEXT], pa.int32()), pa.array([0], pa.int32()), pa.array([row[2]], pa.binary()), pa.array([0], pa.int64()), pa.array([0], pa.int64())], ["block", "kind", "slice", "data", "tokens", "kinds"])
             continue
-        asked, counted = [], []
-        for row in group:
-            steps, counts = unpacked(row[2])
-            asked.append(np.cumsum(steps, dtype=U))
-            counted.append(counts)
-        keys, place = np.unique(np.concatenate(asked), return_inverse=True)
-        total = np.zeros(len(keys), np.int64)
-        np.add.at(total, place, np.concatenate(counted).astype(np.int64))
-        at = 0
-        blocks, data = [], []
-        for row, own in zip(group, asked, strict=True):
-            blocks.append(row[1])
-            mine = total[place[at : at + len(own)]]
-            data.append(packed(mine.astype(np.uint32) if not len(mine) or mine.max() < 2**32 else mine.astype(np.uint64)))
-            at += len(own)
+        keys, place, total, sizes = _added(row[2] for row in group)
+        blocks = [row[1] for row in group]
+        data = [packed(_narrow(total[own])) for own in np.split(place, np.cumsum(sizes)[:-1])]
         n = len(blocks)
         tokens = [0] * n
         kinds = [0] * n
@@ -164,8 +238,8 @@ def _merged(batches):
         for kind in (WORDS, BIGRAMS):
             parts = [(r[2], unpacked(r[3])[0]) for r in group if r[1] == kind]
             answers.append(np.concatenate([x.astype(np.int64) for _, x in sorted(parts, key=lambda p: p[0])] or [np.empty(0, np.int64)]))
-        small = [x.astype(np.uint32) if not len(x) or x.max() < 2**32 else x for x in answers]
-        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([text], pa.binary()), pa.array([packed(*small)], pa.binary())], ["block", "text", "counts"])
+        small = packed(*map(_narrow, answers))
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([text], pa.binary()), pa.array([small], pa.binary())], ["block", "text", "counts"])
 
 
 @dataclass
@@ -247,28 +321,54 @@ def _held_out(tokens: int):
     return run
 
 
-def score_texts(documents: DataFrame, train: Column, *, key: str = "doc_id", text: str = "text", block_tokens: int = 1 << 20, rows_per_slice: int = 4000) -> DataFrame:
+def _counted(given: DataFrame, tree: Tree, block_tokens: int, tmp: common.Scratch) -> tuple[DataFrame, int, int]:
+    """Blocks with their answers, training tokens, and distinct ones; ``given``: id, text, train."""
+    parts = 2 << tree.bits
+    sent = given.mapInArrow(_blocks(tree, block_tokens), BLOBS)
+    place = F.when(F.col("kind") == TEXT, F.pmod(F.xxhash64("block"), F.lit(1 << 31))).otherwise(F.shiftleft(F.col("kind").cast("long"), 32).bitwiseOR(F.col("slice").cast("long")))
+
+    def met(frame: DataFrame) -> DataFrame:
+        """Rows of a place side by side in one task."""
+        return frame.repartition(parts, "place").sortWithinPartitions("place")
+
+    asks = []  # of each level but the last
+    for level in range(1, len(tree.widths)):
+        asks.append(tmp.stored(sent, "lm-asks", rows=16))
+        sent = met(asks[-1].where(F.col("kind") != TEXT).select(place.alias("place"), "block", "data")).mapInArrow(_gathered(tree, level), BLOBS)
+    answered = tmp.stored(met(sent.select(place.alias("place"), "block", "data")).mapInArrow(_answers, f"{BLOBS}, tokens long, kinds long"), "lm-answers", rows=16)
+    found = answered.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n"), F.coalesce(F.sum("kinds"), F.lit(0)).alias("v")).first()
+    tokens, kinds = found["n"], found["v"]
+    for asked in reversed(asks):
+        told = answered.select(F.col("block").alias("place"), F.lit(None).cast("long").alias("block"), "slice", "data")
+        both = told.union(asked.where(F.col("kind") != TEXT).select(place.alias("place"), "block", "slice", "data"))
+        back = met(both).mapInArrow(_returned, BLOBS)
+        above, answered = answered, tmp.stored(back, "lm-answers", rows=16)
+        tmp.drop(above)
+    whole = answered.union(asks[0].where(F.col("kind") == TEXT)) if asks else answered
+    by_block = whole.select("block", "kind", "slice", "data").repartition(parts, "block").sortWithinPartitions("block")
+    merged = tmp.stored(by_block.mapInArrow(_merged, "block long, text binary, counts binary"), "lm-blocks", rows=64)
+    tmp.drop(answered, *asks)
+    return merged, tokens, kinds
+
+
+def score_texts(documents: DataFrame, train: Column, *, key: str = "doc_id", text: str = "text", block_tokens: int = 1 << 20, rows_per_slice: int = 4000, fan_bits: int = 10) -> DataFrame:
     """Score every text with a model of the rows where ``train`` holds.
 
     Gives key, held_out, n_tokens, n_known, train_tokens, base_score, score, as a written table;
     keys are integers. The number of partitions follows that of slices, so what a task reads
     doesn't grow with the input.
     """
+    with common.Scratch() as tmp:
+        given = documents.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
+        tree = Tree.of(max(4, int(np.ceil(np.log2(max(1, documents.count() / rows_per_slice))))), fan_bits)
+        return _scored(*_counted(given, tree, block_tokens, tmp), key)
+
+
+def _scored(merged: DataFrame, tokens: int, kinds: int, key: str) -> DataFrame:
+    """Scores of all blocks' texts by the mixture learned from their held-out counts."""
     import pyarrow as pa
 
-    spark = documents.sparkSession
-    slices = 1 << max(4, int(np.ceil(np.log2(max(1, documents.count() / rows_per_slice)))))
-    parts = 2 * slices
-    given = documents.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
-    sent = given.mapInArrow(_blocks(slices, block_tokens), "block long, kind int, slice int, data binary")
-    place = F.when(F.col("kind") == TEXT, F.pmod(F.xxhash64("block"), F.lit(1 << 31))).otherwise(F.shiftleft(F.col("kind").cast("long"), 32).bitwiseOR(F.col("slice").cast("long")))
-    sent = sent.select(place.alias("place"), "block", "data").repartition(parts, "place").sortWithinPartitions("place")
-    answered = common.stored(sent.mapInArrow(_answers, "block long, kind int, slice int, data binary, tokens long, kinds long"), "lm-answers", rows=16)
-    found = answered.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n"), F.coalesce(F.sum("kinds"), F.lit(0)).alias("v")).first()
-    tokens, kinds = found["n"], found["v"]
-    by_block = answered.select("block", "kind", "slice", "data").repartition(parts, "block").sortWithinPartitions("block")
-    merged = common.stored(by_block.mapInArrow(_merged, "block long, text binary, counts binary"), "lm-blocks", rows=64)
-    common.forget(answered)
+    spark = merged.sparkSession
     with common.batches_of(spark, 1):  # a row is a block of texts
         cells = merged.select("text", "counts").mapInArrow(_held_out(tokens), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
     uniform = 1 / (kinds + 1)
@@ -288,6 +388,4 @@ def score_texts(documents: DataFrame, train: Column, *, key: str = "doc_id", tex
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     names = [key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    scored = common.stored(merged.select("text", "counts").mapInArrow(run, f"`{key}` long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"), "lm-scores", rows=1)
-    common.forget(merged)
-    return scored
+    return common.stored(merged.select("text", "counts").mapInArrow(run, f"`{key}` long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"), "lm-scores", rows=1)
