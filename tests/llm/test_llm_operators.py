@@ -557,6 +557,15 @@ def test_vector_dedup(spark):
         assert sum(got[k].component_id != want[k][1] for k in want) <= 0.02 * len(want)
 
 
+def test_vectors_that_share_many_buckets(spark):
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(40, 32))
+    rows = [(10 * k + j, (base[k] * (1 + j) + 1e-4 * rng.normal(size=32)).tolist(), 1) for k in range(40) for j in range(1 + k % 4)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vector_dedup.near_duplicates(frame, tables=12).collect()}
+    assert got == {v: (v // 10 % 4, v // 10 * 10) for v, _, _ in rows}
+
+
 def test_hadamard():
     x = np.random.default_rng(0).normal(size=(3, 8))
     h = np.array([[1]])

@@ -10,6 +10,8 @@ so that buckets don't: one more for each factor of the corners' number.
 
 A pair counts in the smallest bucket that it shares, so nothing need be collected to count links
 once: buckets give each class's number of linked vectors, and a spanning forest of their links.
+So of buckets with the same members only the smallest can count anything, and vectors are sent to
+that one alone; members are compared by their number and 128 bits of hashes.
 Buckets above ``block_rows`` are cut into blocks by hash and joined pair of blocks by pair of
 blocks, each pair of blocks a task of its own; no partner is dropped.
 
@@ -145,7 +147,9 @@ def _linked(embeddings: DataFrame, key: str, vector: str, label: str, least: flo
     of_type = classes.schema["_v"].dataType.simpleString()
     keyed_rows = tmp.stored(classes.select("first", "weight", "_at", "_v").mapInArrow(keyed, f"first long, weight long, keys array<long>, v {of_type}"), "vector-keys", rows=2000)
     members = keyed_rows.select("first", F.explode("keys").alias("bucket"))
-    counts = tmp.stored(members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
+    marks = [F.bit_xor(F.xxhash64("first", F.lit(k))).alias(f"mark{k}") for k in (1, 2)]
+    shared = members.groupBy("bucket").agg(F.count("*").alias("n"), *marks).where("n > 1")
+    counts = tmp.stored(shared.groupBy("n", "mark1", "mark2").agg(F.min("bucket").alias("bucket")).select("bucket", "n"), "buckets")
     slots = F.ceil(F.col("n") / block_rows).cast("int")
     mine = F.pmod(F.xxhash64("first", F.lit("slot")), F.col("slots")).cast("int")
     placed = members.join(counts.withColumn("slots", slots), "bucket").withColumn("slot", mine)
