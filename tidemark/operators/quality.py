@@ -8,9 +8,11 @@ are windows over the identity, and share its shuffle.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, DoubleType, IntegerType, LongType, ShortType
 
 from tidemark.errors import InputError
 from tidemark.functions import values as v
@@ -96,17 +98,38 @@ def review_rules(bounds: Thresholds) -> list[tuple[str, Column]]:
 
 def annotate(frame: DataFrame, found: list[tuple[str, Column]]) -> DataFrame:
     """Add quality_flags (sorted, joined by ``|``) and quality_status (pass, incomplete, review)."""
-    frame = frame.withColumn("_flags", F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in sorted(found)])))
-    serious = F.exists("_flags", lambda x: ~x.isin(*INCOMPLETE))
-    status = F.when(serious, "review").when(F.size("_flags") > 0, "incomplete").otherwise("pass")
-    return frame.withColumns({"quality_flags": F.array_join("_flags", "|"), "quality_status": status}).drop("_flags")
+    frame = frame.withColumn("quality_flags", F.concat_ws("|", *[F.when(test, F.lit(name)) for name, test in sorted(found)]))
+    light = ["|".join(sorted(some)) for k in (1, 2, 3) for some in combinations(INCOMPLETE, k)]
+    return frame.withColumn("quality_status", F.when(c("quality_flags") == "", "pass").when(c("quality_flags").isin(*light), "incomplete").otherwise("review"))
 
 
-def audit(frame: DataFrame, *, bounds: Thresholds | None = None, city: tuple[str, ...] = ("warsaw", "warszawa")) -> DataFrame:
+def numbers_of(frame: DataFrame, names: list[str]) -> tuple[dict[str, Column], dict[str, Column]]:
+    """The finite numbers of columns, and whether each is missing: numbers as they are, anything else by its trimmed text.
+
+    Texts go through one expression over an array: nine casts side by side make a method too long for the JIT.
+    """
+    plain = [n for n in names if isinstance(frame.schema[n].dataType, (ByteType, ShortType, IntegerType, LongType, DoubleType))]
+    others = [n for n in names if n not in plain]
+    texts = F.array(*[c(n).cast("string") for n in others])
+    parsed = F.transform(F.transform(texts, lambda x: F.trim(x).try_cast("double")), lambda x: F.when(F.abs(x) < float("inf"), x))
+    numbers = {n: v.finite(c(n)) for n in plain} | {n: parsed[k] for k, n in enumerate(others)}
+    none = {n: c(n).isNull() for n in plain} | {n: v.missing(c(n).cast("string")) for n in others}
+    return numbers, none
+
+
+def within_city(name: Column, city: tuple[str, ...]) -> Column:
+    """Whether a name is one of a city's, case and white space aside; names with blanks at their ends alone need no pattern."""
+    plain = [x for x in city if x == " ".join(x.split())]
+    return F.coalesce(F.lower(F.trim(name)).isin(*plain) | v.collapsed(name).isin(*city), F.lit(False))
+
+
+def audit(frame: DataFrame, *, bounds: Thresholds | None = None, city: tuple[str, ...] = ("warsaw", "warszawa"), identified: bool = False) -> DataFrame:
     """Audit of raw observation rows: the frame with quality_flags, quality_status and audit_price_per_m2.
 
     The columns of ``REQUIRED`` are needed; rooms_min, floor, build_year, latitude, longitude,
     distance_km, district and url are looked at where they are there. Extra columns pass through.
+    ``identified``: source and listing_id are texts without blanks around and never empty, so that a
+    frame which is dealt by them already needn't be shuffled again.
     """
     if lost := set(REQUIRED) - set(frame.columns):
         raise InputError(f"missing columns: {sorted(lost)}")
@@ -114,28 +137,33 @@ def audit(frame: DataFrame, *, bounds: Thresholds | None = None, city: tuple[str
         raise InputError("the audit's columns are there already")
     numbers = [r.field for r in NUMBERS if r.field in frame.columns]
     text = {n: c(n).cast("string") for n in frame.columns}
-    # the identity's shuffle moves the rows as they are; whatever is made of them is made behind it
-    rows = frame.withColumns({"_source": F.trim(text["source"]), "_id": F.trim(text["listing_id"])})
-    # rows without an identity are compared with none, so they are dealt over all partitions instead of meeting in one
-    rows = rows.withColumn("_known", (F.coalesce("_source", F.lit("")) != "") & (F.coalesce("_id", F.lit("")) != ""))
-    rows = rows.withColumn("_apart", F.when(~c("_known"), F.xxhash64(*[text[n] for n in frame.columns if n not in ("source", "listing_id")])))
-    rows = rows.withColumn("_same", F.count("*").over(Window.partitionBy("_source", "_id", "_apart")))
-    # one expression over an array of all number texts: nine casts side by side make a method too long for the JIT
-    texts = F.array(*[text[n] for n in numbers])
-    cast = {"_numbers": F.transform(texts, lambda x: v.finite(F.trim(x))), "_nones": F.transform(texts, v.missing)}
-    cast |= {"_at": F.try_to_timestamp(text["observed_at"]), "_aware": text["observed_at"].rlike(r"(Z|[+-]\d{2}:?\d{2})\z")}
-    rows = rows.withColumns(cast)
-    rows = rows.withColumns({f"_n_{n}": c("_numbers")[k] for k, n in enumerate(numbers)} | {f"_missing_{n}": c("_nones")[k] for k, n in enumerate(numbers)})
+    # the identity's shuffle moves the rows nearly as they are; what else is made of them is made behind it
+    rows = frame.withColumns({"_source": c("source") if identified else F.trim(text["source"]), "_id": c("listing_id") if identified else F.trim(text["listing_id"]), "_at": F.try_to_timestamp(text["observed_at"])})
+    key = ["_source", "_id"]
+    if identified:
+        rows = rows.withColumn("_known", F.lit(True))
+    else:
+        # rows without an identity are compared with none, so they are dealt over all partitions instead of meeting in one
+        rows = rows.withColumn("_known", (F.coalesce("_source", F.lit("")) != "") & (F.coalesce("_id", F.lit("")) != ""))
+        rows = rows.withColumn("_apart", F.when(~c("_known"), F.xxhash64(*[text[n] for n in frame.columns if n not in ("source", "listing_id")])))
+        key.append("_apart")
+    # ordered by the moment too, so that both windows share one sort
+    rows = rows.withColumn("_same", F.count("*").over(Window.partitionBy(*key).orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    values, nones = numbers_of(frame, numbers)
+    rows = rows.withColumns({f"_n_{n}": x for n, x in values.items()})
+    # what is a number isn't missing, so only texts that are none are searched
+    rows = rows.withColumns({f"_missing_{n}": c(f"_n_{n}").isNull() & x for n, x in nones.items()} | {"_aware": text["observed_at"].rlike(r"(Z|[+-]\d{2}:?\d{2})\z"), "_in_city": within_city(text["city"], city)})
     rows = rows.withColumns({"_ratio": F.when((c("_n_price_pln") > 0) & (c("_n_area_m2") > 0), v.finite(F.try_divide("_n_price_pln", "_n_area_m2")))})
     compared = [x for x in COMPARED if x in frame.columns]
     form = {x: F.coalesce(c(f"_n_{x}").cast("string"), F.when(~c(f"_missing_{x}"), F.concat(F.lit("invalid:"), F.trim(text[x]))), F.lit("")) if x in numbers else F.coalesce(v.collapsed(text[x]) if x == "district" else F.trim(text[x]), F.lit("")) for x in compared}
-    rows = rows.withColumn("_payload", F.struct(*[x.alias(n) for n, x in form.items()]) if form else F.lit(0))
-    moment = Window.partitionBy("_source", "_id", "_apart", "_at")
+    # an identity's only row contradicts none
+    rows = rows.withColumn("_payload", F.when(c("_same") > 1, F.struct(*[x.alias(n) for n, x in form.items()])) if form else F.lit(0))
+    moment = Window.partitionBy(*key, "_at")
     rows = rows.withColumns({"_differ": F.min("_payload").over(moment) != F.max("_payload").over(moment)})
     found = [
         ("invalid_source", F.coalesce("_source", F.lit("")) == ""),
         ("invalid_listing_id", F.coalesce("_id", F.lit("")) == ""),
-        ("not_warsaw", ~F.coalesce(v.collapsed(c("city")).isin(*city), F.lit(False))),
+        ("not_warsaw", ~c("_in_city")),
         *number_rules(numbers),
         ("invalid_observed_at", c("_at").isNull()),
         ("unverified_timestamp_timezone", c("_at").isNotNull() & ~c("_aware")),
