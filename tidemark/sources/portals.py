@@ -43,20 +43,29 @@ def at(value: Column, path: str, kind: str = "variant") -> Column:
     return F.try_variant_get(value, "$." + path, kind)
 
 
-def kind(value: Column) -> Column:
-    """A variant's JSON type: whole, number, text, object, array, boolean; null for none."""
-    shape = F.schema_of_variant(value)
-    return F.when(shape == "BIGINT", "whole").when(shape.rlike("^(DECIMAL|DOUBLE|FLOAT)"), "number").when(shape == "STRING", "text").when(shape.startswith("OBJECT"), "object").when(shape.startswith("ARRAY"), "array").when(shape == "BOOLEAN", "boolean")
+def is_object(value: Column) -> Column:
+    return F.schema_of_variant(value).startswith("OBJECT")
+
+
+def text_of(found: Column) -> Column:
+    return F.when(F.schema_of_variant(found) == "STRING", F.try_variant_get(found, "$", "string"))
+
+
+def whole_of(found: Column) -> Column:
+    return F.when(F.schema_of_variant(found) == "BIGINT", F.try_variant_get(found, "$", "long"))
 
 
 def text(value: Column, path: str) -> Column:
-    found = at(value, path)
-    return F.when(kind(found) == "text", F.try_variant_get(found, "$", "string"))
+    return text_of(at(value, path))
 
 
 def whole(value: Column, path: str) -> Column:
-    found = at(value, path)
-    return F.when(kind(found) == "whole", F.try_variant_get(found, "$", "long"))
+    return whole_of(at(value, path))
+
+
+def _looked(rows: DataFrame, value: str, prefix: str, /, **paths: str) -> tuple[DataFrame, dict[str, Column]]:
+    """What stands at paths of a variant column, as columns of a projection of their own: each path is walked once a row."""
+    return rows.withColumns({f"_{prefix}_{n}": at(c(value), path) for n, path in paths.items()}), {n: c(f"_{prefix}_{n}") for n in paths}
 
 
 def number(value: Column, path: str) -> Column:
@@ -77,20 +86,23 @@ def _items(pages: DataFrame, found: Column, page_reason: Column) -> DataFrame:
 
 def _made(rows: DataFrame, made: dict[str, Column]) -> tuple[DataFrame, dict[str, Column]]:
     """Fields as columns of a projection of their own, so that rules and results read them instead of working them out again."""
-    return rows.withColumns({f"_{n}": x for n, x in made.items()}), {n: c(f"_{n}") for n in made}
+    return rows.withColumns({f"_made_{n}": x for n, x in made.items()}), {n: c(f"_made_{n}") for n in made}
 
 
 def _told(rows: DataFrame, made: dict[str, Column], rules: list[tuple[str, Column]]) -> DataFrame:
     """Items as listing rows with their reason, and a page's contradictions among the rows that are left."""
     reason = F.when(c("page_reason").isNotNull(), c("page_reason")).when(c("item").isNull(), F.lit("no_items")).otherwise(first_reason(rules))
     out = rows.select("page_id", "position", *[made.get(n, F.lit(None)).cast(k).alias(n) for n, k in zip(FIELDS, ("string",) * 5 + ("double",) * 2 + ("int",) * 3 + ("double",) * 3, strict=True)], reason.alias("reason"))
-    payload = F.when(c("reason").isNull(), F.to_json(F.struct(*FIELDS)))
-    same = lambda *key: Window.partitionBy("page_id", F.col("reason").isNull(), *key)
-    out = out.withColumns({"_one": payload, "_id": F.when(c("reason").isNull(), c("listing_id"))})
-    clash = (F.min("_one").over(same("listing_id")) != F.max("_one").over(same("listing_id"))) | (F.min("_id").over(same("url")) != F.max("_id").over(same("url")))
-    again = F.row_number().over(same("listing_id").orderBy("position")) > 1
-    late = F.when(c("reason").isNull() & clash, "contradictory_page").when(c("reason").isNull() & again, "duplicate_on_page")
-    return out.withColumn("reason", F.coalesce("reason", late)).drop("_one", "_id")
+    same = lambda key: Window.partitionBy("page_id", F.col("reason").isNull(), key)
+    # one sort for all that is asked of a listing's rows on a page; only rows that come again are written out to be compared
+    line = same("listing_id").orderBy("position")
+    whole_line = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    out = out.withColumns({"_n": F.count("*").over(whole_line), "_place": F.row_number().over(line)})
+    out = out.withColumns({"_one": F.when(c("reason").isNull() & (c("_n") > 1), F.to_json(F.struct(*FIELDS))), "_id": F.when(c("reason").isNull(), c("listing_id"))})
+    out = out.withColumn("_unlike", F.coalesce(F.min("_one").over(whole_line) != F.max("_one").over(whole_line), F.lit(False)))
+    clash = c("_unlike") | (F.min("_id").over(same("url")) != F.max("_id").over(same("url")))
+    late = F.when(c("reason").isNull() & clash, "contradictory_page").when(c("reason").isNull() & (c("_place") > 1), "duplicate_on_page")
+    return out.withColumn("reason", F.coalesce("reason", late)).drop("_one", "_id", "_n", "_place", "_unlike")
 
 
 def search_rows(states: DataFrame, portal: Portal, *, page_number: Column, sparse: bool = False) -> DataFrame:
@@ -101,54 +113,60 @@ def search_rows(states: DataFrame, portal: Portal, *, page_number: Column, spars
     URL, a total price in PLN, an area and an exact number of rooms; ``sparse`` does without the
     last three, and reads four or more rooms as a minimum.
     """
-    whole_state = F.try_parse_json("state")
-    listing = at(whole_state, "listing.listing")
+    # step by step: a page is parsed once, and what rules and fields look at is made once a row
+    states, p = _looked(states.withColumn("_state", F.try_parse_json("state")), "_state", "p", listing="listing.listing", path=f"categories.list['{portal.category}'].path")
+    states, q = _looked(states, "_p_listing", "q", category="categoryId", path="requestParams.categoryPath", page="pageNumber", asked="requestParams.page")
     confirmed = (
-        (whole(listing, "categoryId") == portal.category)
-        & (text(whole_state, f"categories.list['{portal.category}'].path") == portal.category_path)
-        & (F.rtrim(text(listing, "requestParams.categoryPath"), F.lit("/")) == portal.category_path.strip("/"))
-        & (whole(listing, "pageNumber") == page_number - 1)
-        & (at(listing, "requestParams.page").isNull() | (whole(listing, "requestParams.page") == page_number - 1))
+        (whole_of(q["category"]) == portal.category)
+        & (text_of(p["path"]) == portal.category_path)
+        & (F.rtrim(text_of(q["path"]), F.lit("/")) == portal.category_path.strip("/"))
+        & (whole_of(q["page"]) == page_number - 1)
+        & (q["asked"].isNull() | (whole_of(q["asked"]) == page_number - 1))
     )
-    ads = at(listing, "ads", "array<variant>")
-    page_reason = F.when(c("state").isNull(), "no_state").when(ads.isNull(), "unknown_structure").when(lacks(confirmed), "unconfirmed_page")
-    rows = _items(states, ads, page_reason)
-    a = c("item")
-    given = F.filter(at(a, "params", "array<variant>"), lambda p: text(p, "key").isNotNull())
-    rows = rows.withColumn("_params", F.transform(given, lambda p: F.struct(text(p, "key").alias("key"), at(p, "normalizedValue").alias("value"))))
-    params, names = c("_params"), F.transform("_params", lambda p: p["key"])
+    states = states.withColumns({"_ads": at(c("_p_listing"), "ads", "array<variant>"), "_confirmed": confirmed})
+    page_reason = F.when(c("state").isNull(), "no_state").when(c("_ads").isNull(), "unknown_structure").when(lacks(c("_confirmed")), "unconfirmed_page")
+    rows = _items(states, c("_ads"), page_reason)
+    rows, f = _looked(
+        rows, "item", "f", id="id", url="url", price="price", params="params", district="location.districtName", city="location.cityName", plain_city="location.cityNormalizedName",
+        category="category.id", active="isActive", status="status", shown="map.show_detailed",
+    )
+    rows, g = _looked(rows, "_f_price", "g", budget="budget", free="free", exchange="exchange", currency="regularPrice.currencyCode", value="regularPrice.value")
+    rows = rows.withColumns({"_listed": F.try_variant_get(f["params"], "$", "array<variant>"), "_id": whole_of(f["id"]), "_link": text_of(f["url"]), "_object": is_object(f["price"])})
+    rows = rows.withColumns({"_pairs": F.transform("_listed", lambda p: F.struct(text(p, "key").alias("key"), at(p, "normalizedValue").alias("value"))), "_full": v.resolved_url(c("_link"), c("page_url"))})
+    rows = rows.withColumns({"_params": F.filter("_pairs", lambda p: p["key"].isNotNull()), "_canonical": v.canonical_url(c("_full"))})
+    params = c("_params")
     param = lambda name: F.try_element_at(F.filter(params, lambda p: p["key"] == name), F.lit(1))["value"]
-    url = v.canonical_url(v.resolved_url(text(a, "url"), c("page_url")))
-    ordinary = ~F.coalesce(at(a, "price.budget", "boolean") | at(a, "price.free", "boolean") | at(a, "price.exchange", "boolean"), F.lit(False)) & (kind(at(a, "price")) == "object")
-    pln = ordinary & (text(a, "price.regularPrice.currencyCode") == "PLN")
-    price = F.when(pln, v.json_number_or_text(at(a, "price.regularPrice.value")))
-    price = F.when(price > 0, price)
-    area = v.json_number_or_text(param("m"))
-    area = F.when(area > 0, area)
-    said = lambda x: F.when(kind(x) == "text", F.try_variant_get(x, "$", "string"))
-    room_code, floor_code = said(param("rooms")), said(param("floor_select"))
-    shown = F.coalesce(at(a, "map.show_detailed", "boolean"), F.lit(False))
-    place = lambda name: F.when(shown, v.json_number_or_text(at(a, f"map.{name}")))
-    here = place("lat").between(-90, 90) & place("lon").between(-180, 180)
+    yes = lambda x: F.try_variant_get(x, "$", "boolean")
+    rows = rows.withColumns({"_names": F.transform("_params", lambda p: p["key"]), "_m": param("m"), "_room": param("rooms"), "_storey": param("floor_select")})
+    names, url = c("_names"), c("_canonical")
+    ordinary = ~F.coalesce(yes(g["budget"]) | yes(g["free"]) | yes(g["exchange"]), F.lit(False)) & c("_object")
+    pln = ordinary & (text_of(g["currency"]) == "PLN")
+    price = F.when(pln, v.json_number_or_text(g["value"]))
+    shown = F.coalesce(yes(f["shown"]), F.lit(False))
+    place = lambda name: F.when(shown, v.json_number_or_text(at(c("item"), f"map.{name}")))
+    rows = rows.withColumns({"_price": price, "_area": v.json_number_or_text(c("_m")), "_code": text_of(c("_room")), "_level": text_of(c("_storey")), "_lat": place("lat"), "_lon": place("lon"), "_district": F.trim(text_of(f["district"]))})
+    price, area = F.when(c("_price") > 0, c("_price")), F.when(c("_area") > 0, c("_area"))
+    room_code, floor_code = c("_code"), c("_level")
+    here = c("_lat").between(-90, 90) & c("_lon").between(-180, 180)
     made = {
-        "source": F.lit(portal.host), "listing_id": whole(a, "id").cast("string"), "url": url, "city": F.lit(portal.city),
-        "district": F.when(F.trim(text(a, "location.districtName")) != "", F.trim(text(a, "location.districtName"))),
+        "source": F.lit(portal.host), "listing_id": c("_id").cast("string"), "url": url, "city": F.lit(portal.city),
+        "district": F.when(c("_district") != "", c("_district")),
         "price_pln": price, "area_m2": area, "rooms": v.decoded(room_code, portal.rooms), "rooms_min": F.when(F.lit(sparse) & (room_code == "four"), 4),
         "floor": F.when(floor_code.rlike(r"\Afloor_(-1|[0-9]|10)\z"), F.substring(floor_code, 7, 3)),
-        "latitude": F.when(here, place("lat")), "longitude": F.when(here, place("lon")), "distance_km": v.distance_km(place("lat"), place("lon")),
+        "latitude": F.when(here, c("_lat")), "longitude": F.when(here, c("_lon")), "distance_km": v.distance_km(c("_lat"), c("_lon")),
     }
     rows, made = _made(rows, made)
     url = made["url"]
     rules = [
-        ("not_an_item", lacks(kind(a) == "object")),
-        ("other_category", lacks(whole(a, "category.id") == portal.category)),
-        ("other_city", lacks(text(a, "location.cityName") == portal.city)),
-        ("contradictory_city", lacks(F.coalesce(text(a, "location.cityNormalizedName"), F.lit(portal.city.lower())) == portal.city.lower())),
-        ("inactive", lacks(F.coalesce(at(a, "isActive", "boolean"), F.lit(True)) & (F.coalesce(text(a, "status"), F.lit("active")) == "active"))),
-        ("invalid_identity", lacks(whole(a, "id") > 0)),
+        ("not_an_item", lacks(is_object(c("item")))),
+        ("other_category", lacks(whole_of(f["category"]) == portal.category)),
+        ("other_city", lacks(text_of(f["city"]) == portal.city)),
+        ("contradictory_city", lacks(F.coalesce(text_of(f["plain_city"]), F.lit(portal.city.lower())) == portal.city.lower())),
+        ("inactive", lacks(F.coalesce(yes(f["active"]), F.lit(True)) & (F.coalesce(text_of(f["status"]), F.lit("active")) == "active"))),
+        ("invalid_identity", lacks(c("_id") > 0)),
         ("invalid_url", lacks(url.rlike(r"\Ahttps://" + portal.host.replace(".", r"\.") + portal.path + r"\z"))),
         ("no_total_price", lacks(made["price_pln"].isNotNull()) & F.lit(not sparse)),
-        ("invalid_parameters", (~F.coalesce(F.is_variant_null(at(a, "params")), F.lit(True)) | F.lit(not sparse)) & lacks(F.size(params) == F.size(at(a, "params", "array<variant>")))),
+        ("invalid_parameters", (~F.coalesce(F.is_variant_null(f["params"]), F.lit(True)) | F.lit(not sparse)) & lacks(F.size(params) == F.size("_listed"))),
         ("repeated_parameter", F.size(names) != F.size(F.array_distinct(names))),
         ("no_area", made["area_m2"].isNull() & F.lit(not sparse)),
         ("no_exact_rooms", made["rooms"].isNull() & F.lit(not sparse)),
@@ -162,41 +180,49 @@ def scripted_rows(states: DataFrame, portal: Portal, *, page_number: Column, spa
     Groups (investments) are opened by one level: their members are judged like any item, and the
     group itself is never a row. The place must confirm city and at most one district below it.
     """
-    page = at(F.try_parse_json("state"), "props.pageProps")
-    search = at(page, "data.searchAds")
-    confirmed = (text(page, "estate") == "FLAT") & (text(page, "transaction") == "SELL") & (text(page, "location") == portal.location)
-    confirmed = confirmed & (whole(page, "filteringQueryParams.page") == page_number) & (whole(search, "pagination.currentPage") == page_number) & text(page, "canonicalURL").isNotNull()
-    items = at(search, "items", "array<variant>")
+    # step by step, as in ``search_rows``
+    states = states.withColumn("_state", F.try_parse_json("state")).withColumn("_page", at(c("_state"), "props.pageProps"))
+    states, p = _looked(states, "_page", "p", search="data.searchAds", estate="estate", transaction="transaction", location="location", asked="filteringQueryParams.page", address="canonicalURL")
+    states = states.withColumns({"_current": whole(p["search"], "pagination.currentPage"), "_all": at(p["search"], "items", "array<variant>")})
+    confirmed = (text_of(p["estate"]) == "FLAT") & (text_of(p["transaction"]) == "SELL") & (text_of(p["location"]) == portal.location)
+    confirmed = confirmed & (whole_of(p["asked"]) == page_number) & (c("_current") == page_number) & text_of(p["address"]).isNotNull()
     group = lambda x: F.coalesce((text(x, "estate") == "INVESTMENT") & (text(x, "transaction") == "SELL"), F.lit(False)) & at(x, "relatedAds").isNotNull()
     good_group = lambda x: F.coalesce((whole(x, "id") > 0) & (text(x, "href") == F.concat(F.lit("[lang]/investment/"), text(x, "slug"))), F.lit(False)) & at(x, "relatedAds", "array<variant>").isNotNull()
-    members = F.flatten(F.transform(F.filter(items, lambda x: group(x) & good_group(x)), lambda x: at(x, "relatedAds", "array<variant>")))
-    opened = F.concat(F.filter(items, lambda x: ~(group(x) & good_group(x))), members)
-    page_reason = F.when(c("state").isNull(), "no_state").when(items.isNull(), "unknown_structure").when(lacks(confirmed), "unconfirmed_page").when(F.size(members) > most_members, "too_many_members")
-    rows = _items(states, opened, page_reason)
-    a = c("item")
-    places = at(a, "location.reverseGeocoding.locations", "array<variant>")
-    level = lambda name: F.filter(places, lambda x: text(x, "locationLevel") == name)
-    cities, districts = level("city_or_village"), level("district")
+    told = F.transform("_all", lambda x: F.struct(x.alias("item"), (group(x) & good_group(x)).alias("opens")))
+    states = states.withColumns({"_told": told, "_confirmed": confirmed})
+    items = lambda opens: F.transform(F.filter("_told", lambda x: x["opens"] == opens), lambda x: x["item"])
+    states = states.withColumn("_members", F.flatten(F.transform(items(True), lambda x: at(x, "relatedAds", "array<variant>"))))
+    page_reason = F.when(c("state").isNull(), "no_state").when(c("_all").isNull(), "unknown_structure").when(lacks(c("_confirmed")), "unconfirmed_page").when(F.size("_members") > most_members, "too_many_members")
+    rows = _items(states, F.concat(items(False), c("_members")), page_reason)
+    rows, f = _looked(
+        rows, "item", "f", id="id", slug="slug", hidden="hidePrice", currency="totalPrice.currency", price="totalPrice.value", area="areaInSquareMeters", rooms="roomsNumber", floor="floorNumber",
+        estate="estate", transaction="transaction", href="href", related="relatedAds",
+    )
+    spot = lambda x: F.struct(text(x, "locationLevel").alias("level"), text(x, "id").alias("id"), text(x, "name").alias("name"))
+    rows = rows.withColumns({"_places": F.transform(at(c("item"), "location.reverseGeocoding.locations", "array<variant>"), spot), "_id": whole_of(f["id"]), "_slug": text_of(f["slug"]), "_estate": text_of(f["estate"]), "_deal": text_of(f["transaction"])})
+    level = lambda name: F.filter("_places", lambda x: x["level"] == name)
+    rows = rows.withColumns({"_cities": level("city_or_village"), "_districts": level("district"), "_number": v.json_number(f["price"]), "_area": v.json_number(f["area"])})
+    rows = rows.withColumn("_named", F.array_distinct(F.transform("_districts", lambda x: F.concat_ws("\n", x["id"], F.trim(x["name"])))))
+    cities, districts, named = c("_cities"), c("_districts"), c("_named")
     inside = F.lit(portal.location + "/")
-    fits = lambda x: F.coalesce(text(x, "id").startswith(inside) & ~F.substring(text(x, "id"), len(portal.location) + 2, 1000).rlike("/|^$") & (F.trim(text(x, "name")) != ""), F.lit(False))
-    named = F.array_distinct(F.transform(districts, lambda x: F.concat_ws("\n", text(x, "id"), F.trim(text(x, "name")))))
-    located = (F.size(cities) > 0) & F.forall(cities, lambda x: F.coalesce((text(x, "id") == portal.location) & (text(x, "name") == portal.city), F.lit(False))) & F.forall(districts, fits) & (F.size(named) <= 1)
-    slug, hidden = text(a, "slug"), at(a, "hidePrice")
-    price = F.when((hidden.isNull() | ~F.coalesce(at(a, "hidePrice", "boolean"), F.lit(True))) & (text(a, "totalPrice.currency") == "PLN"), number(a, "totalPrice.value"))
-    price, area = F.when(price > 0, price), F.when(number(a, "areaInSquareMeters") > 0, number(a, "areaInSquareMeters"))
+    fits = lambda x: F.coalesce(x["id"].startswith(inside) & ~F.substring(x["id"], len(portal.location) + 2, 1000).rlike("/|^$") & (F.trim(x["name"]) != ""), F.lit(False))
+    located = (F.size(cities) > 0) & F.forall(cities, lambda x: F.coalesce((x["id"] == portal.location) & (x["name"] == portal.city), F.lit(False))) & F.forall(districts, fits) & (F.size(named) <= 1)
+    slug, hidden = c("_slug"), f["hidden"]
+    price = F.when((hidden.isNull() | ~F.coalesce(F.try_variant_get(hidden, "$", "boolean"), F.lit(True))) & (text_of(f["currency"]) == "PLN"), c("_number"))
+    price, area = F.when(price > 0, price), F.when(c("_area") > 0, c("_area"))
     made = {
-        "source": F.lit(portal.host), "listing_id": whole(a, "id").cast("string"), "url": F.concat(F.lit(f"https://{portal.host}/pl/oferta/"), slug), "city": F.lit(portal.city),
+        "source": F.lit(portal.host), "listing_id": c("_id").cast("string"), "url": F.concat(F.lit(f"https://{portal.host}/pl/oferta/"), slug), "city": F.lit(portal.city),
         "district": F.element_at(F.split(F.try_element_at(named, F.lit(1)), "\n"), -1), "price_pln": price, "area_m2": area,
-        "rooms": v.decoded(text(a, "roomsNumber"), MORE_ROOM_NAMES if sparse else ROOM_NAMES), "floor": v.decoded(text(a, "floorNumber"), FLOOR_NAMES),
+        "rooms": v.decoded(text_of(f["rooms"]), MORE_ROOM_NAMES if sparse else ROOM_NAMES), "floor": v.decoded(text_of(f["floor"]), FLOOR_NAMES),
     }
     rows, made = _made(rows, made)
     price, area = made["price_pln"], made["area_m2"]
     rules = [
-        ("invalid_group", group(a)),
-        ("not_an_individual_sale", lacks((text(a, "estate") == "FLAT") & (text(a, "transaction") == "SELL"))),
-        ("invalid_identity", lacks(whole(a, "id") > 0)),
+        ("invalid_group", F.coalesce((c("_estate") == "INVESTMENT") & (c("_deal") == "SELL"), F.lit(False)) & f["related"].isNotNull()),
+        ("not_an_individual_sale", lacks((c("_estate") == "FLAT") & (c("_deal") == "SELL"))),
+        ("invalid_identity", lacks(c("_id") > 0)),
         ("invalid_url", lacks(slug.rlike(r"\A[A-Za-z0-9][A-Za-z0-9-]*-ID[A-Za-z0-9]+\z"))),
-        ("advertising_presentation", lacks(text(a, "href") == F.concat(F.lit("[lang]/ad/"), slug))),
+        ("advertising_presentation", lacks(text_of(f["href"]) == F.concat(F.lit("[lang]/ad/"), slug))),
         ("unconfirmed_place", lacks(located)),
         ("no_total_price", price.isNull() & F.lit(not sparse)),
         ("no_area", area.isNull() & F.lit(not sparse)),
@@ -225,13 +251,13 @@ def unit_rows(lists: DataFrame, *, city: str, investment: str, url_base: str) ->
     for n in names:
         blank = blank | lacks((clean[n] != "") & ~clean[n].contains("\ufffd"))
     rules = [
-        ("not_a_unit", lacks(kind(u) == "object")),
+        ("not_a_unit", lacks(is_object(u))),
         ("missing_text", blank),
         ("invalid_number", lacks(clean["number"].rlike(r"\A[A-Za-z0-9]+(/[A-Za-z0-9]+)*\z"))),
         ("slug_differs", lacks(clean["slugNumber"] == F.replace(clean["number"], F.lit("/"), F.lit("-")))),
         ("other_place", lacks((clean["city"] == city) & (clean["investment"] == investment))),
         ("unknown_status", lacks(clean["status"].isin(*STATUSES))),
-        ("invalid_commercial_mark", lacks(kind(at(u, "isCommercialUnit")) == "boolean")),
+        ("invalid_commercial_mark", lacks(F.schema_of_variant(at(u, "isCommercialUnit")) == "BOOLEAN")),
         ("invalid_rooms", lacks(rooms > 0) & ~(F.coalesce(commercial, F.lit(False)) & F.coalesce(F.is_variant_null(at(u, "rooms")), F.lit(True)))),
         ("invalid_floor", lacks(whole(u, "floor") >= 0)),
         ("not_positive", lacks((number(u, "area") > 0) & (number(u, "price") > 0))),
