@@ -34,3 +34,19 @@ def test_city_names(spark, name):
     city = ("warsaw", "new york", "odd  name")
     want = F.coalesce(v.collapsed(F.col("x")).isin(*city), F.lit(False))
     assert given.select((quality.within_city(F.col("x"), city) == want).alias("same")).first()["same"]
+
+
+def test_preparation_moves_rows_once(spark):
+    ready = prepare.prepared(spark.createDataFrame([], ROW + ", url string"), F.to_timestamp(F.lit("2024-02-01T00:00:00Z")), keep="latest", hosts={"a": "a.example"}, max_age_days=30)
+    assert steps(ready, "Exchange") == 1
+
+
+def test_old_rows_leave_before_but_spoil_nothing_else(spark):
+    day = lambda n, zone="Z": f"2024-01-{n:02}T00:00:00{zone}"
+    times = {"1": [day(1), day(20)], "2": [day(1)], "3": [day(20), "2023-01-01T00:00:00"], "4": ["2024-03-01T00:00:00Z", day(20)], "5": [day(2)]}
+    rows = [("a", ident, "Warszawa", "800000", "50", "2", at, "https://a.example/x") for ident, ats in times.items() for at in ats]
+    frame = spark.createDataFrame(rows, ROW + ", url string")
+    how = {"now": F.to_timestamp(F.lit("2024-02-01T00:00:00Z")), "keep": "latest", "hosts": {"a": "a.example"}, "max_age_days": 30}
+    told = {r.listing_id: r.exclusion_reason for r in prepare.snapshots(frame, **how).collect()}
+    assert told == {"1": None, "2": "stale_current_catalogue", "3": "unorderable_observation_time", "4": "future_observation", "5": None}
+    assert sorted(r.listing_id for r in prepare.prepared(frame, **how).collect()) == ["1", "5"]
