@@ -339,6 +339,47 @@ def test_jaccard_join_of_one_passage_in_a_fifth(spark):
     assert max(met.values()) <= 2  # the passage is in no prefix
 
 
+def test_jaccard_join_where_no_shingle_looks_common(spark, monkeypatch):
+    """Passages that some dozen texts share don't send each text to the blocks of all others, even if the counts can't tell them apart."""
+    rng = random.Random(31)
+    words = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    passages, docs = [words(30) for _ in range(12)], []
+    for k in range(400):
+        text = " ".join([words(100), *rng.sample(passages, 2)])
+        docs += [(k, text), (1000 + k, text + " end")] if k % 40 == 0 else [(k, text)]
+    docs += [(2000 + k, f"{passages[0]} {passages[1]} {passages[2]} {k}") for k in range(20)]  # crowded in all their shingles
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    monkeypatch.setattr(jaccard_join, "commonness", lambda *_: np.zeros(jaccard_join.COUNTERS, np.uint8))
+    sent, stored = [], common.Scratch.stored
+
+    def spied(self, frame, what, *rest):
+        out = stored(self, frame, what, *rest)
+        if what == "assigned":
+            sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(common.Scratch, "stored", spied)
+    got = {tuple(r) for r in jaccard_join.similar(frame, block_rows=16).collect()}
+    assert got == brute_components(docs, 3, 90)
+    assert sum(component != doc for doc, _, component in got) == 10 + 19
+    assert sent[0] > 10 * len(docs)
+    assert sent[-1] < len(docs)
+
+
+def test_picked_by_ranges(spark):
+    wide = spark.createDataFrame([(k % 40 if k % 7 else None, f"t{k}") for k in range(120)], "key long, t string")
+    with common.Scratch() as tmp:
+        keys = tmp.stored(spark.range(0, 60, 3).select(F.col("id").alias("key")), "keys")
+        none = tmp.stored(spark.range(0).select(F.col("id").alias("key")), "keys")
+        for how in ("left_semi", "left_anti"):
+            want = sorted(r.t for r in wide.join(keys, "key", how).collect())
+            for most in (100, 6, 1):
+                assert sorted(r.t for r in common.picked(wide, keys, "key", how, most=most).collect()) == want
+        plan = common.picked(wide, keys, "key", "left_anti", most=6)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+        assert common.picked(wide, none, "key").count() == 0
+
+
 def test_jaccard_join_odd_rows(spark, odd):
     got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.similar(odd).collect()}
     assert {(1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), (5, 1, 4)} <= got

@@ -7,6 +7,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,6 +99,23 @@ def forget(*frames: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def picked(wide: DataFrame, keys: DataFrame, column: str, how: str = "left_semi", *, most: int = 1 << 20) -> DataFrame:
+    """Wide rows semi- or anti-joined with a written table of distinct keys; the wide rows stay where they are.
+
+    More than ``most`` keys (8 MB) are broadcast by ranges, each for the rows within it; a table written
+    in the keys' order is still read about once, as files without such keys are passed over.
+    """
+    n = keys.count()
+    if n <= most:
+        return wide.join(F.broadcast(keys), column, how)
+    parts = -(-n // most)
+    cuts = sorted(set(keys.agg(F.percentile_approx(column, [k / parts for k in range(1, parts)], 10_000)).first()[0]))  # a few numbers
+    of = F.col(column)
+    within = [of < cuts[0], *((of >= low) & (of < high) for low, high in zip(cuts, cuts[1:], strict=False)), of >= cuts[-1]]
+    out = [wide.where(some).join(F.broadcast(keys.where(some)), column, how) for some in within]
+    return reduce(DataFrame.union, out if how == "left_semi" else [wide.where(of.isNull()), *out])
+
+
 class Scratch:
     """Tables written on the way to a result; all are deleted at the end of the ``with`` block, by when the result must be written."""
 

@@ -8,6 +8,12 @@
    out, and the components of the rest are the groups: a link never leaves its group. The order
    need not be exact about what is rare, only the same for all sets, so occurrences are counted in a table of ``COUNTERS`` cells by hash, whose size
    doesn't depend on the data; a passage that many documents share so comes last in each.
+   The larger the input, the more shingles meet in a cell, until passages of some dozen documents
+   look as rare as any other. Prefixes then join what has little in common, and a group grows to a
+   large part of the table. Where blocks would so be sent ``SENT`` times and more, shingles that
+   are in more than ``FEW`` prefixes are marked in a table of ``MARKS`` bits, come last from then
+   on, and the sets with a marked one in their prefix get another. That is done ``ROUNDS`` times at most;
+   the order is still the same for all sets.
 3. A group, or a pair of blocks of a large group, is one task's work. Its sets are sorted by
    size into the leaves of a signature tree, whose nodes hold the OR of their members' token
    bitmaps and their range of sizes. A dual traversal walks pairs of nodes and leaves out those
@@ -36,7 +42,10 @@ from tidemark.llm.packed import cut_points, deltas, group_runs, mix, packed, unp
 BITS = 512
 LEAF = 32
 COUNTERS = 1 << 21
+MARKS = 1 << 24
 FEW = 16
+SENT = 4
+ROUNDS = 4
 WIDEST = 1 << 14
 U = np.uint64
 
@@ -87,7 +96,7 @@ def commonness(documents: DataFrame, text: str, n: int, width: int = 1 << 16) ->
             total = np.zeros(width)
             for r in rows:
                 total += unpacked(r[1])[0]
-            level = np.minimum(np.floor(4 * np.log2(1 + total)), 255).astype(np.uint8)
+            level = np.minimum(np.floor(4 * np.log2(1 + total)), 127).astype(np.uint8)  # the order's first bit is for marks
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([level.tobytes()], pa.binary())], ["range", "cells"])
 
     kind = "range int, cells binary"
@@ -100,14 +109,53 @@ def commonness(documents: DataFrame, text: str, n: int, width: int = 1 << 16) ->
     return out
 
 
-def prefix_keys(hashes: np.ndarray, percent: int, common_: np.ndarray) -> np.ndarray:
-    """Sorted keys of a set's prefix in the order of (commonness, hash)."""
+def prefix_keys(hashes: np.ndarray, percent: int, common_: np.ndarray, late: np.ndarray | None = None) -> np.ndarray:
+    """Sorted keys of a set's prefix in the order of (whether ``late`` has the key, commonness, hash)."""
     size = len(hashes)
     if not size:
         return hashes
     length = size + (-percent * size // 100) + 1
     order = (common_[(hashes & U(COUNTERS - 1)).astype(np.int64)].astype(U) << U(56)) | (hashes >> U(8))
-    return np.unique(mix(np.partition(order, length - 1)[:length] if length < size else order))
+    if length < size:
+        if late is None:
+            order = np.partition(order, length - 1)[:length]
+        else:
+            order = np.partition(order | (_is_marked(late, mix(order)).astype(U) << U(63)), length - 1)[:length] & U((1 << 63) - 1)
+    return np.unique(mix(order))
+
+
+def _cell(keys: np.ndarray) -> np.ndarray:
+    """The bits of scrambled keys among ``MARKS``."""
+    return (keys >> U(64 - (MARKS.bit_length() - 1))).astype(np.int64)
+
+
+def _is_marked(marks: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = _cell(keys)
+    return (marks[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+
+
+def _own_cell(column) -> np.ndarray:
+    """The scrambled keys of a column of sets' own keys."""
+    return mix(column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(U))
+
+
+def _marks(cells: DataFrame, width: int = 1 << 16) -> np.ndarray:
+    """A table of ``MARKS`` bits in which those of a frame's only column, ``cell``, are set."""
+    import pyarrow as pa
+
+    def add(batches):
+        for k, rows in group_runs(batches):
+            bits = np.zeros(width, np.uint8)
+            bits[[r[1] % width for r in rows]] = 1
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], ["range", "bits"])
+
+    ranges = cells.distinct().select(F.floor(F.col("cell") / width).cast("int").alias("range"), "cell").repartition("range").sortWithinPartitions("range")
+    out = np.zeros(MARKS // 8, np.uint8)
+    with common.batches_of(cells.sparkSession, 1 << 16):
+        rows = ranges.mapInArrow(add, "range int, bits binary").collect()  # MARKS bits in all
+    for row in rows:
+        out[row["range"] * width // 8 : (row["range"] + 1) * width // 8] = np.frombuffer(row["bits"], np.uint8)
+    return out
 
 
 def _set_key(hashes: np.ndarray) -> tuple[int, int]:
@@ -354,6 +402,80 @@ def _meetings(frame: DataFrame, slices: int, chunk: int = 1 << 21) -> DataFrame:
     return sent.repartition(spread).sortWithinPartitions("slice").mapInArrow(met, "a long, b long, sure boolean")
 
 
+def _crowded(frame: DataFrame, slices: int, late, chunk: int = 1 << 21) -> DataFrame:
+    """Cells of the keys that more than ``FEW`` prefixes have and ``late`` hasn't. Tasks count their own keys and send them packed, by slices."""
+    import pyarrow as pa
+
+    def flush(parts):
+        keys, n = np.unique(np.concatenate(parts), return_counts=True)
+        cuts = cut_points(keys, slices).tolist()
+        full = [k for k in range(slices) if cuts[k + 1] > cuts[k]]
+        for at in range(0, len(full), 64):
+            some = full[at : at + 64]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([packed(deltas(keys[cuts[k] : cuts[k + 1]]), n[cuts[k] : cuts[k + 1]].astype(np.uint32)) for k in some], pa.binary())], ["slice", "data"])
+
+    def counted(batches):
+        parts, held = [], 0
+        for rows in batches:
+            for raw in rows.column(0).to_pylist():
+                parts.append(np.frombuffer(raw, "<u8"))
+                held += len(parts[-1])
+                if held >= chunk:
+                    yield from flush(parts)
+                    parts, held = [], 0
+        if held:
+            yield from flush(parts)
+
+    def added(batches):
+        for _, rows in group_runs(batches):
+            keys, n = zip(*(unpacked(r[1]) for r in rows), strict=True)
+            keys, place = np.unique(np.concatenate([np.cumsum(k, dtype=U) for k in keys]), return_inverse=True)
+            many = keys[np.bincount(place, np.concatenate(n)) > FEW]
+            many = np.unique(_cell(many[~_is_marked(late.value, many)]))
+            yield pa.RecordBatch.from_arrays([pa.array(many, pa.int64())], ["cell"])
+
+    sent = frame.select("keys").mapInArrow(counted, "slice int, data binary")
+    return sent.repartition("slice").sortWithinPartitions("slice").mapInArrow(added, "cell long")
+
+
+def _with_marked(frame: DataFrame, late) -> DataFrame:
+    """Cells of the sets that have a marked key in their prefix. ``frame``: key, keys."""
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            own = _own_cell(batch.column(0))
+            hit = np.array([bool(_is_marked(late.value, np.frombuffer(raw, "<u8")).any()) for raw in batch.column(1).to_pylist()], bool)
+            yield pa.RecordBatch.from_arrays([pa.array(_cell(own[hit]), pa.int64())], ["cell"])
+
+    return frame.select("key", "keys").mapInArrow(run, "cell long")
+
+
+def _without(frame: DataFrame, moved) -> DataFrame:
+    """key and keys of the sets that ``moved`` hasn't."""
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(~_is_marked(moved.value, _own_cell(batch.column(0)))))
+
+    return frame.select("key", "keys").mapInArrow(run, "key long, keys binary")
+
+
+def _signed_again(documents: DataFrame, percent: int, cells, late, moved, n: int, key: str, text: str) -> DataFrame:
+    """key and keys of the sets that ``moved`` has, in the order that ``late`` makes."""
+    import pyarrow as pa
+
+    def run(batches):
+        words = Words()
+        for batch in common.sliced(batches):
+            batch = batch.filter(pa.array(_is_marked(moved.value, _own_cell(batch.column(0)))))
+            keys = [prefix_keys(shingles(t, n, words), percent, cells.value, late.value).astype("<u8").tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary())], ["key", "keys"])
+
+    return documents.select(F.col(key).cast("long").alias("key"), text).mapInArrow(run, "key long, keys binary")
+
+
 def _possible(pairs: DataFrame, sets: DataFrame, percent: int, tmp: common.Scratch) -> DataFrame:
     """The pairs a, b whose sizes and bitmaps leave a link possible. ``sets``: key, n_shingles, bits."""
     import pyarrow as pa
@@ -369,41 +491,47 @@ def _possible(pairs: DataFrame, sets: DataFrame, percent: int, tmp: common.Scrat
     sized = pairs.distinct().join(sizes("a"), "a").join(sizes("b"), "b").where(100 * small >= percent * large)
     sized = tmp.stored(sized.select("a", "b", "na", "nb"), "sized")
     wanted = tmp.stored(sized.select(F.col("a").alias("key")).union(sized.select("b")).distinct(), "wanted")
-    if wanted.count() <= 1 << 21:  # 16 MB at most; more are joined by a shuffle
-        wanted = F.broadcast(wanted)
-    bits = tmp.stored(sets.select("key", "bits").join(wanted, "key", "left_semi"), "bits")
+    bits = tmp.stored(common.picked(sets.select("key", "bits"), wanted, "key"), "bits")
     side = lambda k: bits.select(F.col("key").alias(k), F.col("bits").alias(f"bits{k}"))
     both = sized.join(side("a"), "a").join(side("b"), "b")
     return both.select("a", "b", "na", "bitsa", "nb", "bitsb").mapInArrow(run, "a long, b long")
 
 
-def similar(documents: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = 3, percent: int = 90, block_rows: int = 1024, rows_per_slice: int = 1000) -> DataFrame:
-    """Components of the links of at least ``percent`` per cent Jaccard: key, n_shingles, component_id; a written table.
+def _tasks(documents: DataFrame, reps: DataFrame, classes: DataFrame, copies: DataFrame, cells, slices: int, key: str, text: str, n: int, percent: int, block_rows: int, tmp: common.Scratch) -> tuple[DataFrame, DataFrame]:
+    """The groups (node, root, size, n) and the tasks that each set is sent to (node, task, side).
 
-    Keys are integers. ``block_rows`` bounds the sets of a block; a task holds two at most.
+    Where sets would go to ``SENT`` tasks or more on average, crowded shingles come last and the
+    groups are made again, as long as that takes at least a quarter off.
     """
-    with common.Scratch() as tmp:
-        return common.stored(_similar(documents, key, text, n, percent, block_rows, rows_per_slice, tmp), "similar")
-
-
-def _similar(documents: DataFrame, key: str, text: str, n: int, percent: int, block_rows: int, rows_per_slice: int, tmp: common.Scratch) -> DataFrame:
-    """The components; ``tmp`` holds what is written on the way."""
-    import pyarrow as pa
-
     spark = documents.sparkSession
-    cells = spark.sparkContext.broadcast(commonness(documents, text, n))  # COUNTERS bytes
-    signed = tmp.stored(_signed(documents, percent, cells, n, key, text), "signed")
-    filled = signed.where("n_shingles > 0")
-    classes = tmp.stored(filled.groupBy("k1", "k2").agg(F.min("key").alias("first"), F.min("n_shingles").alias("size")), "classes")
-    copies = tmp.stored(filled.select("k1", "k2", "key").join(classes.select("k1", "k2", "first"), ["k1", "k2"]).where("key <> first").select("key").distinct(), "copies")
-    if copies.count() <= 1 << 21:  # 16 MB at most; more are joined by a shuffle
-        copies = F.broadcast(copies)
-    reps = filled.join(copies, "key", "left_anti")
-    slices = 1 << max(4, int(np.ceil(np.log2(max(1, signed.count() / rows_per_slice)))))
-    met = tmp.stored(_meetings(reps, slices).distinct(), "met")
-    meeting = connected(met.where("sure").select("a", "b").union(_possible(met.where("NOT sure").select("a", "b"), reps.select("key", "n_shingles", "bits"), percent, tmp)))
-    tmp.frames.append(meeting)
-    # tasks: a whole group, or pairs of blocks of a large one
+    late, moved, before, keys = np.zeros(MARKS // 8, np.uint8), np.zeros(MARKS // 8, np.uint8), None, reps.select("key", "keys")
+    again: list[DataFrame] = []
+    for k in range(ROUNDS + 1):
+        with common.Scratch() as passing:
+            met = passing.stored(_meetings(keys, slices).distinct(), "met")
+            meeting = connected(met.where("sure").select("a", "b").union(_possible(met.where("NOT sure").select("a", "b"), reps.select("key", "n_shingles", "bits"), percent, passing)))
+            passing.frames.append(meeting)
+            sized, assigned = _blocks(meeting, classes, percent, block_rows, tmp)
+        sent = assigned.count()
+        if k == ROUNDS or sent <= SENT * sized.count() or (before is not None and 4 * sent > 3 * before):
+            break
+        before = sent
+        with common.Scratch() as passing:
+            crowded = passing.stored(_crowded(keys, slices, spark.sparkContext.broadcast(late)), "crowded")  # MARKS bits, as below
+            if crowded.isEmpty():
+                break
+            late = late | _marks(crowded)
+        marked = spark.sparkContext.broadcast(late)
+        moved = moved | _marks(_with_marked(keys, marked))
+        tmp.drop(sized, assigned, *again)
+        moving = spark.sparkContext.broadcast(moved)
+        again = [tmp.stored(common.picked(_signed_again(documents, percent, cells, marked, moving, n, key, text), copies, "key", "left_anti"), "signed-again")]
+        keys = _without(reps, moving).union(again[0])
+    return sized, assigned
+
+
+def _blocks(meeting: DataFrame, classes: DataFrame, percent: int, block_rows: int, tmp: common.Scratch) -> tuple[DataFrame, DataFrame]:
+    """Groups of more than one set, and their tasks: a whole group, or pairs of blocks of a large one."""
     sized = meeting.join(classes.select(F.col("first").alias("node"), "size").groupBy("node").agg(F.max("size").alias("size")), "node")
     counts = meeting.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > 1)
     sized = tmp.stored(sized.join(counts, "root"), "groups")
@@ -421,7 +549,31 @@ def _similar(documents: DataFrame, key: str, text: str, n: int, percent: int, bl
     slots = large.join(bins, ["root", "bin"]).withColumn("slot", F.pmod(F.xxhash64("node", F.lit("slot")), F.col("slots")).cast("int"))
     assigned = slots.join(ends, ["root", "bin", "slot"]).select("node", "task", "side")
     whole = sized.where(F.col("n") <= block_rows).select("node", F.xxhash64("root").alias("task"), F.lit(None).cast("int").alias("side"))
-    assigned = tmp.stored(whole.unionByName(assigned), "assigned")
+    return sized, tmp.stored(whole.unionByName(assigned), "assigned")
+
+
+def similar(documents: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = 3, percent: int = 90, block_rows: int = 1024, rows_per_slice: int = 1000) -> DataFrame:
+    """Components of the links of at least ``percent`` per cent Jaccard: key, n_shingles, component_id; a written table.
+
+    Keys are integers. ``block_rows`` bounds the sets of a block; a task holds two at most.
+    """
+    with common.Scratch() as tmp:
+        return common.stored(_similar(documents, key, text, n, percent, block_rows, rows_per_slice, tmp), "similar")
+
+
+def _similar(documents: DataFrame, key: str, text: str, n: int, percent: int, block_rows: int, rows_per_slice: int, tmp: common.Scratch) -> DataFrame:
+    """The components; ``tmp`` holds what is written on the way."""
+    import pyarrow as pa
+
+    spark = documents.sparkSession
+    cells = spark.sparkContext.broadcast(commonness(documents, text, n))  # COUNTERS bytes
+    signed = tmp.stored(_signed(documents, percent, cells, n, key, text), "signed")
+    filled = signed.where("n_shingles > 0")
+    classes = tmp.stored(filled.groupBy("k1", "k2").agg(F.min("key").alias("first"), F.min("n_shingles").alias("size")), "classes")
+    copies = tmp.stored(filled.select("k1", "k2", "key").join(classes.select("k1", "k2", "first"), ["k1", "k2"]).where("key <> first").select("key").distinct(), "copies")
+    reps = common.picked(filled, copies, "key", "left_anti")
+    slices = 1 << max(4, int(np.ceil(np.log2(max(1, signed.count() / rows_per_slice)))))
+    sized, assigned = _tasks(documents, reps, classes, copies, cells, slices, key, text, n, percent, block_rows, tmp)
 
     def sets_of(batches):
         words = Words()
@@ -429,10 +581,7 @@ def _similar(documents: DataFrame, key: str, text: str, n: int, percent: int, bl
             sets = [shingles(t, n, words).astype("<u8").tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "hashes"])
 
-    members = sized.select("node")
-    if members.count() <= 1 << 19:  # 4 MB at most
-        members = F.broadcast(members)
-    texts = documents.select(F.col(key).cast("long").alias("node"), F.col(text).alias("_text")).join(members, "node", "left_semi")
+    texts = common.picked(documents.select(F.col(key).cast("long").alias("node"), F.col(text).alias("_text")), sized.select("node"), "node")
     sets = texts.mapInArrow(sets_of, "node long, hashes binary").join(assigned, "node")
 
     def joined(batches):
