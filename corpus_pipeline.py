@@ -44,10 +44,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         rows = tmp.stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
         groups = jaccard_join.similar(rows.select(row, "text"), key=row, n=5, percent=80)
         tmp.frames.append(groups)
-        copies = groups.where(F.col("component_id") != F.col(row)).select(row)
-        if copies.count() <= 1 << 19:  # 4 MB at most; more are joined by a shuffle
-            copies = F.broadcast(copies)
-        return common.stored(rows.join(copies, row, "left_anti").select(docs.columns), "first-rows")
+        copies = tmp.stored(groups.where(F.col("component_id") != F.col(row)).select(row), "copies")
+        return common.stored(common.picked(rows, copies, row, "left_anti").select(docs.columns), "first-rows")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -367,14 +367,15 @@ def test_jaccard_join_where_no_shingle_looks_common(spark, monkeypatch):
 
 
 def test_picked_by_ranges(spark):
-    wide = spark.createDataFrame([(k % 40 if k % 7 else None, f"t{k}") for k in range(120)], "key long, t string")
+    wide = spark.createDataFrame([(f"t{k}", k % 40 if k % 7 else None) for k in range(120)], "t string, key long")
     with common.Scratch() as tmp:
         keys = tmp.stored(spark.range(0, 60, 3).select(F.col("id").alias("key")), "keys")
         none = tmp.stored(spark.range(0).select(F.col("id").alias("key")), "keys")
         for how in ("left_semi", "left_anti"):
-            want = sorted(r.t for r in wide.join(keys, "key", how).collect())
+            rows = lambda f: sorted((r.t, r.key or -1) for r in f.collect())
+            want = rows(wide.join(keys, "key", how))
             for most in (100, 6, 1):
-                assert sorted(r.t for r in common.picked(wide, keys, "key", how, most=most).collect()) == want
+                assert rows(common.picked(wide, keys, "key", how, most=most)) == want
         plan = common.picked(wide, keys, "key", "left_anti", most=6)._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
         assert common.picked(wide, none, "key").count() == 0

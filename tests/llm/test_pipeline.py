@@ -52,3 +52,24 @@ def test_null_and_repeated_rows_go_through(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = common.written(stage(spark, docs, SF), "odd-stage")
         assert docs.count() > 0, name
+
+
+def test_rows_stay_where_they_are_for_many_copies(spark, monkeypatch):
+    """The rows that are kept are told by ranges of their numbers, with no shuffle of texts however many copies go."""
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(30))
+    docs = spark.createDataFrame([(k, text(k // 3)) for k in range(60)], "doc_id long, text string").repartition(5).cache()
+    plans, picked = [], common.picked
+
+    def spied(wide, keys, column, how="left_semi"):
+        out = picked(wide, keys, column, how, most=7)
+        if "text" in wide.columns:
+            plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(common, "picked", spied)
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert sorted(r.doc_id // 3 for r in kept.collect()) == list(range(20))
+    assert len(plans) == 1
+    assert plans[0].count("BroadcastHashJoin") > 2
+    assert "hashpartitioning" not in plans[0]
+    docs.unpersist()

@@ -113,7 +113,7 @@ def picked(wide: DataFrame, keys: DataFrame, column: str, how: str = "left_semi"
     of = F.col(column)
     within = [of < cuts[0], *((of >= low) & (of < high) for low, high in zip(cuts, cuts[1:], strict=False)), of >= cuts[-1]]
     out = [wide.where(some).join(F.broadcast(keys.where(some)), column, how) for some in within]
-    return reduce(DataFrame.union, out if how == "left_semi" else [wide.where(of.isNull()), *out])
+    return reduce(DataFrame.unionByName, out if how == "left_semi" else [*out, wide.where(of.isNull())])
 
 
 class Scratch:
