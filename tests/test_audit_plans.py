@@ -50,3 +50,19 @@ def test_old_rows_leave_before_but_spoil_nothing_else(spark):
     told = {r.listing_id: r.exclusion_reason for r in prepare.snapshots(frame, **how).collect()}
     assert told == {"1": None, "2": "stale_current_catalogue", "3": "unorderable_observation_time", "4": "future_observation", "5": None}
     assert sorted(r.listing_id for r in prepare.prepared(frame, **how).collect()) == ["1", "5"]
+
+
+def test_flags_of_a_snapshot_are_united_as_bits(spark):
+    """The union of an instant's flags is the audit's own, by name, and takes no aggregate of objects."""
+    rows = [("a.example", "1", "https://a.example/x", "Warszawa", p, s, 2, "2026-01-01T00:00:00Z") for p, s in ((500_000.0, 50.0), (600_000.0, 600.0))]
+    rows += [("a.example", "2", "https://a.example/x", "Kraków", 500_000.0, None, 2, "2026-01-01T00:00:00Z"), ("a.example", "3", "https://a.example/x", "Warszawa", 500_000.0, 50.0, 2, "2026-01-01T00:00:00Z")]
+    frame = spark.createDataFrame(rows, "source string, listing_id string, url string, city string, price_pln double, area_m2 double, rooms int, observed_at string")
+    found = prepare.snapshots(frame, F.to_timestamp(F.lit("2026-02-01T00:00:00Z")), keep="latest", hosts={"a.example": "a.example"})
+    told = {r.listing_id: (r.quality_flags, r.exclusion_reason) for r in found.collect()}
+    audited = {}
+    for r in quality.audit(frame).collect():
+        audited.setdefault(r.listing_id, set()).update(r.quality_flags.split("|"))
+    assert {k: flags for k, (flags, _) in told.items()} == {k: "|".join(sorted(x - {"", "repeated_identity"})) for k, x in audited.items()}
+    assert told["1"] == ("area_above_review_max|conflicting_identity_timestamp|price_per_m2_below_review_min", "conflicting_selected_snapshot")
+    assert told["3"] == ("", None)
+    assert "ObjectHashAggregate" not in found._jdf.queryExecution().executedPlan().toString()
